@@ -96,6 +96,22 @@ def parse_cursor_key(key: Column) -> tuple[Column, Column]:
     return F.when(good, version).otherwise(fail), F.when(good, partition).otherwise(fail)
 
 
+def stream_part(path: Column, part: str) -> Column:
+    """db, table, version, partition or date of a path below ``increment/``.
+
+    A stream without a partition level has partition 0.
+    """
+    i = ["db", "table", "version", "partition", "date"].index(part) + 1
+    text = F.regexp_extract(path, r"/increment/([^/]+)/([^/]+)/([0-9]+)/(?:([0-9]+)/)?([0-9]{4}-[0-9]{2}-[0-9]{2})/", i)
+    if part in ("db", "table"):
+        return unescape_name(text)
+    if part == "version":
+        return text.try_cast("decimal(20,0)")
+    if part == "partition":
+        return F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return text
+
+
 def is_date_dir(name: Column) -> Column:
     """True for a valid ``yyyy-MM-dd`` directory name."""
     shape = name.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$")

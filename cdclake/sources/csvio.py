@@ -11,7 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.functions.names import escape_name
+from cdclake.functions.names import escape_name, file_index, stream_part
 from cdclake.functions.types import ColumnMeta, TableMeta, decode_columns, encode_value, quote
 from cdclake.sources import storage
 
@@ -24,9 +24,6 @@ ENVELOPE = ["cdc_flag", "cdc_table", "cdc_schema", "cdc_commit_ts"]
 # Where the row came from; orders rows that share a commit timestamp.
 POSITION = ["cdc_version", "cdc_partition", "cdc_date", "cdc_file_idx", "cdc_block", "cdc_row"]
 
-# Path of a change file or index below the increment root.
-STREAM_PATH = r"/([0-9]+)(?:/([0-9]+))?/([0-9]{4}-[0-9]{2}-[0-9]{2})/"
-
 
 def _null_rule(c: Column) -> Column:
     return F.when(c.isNull(), "").when(c == NULL_TEXT, None).otherwise(c)
@@ -85,13 +82,12 @@ def read_changes(
     text_names = ENVELOPE + [f"c{i}" for i in range(len(columns))]
     raw = _reader(spark, text_names, escape, multiline, line_sep).csv(paths)
     path = F.col("_metadata.file_path")
-    part = lambda i: F.regexp_extract(path, STREAM_PATH + r"CDC([0-9]+)\.csv$", i)
     placed = raw.select(
         *[_null_rule(F.col(t)).alias(n) for t, n in zip(text_names, names)],
-        part(1).try_cast("decimal(20,0)").alias("cdc_version"),
-        F.when(part(2) == "", F.lit(0)).otherwise(part(2).try_cast("bigint")).cast("bigint").alias("cdc_partition"),
-        part(3).alias("cdc_date"),
-        part(4).try_cast("bigint").alias("cdc_file_idx"),
+        stream_part(path, "version").alias("cdc_version"),
+        stream_part(path, "partition").alias("cdc_partition"),
+        stream_part(path, "date").alias("cdc_date"),
+        file_index(path).alias("cdc_file_idx"),
         F.col("_metadata.file_block_start").alias("cdc_block"),
         F.monotonically_increasing_id().alias("cdc_row"),
     )
