@@ -187,6 +187,15 @@ def write_schema_epoch(
     return path
 
 
+def column_from_schema_file(c) -> ColumnMeta:
+    """One column of a parsed schema file."""
+    return ColumnMeta(
+        c["ColumnName"], c["ColumnType"].lower(), c["ColumnPrecision"] or c["ColumnLength"] or "", c["ColumnScale"] or "",
+        (c["ColumnNullable"] or "true") != "false", (c["ColumnIsPk"] or "false") == "true", c["ColumnDefault"],
+        "none" if c["ColumnDefault"] is None else "literal",
+    )
+
+
 def write_change_files(
     spark: SparkSession, changes: DataFrame, root: str, meta: TableMeta, version: int, date: str,
     partition: int | None = None, first_index: int = 1, width: int = 15,
