@@ -125,33 +125,52 @@ def redact_text(text: Column) -> Column:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _json_string(text: Column) -> Column:
-    quoted = F.to_json(F.array(text))
-    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    """JSON literal of a text; only texts that need it pass the JSON writer."""
+    escaped = _let(F.to_json(F.array(text)), lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
+    return F.when(text.rlike(r'["\\\x00-\x1f]'), escaped).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
 
 
 def _json_node(v: Column, depth: int) -> Column:
-    raw = F.to_json(v)
-    first = F.substring(raw, 1, 1)
-    text = _json_string(redact_text(F.try_variant_get(v, "$", "string")))
-    if depth == 0:
-        inner = F.raise_error(F.lit("JSON is nested deeper than max_depth")).cast("string")
-    else:
-        # Objects and arrays alike become entries, so each level nests once.
-        entries = F.coalesce(
-            F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v"))),
-            F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("k"), x.alias("v"))),
-        )
+    """JSON text of a variant without secrets.
+
+    Objects and arrays alike become entries, so each level nests only once.
+    """
+    def container(parts: Column) -> Column:
+        is_object = parts["m"].isNotNull()
+        entries = F.when(is_object, F.transform(F.map_entries(parts["m"]), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))).otherwise(
+            F.transform(parts["a"], lambda x: F.struct(F.lit(None).cast("string").alias("k"), x.alias("v"))))
 
         def item(e: Column) -> Column:
             name = F.when(e["k"].isNull(), "").otherwise(F.concat(_json_string(e["k"]), F.lit(":")))
-            secret = F.coalesce(is_secret_key(e["k"]), F.lit(False))
+            secret = e["k"].isNotNull() & is_secret_key(e["k"])
             return F.concat(name, F.when(secret, f'"{REDACTED}"').otherwise(F.coalesce(_json_node(e["v"], depth - 1), F.lit("null"))))
 
         body = F.array_join(F.transform(entries, item), ",")
-        is_object = first == "{"
-        inner = F.concat(F.when(is_object, "{").otherwise("["), body, F.when(is_object, "}").otherwise("]"))
-    return F.when(first.isin("{", "["), inner).when(first == '"', text).otherwise(raw)
+        return F.concat(F.when(is_object, "{").otherwise("["), body, F.when(is_object, "}").otherwise("]"))
+
+    def node(type_name: Column) -> Column:
+        if depth == 0:
+            inner = F.raise_error(F.lit("JSON is nested deeper than max_depth")).cast("string")
+        else:
+            parts = F.struct(
+                F.try_variant_get(v, "$", "map<string,variant>").alias("m"), F.try_variant_get(v, "$", "array<variant>").alias("a"))
+            inner = _let(parts, container)
+        scalar = F.try_variant_get(v, "$", "string")
+        may_hide = scalar.rlike("(?i)://|" + "|".join(_HINTS))
+        return (
+            F.when((type_name == "STRING") & may_hide, _let(redact_text(scalar), _json_string))
+            .when(type_name == "STRING", _json_string(scalar))
+            .when(type_name.startswith("OBJECT") | type_name.startswith("ARRAY"), inner)
+            .otherwise(scalar)
+        )
+
+    return _let(F.schema_of_variant(v), node)
 
 
 def redact_json(text: Column, max_depth: int = 6) -> Column:

@@ -7,13 +7,13 @@ written before it stays invisible until then and is overwritten by a replay.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.types import TableMeta
 from cdclake.sources import storage
+from cdclake.sources.local import local_rows
 
 FORMAT = 1
 _SCHEMA = """
@@ -136,16 +136,16 @@ def commit(spark: SparkSession, root: str, prev: Progress, nxt: Progress) -> Non
     """Append a progress row; fails when that batch was committed already."""
     check_forward(prev, nxt)
     tables = {
-        name: (t.watermark, {k: tuple(c) for k, c in t.cursors.items()}, t.meta.to_json() if t.meta else None,
-               t.buckets, t.live, t.hidden, t.dropped)
+        name: dict(
+            watermark=t.watermark, cursors={k: dict(date=d, file_index=i) for k, (d, i) in t.cursors.items()},
+            meta=t.meta.to_json() if t.meta else None, buckets=t.buckets, live=t.live, hidden=t.hidden, dropped=t.dropped)
         for name, t in nxt.tables.items()
     }
-    tables = {n: (Decimal(v[0]), *v[1:]) for n, v in tables.items()}
     path = f"{_dir(root)}/batch={nxt.batch}"
     if storage.exists(spark, path) and not storage.exists(spark, f"{path}/_SUCCESS"):
         storage.delete(spark, path)  # left by a commit that did not finish
-    row = (FORMAT, nxt.batch, Decimal(nxt.checkpoint_ts), nxt.snapshot_finished, tables)
-    spark.createDataFrame([row], _SCHEMA).coalesce(1).write.mode("errorifexists").parquet(path)
+    row = dict(format=FORMAT, batch=nxt.batch, checkpoint_ts=nxt.checkpoint_ts, snapshot_finished=nxt.snapshot_finished, tables=tables)
+    local_rows(spark, [row], _SCHEMA).coalesce(1).write.mode("errorifexists").parquet(path)
 
 
 def prune(spark: SparkSession, root: str, keep: int = 100) -> None:

@@ -23,6 +23,7 @@ from cdclake.operators.select import ColumnSelector, select_meta
 from cdclake.plans import progress as pg
 from cdclake.plans import target as tg
 from cdclake.sources import catalog, csvio, discover, storage
+from cdclake.sources.local import local_rows, no_rows
 
 MODES = ("all", "snapshot-only", "incremental-only")
 
@@ -99,7 +100,7 @@ def _inherit(work):
 
 def snapshot_metas(spark: SparkSession, settings: Settings) -> dict[str, TableMeta]:
     """Schemas of all configured tables; every one must exist and have a key."""
-    wanted = spark.createDataFrame([split_fqn(t) for t in settings.tables], "db string, table string")
+    wanted = local_rows(spark, [dict(zip(("db", "table"), split_fqn(t))) for t in settings.tables], "db string, table string")
     texts = catalog.read_ddl_texts(spark, settings.source).join(F.broadcast(wanted), ["db", "table"], "left_semi")
     metas = {f"{m.db}.{m.table}": m for m in catalog.table_metas(catalog.ddl_columns(texts))}
     for t in settings.tables:
@@ -127,7 +128,7 @@ def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -
         if found:
             rows = csvio.read_snapshot(spark, [p for p, _ in found], meta, **settings.csv)
         else:
-            rows = spark.createDataFrame([], meta.ddl())
+            rows = no_rows(spark, meta.ddl())
         rows = rows.select(*[F.col(quote(n)) for n in kept.names])
         tg.write_version(spark, rows, tg.location(spark, settings.target, meta.db, meta.table), batch, list(meta.pk), buckets)
         return pg.TableProgress(meta=kept, buckets=buckets, live=[batch] * buckets)
@@ -154,9 +155,9 @@ class _Epoch:
 def _epochs(spark: SparkSession, settings: Settings, state: pg.Progress) -> dict[str, list[_Epoch]]:
     """Schema epochs each table needs this round, in version order."""
     texts = catalog.read_schema_texts(spark, settings.source, settings.tables)
-    marks = spark.createDataFrame(
-        [(*split_fqn(t), p.watermark) for t, p in state.tables.items()], "db string, table string, w bigint"
-    ).selectExpr("db", "table", "cast(w as decimal(20,0)) as watermark")
+    marks = local_rows(
+        spark, [dict(zip(("db", "table"), split_fqn(t)), watermark=p.watermark) for t, p in state.tables.items()],
+        "db string, table string, watermark decimal(20,0)")
     # Tables and versions are catalog-sized; rows of tables never come here.
     rows = discover.classify_epochs(catalog.schema_epochs(texts), marks, state.checkpoint_ts).where("status <> 'stale'")
     rows = rows.withColumn("stored", catalog.stored_generated(F.col("query")))
@@ -185,16 +186,15 @@ def _ranges(spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epo
     for key, (date, idx) in table.cursors.items():
         version, partition, _ = key.split("/")
         active.setdefault(int(version), {})[int(partition)] = date
-        cursor_rows.append((db, name, version, int(partition), date, idx))
+        cursor_rows.append(dict(db=db, table=name, version=int(version), partition=int(partition), date=date, file_index=idx))
     paths = [
         p for e in epochs
         for p in discover.index_paths(spark, settings.source, db, name, e.version, active.get(e.version, {}))
     ]
     if not paths:
         return []
-    cursors = spark.createDataFrame(
-        cursor_rows, "db string, table string, v string, partition bigint, date string, file_index bigint"
-    ).withColumn("version", F.col("v").cast("decimal(20,0)")).drop("v")
+    cursors = local_rows(
+        spark, cursor_rows, "db string, table string, version decimal(20,0), partition bigint, date string, file_index bigint")
     index = discover.index_rows(discover.read_index_texts(spark, paths))
     return discover.pending_ranges(index, cursors).orderBy("version", "partition", "date").collect()
 

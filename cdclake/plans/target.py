@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cdclake.functions.names import escape_name
 from cdclake.functions.types import TableMeta, quote
 from cdclake.sources import storage
+from cdclake.sources.local import no_rows
 
 VERSION = "cdclake_version"
 # Source bytes per bucket: a bucket is one sort-merge task, which may spill.
@@ -102,7 +103,7 @@ def read_live(
     wanted = range(buckets) if only is None else only
     versions = sorted({live[b] for b in wanted if live[b] >= 0})
     if not versions:
-        return spark.createDataFrame([], meta.ddl())
+        return no_rows(spark, meta.ddl())
     df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets))
     if only is not None:
         files = F.regexp_extract("_metadata.file_name", r"_([0-9]+)(?:\.c[0-9]+)?\.[^/]*$", 1).cast("int")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from cdclake.functions.names import DATABASE_FILE_SUFFIX, SCHEMA_FILE_SUFFIX, schema_version, unescape_name
 from cdclake.functions.types import ColumnMeta, TableMeta
 from cdclake.sources import storage
+from cdclake.sources.local import no_rows
 
 # Spellings of one source type.
 TYPE_ALIASES = {
@@ -240,7 +241,7 @@ def read_schema_texts(spark: SparkSession, root: str, tables: list[str] | None =
     globs = [f"{base}/{t.split('.', 1)[0]}/{t.split('.', 1)[1]}/meta/schema_*.json" for t in tables] if tables else [f"{base}/*/*/meta/schema_*.json"]
     globs = [g for g in globs if storage.glob(spark, g)]
     if not globs:
-        return spark.createDataFrame([], "path string, text string")
+        return no_rows(spark, "path string, text string")
     # A list of paths may hold globs; each names the files of one table.
     return spark.read.text(globs, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cdclake.functions.names import file_index, file_name, is_date_dir, stream_part
 from cdclake.sources import storage
+from cdclake.sources.local import no_rows
 
 STREAM = ["db", "table", "version", "partition"]
 # Files per intermediate row of a range expansion.
@@ -20,7 +21,7 @@ EXPAND_STEP = 4096
 def read_index_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``(path, text)`` of index files."""
     if not paths:
-        return spark.createDataFrame([], "path string, text string")
+        return no_rows(spark, "path string, text string")
     return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
