@@ -171,7 +171,8 @@ def decode_columns(df: DataFrame, columns: list[ColumnMeta], on_error: str = "ra
         bad = raw.isNotNull() & value.isNull()
         if on_error == "raise" and c.spark_type != "string":
             message = F.concat(F.lit(f"column {c.name}: not a {c.spark_type}: "), raw)
-            value = F.when(bad, F.raise_error(message)).otherwise(value)
+            # The failure is evaluated only where the decoding gave nothing.
+            value = F.coalesce(value, F.when(raw.isNotNull(), F.raise_error(message).cast(c.spark_type)))
         elif c.spark_type != "string":
             errors.append(F.when(bad, F.lit(c.name)))
         out.append(value.alias(c.name))

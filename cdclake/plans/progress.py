@@ -59,16 +59,23 @@ def _dir(root: str) -> str:
     return f"{root}/_progress"
 
 
-def committed_batches(spark: SparkSession, root: str) -> list[int]:
-    base = _dir(root)
-    names = [n for n in storage.list_names(spark, base) if n.startswith("batch=")]
-    done = [int(n[6:]) for n in names if storage.exists(spark, f"{base}/{n}/_SUCCESS")]
-    return sorted(done)
+def _batches(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(n[6:]) for n in storage.list_names(spark, _dir(root)) if n.startswith("batch="))
+
+
+def _done(spark: SparkSession, root: str, batch: int) -> bool:
+    return storage.exists(spark, f"{_dir(root)}/batch={batch}/_SUCCESS")
+
+
+def newest_batch(spark: SparkSession, root: str) -> int | None:
+    """Newest committed batch; rows of commits that did not finish do not count."""
+    return next((b for b in reversed(_batches(spark, root)) if _done(spark, root, b)), None)
 
 
 def progress_log(spark: SparkSession, root: str) -> DataFrame:
     """All commits, one row per table and stream."""
-    rows = spark.read.schema(_SCHEMA).option("recursiveFileLookup", True).parquet(_dir(root))
+    paths = [f"{_dir(root)}/batch={b}" for b in _batches(spark, root) if _done(spark, root, b)]
+    rows = spark.read.schema(_SCHEMA).parquet(*paths)
     tables = rows.select("batch", "checkpoint_ts", "snapshot_finished", F.explode("tables").alias("table", "t"))
     return tables.select(
         "batch", "checkpoint_ts", "snapshot_finished", "table", F.col("t.watermark").alias("watermark"),
@@ -101,10 +108,10 @@ def validate(progress: Progress, tables: list[str]) -> None:
 
 def load(spark: SparkSession, root: str, tables: list[str]) -> Progress:
     """Newest committed progress, or a fresh one with an entry per table."""
-    batches = committed_batches(spark, root)
-    if not batches:
+    batch = newest_batch(spark, root)
+    if batch is None:
         return Progress(tables={t: TableProgress() for t in tables})
-    row = spark.read.schema(_SCHEMA).parquet(f"{_dir(root)}/batch={batches[-1]}").first()
+    row = spark.read.schema(_SCHEMA).parquet(f"{_dir(root)}/batch={batch}").first()
     if row["format"] != FORMAT:
         raise ProgressError(f"unsupported progress format {row['format']}")
     out = Progress(row["batch"], int(row["checkpoint_ts"]), row["snapshot_finished"])
@@ -148,7 +155,7 @@ def commit(spark: SparkSession, root: str, prev: Progress, nxt: Progress) -> Non
     local_rows(spark, [row], _SCHEMA).coalesce(1).write.mode("errorifexists").parquet(path)
 
 
-def prune(spark: SparkSession, root: str, keep: int = 100) -> None:
+def prune(spark: SparkSession, root: str, keep: int) -> None:
     """Delete all but the newest progress rows."""
-    for batch in committed_batches(spark, root)[:-keep]:
+    for batch in _batches(spark, root)[:-keep]:
         storage.delete(spark, f"{_dir(root)}/batch={batch}")

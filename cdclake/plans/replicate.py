@@ -44,6 +44,11 @@ class Settings:
     parallel_tables: int = 16
     # Keep files of replaced versions until `vacuum` is called.
     keep_old_files: bool = False
+    # Progress rows to keep.
+    keep_progress: int = 1000
+    # From this many buckets on, rounds that touch few of them skip the
+    # bucketed scan, whose tasks would mostly be empty.
+    sparse_from: int = 1024
 
 
 @dataclass
@@ -113,6 +118,9 @@ def snapshot_metas(spark: SparkSession, settings: Settings) -> dict[str, TableMe
 
 def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -> pg.Progress:
     """Replace all target tables by the snapshot and commit its timestamp."""
+    if not storage.exists(spark, f"{settings.source}/snapshot/metadata"):
+        half = catalog.has_files(spark, f"{settings.source}/snapshot")
+        raise ValueError("snapshot is not complete: no metadata file" if half else "no snapshot")
     commit_ts = catalog.read_snapshot_commit_ts(spark, settings.source)
     metas = snapshot_metas(spark, settings)
     batch = state.batch + 1
@@ -264,7 +272,7 @@ def _apply_table(
         _check_columns(fqn, e, table.meta)
         paths = [p for r in mine for p in discover.range_paths(settings.source, r)]
         files += len(paths)
-        rows = csvio.read_changes(spark, paths, list(e.meta.columns), **settings.csv)
+        rows = csvio.read_changes(spark, paths, list(e.meta.columns), version=e.version, **settings.csv)
         rows = after_checkpoint(rows, state.checkpoint_ts)
         own = {c.lower(): c for c in rows.columns}
         casts = [F.col(quote(own[c.name.lower()])).cast(c.spark_type).alias(c.name) for c in table.meta.columns]
@@ -298,6 +306,7 @@ def _apply_table(
     if not touched:
         return table, files, counts
     only = touched if len(touched) < table.buckets else None
+    sparse = table.buckets >= settings.sparse_from and len(touched) * 4 <= table.buckets
 
     # Stored rows are read in the schema they were written in, then evolved.
     if rewrite and stored is not None:
@@ -308,7 +317,7 @@ def _apply_table(
             # Another key type hashes to other buckets.
             current = current.repartition(table.buckets, *[F.col(quote(k)) for k in pk])
     else:
-        current = tg.read_live(spark, base, table.meta, table.buckets, table.live, only)
+        current = tg.read_live(spark, base, table.meta, table.buckets, table.live, only, bucketed=not sparse)
     if latest is not None:
         if ev.ERROR_COLUMN in current.columns and ev.ERROR_COLUMN not in latest.columns:
             latest = latest.withColumn(ev.ERROR_COLUMN, F.lit(None).cast("string"))
@@ -317,6 +326,9 @@ def _apply_table(
         seen = Observation()
         current = merge_changes(current, latest, pk, observation=seen)
     current = ev.assert_evolved(current)
+    if sparse:
+        # Only the few touched buckets pass this shuffle.
+        current = current.repartition(len(touched), tg.bucket_of(pk, table.buckets))
     tg.write_version(spark, current, base, batch, pk, table.buckets, distributed=True)
     if latest is not None:
         counts = {k: int(v) for k, v in seen.get.items()}
@@ -362,6 +374,7 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
     results = _each_table(settings, lambda fqn: _apply_table(spark, settings, fqn, epochs[fqn], state, batch))
     nxt = pg.Progress(batch, published, state.snapshot_finished, {t: r[0] for t, r in zip(settings.tables, results)})
     pg.commit(spark, settings.target, state, nxt)
+    pg.prune(spark, settings.target, settings.keep_progress)
     for fqn in settings.tables:
         base = tg.location(spark, settings.target, *split_fqn(fqn))
         storage.delete(spark, f"{base}/_staging/batch={batch}")
@@ -392,7 +405,7 @@ def replicate(spark: SparkSession, settings: Settings, mode: str = "all", rounds
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     state = pg.load(spark, settings.target, settings.tables)
-    if mode == "incremental-only" and not state.snapshot_finished and not pg.committed_batches(spark, settings.target):
+    if mode == "incremental-only" and not state.snapshot_finished and pg.newest_batch(spark, settings.target) is None:
         # The tables are taken as loaded by other means.
         state.snapshot_finished = True
     if mode != "incremental-only" and not state.snapshot_finished:

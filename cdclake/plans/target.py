@@ -21,8 +21,8 @@ from cdclake.sources.local import no_rows
 
 VERSION = "cdclake_version"
 # Source bytes per bucket: a bucket is one sort-merge task, which may spill.
-BYTES_PER_BUCKET = 128 << 20
-MIN_BUCKETS = 8
+BYTES_PER_BUCKET = 256 << 20
+MIN_BUCKETS, MAX_BUCKETS = 8, 65536
 # Text of gzip files is several times larger.
 GZIP_RATIO = 4
 
@@ -33,7 +33,7 @@ def bucket_count(source_bytes: int, shuffle_partitions: int = 1) -> int:
     Large tables get a multiple of the shuffle partitions, so that rows that
     were shuffled by key need no second shuffle into buckets.
     """
-    n = max(MIN_BUCKETS, -(-source_bytes // BYTES_PER_BUCKET))
+    n = min(max(MIN_BUCKETS, -(-source_bytes // BYTES_PER_BUCKET)), MAX_BUCKETS)
     return -(-n // shuffle_partitions) * shuffle_partitions if n > shuffle_partitions else n
 
 
@@ -71,7 +71,10 @@ def write_version(
 
 
 def _open(spark: SparkSession, path: str, columns: str, partitions: list[int], pk: list[str], buckets: int) -> str:
-    """Catalog entry for a bucketed folder, partitioned by version if asked to."""
+    """Catalog entry for a bucketed folder, partitioned by version if asked to.
+
+    With ``buckets=0`` the files are taken as they are.
+    """
     name = _handle(f"{path}#{columns}#{pk}#{buckets}#{partitions}")
     if spark.catalog.tableExists(name):
         spark.catalog.refreshTable(name)  # files may have been replaced
@@ -79,7 +82,8 @@ def _open(spark: SparkSession, path: str, columns: str, partitions: list[int], p
     keys = ", ".join(quote(k) for k in pk)
     extra, part = (f", {VERSION} bigint", f"PARTITIONED BY ({VERSION})") if partitions else ("", "")
     where = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {name} ({columns}{extra}) USING parquet {part} CLUSTERED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{where}'")
+    clustered = f"CLUSTERED BY ({keys}) INTO {buckets} BUCKETS" if buckets else ""
+    spark.sql(f"CREATE TABLE {name} ({columns}{extra}) USING parquet {part} {clustered} LOCATION '{where}'")
     if partitions:
         adds = " ".join(f"PARTITION ({VERSION}={v}) LOCATION '{where}/{VERSION}={v}'" for v in partitions)
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {adds}")
@@ -93,9 +97,13 @@ def read_bucketed(spark: SparkSession, path: str, columns: str, pk: list[str], b
 
 def read_live(
     spark: SparkSession, base: str, meta: TableMeta, buckets: int, live: list[int], only: list[int] | None = None,
+    bucketed: bool = True,
 ) -> DataFrame:
     """Current rows of a table, or of some of its buckets.
 
+    A bucketed scan has one task per bucket, even for buckets left out;
+    ``bucketed=False`` plans tasks for the files that are read instead.
+
     A row counts when its version is the live one of its bucket, so files that
     a later commit replaced never show, deleted or not.
     """
@@ -104,10 +112,11 @@ def read_live(
     versions = sorted({live[b] for b in wanted if live[b] >= 0})
     if not versions:
         return no_rows(spark, meta.ddl())
-    df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets))
+    df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets if bucketed else 0))
     if only is not None:
-        files = F.regexp_extract("_metadata.file_name", r"_([0-9]+)(?:\.c[0-9]+)?\.[^/]*$", 1).cast("int")
-        df = df.where(files.isin(list(only)))
+        # Evaluated on file names while files are listed.
+        file_bucket = r"cast(regexp_extract(_metadata.file_name, '_([0-9]+)([.]c[0-9]+)?[.][^/]*$', 1) as int)"
+        df = df.where(f"{file_bucket} IN ({', '.join(map(str, only))})")
     if len(versions) > 1 or only is not None:
         # One constant, however many buckets there are.
         table = F.split(F.lit(",".join(map(str, live))), ",").cast("array<bigint>")

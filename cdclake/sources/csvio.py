@@ -11,7 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.functions.names import escape_name, file_index, stream_part
+from cdclake.functions.names import escape_name
 from cdclake.functions.types import ColumnMeta, TableMeta, decode_columns, encode_value, quote
 from cdclake.sources import storage
 
@@ -69,25 +69,39 @@ def read_snapshot(
     return decode_columns(text, list(meta.columns), on_error)
 
 
+def _position(path: Column, version: int | None) -> list[Column]:
+    """Version, partition, date and index of a row's file.
+
+    Runs for every row, so it cuts the path at slashes instead of matching it.
+    """
+    up = lambda n: F.substring_index(F.substring_index(path, "/", -n), "/", 1)
+    partitioned = up(4).rlike("^[0-9]+$") if version is None else up(4) == str(version)
+    file = F.substring_index(path, "/", -1)
+    return [
+        (F.when(partitioned, up(4)).otherwise(up(3)).try_cast("decimal(20,0)") if version is None else F.lit(version).cast("decimal(20,0)")).alias("cdc_version"),
+        F.coalesce(F.when(partitioned, up(3)).try_cast("bigint"), F.lit(0).cast("bigint")).alias("cdc_partition"),
+        up(2).alias("cdc_date"),
+        F.substring(file, F.lit(4), F.length(file) - 7).try_cast("bigint").alias("cdc_file_idx"),
+    ]
+
+
 def read_changes(
     spark: SparkSession, paths: str | list[str], columns: list[ColumnMeta], on_error: str = "raise",
-    escape: str = '"', multiline: bool = True, line_sep: str | None = None,
+    escape: str = '"', multiline: bool = True, line_sep: str | None = None, version: int | None = None,
 ) -> DataFrame:
     """Typed change rows with their envelope and position.
 
     Columns are taken by position. The position (file path, block, running row
     number) makes the newest of several changes with one timestamp well defined.
+    Pass the table ``version`` where it is known.
     """
     names = ENVELOPE + [c.name for c in columns]
     text_names = ENVELOPE + [f"c{i}" for i in range(len(columns))]
     raw = _reader(spark, text_names, escape, multiline, line_sep).csv(paths)
-    path = F.col("_metadata.file_path")
+    place = _position(F.col("_metadata.file_path"), version)
     placed = raw.select(
         *[_null_rule(F.col(t)).alias(n) for t, n in zip(text_names, names)],
-        stream_part(path, "version").alias("cdc_version"),
-        stream_part(path, "partition").alias("cdc_partition"),
-        stream_part(path, "date").alias("cdc_date"),
-        file_index(path).alias("cdc_file_idx"),
+        *place,
         F.col("_metadata.file_block_start").alias("cdc_block"),
         F.monotonically_increasing_id().alias("cdc_row"),
     )
@@ -130,8 +144,8 @@ def write_snapshot(
     tmp = f"{snap}/_tmp_{db}.{table}"
     text = to_csv_text(df.select(*[quote(n) for n in meta.names]))
     suffix = ".csv.gz" if compression == "gzip" else ".csv"
-    for i, name in enumerate(_write_parts(spark, text, tmp, compression)):
-        storage.move(spark, f"{tmp}/{name}", f"{snap}/{db}.{table}.{i + 1:09d}{suffix}")
+    parts = _write_parts(spark, text, tmp, compression)
+    storage.move_all(spark, [(f"{tmp}/{name}", f"{snap}/{db}.{table}.{i + 1:09d}{suffix}") for i, name in enumerate(parts)])
     storage.delete(spark, tmp)
     storage.write_text(spark, f"{snap}/{db}-schema-create.sql", f"CREATE DATABASE `{meta.db}`;\n")
     storage.write_text(spark, f"{snap}/{db}.{table}-schema.sql", ddl or create_table_text(meta))
@@ -208,10 +222,9 @@ def write_change_files(
     stream = f"{root}/increment/{meta.db}/{meta.table}/{version}/" + (f"{partition}/" if partition is not None else "") + date
     tmp = f"{stream}/_tmp"
     text = to_csv_text(changes.select(*[quote(n) for n in ENVELOPE + meta.names]))
-    last = first_index - 1
-    for name in _write_parts(spark, text, tmp, "none"):
-        last += 1
-        storage.move(spark, f"{tmp}/{name}", f"{stream}/CDC{last:0{width}d}.csv")
+    parts = _write_parts(spark, text, tmp, "none")
+    last = first_index - 1 + len(parts)
+    storage.move_all(spark, [(f"{tmp}/{name}", f"{stream}/CDC{first_index + i:0{width}d}.csv") for i, name in enumerate(parts)])
     storage.delete(spark, tmp)
     if last >= first_index:
         # The index follows the files it makes visible.

@@ -6,6 +6,8 @@ listed; they follow from the index and the cursor of their stream.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from cdclake.functions.names import file_index, file_name, is_date_dir, stream_p
 from cdclake.sources import storage
 from cdclake.sources.local import no_rows
 
+_DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 STREAM = ["db", "table", "version", "partition"]
 # Files per intermediate row of a range expansion.
 EXPAND_STEP = 4096
@@ -28,19 +31,21 @@ def read_index_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
 def index_paths(spark: SparkSession, root: str, db: str, table: str, version: int, active: dict[int, str]) -> list[str]:
     """Index files of a table version, without dates before the active one.
 
-    ``active`` maps a partition to the date its cursor stands at. A stream
+    ``active`` maps a partition to the date its cursor stands at. Only folders
+    of dates and partitions are listed, never the data files in them. A stream
     without an index file has produced nothing yet and simply is not found.
     """
     base = f"{root}/increment/{db}/{table}/{version}"
-    out = []
-    for pattern in (f"{base}/*/meta/CDC.index", f"{base}/*/*/meta/CDC.index"):
-        for path, _ in storage.glob(spark, pattern):
-            parts = path.rsplit("/", 5)
-            date, partition = parts[-3], parts[-4]
-            number = int(partition) if pattern.endswith("*/*/meta/CDC.index") else 0
-            if date >= active.get(number, ""):
-                out.append(path)
-    return out
+    dates = []
+    for name in storage.list_names(spark, base):
+        if _DATE.match(name):
+            dates.append((0, name, f"{base}/{name}"))
+        elif name.isdigit():
+            dates += [(int(name), d, f"{base}/{name}/{d}") for d in storage.list_names(spark, f"{base}/{name}") if _DATE.match(d)]
+        else:
+            raise ValueError(f"neither a date nor a partition: {base}/{name}")
+    paths = [f"{path}/meta/CDC.index" for partition, date, path in dates if date >= active.get(partition, "")]
+    return [p for p in paths if storage.exists(spark, p)]
 
 
 def index_rows(texts: DataFrame) -> DataFrame:

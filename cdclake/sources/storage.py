@@ -8,6 +8,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +66,12 @@ def move(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"cannot rename {src} to {dst}")
 
 
+def move_all(spark: SparkSession, pairs: list[tuple[str, str]], parallel: int = 32) -> None:
+    """Rename many files side by side."""
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(lambda p: move(spark, *p), pairs))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -99,9 +99,10 @@ class ChangeFileReader(DataSourceStreamReader):
         for key, dates in after.items():
             fqn, version, partition = key.split("|")
             db, table = fqn.split(".", 1)
+            active = max(before.get(key, {}), default="")
             for date, idx in dates.items():
                 done = before.get(key, {}).get(date, 0)
-                if idx > done:
+                if date >= active and idx > done:
                     out.append(_Range((db, table, version, int(partition), date, done + 1, idx, end["checkpoint"])))
         # A checkpoint without files still ends a round.
         return out or [_Range((None, None, None, 0, None, 1, 0, end["checkpoint"]))]

@@ -94,7 +94,7 @@ def q_typed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").cast("string").alias("k"),
         F.col("t").cast("string").alias("t"),
         F.col("d").cast("string").alias("d"),
-        "f", "b",
+        "f", F.col("b").cast("string").alias("b"),
         F.date_format("day", "yyyy-MM-dd").alias("day"),
         F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"),
         F.date_format("utc", "yyyy-MM-dd HH:mm:ss").alias("utc"),
@@ -124,7 +124,7 @@ ORACLES = {
                CASE WHEN o_orderkey % 200 < 128 THEN CAST(o_orderkey % 200 AS VARCHAR) END AS t,
                (o_orderkey % 1000) || '.' || lpad(CAST(o_orderkey % 100 AS VARCHAR), 2, '0') AS d,
                o_totalprice AS f,
-               CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS b,
+               CASE o_orderkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS b,
                CASE WHEN o_orderkey % 50 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS utc,

@@ -273,3 +273,51 @@ def test_merge_plan_shuffles_only_changes(spark, lake):
     staged = tg.read_bucketed(spark, path, "cdc_flag string, cdc_commit_ts decimal(20,0), " + META.ddl(), ["id"], 8)
     plan = merge_changes(target, staged, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" in plan and "Exchange" not in plan
+
+
+def test_sparse_rounds_touch_few_buckets(spark, lake):
+    """Few touched buckets out of many: same result, only those are written."""
+    lake.buckets, lake.sparse_from = 64, 64
+    snapshot(spark, lake.source, rows=[(i, f"n{i}", i) for i in range(500)])
+    csvio.write_schema_epoch(spark, lake.source, META, 90)
+    changes(spark, lake.source, [("U", 101, 7, "x", 1), ("D", 102, 8, "x", 1), ("I", 103, 900, "y", 2)])
+    csvio.write_checkpoint(spark, lake.source, 110)
+    (r,) = rp.replicate(spark, lake)
+    assert r.rows["db.t"] == {"insert": 1, "update": 1, "delete": 1, "ignore": 0}
+    want = sorted([(i, f"n{i}", i) for i in range(500) if i not in (7, 8)] + [(7, "x", 1), (900, "y", 2)])
+    assert rows_of(spark, lake) == want
+    state = pg.load(spark, lake.target, lake.tables).tables["db.t"]
+    assert 1 <= state.live.count(2) <= 3
+    # The next round reads several versions side by side.
+    changes(spark, lake.source, [("D", 111, 900, "y", 2), ("U", 112, 9, "z", 3)], first_index=2)
+    csvio.write_checkpoint(spark, lake.source, 120)
+    rp.replicate(spark, lake)
+    want = sorted([w for w in want if w[0] not in (900, 9)] + [(9, "z", 3)])
+    assert rows_of(spark, lake) == want
+    # Bucket files hold exactly their bucket.
+    df = rp.read_target(spark, lake, "db.t")
+    assert df.groupBy("id").count().where("count > 1").count() == 0
+
+
+def test_half_written_snapshot(spark, lake):
+    with pytest.raises(ValueError, match="no snapshot"):
+        rp.replicate(spark, lake)
+    storage.write_text(spark, f"{lake.source}/snapshot/db.t.000000001.csv", "1,a,1\n")
+    with pytest.raises(ValueError, match="not complete"):
+        rp.replicate(spark, lake)
+
+
+def test_several_tables_in_one_commit(spark, lake):
+    other = TableMeta("db", "u", (ColumnMeta("a", "int", nullable=False, is_pk=True), ColumnMeta("b", "varchar", "8", nullable=False, is_pk=True), ColumnMeta("v", "text")), ("b", "a"))
+    lake.tables = ["db.t", "db.u"]
+    snapshot(spark, lake.source)
+    snapshot(spark, lake.source, rows=((1, "x", None), (1, "y", "")), meta=other)
+    for m in (META, other):
+        csvio.write_schema_epoch(spark, lake.source, m, 90)
+    changes(spark, lake.source, [("D", 101, 1, "a", 0)])
+    changes(spark, lake.source, [("D", 101, 1, "x", None), ("I", 102, 1, "z", "a,\"b\"\nc"), ("U", 103, 1, "y", "\\n")], meta=other)
+    csvio.write_checkpoint(spark, lake.source, 110)
+    (r,) = rp.replicate(spark, lake)
+    assert (r.active_tables, r.loaded_files) == (2, 2)
+    assert [x[0] for x in rows_of(spark, lake)] == [2, 3]
+    assert rows_of(spark, lake, "db.u") == [(1, "y", "\\n"), (1, "z", "a,\"b\"\nc")]
