@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cdclake.functions.names import escape_name
 from cdclake.functions.types import TableMeta, quote
 from cdclake.operators import evolve as ev
-from cdclake.operators.changes import after_checkpoint, latest_change, merge_changes
+from cdclake.operators.changes import latest_change, merge_changes
 from cdclake.operators.select import ColumnSelector, select_meta
 from cdclake.plans import progress as pg
 from cdclake.plans import target as tg
@@ -60,6 +60,8 @@ class RoundResult:
     checkpoint_ts: int
     active_tables: int = 0
     loaded_files: int = 0
+    # Files that a streaming batch announced.
+    announced_files: int = 0
     # Rows by action and table.
     rows: dict[str, dict[str, int]] = field(default_factory=dict)
 
@@ -272,8 +274,8 @@ def _apply_table(
         _check_columns(fqn, e, table.meta)
         paths = [p for r in mine for p in discover.range_paths(settings.source, r)]
         files += len(paths)
-        rows = csvio.read_changes(spark, paths, list(e.meta.columns), version=e.version, **settings.csv)
-        rows = after_checkpoint(rows, state.checkpoint_ts)
+        rows = csvio.read_changes(
+            spark, paths, list(e.meta.columns), version=e.version, after=state.checkpoint_ts, **settings.csv)
         own = {c.lower(): c for c in rows.columns}
         casts = [F.col(quote(own[c.name.lower()])).cast(c.spark_type).alias(c.name) for c in table.meta.columns]
         changes.append(rows.select(*csvio.ENVELOPE, *csvio.POSITION, *casts))
@@ -310,14 +312,14 @@ def _apply_table(
 
     # Stored rows are read in the schema they were written in, then evolved.
     if rewrite and stored is not None:
-        current = tg.read_live(spark, base, stored, table.buckets, table.live, only)
+        current = tg.read_live(spark, base, stored, table.buckets, table.live, only, purpose="round")
         for plan in plans:
             current = ev.evolve(current, plan)
         if _key_types(stored) != _key_types(table.meta):
             # Another key type hashes to other buckets.
             current = current.repartition(table.buckets, *[F.col(quote(k)) for k in pk])
     else:
-        current = tg.read_live(spark, base, table.meta, table.buckets, table.live, only, bucketed=not sparse)
+        current = tg.read_live(spark, base, table.meta, table.buckets, table.live, only, bucketed=not sparse, purpose="round")
     if latest is not None:
         if ev.ERROR_COLUMN in current.columns and ev.ERROR_COLUMN not in latest.columns:
             latest = latest.withColumn(ev.ERROR_COLUMN, F.lit(None).cast("string"))
@@ -330,6 +332,7 @@ def _apply_table(
         # Only the few touched buckets pass this shuffle.
         current = current.repartition(len(touched), tg.bucket_of(pk, table.buckets))
     tg.write_version(spark, current, base, batch, pk, table.buckets, distributed=True)
+    tg.release(spark, base, "round")
     if latest is not None:
         counts = {k: int(v) for k, v in seen.get.items()}
     for b in touched:
@@ -356,7 +359,7 @@ def _stage(
     # Otherwise every bucket lies within one shuffle partition of the ranking.
     tg.write_bucketed(spark, newest, path, pk, table.buckets)
     ddl = f"cdc_flag string, {table.meta.ddl()}" + (f", {ev.ERROR_COLUMN} string" if len(keep) > len(table.meta.names) + 1 else "")
-    staged = tg.read_bucketed(spark, path, ddl, pk, table.buckets)
+    staged = tg.read_bucketed(spark, path, ddl, pk, table.buckets, purpose="round")
     touched = staged.select(tg.bucket_of(pk, table.buckets).alias("b")).distinct()
     return staged, sorted(r["b"] for r in touched.collect())
 
@@ -382,8 +385,8 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
             tg.vacuum(spark, base, nxt.tables[fqn].live)
     active = [t for t, r in zip(settings.tables, results) if r[1] or r[0].watermark != state.tables[t].watermark]
     return RoundResult(
-        "run", batch, published, len(active), sum(r[1] for r in results),
-        {t: r[2] for t, r in zip(settings.tables, results) if r[2]},
+        "run", batch, published, active_tables=len(active), loaded_files=sum(r[1] for r in results),
+        rows={t: r[2] for t, r in zip(settings.tables, results) if r[2]},
     ), nxt
 
 

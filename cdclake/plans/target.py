@@ -70,12 +70,26 @@ def write_version(
     write_bucketed(spark, rows, f"{base}/{VERSION}={version}", pk, buckets)
 
 
-def _open(spark: SparkSession, path: str, columns: str, partitions: list[int], pk: list[str], buckets: int) -> str:
+# Catalog entries made here, by folder and purpose.
+_handles: dict[tuple[str, str], set[str]] = {}
+
+
+def release(spark: SparkSession, path: str, purpose: str) -> None:
+    """Drop the catalog entries made for a purpose below a folder."""
+    for key in [k for k in list(_handles) if k[1] == purpose and (k[0] + "/").startswith(path + "/")]:
+        for name in _handles.pop(key):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _open(
+    spark: SparkSession, path: str, columns: str, partitions: list[int], pk: list[str], buckets: int, purpose: str,
+) -> str:
     """Catalog entry for a bucketed folder, partitioned by version if asked to.
 
     With ``buckets=0`` the files are taken as they are.
     """
-    name = _handle(f"{path}#{columns}#{pk}#{buckets}#{partitions}")
+    name = _handle(f"{path}#{columns}#{pk}#{buckets}#{partitions}#{purpose}")
+    _handles.setdefault((path, purpose), set()).add(name)
     if spark.catalog.tableExists(name):
         spark.catalog.refreshTable(name)  # files may have been replaced
         return name
@@ -90,14 +104,16 @@ def _open(spark: SparkSession, path: str, columns: str, partitions: list[int], p
     return name
 
 
-def read_bucketed(spark: SparkSession, path: str, columns: str, pk: list[str], buckets: int) -> DataFrame:
+def read_bucketed(
+    spark: SparkSession, path: str, columns: str, pk: list[str], buckets: int, purpose: str = "read",
+) -> DataFrame:
     """A folder written by :func:`write_bucketed`."""
-    return spark.table(_open(spark, path, columns, [], pk, buckets))
+    return spark.table(_open(spark, path, columns, [], pk, buckets, purpose))
 
 
 def read_live(
     spark: SparkSession, base: str, meta: TableMeta, buckets: int, live: list[int], only: list[int] | None = None,
-    bucketed: bool = True,
+    bucketed: bool = True, purpose: str = "read",
 ) -> DataFrame:
     """Current rows of a table, or of some of its buckets.
 
@@ -112,7 +128,7 @@ def read_live(
     versions = sorted({live[b] for b in wanted if live[b] >= 0})
     if not versions:
         return no_rows(spark, meta.ddl())
-    df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets if bucketed else 0))
+    df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets if bucketed else 0, purpose))
     if only is not None:
         # Evaluated on file names while files are listed.
         file_bucket = r"cast(regexp_extract(_metadata.file_name, '_([0-9]+)([.]c[0-9]+)?[.][^/]*$', 1) as int)"

@@ -88,16 +88,20 @@ def _position(path: Column, version: int | None) -> list[Column]:
 def read_changes(
     spark: SparkSession, paths: str | list[str], columns: list[ColumnMeta], on_error: str = "raise",
     escape: str = '"', multiline: bool = True, line_sep: str | None = None, version: int | None = None,
+    after: int | None = None,
 ) -> DataFrame:
     """Typed change rows with their envelope and position.
 
     Columns are taken by position. The position (file path, block, running row
     number) makes the newest of several changes with one timestamp well defined.
-    Pass the table ``version`` where it is known.
+    Pass the table ``version`` where it is known. Rows committed up to ``after``
+    are dropped as text, before anything is decoded or numbered.
     """
     names = ENVELOPE + [c.name for c in columns]
-    text_names = ENVELOPE + [f"c{i}" for i in range(len(columns))]
+    text_names = ["c_flag", "c_table", "c_schema", "c_ts"] + [f"c{i}" for i in range(len(columns))]
     raw = _reader(spark, text_names, escape, multiline, line_sep).csv(paths)
+    if after is not None:
+        raw = raw.where(F.col("c_ts").cast("decimal(20,0)") > F.lit(after).cast("decimal(20,0)"))
     place = _position(F.col("_metadata.file_path"), version)
     placed = raw.select(
         *[_null_rule(F.col(t)).alias(n) for t, n in zip(text_names, names)],

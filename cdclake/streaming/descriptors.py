@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import re
 
-import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -25,15 +24,19 @@ class _Files:
     """Listing and reading of small files by URI, in the planning process."""
 
     def __init__(self, root: str):
+        import pyarrow.fs as pafs  # only where files are listed
+
+        self.file = pafs.FileType.File
+        self.selector = pafs.FileSelector
         self.fs, self.base = (pafs.LocalFileSystem(), root) if root.startswith("/") else pafs.FileSystem.from_uri(root)
 
     def names(self, path: str) -> list[str]:
-        selector = pafs.FileSelector(f"{self.base}/{path}", allow_not_found=True)
+        selector = self.selector(f"{self.base}/{path}", allow_not_found=True)
         return sorted(i.base_name for i in self.fs.get_file_info(selector))
 
     def text(self, path: str) -> str | None:
         full = f"{self.base}/{path}"
-        if self.fs.get_file_info(full).type != pafs.FileType.File:
+        if self.fs.get_file_info(full).type != self.file:
             return None
         with self.fs.open_input_stream(full) as f:
             return f.read().decode("utf-8")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from cdclake.plans import replicate as rp
@@ -37,11 +38,14 @@ def start_rounds(
 
     ``every=None`` works off what is there and stops. Each micro-batch is one
     round against the committed cursors: files of a batch that is replayed
-    after a crash, but was committed, are behind the cursors and do nothing.
+    after a crash, but was committed, are behind the cursors and do nothing, so
+    a result may load fewer files than its batch announced.
     """
 
     def one_round(batch: DataFrame, batch_id: int) -> None:
+        announced = batch.where("db is not null").agg(F.sum(F.expr("end_idx - start_idx + 1"))).first()[0] or 0
         result, _ = rp.apply_round(batch.sparkSession, settings)
+        result.announced_files = announced
         if on_round is not None:
             on_round(result)
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions.types import ColumnMeta, TableMeta, decode_columns, encode_value
-from cdclake.operators.changes import after_checkpoint
 from cdclake.sources import csvio, storage
 from checks.common import CHECKPOINT, ORDER_CHANGES_SQL, ORDER_COLUMNS, ORDERS_META, order_changes, table
 
@@ -51,8 +50,8 @@ def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cdc_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = storage.scratch_dir(spark)
     csvio.write_change_files(spark, order_changes(table(spark, sf_dir, "orders")), root, ORDERS_META, 100, "2026-07-01")
-    rows = csvio.read_changes(spark, f"{root}/increment/shop/orders/100/2026-07-01/CDC*.csv", list(ORDERS_META.columns), line_sep="\n")
-    return after_checkpoint(rows, CHECKPOINT).select(
+    rows = csvio.read_changes(spark, f"{root}/increment/shop/orders/100/2026-07-01/CDC*.csv", list(ORDERS_META.columns), line_sep="\n", after=CHECKPOINT)
+    return rows.select(
         F.col("cdc_flag").alias("flag"), F.col("cdc_commit_ts").cast("bigint").alias("ts"),
         F.col("cdc_version").cast("bigint").alias("version"), "cdc_date", *ORDER_COLUMNS,
     )

@@ -1,3 +1,4 @@
+import time
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,7 @@ from cdclake.plans import progress as pg
 from cdclake.plans import replicate as rp
 from cdclake.plans import target as tg
 from cdclake.sources import csvio, storage
-from cdclake.streaming.rounds import start_rounds
+from cdclake.streaming.rounds import RoundLog, start_rounds
 
 ID, NAME, AMOUNT = ColumnMeta("id", "bigint", nullable=False, is_pk=True), ColumnMeta("name", "varchar", "16"), ColumnMeta("amount", "bigint")
 META = TableMeta("db", "t", (ID, NAME, AMOUNT), ("id",))
@@ -250,12 +251,20 @@ def test_stream_resumes(spark, lake):
     changes(spark, lake.source, [("D", 111, 1, "x", 1)], first_index=2)
     csvio.write_checkpoint(spark, lake.source, 120)
     start_rounds(spark, lake, place, None, done.append).awaitTermination()
-    assert [r.loaded_files for r in done] == [1, 1] and rows_of(spark, lake)[0] == (2, "b", 200)
+    assert [(r.announced_files, r.loaded_files) for r in done] == [(1, 1), (1, 1)] and rows_of(spark, lake)[0] == (2, "b", 200)
+    log = RoundLog()
+    spark.streams.addListener(log)
     q = start_rounds(spark, lake, place, "1 second", done.append)
     changes(spark, lake.source, [("I", 121, 1, "back", 1)], first_index=3)
     csvio.write_checkpoint(spark, lake.source, 130)
     q.processAllAvailable()
     q.stop()
+    deadline = time.time() + 30  # reports arrive later than the batch
+    while not log.reports and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(log)
+    assert log.errors == [] and sum(r["descriptors"] for r in log.reports) >= 1
+    assert not any(purpose == "round" for _, purpose in tg._handles)
     assert rows_of(spark, lake)[0] == (1, "back", 1)
 
 
