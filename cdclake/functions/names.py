@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,11 @@ def escape_name(name: Column) -> Column:
     return F.when(out.rlike(r"[\x00-\x1f]"), rare).otherwise(out)
 
 
+def escape_text(name: str) -> str:
+    """:func:`escape_name` of a name on the driver."""
+    return re.sub(r'[\x00-\x1f%"*./:<>?\\|]|-(?=(?i:schema))', lambda m: _pct(ord(m.group(0))), name)
+
+
 def unescape_name(escaped: Column) -> Column:
     """Inverse of :func:`escape_name`; null for malformed or empty text."""
     # A path keeps its plus signs, unlike a form-encoded query.

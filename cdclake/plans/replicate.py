@@ -15,7 +15,7 @@ from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.functions.names import escape_name
+from cdclake.functions.names import escape_text
 from cdclake.functions.types import TableMeta, quote
 from cdclake.operators import evolve as ev
 from cdclake.operators.changes import latest_change, merge_changes
@@ -130,8 +130,7 @@ def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -
     def load(fqn: str) -> pg.TableProgress:
         meta = metas[fqn]
         kept = select_meta(meta, settings.selectors)
-        db, table = spark.range(1).select(escape_name(F.lit(meta.db)), escape_name(F.lit(meta.table))).first()
-        stem = f"{settings.source}/snapshot/{db}.{table}"
+        stem = f"{settings.source}/snapshot/{escape_text(meta.db)}.{escape_text(meta.table)}"
         found = [x for p in (f"{stem}.csv", f"{stem}.csv.gz", f"{stem}.*.csv", f"{stem}.*.csv.gz") for x in storage.glob(spark, p)]
         size = sum(n * (tg.GZIP_RATIO if p.endswith(".gz") else 1) for p, n in found)
         buckets = settings.buckets or tg.bucket_count(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -140,7 +139,7 @@ def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -
         else:
             rows = no_rows(spark, meta.ddl())
         rows = rows.select(*[F.col(quote(n)) for n in kept.names])
-        tg.write_version(spark, rows, tg.location(spark, settings.target, meta.db, meta.table), batch, list(meta.pk), buckets)
+        tg.write_version(spark, rows, tg.location(settings.target, meta.db, meta.table), batch, list(meta.pk), buckets)
         return pg.TableProgress(meta=kept, buckets=buckets, live=[batch] * buckets)
 
     loaded = _each_table(settings, load)
@@ -206,7 +205,8 @@ def _ranges(spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epo
     cursors = local_rows(
         spark, cursor_rows, "db string, table string, version decimal(20,0), partition bigint, date string, file_index bigint")
     index = discover.index_rows(discover.read_index_texts(spark, paths))
-    return discover.pending_ranges(index, cursors).orderBy("version", "partition", "date").collect()
+    rows = discover.pending_ranges(index, cursors).collect()
+    return sorted(rows, key=lambda r: (r["version"], r["partition"], r["date"]))
 
 
 def _keep_key_order(prev: TableMeta, plan: ev.Evolution) -> TableMeta:
@@ -236,7 +236,7 @@ def _apply_table(
     if not ranges and not any(e.status == "pending" for e in epochs):
         return table, 0, {}
     db, name = split_fqn(fqn)
-    base = tg.location(spark, settings.target, db, name)
+    base = tg.location(settings.target, db, name)
     stored = table.meta
     plans: list[ev.Evolution] = []
     changes: list[DataFrame] = []
@@ -347,8 +347,8 @@ def _stage(
 ) -> tuple[DataFrame, list[int]]:
     """Write the newest change per key, bucketed like the target.
 
-    The files are read once and shuffled once, and what the merge needs to know
-    in advance, the touched buckets, is a count over the staged keys.
+    The files are read once and shuffled once. What the merge needs to know in
+    advance, the touched buckets, is in the names of the staged files.
     """
     path = f"{base}/_staging/batch={batch}"
     keep = ["cdc_flag", *table.meta.names] + ([ev.ERROR_COLUMN] if ev.ERROR_COLUMN in changes.columns else [])
@@ -360,8 +360,7 @@ def _stage(
     tg.write_bucketed(spark, newest, path, pk, table.buckets)
     ddl = f"cdc_flag string, {table.meta.ddl()}" + (f", {ev.ERROR_COLUMN} string" if len(keep) > len(table.meta.names) + 1 else "")
     staged = tg.read_bucketed(spark, path, ddl, pk, table.buckets, purpose="round")
-    touched = staged.select(tg.bucket_of(pk, table.buckets).alias("b")).distinct()
-    return staged, sorted(r["b"] for r in touched.collect())
+    return staged, tg.buckets_in(spark, path)
 
 
 def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | None = None) -> tuple[RoundResult, pg.Progress]:
@@ -379,7 +378,7 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
     pg.commit(spark, settings.target, state, nxt)
     pg.prune(spark, settings.target, settings.keep_progress)
     for fqn in settings.tables:
-        base = tg.location(spark, settings.target, *split_fqn(fqn))
+        base = tg.location(settings.target, *split_fqn(fqn))
         storage.delete(spark, f"{base}/_staging/batch={batch}")
         if not settings.keep_old_files:
             tg.vacuum(spark, base, nxt.tables[fqn].live)
@@ -396,7 +395,7 @@ def read_target(spark: SparkSession, settings: Settings, fqn: str, state: pg.Pro
     t = state.tables[fqn]
     if t.dropped or t.meta is None:
         raise ValueError(f"table {fqn} does not exist in the target")
-    return tg.read_live(spark, tg.location(spark, settings.target, *split_fqn(fqn)), t.meta, t.buckets, t.live)
+    return tg.read_live(spark, tg.location(settings.target, *split_fqn(fqn)), t.meta, t.buckets, t.live)
 
 
 def replicate(spark: SparkSession, settings: Settings, mode: str = "all", rounds: int = 1) -> list[RoundResult]:

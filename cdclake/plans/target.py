@@ -10,16 +10,18 @@ buckets that hold changed keys are read and written again.
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.functions.names import escape_name
+from cdclake.functions.names import escape_text
 from cdclake.functions.types import TableMeta, quote
 from cdclake.sources import storage
 from cdclake.sources.local import no_rows
 
 VERSION = "cdclake_version"
+_FILE_BUCKET = re.compile(r"_([0-9]+)([.]c[0-9]+)?[.][^/]*$")
 # Source bytes per bucket: a bucket is one sort-merge task, which may spill.
 BYTES_PER_BUCKET = 256 << 20
 MIN_BUCKETS, MAX_BUCKETS = 8, 65536
@@ -42,9 +44,8 @@ def bucket_of(pk: list[str], buckets: int):
     return F.pmod(F.hash(*[F.col(quote(k)) for k in pk]), F.lit(buckets))
 
 
-def location(spark: SparkSession, root: str, db: str, table: str) -> str:
-    names = spark.range(1).select(escape_name(F.lit(db)), escape_name(F.lit(table))).first()
-    return f"{root}/{names[0]}/{names[1]}"
+def location(root: str, db: str, table: str) -> str:
+    return f"{root}/{escape_text(db)}/{escape_text(table)}"
 
 
 def _handle(path: str) -> str:
@@ -111,6 +112,12 @@ def read_bucketed(
     return spark.table(_open(spark, path, columns, [], pk, buckets, purpose))
 
 
+def buckets_in(spark: SparkSession, path: str) -> list[int]:
+    """Buckets that a folder written by :func:`write_bucketed` has rows of."""
+    found = (_FILE_BUCKET.search(n) for n in storage.list_names(spark, path) if n.startswith("part-"))
+    return sorted({int(m.group(1)) for m in found if m})
+
+
 def read_live(
     spark: SparkSession, base: str, meta: TableMeta, buckets: int, live: list[int], only: list[int] | None = None,
     bucketed: bool = True, purpose: str = "read",
@@ -131,7 +138,7 @@ def read_live(
     df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets if bucketed else 0, purpose))
     if only is not None:
         # Evaluated on file names while files are listed.
-        file_bucket = r"cast(regexp_extract(_metadata.file_name, '_([0-9]+)([.]c[0-9]+)?[.][^/]*$', 1) as int)"
+        file_bucket = f"cast(regexp_extract(_metadata.file_name, '{_FILE_BUCKET.pattern}', 1) as int)"
         df = df.where(f"{file_bucket} IN ({', '.join(map(str, only))})")
     if len(versions) > 1 or only is not None:
         # One constant, however many buckets there are.
@@ -151,6 +158,6 @@ def vacuum(spark: SparkSession, base: str, live: list[int]) -> None:
             storage.delete(spark, f"{base}/{name}")
             continue
         for file in storage.list_names(spark, f"{base}/{name}"):
-            bucket = file.rsplit(".c", 1)[0].rsplit("_", 1)[-1]
-            if file.startswith("part-") and bucket.isdigit() and live[int(bucket)] != version:
+            m = _FILE_BUCKET.search(file)
+            if file.startswith("part-") and m and live[int(m.group(1))] != version:
                 storage.delete(spark, f"{base}/{name}/{file}")

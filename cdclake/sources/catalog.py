@@ -304,9 +304,8 @@ def generated_report(texts: DataFrame) -> DataFrame:
 
 def table_metas(columns: DataFrame, pk_order: str = "pk_ordinal") -> list[TableMeta]:
     """Catalog rows as driver objects. One row per column: catalog-sized only."""
-    order = ["db", "table", "ordinal"]
     by_table: dict[tuple, list] = {}
-    for r in columns.orderBy(*order).collect():
+    for r in sorted(columns.collect(), key=lambda r: (r["db"], r["table"], r["ordinal"])):
         by_table.setdefault((r["db"], r["table"]), []).append(r)
     out = []
     for (db, table), rows in by_table.items():

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.functions.names import escape_name
+from cdclake.functions.names import escape_text
 from cdclake.functions.types import ColumnMeta, TableMeta, decode_columns, encode_value, quote
 from cdclake.sources import storage
 
@@ -144,7 +144,7 @@ def write_snapshot(
     ``\\N`` as a text value cannot be told from null in this dialect.
     """
     snap = f"{root}/snapshot"
-    db, table = _escaped(spark, meta.db, meta.table)
+    db, table = escape_text(meta.db), escape_text(meta.table)
     tmp = f"{snap}/_tmp_{db}.{table}"
     text = to_csv_text(df.select(*[quote(n) for n in meta.names]))
     suffix = ".csv.gz" if compression == "gzip" else ".csv"
@@ -156,11 +156,6 @@ def write_snapshot(
     storage.write_text(spark, f"{snap}/metadata", f"Started dump\nPos: {commit_ts}\nFinished dump\n")
 
 
-def _escaped(spark: SparkSession, *names: str) -> list[str]:
-    row = spark.range(1).select(*[escape_name(F.lit(n)).alias(f"n{i}") for i, n in enumerate(names)]).first()
-    return list(row)
-
-
 def create_table_text(meta: TableMeta) -> str:
     """``CREATE TABLE`` text, one column per line."""
     lines = []

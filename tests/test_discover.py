@@ -115,6 +115,7 @@ def test_names(spark):
     df = spark.createDataFrame([(r,) for r in rows], "n string").select("n", names.escape_name(F.col("n")).alias("e"))
     got = dict(df.collect())
     assert got["d.b"] == "d%2Eb" and got["x-schema"] == "x%2Dschema" and got["X-Schema.y"] == "X%2DSchema%2Ey" and got["a\x01b"] == "a%01b"
+    assert {n: names.escape_text(n) for n in rows} == got
     assert df.where(~names.unescape_name(F.col("e")).eqNullSafe(F.col("n"))).collect() == []
     idents = spark.createDataFrame([("abc",), ("a-b",), ("1a",), ("_x$1",), ("a\n",)], "n string").select("n", names.fold_ident(F.col("n")))
     assert dict(idents.collect()) == {"abc": "ABC", "a-b": "a-b", "1a": "1a", "_x$1": "_X$1", "a\n": "a\n"}

@@ -276,7 +276,7 @@ def test_merge_plan_shuffles_only_changes(spark, lake):
     rp.replicate(spark, lake, "snapshot-only")
     target = rp.read_target(spark, lake, "db.t")
     fresh = target.select(F.lit("U").alias("cdc_flag"), F.lit(1).cast("decimal(20,0)").alias("cdc_commit_ts"), "*")
-    base = tg.location(spark, lake.target, "db", "t")
+    base = tg.location(lake.target, "db", "t")
     path = f"{base}/_staging/plan"
     tg.write_bucketed(spark, latest_change(fresh, ["id"]), path, ["id"], 8)
     staged = tg.read_bucketed(spark, path, "cdc_flag string, cdc_commit_ts decimal(20,0), " + META.ddl(), ["id"], 8)
