@@ -243,6 +243,9 @@ def _apply_table(
     truncated, rewrite, files = False, False, 0
 
     for e in epochs:
+        if table.meta is None and e.status != "pending":
+            # No snapshot was loaded here: the first known schema is the start.
+            table.meta = select_meta(e.meta, settings.selectors)
         if e.status == "pending":
             if e.query.strip() and e.action not in (ev.TRUNCATE_TABLE, ev.DROP_TABLE, ev.DROP_SCHEMA) and not e.meta.pk:
                 raise ValueError(f"{fqn}: no primary key in the schema of version {e.version}")
@@ -269,8 +272,6 @@ def _apply_table(
             continue
         if table.dropped:
             raise ValueError(f"{fqn}: change files after the table was dropped")
-        if table.meta is None:
-            table.meta = select_meta(e.meta, settings.selectors)
         _check_columns(fqn, e, table.meta)
         paths = [p for r in mine for p in discover.range_paths(settings.source, r)]
         files += len(paths)
@@ -389,6 +390,12 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
     ), nxt
 
 
+def vacuum(spark: SparkSession, settings: Settings) -> None:
+    """Delete files that the newest commit does not need."""
+    for fqn, t in pg.load(spark, settings.target, settings.tables).tables.items():
+        tg.vacuum(spark, tg.location(settings.target, *split_fqn(fqn)), t.live)
+
+
 def read_target(spark: SparkSession, settings: Settings, fqn: str, state: pg.Progress | None = None) -> DataFrame:
     """Current rows of a target table as of the newest commit."""
     state = state or pg.load(spark, settings.target, settings.tables)

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -134,5 +136,7 @@ class ChangeFileSource(DataSource):
 
 def read_descriptors(spark: SparkSession, source: str, tables: list[str]):
     """Streaming DataFrame of pending file ranges."""
+    # The source travels with its code: workers need not have this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(ChangeFileSource)
     return spark.readStream.format("cdc_files").option("tables", "\n".join(tables)).load(source)

@@ -330,3 +330,26 @@ def test_several_tables_in_one_commit(spark, lake):
     assert (r.active_tables, r.loaded_files) == (2, 2)
     assert [x[0] for x in rows_of(spark, lake)] == [2, 3]
     assert rows_of(spark, lake, "db.u") == [(1, "y", "\\n"), (1, "z", "a,\"b\"\nc")]
+
+
+def test_incremental_without_snapshot(spark, lake):
+    """Changes alone build the table; old files stay until vacuumed."""
+    lake.keep_old_files = True
+    v2 = TableMeta("db", "t", (ID, NAME), ("id",))
+    csvio.write_schema_epoch(spark, lake.source, META, 90)
+    csvio.write_schema_epoch(spark, lake.source, v2, 105, "ALTER TABLE t DROP COLUMN amount", 6)
+    changes(spark, lake.source, [("I", 91, 1, "a", 1), ("I", 92, 2, "b", 2), ("D", 93, 1, "a", 1)])
+    csvio.write_checkpoint(spark, lake.source, 95)
+    with pytest.raises(ValueError, match="unknown mode"):
+        rp.replicate(spark, lake, "some")
+    rp.replicate(spark, lake, "incremental-only")
+    assert rows_of(spark, lake) == [(2, "b")]
+    changes(spark, lake.source, [("U", 106, 2, "z")], version=105, meta=v2)
+    csvio.write_checkpoint(spark, lake.source, 110)
+    rp.replicate(spark, lake, "incremental-only")
+    base = tg.location(lake.target, "db", "t")
+    files = lambda: {n: len([f for f in storage.list_names(spark, f"{base}/{n}") if f.startswith("part-")]) for n in storage.list_names(spark, base) if "=" in n}
+    assert files() == {"cdclake_version=1": 1, "cdclake_version=2": 1}
+    rp.vacuum(spark, lake)
+    assert files().get("cdclake_version=1", 0) == 0 and files()["cdclake_version=2"] == 1
+    assert rows_of(spark, lake) == [(2, "z")]
