@@ -7,8 +7,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters of object names that are percent-escaped in file names.
-ESCAPED_CHARS = "\x00-\x1f and % \" * . / : < > ? \\ |, and the - before schema"
+# Characters of object names that are percent-escaped in file
+# names, besides control characters, % itself and the hyphen before "schema".
+ESCAPED = '"*./:<>?\\|'
 
 SCHEMA_FILE_SUFFIX = "-schema.sql"
 DATABASE_FILE_SUFFIX = "-schema-create.sql"
@@ -25,7 +26,7 @@ def escape_name(name: Column) -> Column:
     """
     out = F.replace(name, F.lit("%"), F.lit("%25"))
     out = F.regexp_replace(out, r"-(?i:(?=schema))", "%2D")
-    for ch in '"*./:<>?\\|':
+    for ch in ESCAPED:
         out = F.replace(out, F.lit(ch), F.lit(_pct(ord(ch))))
     # Control characters are rare: touch them only where one is present.
     rare = out
@@ -36,7 +37,7 @@ def escape_name(name: Column) -> Column:
 
 def escape_text(name: str) -> str:
     """:func:`escape_name` of a name on the driver."""
-    return re.sub(r'[\x00-\x1f%"*./:<>?\\|]|-(?=(?i:schema))', lambda m: _pct(ord(m.group(0))), name)
+    return re.sub(rf"[\x00-\x1f%{re.escape(ESCAPED)}]|-(?=(?i:schema))", lambda m: _pct(ord(m.group(0))), name)
 
 
 def unescape_name(escaped: Column) -> Column:

@@ -3,20 +3,19 @@ from pyspark.sql import functions as F
 from cdclake.functions import types as ty
 from cdclake.sources import catalog, csvio, storage
 
-BANK0 = """
-/*!40014 SET FOREIGN_KEY_CHECKS=0*/;
-/*!40101 SET NAMES binary*/;
-CREATE TABLE `bank0` (
-  `id` bigint NOT NULL,
-  `balance` decimal DEFAULT NULL,
-  `name` varchar(30) DEFAULT 'Z',
-  `created_at` datetime DEFAULT CURRENT_TIMESTAMP,
-  `updated_at` datetime(3) DEFAULT CURRENT_TIMESTAMP(3),
-  `payload` blob,
-  `virtual_col` bigint GENERATED ALWAYS AS (`id` + 1) VIRTUAL,
-  `stored_col` bigint GENERATED ALWAYS AS (`id` + 2) STORED,
-  PRIMARY KEY (`id`) /* clustered */
-) ENGINE=InnoDB DEFAULT CHARSET=utf8mb4 COLLATE=utf8mb4_bin;"""
+LEDGER = """
+/* written by the exporter */;
+CREATE TABLE `ledger` (
+  `entry_no` bigint(20) NOT NULL AUTO_INCREMENT,
+  `sum` decimal DEFAULT NULL,
+  `label` varchar(40) COLLATE utf8mb4_bin DEFAULT 'none, yet',
+  `booked` datetime DEFAULT CURRENT_TIMESTAMP,
+  `touched` timestamp(3) NOT NULL DEFAULT CURRENT_TIMESTAMP(3) ON UPDATE CURRENT_TIMESTAMP(3),
+  `scan` blob,
+  `twice` bigint GENERATED ALWAYS AS (`sum` * 2) VIRTUAL,
+  `thrice` bigint GENERATED ALWAYS AS (`sum` * 3) STORED,
+  PRIMARY KEY (`entry_no`) USING BTREE
+) ENGINE=InnoDB DEFAULT CHARSET=utf8mb4;"""
 
 TYPES = """CREATE TABLE types (
   id bigint primary key,
@@ -47,18 +46,18 @@ def columns(spark, text, keep=False):
     return {r["name"]: r for r in catalog.ddl_columns(df, keep).orderBy("ordinal").collect()}
 
 
-def test_bank0(spark):
-    cols = columns(spark, BANK0)
-    assert list(cols) == ["id", "balance", "name", "created_at", "updated_at", "payload"]
-    assert cols["id"]["is_pk"] and not cols["id"]["nullable"]
-    assert (cols["balance"]["tp"], cols["balance"]["precision"], cols["balance"]["scale"]) == ("decimal", "10", "0")
-    assert (cols["name"]["default_value"], cols["name"]["default_kind"]) == ("Z", "literal")
-    assert cols["balance"]["default_kind"] == "none"
-    assert (cols["created_at"]["default_value"], cols["created_at"]["default_kind"]) == ("CURRENT_TIMESTAMP", "expression")
-    assert cols["updated_at"]["precision"] == "3" and cols["updated_at"]["default_value"] == "CURRENT_TIMESTAMP(3)"
-    assert cols["payload"]["precision"] == "65535"
-    assert {n: r["generated"] for n, r in columns(spark, BANK0, True).items() if r["generated"]} == {
-        "virtual_col": "virtual", "stored_col": "stored"}
+def test_one_table(spark):
+    cols = columns(spark, LEDGER)
+    assert list(cols) == ["entry_no", "sum", "label", "booked", "touched", "scan"]
+    assert cols["entry_no"]["is_pk"] and not cols["entry_no"]["nullable"]
+    assert (cols["sum"]["tp"], cols["sum"]["precision"], cols["sum"]["scale"]) == ("decimal", "10", "0")
+    assert (cols["label"]["default_value"], cols["label"]["default_kind"]) == ("none, yet", "literal")
+    assert cols["sum"]["default_kind"] == "none"
+    assert (cols["booked"]["default_value"], cols["booked"]["default_kind"]) == ("CURRENT_TIMESTAMP", "expression")
+    assert cols["touched"]["precision"] == "3" and cols["touched"]["default_value"] == "CURRENT_TIMESTAMP(3)"
+    assert not cols["touched"]["nullable"] and cols["scan"]["precision"] == "65535"
+    assert {n: r["generated"] for n, r in columns(spark, LEDGER, True).items() if r["generated"]} == {
+        "twice": "virtual", "thrice": "stored"}
 
 
 def test_extended_types(spark):

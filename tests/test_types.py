@@ -30,7 +30,7 @@ MATRIX = TableMeta("m", "types", (
 
 # One text per column; \N is null and an empty field an empty text.
 ROWS = [
-    ["1", "1", "-8", "250", "-12345", "60000", "-800000", "16000000", "-123456789", "4000000000", "-900000000000000000",
+    ["1", "1", "-9", "201", "-20202", "50505", "-700007", "15000051", "-2000000002", "3000000003", "-4000000000000000004",
      "18446744073709551615", "1234567890", "12345678.123456789012345678901234567890", "12345678901234567890.1234567890", "7" * 35 + "." + "1" * 30,
      "3.14", "2.718281828459045", "2026-06-04", "2026-06-04 12:34:56.123456", "2026-06-04 12:34:56.123456", "23:59:59.123456", "2026", "7",
      "char-value", "varchar \"quoted\", with comma", "long\ntext \\ with backslash", "medium", "a,b", '{"k": "v"}', "[0.1,0.2,0.3]",
