@@ -374,7 +374,8 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
         return RoundResult(action, state.batch, state.checkpoint_ts), state
     batch = state.batch + 1
     epochs = _epochs(spark, settings, state)
-    results = _each_table(settings, lambda fqn: _apply_table(spark, settings, fqn, epochs[fqn], state, batch))
+    with tg.sorted_buckets(spark):
+        results = _each_table(settings, lambda fqn: _apply_table(spark, settings, fqn, epochs[fqn], state, batch))
     nxt = pg.Progress(batch, published, state.snapshot_finished, {t: r[0] for t, r in zip(settings.tables, results)})
     pg.commit(spark, settings.target, state, nxt)
     pg.prune(spark, settings.target, settings.keep_progress)

@@ -9,6 +9,7 @@ buckets that hold changed keys are read and written again.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import re
 
@@ -21,6 +22,7 @@ from cdclake.sources import storage
 from cdclake.sources.local import no_rows
 
 VERSION = "cdclake_version"
+_SCAN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 _FILE_BUCKET = re.compile(r"_([0-9]+)([.]c[0-9]+)?[.][^/]*$")
 # Source bytes per bucket: a bucket is one sort-merge task, which may spill.
 BYTES_PER_BUCKET = 256 << 20
@@ -39,6 +41,21 @@ def bucket_count(source_bytes: int, shuffle_partitions: int = 1) -> int:
     return -(-n // shuffle_partitions) * shuffle_partitions if n > shuffle_partitions else n
 
 
+@contextlib.contextmanager
+def sorted_buckets(spark: SparkSession):
+    """Let scans of single-file buckets report their order.
+
+    Bucket files are sorted by key, so the merge join then needs no sort of the
+    target. Spark checks itself that each bucket is one file.
+    """
+    before = spark.conf.get(_SCAN_ORDER)
+    spark.conf.set(_SCAN_ORDER, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_SCAN_ORDER, before)
+
+
 def bucket_of(pk: list[str], buckets: int):
     """Bucket of a row, by the hash that bucketed tables are written with."""
     return F.pmod(F.hash(*[F.col(quote(k)) for k in pk]), F.lit(buckets))
@@ -97,7 +114,7 @@ def _open(
     keys = ", ".join(quote(k) for k in pk)
     extra, part = (f", {VERSION} bigint", f"PARTITIONED BY ({VERSION})") if partitions else ("", "")
     where = path.replace("'", "\\'")
-    clustered = f"CLUSTERED BY ({keys}) INTO {buckets} BUCKETS" if buckets else ""
+    clustered = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS" if buckets else ""
     spark.sql(f"CREATE TABLE {name} ({columns}{extra}) USING parquet {part} {clustered} LOCATION '{where}'")
     if partitions:
         adds = " ".join(f"PARTITION ({VERSION}={v}) LOCATION '{where}/{VERSION}={v}'" for v in partitions)

@@ -280,8 +280,11 @@ def test_merge_plan_shuffles_only_changes(spark, lake):
     path = f"{base}/_staging/plan"
     tg.write_bucketed(spark, latest_change(fresh, ["id"]), path, ["id"], 8)
     staged = tg.read_bucketed(spark, path, "cdc_flag string, cdc_commit_ts decimal(20,0), " + META.ddl(), ["id"], 8)
-    plan = merge_changes(target, staged, ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "FullOuter" in plan and "Exchange" not in plan
+    plan = lambda: merge_changes(target, staged, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" in plan() and "Exchange" not in plan() and plan().count("Sort [") == 2
+    with tg.sorted_buckets(spark):
+        assert "FullOuter" in plan() and "Exchange" not in plan() and "Sort [" not in plan()
+    assert plan().count("Sort [") == 2
 
 
 def test_sparse_rounds_touch_few_buckets(spark, lake):
