@@ -154,23 +154,23 @@ def _json_node(v: Column, depth: int) -> Column:
         body = F.array_join(F.transform(entries, item), ",")
         return F.concat(F.when(is_object, "{").otherwise("["), body, F.when(is_object, "}").otherwise("]"))
 
-    def node(type_name: Column) -> Column:
+    def node(parts: Column) -> Column:
         if depth == 0:
             inner = F.raise_error(F.lit("JSON is nested deeper than max_depth")).cast("string")
         else:
-            parts = F.struct(
-                F.try_variant_get(v, "$", "map<string,variant>").alias("m"), F.try_variant_get(v, "$", "array<variant>").alias("a"))
-            inner = _let(parts, container)
+            inner = container(parts)
         scalar = F.try_variant_get(v, "$", "string")
         may_hide = scalar.rlike("(?i)://|" + "|".join(_HINTS))
+        # Only scalars are asked for their type; it is costly for containers.
+        text = F.when(may_hide, _let(redact_text(scalar), _json_string)).otherwise(_json_string(scalar))
         return (
-            F.when((type_name == "STRING") & may_hide, _let(redact_text(scalar), _json_string))
-            .when(type_name == "STRING", _json_string(scalar))
-            .when(type_name.startswith("OBJECT") | type_name.startswith("ARRAY"), inner)
+            F.when(parts["m"].isNotNull() | parts["a"].isNotNull(), inner)
+            .when(F.schema_of_variant(v) == "STRING", text)
             .otherwise(scalar)
         )
 
-    return _let(F.schema_of_variant(v), node)
+    return _let(F.struct(
+        F.try_variant_get(v, "$", "map<string,variant>").alias("m"), F.try_variant_get(v, "$", "array<variant>").alias("a")), node)
 
 
 def redact_json(text: Column, max_depth: int = 6) -> Column:
