@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, pack, token_counts
+from cdclake.llm import bpe, media, pack, quality, token_counts, toxicity, warc
 
 
 def vocabulary_file(name: str) -> str:
@@ -26,9 +26,26 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
 
 
+def op4_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, docs, _table(spark, sf_dir, "labels"))
+
+
 def op5_byte_pairs(spark, sf_dir):
     return bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op5_byte_pairs)}
-ORACLES: dict[str, str] = {}
+def op6_quality_rules(spark, sf_dir):
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
+def op7_media_columns(spark, sf_dir):
+    return media.digest(_table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark, sf_dir):
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op4_toxicity, op5_byte_pairs, op6_quality_rules, op7_media_columns, op8_warc)}
+ORACLES: dict[str, str] = {"op6_quality_rules": quality.ORACLE}

@@ -62,9 +62,9 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind:
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def split(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the texts in ``data``; a word never crosses from one text to the next."""
-    inside = ~SPACE[data]
+def split(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE) -> Words:
+    """Words of the texts in ``data``, set apart by the bytes that ``apart`` flags; none crosses from one text to the next."""
+    inside = ~apart[data]
     first, last = inside.copy(), inside.copy()
     if len(data):
         first[1:] &= ~inside[:-1]
