@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Stands for a null id inside operators: it sorts after every other id.
 NO_ID = 2**63 - 1
@@ -75,3 +76,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if data is None or offsets[-1] == offsets[0]:
         return np.zeros(0, np.uint8), offsets - offsets[0]
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def with_row(docs: DataFrame, **columns: Column) -> DataFrame:
+    """All columns of a row in one struct beside the named ones, so that none clashes."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(v.alias(k) for k, v in columns.items()))
+
+
+def row_schema(docs: DataFrame, rest: str) -> T.StructType:
+    """Schema of the struct that ``with_row`` makes, and more columns."""
+    return T.StructType([T.StructField("row", docs.schema), *T.StructType.fromDDL(rest).fields])

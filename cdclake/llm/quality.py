@@ -85,20 +85,19 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """(doc_id, lang, source, counts, base_failed) of each row."""
+def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """Each row (as a struct ``row``) with lang, source, counts and base_failed."""
     common.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch):
                 m = measure(*common.utf8(part.column("text")))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "lang", "source")), *(pa.array(m[c]) for c in COUNTS)], ["doc_id", "lang", "source", *COUNTS])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "lang", "source")), *(pa.array(m[c]) for c in COUNTS)], ["row", "lang", "source", *COUNTS])
 
-    own = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"))))
-    rows = own.mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS))
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    own = common.with_row(docs, text=name(text_col), lang=name(lang_col), source=name(source_col))
+    rows = own.mapInArrow(run, common.row_schema(docs, "lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS)))
     return rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")))
 
 
@@ -130,14 +129,25 @@ def limits(rows: DataFrame) -> DataFrame:
     return found.groupBy("lang", "source").agg(*(F.max(F.when(F.col("measure") == m, chosen)).alias(f"max_{m}") for m in MEASURES))
 
 
-def judge(docs: DataFrame, **columns: str) -> DataFrame:
-    """Each row's counts with base_failed and kept."""
-    rows = common.written(measured(docs, **columns), common.scratch(docs.sparkSession))
-    verdict = F.lit(True)
+def _verdict(rows: DataFrame, caps: DataFrame) -> DataFrame:
+    verdict = ~F.col("base_failed")
     for m, (e, _) in MEASURES.items():
-        verdict &= F.expr(f"CAST({e} AS BIGINT)") <= F.col(f"max_{m}")
-    out = rows.join(limits(rows), ["lang", "source"], "left")
-    return out.select("doc_id", *COUNTS[:5], "base_failed", (~F.col("base_failed") & F.coalesce(verdict, F.lit(True))).alias("kept"))
+        verdict &= F.coalesce(F.expr(f"CAST({e} AS BIGINT)") <= F.col(f"max_{m}"), F.lit(True))
+    return rows.join(caps, ["lang", "source"], "left").withColumn("kept", verdict)
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """Each row's counts with base_failed and kept."""
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), *(F.col(c).alias(a) for c, a in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))))
+    rows = measured(own).select("row.doc_id", "lang", "source", *COUNTS, "base_failed")
+    rows = common.written(rows, common.scratch(docs.sparkSession))
+    return _verdict(rows, limits(rows)).select("doc_id", *COUNTS[:5], "base_failed", "kept")
+
+
+def passing(docs: DataFrame, **columns: str) -> DataFrame:
+    """The rows that are kept, with all their columns."""
+    rows = measured(docs, **columns)
+    return _verdict(rows, limits(rows.drop("row"))).where("kept").select("row.*")
 
 
 _IN_TEXT = "regexp_replace(text, '[#*$%&|<>]', '', 'g')"

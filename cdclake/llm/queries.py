@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, media, pack, quality, token_counts, toxicity, warc
+from cdclake.llm import bpe, html_text, jaccard, media, pack, quality, substring, token_counts, toxicity, warc
 
 
 def vocabulary_file(name: str) -> str:
@@ -26,6 +26,10 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
 
 
+def op3_html_extraction(spark, sf_dir):
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return toxicity.scored(docs, docs, _table(spark, sf_dir, "labels"))
@@ -47,5 +51,15 @@ def op8_warc(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_token_counts, op4_toxicity, op5_byte_pairs, op6_quality_rules, op7_media_columns, op8_warc)}
+def op9_substring_dedup(spark, sf_dir):
+    return substring.digest(_table(spark, sf_dir, "documents"))
+
+
+def op10_ngram_jaccard(spark, sf_dir):
+    return jaccard.join(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_token_counts, op3_html_extraction, op4_toxicity, op5_byte_pairs,
+    op6_quality_rules, op7_media_columns, op8_warc, op9_substring_dedup, op10_ngram_jaccard)}
 ORACLES: dict[str, str] = {"op6_quality_rules": quality.ORACLE}

@@ -116,6 +116,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
     return found["place"].to_numpy(), found["weight"].to_numpy()
 
 
+def _scores(part: pa.RecordBatch, table: np.ndarray, bits: int) -> np.ndarray:
+    where, at = features(*common.utf8(part.column("text")), bits)
+    some = np.flatnonzero((table[at] != 0) & (at > 0))
+    both = np.unique(where[some] << bits | at[some])
+    total = np.bincount(both >> bits, table[both & ((1 << bits) - 1)], part.num_rows) + table[0]
+    return np.array([sigmoid(x) for x in total.tolist()])
+
+
+def _table(model: tuple[np.ndarray, np.ndarray], bits: int) -> np.ndarray:
+    table = np.zeros(1 << bits)
+    table[model[0]] = model[1]
+    return table
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted) of each row."""
     spark = docs.sparkSession
@@ -123,21 +137,32 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = BIT
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, weights = sent.value
-        table = np.zeros(1 << bits)
-        table[places] = weights
+        table = _table(sent.value, bits)
         for batch in batches:
             for part in common.slices(batch):
-                where, at = features(*common.utf8(part.column("text")), bits)
-                some = np.flatnonzero((table[at] != 0) & (at > 0))
-                both = np.unique(where[some] << bits | at[some])
-                total = np.bincount(both >> bits, table[both & ((1 << bits) - 1)], part.num_rows) + table[0]
-                s = np.array([sigmoid(x) for x in total.tolist()])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s), pa.array((s >= CUT) & (len(places) > 0)).cast(pa.int32())], ["doc_id", "score", "predicted"])
+                s = _scores(part, table, bits)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s), pa.array((s >= CUT) & table.any()).cast(pa.int32())], ["doc_id", "score", "predicted"])
 
     return common.texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
+def clean(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = BITS, text_col: str = "text") -> DataFrame:
+    """The rows that aren't predicted toxic, with all their columns."""
+    spark = docs.sparkSession
+    common.small_batches(spark)
+    sent = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(sent.value, bits)
+        for batch in batches:
+            for part in common.slices(batch):
+                keep = (_scores(part, table, bits) < CUT) | (not table.any())
+                yield part.select(["row"]).filter(pa.array(keep))
+
+    own = common.with_row(docs, text=F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return own.mapInArrow(run, common.row_schema(docs, "")).select("row.*")
+
+
 def held_out(column: str = "doc_id"):
     """Whether a document is kept out of the fit: crc32 of its id as text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -145,5 +170,9 @@ def held_out(column: str = "doc_id"):
 
 def scored(docs: DataFrame, source: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, score, predicted) of ``docs``, learnt from labelled rows of ``source`` that aren't held out."""
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")).where(~held_out())
-    return score(docs, fit(source, usable, sample)).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return score(docs, learnt(source, labels, sample)).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def learnt(source: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """The model of labelled rows of ``source`` that aren't held out."""
+    return fit(source, labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").alias("label")).where(~held_out()), sample)
