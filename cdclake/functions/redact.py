@@ -1,13 +1,18 @@
-"""Secret redaction in free text and in JSON, as Column functions.
+"""Secret redaction in free text and in JSON.
 
-Patterns spell out ASCII classes, so that letters next to a key do not depend
-on the regex engine's idea of a word.
+Columns are tested on the JVM; only values that can hide a secret go, in Arrow
+batches, to the functions below, which follow nested URLs and JSON to any depth.
 """
 
 from __future__ import annotations
 
 import functools
+import json
+import re
+import string
+from urllib.parse import quote_plus, unquote_plus
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,136 +60,212 @@ SECRET_KEY_PARTS = [
 # Every name above contains one of these.
 _HINTS = ["auth", "key", "token", "secret", "passw", "session", "cookie", "signature", "credential"]
 
-_WS = r"[\t\n\f\r ]"
-PAIR = (
-    r"(?i)(?<![0-9A-Za-z_])(" + "|".join(SECRET_NAMES) + r")"
-    rf"([\"']?{_WS}*[:=]{_WS}*)"
-    r"([\"'][^\"'\r\n]*[\"']|[^\t\n\f\r ,&;}\]]+)"
-)
-URL = r"(?<![0-9A-Za-z_])[A-Za-z][A-Za-z0-9+.-]*://[^\t\n\f\r \"'<>\\]+"
-USER_INFO = r"(?<![0-9A-Za-z_])([A-Za-z][A-Za-z0-9+.-]*://)[^\t\n\f\r \"'<>\\/?#]*@"
+_NAME = re.compile(r"(?<![0-9A-Za-z_])(?:" + "|".join(SECRET_NAMES) + ")", re.IGNORECASE | re.ASCII)
+_BLANK = "\t\n\f\r "
+_WORD = frozenset(string.ascii_letters + string.digits + "_")
+_SCHEME = frozenset(string.ascii_letters + string.digits + "+.-")
+_URL_STOP = re.compile(r"""[\t\n\f\r "'<>\\]""")
+_VALUE_STOP = re.compile(r"[\t\n\f\r ,&;}\]]")
+_QUOTE_STOP = re.compile(r"""["'\r\n]""")
+_BAD_ESCAPE = re.compile(r"%(?![0-9A-Fa-f]{2})")
 
 
-def is_secret_key(key: Column) -> Column:
+def is_secret_key(key: str) -> bool:
     """True when a key, reduced to letters and digits, contains a secret part."""
-    return F.regexp_replace(F.lower(key), "[^a-z0-9]", "").rlike("|".join(SECRET_KEY_PARTS))
-
-
-def _pairs(text: Column) -> Column:
-    return F.regexp_replace(text, PAIR, "$1$2" + REDACTED)
-
-
-def _flat(text: Column) -> Column:
-    """Redaction of a text whose URLs are not looked into."""
-    return _pairs(F.regexp_replace(text, USER_INFO, "$1" + REDACTED_IN_URL + "@"))
-
+    reduced = re.sub("[^a-z0-9]", "", key.lower())
+    return any(part in reduced for part in SECRET_KEY_PARTS)
+
+
+def _value_end(text: str, at: int) -> int:
+    """End of the value that begins at a place: a quoted text closed on its line, or a run up to a delimiter."""
+    if text[at:at + 1] in ("'", '"'):
+        close = _QUOTE_STOP.search(text, at + 1)
+        if close and close[0] in "'\"":
+            return close.end()
+    stop = _VALUE_STOP.search(text, at)
+    return stop.start() if stop else len(text)
+
+
+def _pairs(text: str) -> str:
+    """Values after a secret's name and ``:`` or ``=``."""
+    out, done = [], 0
+    for m in _NAME.finditer(text):
+        if m.start() < done:
+            continue
+        at = m.end()
+        at += text[at:at + 1] in ("'", '"') and at < len(text)
+        while at < len(text) and text[at] in _BLANK:
+            at += 1
+        if text[at:at + 1] not in (":", "=") or at == len(text):
+            continue
+        at += 1
+        while at < len(text) and text[at] in _BLANK:
+            at += 1
+        end = _value_end(text, at)
+        if end > at:
+            out += [text[done:at], REDACTED]
+            done = end
+    return "".join([*out, text[done:]])
+
+
+def _query_pair(pair: str) -> str:
+    key, equals, value = pair.partition("=")
+    if not equals:
+        return pair
+    plain = lambda x: x if _BAD_ESCAPE.search(x) else unquote_plus(x)
+    if is_secret_key(plain(key)):
+        return f"{key}={REDACTED_IN_URL}"
+    seen = plain(value)
+    clean = clean_text(seen)
+    return pair if clean == seen else f"{key}=" + quote_plus(clean, safe="*").replace("~", "%7E")
+
+
+def _url(scheme: str, rest: str) -> str:
+    """One URL without user information and without secret query values."""
+    base, mark, fragment = rest.partition("#")
+    head, question, query = base.partition("?")
+    authority, slash, path = head.partition("/")
+    if "@" in authority:
+        authority = REDACTED_IN_URL + authority[authority.rindex("@"):]
+    query = "&".join(map(_query_pair, query.split("&"))) if question else ""
+    return f"{scheme}://{authority}{slash}{path}{question}{query}{mark}{fragment}"
+
+
+def _urls(text: str) -> str:
+    out, done, at = [], 0, text.find("://")
+    while at >= 0:
+        begin = at
+        while begin > done and text[begin - 1] in _SCHEME:
+            begin -= 1
+        while begin < at and not (text[begin] in string.ascii_letters and (begin == 0 or text[begin - 1] not in _WORD)):
+            begin += 1
+        stop = _URL_STOP.search(text, at + 3)
+        end = stop.start() if stop else len(text)
+        if begin < at and end > at + 3:
+            out += [text[done:begin], _url(text[begin:at], text[at + 3:end])]
+            done = end
+        at = text.find("://", max(end, at + 3))
+    return "".join([*out, text[done:]])
+
+
+def clean_text(text: str) -> str:
+    """Text without secrets: URLs first, to any depth of URLs in query values, then pairs.
+
+    Other parts of a URL stay as they are. A URL nested too deep to be followed counts as a secret.
+    """
+    try:
+        return _pairs(_urls(text))
+    except RecursionError:
+        return REDACTED
+
+
+class _Literal(str):
+    """A number, true, false or null, kept as it is written."""
+
+
+_TOKEN = re.compile(r'[ \t\n\r]*(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]|\\.)*")|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?|true|false|null))')
+
+
+def parse_json(text: str):
+    """Objects as dicts (of equal keys the last counts), arrays as lists; any depth. ValueError if it isn't JSON."""
+    holder: list = []
+    stack: list = [holder]  # containers that are open
+    keys: list = [None]  # for each, the key that waits for its value; None in an array
+    want = "value"
+    at = 0
+    while len(text[at:at + 64].strip(" \t\n\r")) or text[at:].strip(" \t\n\r"):
+        m = _TOKEN.match(text, at)
+        if not m:
+            raise ValueError("not JSON")
+        at = m.end()
+        sign, quoted, literal = m.groups()
+        if sign in ("}", "]"):
+            top = stack[-1]
+            if len(stack) == 1 or isinstance(top, dict) != (sign == "}") or want not in ("next", "first"):
+                raise ValueError("not JSON")
+            stack.pop()
+            keys.pop()
+            want = "next"
+        elif sign == ",":
+            if want != "next" or len(stack) == 1:
+                raise ValueError("not JSON")
+            want = "key" if isinstance(stack[-1], dict) else "value"
+        elif sign == ":":
+            if want != "colon":
+                raise ValueError("not JSON")
+            want = "value"
+        elif want in ("key", "first") and isinstance(stack[-1], dict):
+            if quoted is None:
+                raise ValueError("not JSON")
+            keys[-1] = json.loads(quoted)
+            want = "colon"
+        elif want in ("value", "first"):
+            value = {} if sign == "{" else [] if sign == "[" else json.loads(quoted) if quoted else _Literal(literal)
+            if isinstance(stack[-1], dict):
+                stack[-1][keys[-1]] = value
+            else:
+                stack[-1].append(value)
+            want = "next"
+            if sign:
+                stack.append(value)
+                keys.append(None)
+                want = "first"
+        else:
+            raise ValueError("not JSON")
+    if len(stack) != 1 or len(holder) != 1:
+        raise ValueError("not JSON")
+    return holder[0]
+
+
+def clean_json(text: str) -> str:
+    """JSON without the values of secret keys at any depth, compact and with sorted keys; other texts as texts."""
+    try:
+        root = parse_json(text)
+    except ValueError:
+        return clean_text(text)
+    word = lambda s: json.dumps(s, ensure_ascii=False)
+    out: list[str] = []
+    todo: list = [("value", root)]
+    while todo:
+        kind, v = todo.pop()
+        if kind == "text":
+            out.append(v)
+        elif isinstance(v, dict):
+            parts = [("text", "{")]
+            for i, k in enumerate(sorted(v)):
+                parts += [("text", "," * (i > 0) + word(k) + ":"), ("text", word(REDACTED)) if is_secret_key(k) else ("value", v[k])]
+            todo += reversed([*parts, ("text", "}")])
+        elif isinstance(v, list):
+            parts = [("text", "[")]
+            for i, x in enumerate(v):
+                parts += [("text", "," * (i > 0)), ("value", x)]
+            todo += reversed([*parts, ("text", "]")])
+        else:
+            out.append(v if isinstance(v, _Literal) else word(clean_text(v)))
+    return "".join(out)
 
-def _query_pair(pair: Column) -> Column:
-    key = F.substring_index(pair, "=", 1)
-    value = F.substring(pair, F.length(key) + 2, F.length(pair))
-    plain = F.coalesce(F.try_url_decode(value), value)
-    clean = _flat(plain)
-    return (
-        F.when(~pair.contains("="), pair)
-        .when(is_secret_key(F.coalesce(F.try_url_decode(key), key)), F.concat(key, F.lit("=" + REDACTED_IN_URL)))
-        .when(clean != plain, F.concat(key, F.lit("="), F.url_encode(clean)))
-        .otherwise(pair)
-    )
 
+def _per_batch(clean):
+    @F.arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else clean(t) for t in texts.to_pylist()], pa.string())
 
-def _url(url: Column) -> Column:
-    """One URL without user information and without secret query values."""
-    base = F.substring_index(url, "#", 1)
-    head = F.substring_index(base, "?", 1)
-    query = F.substring(base, F.length(head) + 2, F.length(base))
-    rest = F.substring(url, F.length(base) + 1, F.length(url))
-    pairs = F.array_join(F.transform(F.split(query, "&"), _query_pair), "&")
-    return F.concat(
-        F.regexp_replace(head, USER_INFO, "$1" + REDACTED_IN_URL + "@"),
-        F.when(base.contains("?"), F.concat(F.lit("?"), pairs)).otherwise(""),
-        rest,
-    )
+    return run
 
 
 def redact_text(text: Column) -> Column:
-    """Text without secrets: URLs first, then ``name = value`` pairs.
-
-    Other parts of a URL stay byte for byte as they are.
-    """
-    around = F.split(text, URL, -1)
-    urls = F.transform(F.regexp_extract_all(text, F.lit(URL), 0), _url)
-    joined = F.array_join(F.zip_with(around, urls, lambda a, u: F.concat(a, F.coalesce(u, F.lit("")))), "")
-    has_url = text.contains("://") & (text.contains("@") | text.contains("?"))
-    # The patterns run only on texts in which they can match.
+    """Text without secrets. Texts in which nothing can match never leave the JVM."""
     # The lower-case text is computed once, as the only element of an array.
     hinted = F.exists(F.array(F.lower(text)), lambda low: functools.reduce(Column.__or__, [low.contains(h) for h in _HINTS]))
-    return (
-        F.when(has_url, _pairs(joined))
-        .when(hinted, _pairs(text))
-        .otherwise(text)
-    )
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
+    may_hide = hinted | (text.contains("://") & (text.contains("@") | text.contains("?")))
+    return F.coalesce(_per_batch(clean_text)(F.when(may_hide, text)), text)
 
 
-def _json_string(text: Column) -> Column:
-    """JSON literal of a text; only texts that need it pass the JSON writer."""
-    escaped = _let(F.to_json(F.array(text)), lambda q: F.substring(q, F.lit(2), F.length(q) - 2))
-    return F.when(text.rlike(r'["\\\x00-\x1f]'), escaped).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+def redact_json(text: Column) -> Column:
+    """JSON text with the values of secret keys replaced at every level, however deep.
 
-
-def _json_node(v: Column, depth: int) -> Column:
-    """JSON text of a variant without secrets.
-
-    Objects and arrays alike become entries, so each level nests only once.
-    """
-    def container(parts: Column) -> Column:
-        is_object = parts["m"].isNotNull()
-        entries = F.when(is_object, F.transform(F.map_entries(parts["m"]), lambda e: F.struct(e["key"].alias("k"), e["value"].alias("v")))).otherwise(
-            F.transform(parts["a"], lambda x: F.struct(F.lit(None).cast("string").alias("k"), x.alias("v"))))
-
-        def item(e: Column) -> Column:
-            name = F.when(e["k"].isNull(), "").otherwise(F.concat(_json_string(e["k"]), F.lit(":")))
-            secret = e["k"].isNotNull() & is_secret_key(e["k"])
-            return F.concat(name, F.when(secret, f'"{REDACTED}"').otherwise(F.coalesce(_json_node(e["v"], depth - 1), F.lit("null"))))
-
-        body = F.array_join(F.transform(entries, item), ",")
-        return F.concat(F.when(is_object, "{").otherwise("["), body, F.when(is_object, "}").otherwise("]"))
-
-    def node(parts: Column) -> Column:
-        if depth == 0:
-            inner = F.raise_error(F.lit("JSON is nested deeper than max_depth")).cast("string")
-        else:
-            inner = container(parts)
-        scalar = F.try_variant_get(v, "$", "string")
-        may_hide = scalar.rlike("(?i)://|" + "|".join(_HINTS))
-        # Only scalars are asked for their type; it is costly for containers.
-        text = F.when(may_hide, _let(redact_text(scalar), _json_string)).otherwise(_json_string(scalar))
-        return (
-            F.when(parts["m"].isNotNull() | parts["a"].isNotNull(), inner)
-            .when(F.schema_of_variant(v) == "STRING", text)
-            .otherwise(scalar)
-        )
-
-    return _let(F.struct(
-        F.try_variant_get(v, "$", "map<string,variant>").alias("m"), F.try_variant_get(v, "$", "array<variant>").alias("a")), node)
-
-
-def redact_json(text: Column, max_depth: int = 6) -> Column:
-    """JSON text with the values of secret keys replaced at every level.
-
-    String values are redacted as text; what is no JSON is redacted as a whole
-    text. Nesting beyond ``max_depth`` fails the job instead of leaking.
+    String values are redacted as text; what is no JSON is redacted as a whole text.
     """
-    parsed = F.try_parse_json(text)
-    # Without a secret part, a URL or an escape that could hide one, the value
-    # only takes its compact form.
-    harmless = ~(
-        text.contains("\\u") | text.contains("://")
-        | F.regexp_replace(F.lower(text), "[^a-z0-9]", "").rlike("|".join(SECRET_KEY_PARTS))
-    )
-    return F.when(harmless, F.coalesce(F.to_json(parsed), text)).otherwise(
-        F.coalesce(_json_node(parsed, max_depth), redact_text(text)))
+    # Without a secret part, a URL or an escape that could hide one, the value only takes its compact form.
+    may_hide = text.contains("\\") | text.contains("://") | F.regexp_replace(F.lower(text), "[^a-z0-9]", "").rlike("|".join(SECRET_KEY_PARTS))
+    return F.coalesce(_per_batch(clean_json)(F.when(may_hide, text)), F.to_json(F.try_parse_json(text)), text)

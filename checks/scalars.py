@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdclake.functions import names
-from cdclake.functions.redact import SECRET_NAMES, redact_json, redact_text
+from cdclake.functions.redact import redact_json, redact_text
 from cdclake.functions.types import SPARK_TYPES, type_map
 from checks.common import table
 
@@ -52,10 +52,12 @@ def q_redact_text(spark, sf_dir):
 
 
 def _page_text(spark, sf_dir):
-    """Page URLs with user information and secrets put in, then the whole page."""
+    """Page URLs with user information and secrets put in, also in a URL within a query, then the whole page."""
     p = F.col("page_id").cast("string")
+    inner = F.url_encode(F.concat(F.lit("https://in.example/?next="), F.url_encode(F.concat(F.lit("http://x/?my_token=k"), p)), F.lit("&n="), p))
     secret = F.concat(
         F.lit("GET "), F.regexp_replace("url", "://", "://user:pw@"), F.lit(" AND https://h.example/x?API-Key=k"), p, F.lit("&ok="), p,
+        F.lit("&to="), inner,
         F.lit('#top password="p '), p, F.lit('" tokens=1 X-Api-Key: abc'), p, F.lit(";\n"), "html")
     return table(spark, sf_dir, "pages").select("page_id", secret.alias("text"))
 
@@ -64,12 +66,17 @@ def q_redact_pages(spark, sf_dir):
     return _page_text(spark, sf_dir).select("page_id", redact_text(F.col("text")).alias("text"))
 
 
+#: Levels of objects around the event's properties.
+DEPTH = 12
+
+
 def q_redact_props(spark, sf_dir):
-    """Event properties, with secrets at several levels put in."""
+    """Event properties, with secrets put in: at many levels, beside repeated keys, and under keys with escapes."""
     e = F.col("event_id").cast("string")
-    props = F.when(F.col("event_id") % 3 == 0, F.col("props")).otherwise(F.concat(
+    inner = F.concat(
         F.lit('{"props": '), "props", F.lit(', "Access_Token": "t'), e, F.lit('", "list": [1, {"pass-word": "x"}, {"PassWd": {"a": '), e,
-        F.lit('}}, "cookie: c'), e, F.lit('"], "note": "user '), "event_type", F.lit(' password=p'), e, F.lit('"}')))
+        F.lit('}}, "cookie: c'), e, F.lit('"], "note": "user '), "event_type", F.lit(' password=p'), e, F.lit('", "k": 1, "k": 2, "tok\\nen": "x'), e, F.lit('"}'))
+    props = F.when(F.col("event_id") % 3 == 0, F.col("props")).otherwise(F.concat(F.lit('{"in": ' * DEPTH), inner, F.lit("}" * DEPTH)))
     return table(spark, sf_dir, "events").select("event_id", redact_json(props).alias("props"))
 
 
@@ -95,9 +102,8 @@ def _escape_sql(expr: str) -> str:
     return out
 
 
-_PAIR = (
-    "(?i)(\\b)(" + "|".join(SECRET_NAMES) + ")([\"'']?\\s*[:=]\\s*)([\"''][^\"''\\r\\n]*[\"'']|[^\\s,&;}\\]]+)"
-)
+#: The only secrets in the given documents; pages have none.
+_TOKENS = "regexp_replace(text, '(token = )\"[0-9a-f]{40}\"', '\\1<redacted>', 'gi')"
 _types_sql = "CASE o_orderkey % {n} ".format(n=len(_TYPES)) + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_TYPES)) + " END"
 _spark_sql = "CASE o_orderkey % {n} ".format(n=len(_TYPES)) + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(SPARK_TYPES.values())) + (
     " ELSE CASE WHEN o_orderkey % 60 + 5 > 38 THEN 'string' ELSE 'decimal(' || (o_orderkey % 60 + 5) || ',' || CASE WHEN o_orderkey % 2 = 0 THEN '3' ELSE '0' END || ')' END END")
@@ -110,13 +116,13 @@ ORACLES = {
     "type_map": f"""
         SELECT o_orderkey, {_types_sql} AS tp, CAST(o_orderkey % 60 + 5 AS VARCHAR) AS precision,
                CASE WHEN o_orderkey % 2 = 0 THEN '3' ELSE '' END AS scale, {_spark_sql} AS spark_type FROM orders""",
-    "redact_text": f"SELECT doc_id, regexp_replace(text, '{_PAIR}', '\\1\\2\\3<redacted>', 'g') AS text FROM documents",
-    "redact_pages": f"""
+    "redact_text": f"SELECT doc_id, {_TOKENS} AS text FROM documents",
+    "redact_pages": """
         SELECT page_id, 'GET ' || replace(url, '://', '://%3Credacted%3E@') || ' AND https://h.example/x?API-Key=<redacted>&ok=' || page_id
-               || '#top password=<redacted> tokens=1 X-Api-Key: <redacted>;' || chr(10)
-               || regexp_replace(html, '{_PAIR}', '\\1\\2\\3<redacted>', 'g') AS text FROM pages""",
-    "redact_props": """
-        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN replace(props, ' ', '') ELSE
-          '{"Access_Token":"<redacted>","list":[1,{"pass-word":"<redacted>"},{"PassWd":"<redacted>"},"cookie: <redacted>"],"note":"user '
-          || event_type || ' password=<redacted>","props":' || replace(props, ' ', '') || '}' END AS props FROM events""",
+               || '&to=https%3A%2F%2Fin.example%2F%3Fnext%3Dhttp%253A%252F%252Fx%252F%253Fmy_token%253D%25253Credacted%25253E%26n%3D' || page_id
+               || '#top password=<redacted> tokens=1 X-Api-Key: <redacted>;' || chr(10) || html AS text FROM pages""",
+    "redact_props": f"""
+        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN replace(props, ' ', '') ELSE '{'{"in":' * DEPTH}' ||
+          '{{"Access_Token":"<redacted>","k":2,"list":[1,{{"pass-word":"<redacted>"}},{{"PassWd":"<redacted>"}},"cookie: <redacted>"],"note":"user '
+          || event_type || ' password=<redacted>","props":' || replace(props, ' ', '') || ',"tok\\nen":"<redacted>"}}' || '{"}" * DEPTH}' END AS props FROM events""",
 }
