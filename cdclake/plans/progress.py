@@ -1,11 +1,15 @@
 """Durable progress: one appended row per commit, the newest of which counts.
 
-Writing that row is the commit point of a snapshot load or a round. All data
-written before it stays invisible until then and is overwritten by a replay.
+A writer puts its row into a folder of its own and then creates the commit file of
+its batch, which only one writer can. That is the commit point of a snapshot load
+or a round: data written before it stays invisible until then, and for ever if
+another writer was first.
 """
 
 from __future__ import annotations
 
+import itertools
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +19,12 @@ from cdclake.functions.types import TableMeta
 from cdclake.sources import storage
 from cdclake.sources.local import local_rows
 
-FORMAT = 1
+FORMAT = 2
 _SCHEMA = """
   format int, batch bigint, checkpoint_ts decimal(20,0), snapshot_finished boolean,
   tables map<string, struct<
     watermark decimal(20,0), cursors map<string, struct<date string, file_index bigint>>,
-    meta string, buckets int, live array<bigint>, hidden array<string>, dropped boolean>>
+    meta string, buckets int, live array<struct<version bigint, n int>>, hidden array<string>, dropped boolean>>
 """
 
 
@@ -60,22 +64,28 @@ def _dir(root: str) -> str:
 
 
 def _batches(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(n[6:]) for n in storage.list_names(spark, _dir(root)) if n.startswith("batch="))
+    """Batches with a commit file and a row folder of their own, oldest first."""
+    return sorted(int(n[7:]) for n in storage.list_names(spark, _dir(root)) if n.startswith("commit="))
 
 
-def _done(spark: SparkSession, root: str, batch: int) -> bool:
-    return storage.exists(spark, f"{_dir(root)}/batch={batch}/_SUCCESS")
+def _rows(spark: SparkSession, root: str, batches: list[int]) -> DataFrame:
+    """Progress rows of committed batches; the commit file names the writer's folder."""
+    folders = [storage.read_text(spark, f"{_dir(root)}/commit={b}").strip() for b in batches]
+    return spark.read.schema(_SCHEMA).parquet(*[storage.literal(f"{_dir(root)}/{f}") for f in folders])
 
 
 def newest_batch(spark: SparkSession, root: str) -> int | None:
-    """Newest committed batch; rows of commits that did not finish do not count."""
-    return next((b for b in reversed(_batches(spark, root)) if _done(spark, root, b)), None)
+    """Newest committed batch; rows of writers that did not commit do not count."""
+    return max(_batches(spark, root), default=None)
 
 
 def progress_log(spark: SparkSession, root: str) -> DataFrame:
     """All commits, one row per table and stream."""
-    paths = [f"{_dir(root)}/batch={b}" for b in _batches(spark, root) if _done(spark, root, b)]
-    rows = spark.read.schema(_SCHEMA).parquet(*paths)
+    rows = _rows(spark, root, _batches(spark, root))
+    if storage.exists(spark, f"{_dir(root)}/archive"):
+        rows = rows.unionByName(spark.read.schema(_SCHEMA).parquet(storage.literal(f"{_dir(root)}/archive")))
+    # A batch is in both places if archiving stopped halfway.
+    rows = rows.dropDuplicates(["batch"])
     tables = rows.select("batch", "checkpoint_ts", "snapshot_finished", F.explode("tables").alias("table", "t"))
     return tables.select(
         "batch", "checkpoint_ts", "snapshot_finished", "table", F.col("t.watermark").alias("watermark"),
@@ -111,7 +121,29 @@ def load(spark: SparkSession, root: str, tables: list[str]) -> Progress:
     batch = newest_batch(spark, root)
     if batch is None:
         return Progress(tables={t: TableProgress() for t in tables})
-    row = spark.read.schema(_SCHEMA).parquet(f"{_dir(root)}/batch={batch}").first()
+    return _parse(_rows(spark, root, [batch]).first(), tables)
+
+
+def recent_live(spark: SparkSession, root: str, commits: int) -> tuple[int, dict[str, list[list[int]]]]:
+    """The oldest of the newest ``commits`` batches, and the live versions of each table in all of them."""
+    batches = _batches(spark, root)[-commits:]
+    out: dict[str, list[list[int]]] = {}
+    for row in _rows(spark, root, batches).select("tables").toLocalIterator():
+        for name, t in (row["tables"] or {}).items():
+            out.setdefault(name, []).append(_unpacked(t["live"]))
+    return batches[0], out
+
+
+def _packed(live: list[int]) -> list[dict]:
+    """Runs of equal versions."""
+    return [dict(version=v, n=len(list(g))) for v, g in itertools.groupby(live)]
+
+
+def _unpacked(runs) -> list[int]:
+    return [r["version"] for r in runs for _ in range(r["n"])]
+
+
+def _parse(row, tables: list[str]) -> Progress:
     if row["format"] != FORMAT:
         raise ProgressError(f"unsupported progress format {row['format']}")
     out = Progress(row["batch"], int(row["checkpoint_ts"]), row["snapshot_finished"])
@@ -120,7 +152,7 @@ def load(spark: SparkSession, root: str, tables: list[str]) -> Progress:
             raise ProgressError(f"progress misses the cursors of {name}")
         out.tables[name] = TableProgress(
             int(t["watermark"]), {k: (c["date"], c["file_index"]) for k, c in t["cursors"].items()},
-            TableMeta.from_json(t["meta"]) if t["meta"] else None, t["buckets"], list(t["live"]), list(t["hidden"]), t["dropped"])
+            TableMeta.from_json(t["meta"]) if t["meta"] else None, t["buckets"], _unpacked(t["live"]), list(t["hidden"]), t["dropped"])
     validate(out, tables)
     return out
 
@@ -140,22 +172,29 @@ def check_forward(prev: Progress, nxt: Progress) -> None:
 
 
 def commit(spark: SparkSession, root: str, prev: Progress, nxt: Progress) -> None:
-    """Append a progress row; fails when that batch was committed already."""
+    """Append a progress row; fails when another writer has committed that batch."""
     check_forward(prev, nxt)
     tables = {
         name: dict(
             watermark=t.watermark, cursors={k: dict(date=d, file_index=i) for k, (d, i) in t.cursors.items()},
-            meta=t.meta.to_json() if t.meta else None, buckets=t.buckets, live=t.live, hidden=t.hidden, dropped=t.dropped)
+            meta=t.meta.to_json() if t.meta else None, buckets=t.buckets, live=_packed(t.live), hidden=t.hidden, dropped=t.dropped)
         for name, t in nxt.tables.items()
     }
-    path = f"{_dir(root)}/batch={nxt.batch}"
-    if storage.exists(spark, path) and not storage.exists(spark, f"{path}/_SUCCESS"):
-        storage.delete(spark, path)  # left by a commit that did not finish
+    folder = f"row={nxt.batch}-{uuid.uuid4().hex}"
     row = dict(format=FORMAT, batch=nxt.batch, checkpoint_ts=nxt.checkpoint_ts, snapshot_finished=nxt.snapshot_finished, tables=tables)
-    local_rows(spark, [row], _SCHEMA).coalesce(1).write.mode("errorifexists").parquet(path)
-
-
-def prune(spark: SparkSession, root: str, keep: int) -> None:
-    """Delete all but the newest progress rows."""
-    for batch in _batches(spark, root)[:-keep]:
-        storage.delete(spark, f"{_dir(root)}/batch={batch}")
+    local_rows(spark, [row], _SCHEMA).coalesce(1).write.parquet(f"{_dir(root)}/{folder}")
+    if not storage.create_text(spark, f"{_dir(root)}/commit={nxt.batch}", folder + "\n"):
+        storage.delete(spark, f"{_dir(root)}/{folder}")
+        raise ProgressError(f"batch {nxt.batch} was committed by another writer")
+
+
+def archive(spark: SparkSession, root: str, keep: int) -> None:
+    """Once twice as many rows as are to be kept lie about singly, move the older ones into one table."""
+    batches = _batches(spark, root)
+    if len(batches) < 2 * keep:
+        return
+    old = batches[:-keep]
+    folders = [storage.read_text(spark, f"{_dir(root)}/commit={b}").strip() for b in old]
+    _rows(spark, root, old).coalesce(1).write.mode("append").parquet(f"{_dir(root)}/archive")
+    storage.delete_all(spark, [f"{_dir(root)}/commit={b}" for b in old])
+    storage.delete_all(spark, [f"{_dir(root)}/{f}" for f in folders])

@@ -2,7 +2,8 @@
 
 A round reads the checkpoint, finds new files, turns them into at most one
 merge per table, and then appends a single progress row for all tables. That
-row makes the round visible; before it nothing is, and a replay overwrites it.
+row makes the round visible; before it nothing is. What a writer leaves that did
+not commit is never read, and goes with a later vacuum.
 """
 
 from __future__ import annotations
@@ -42,13 +43,12 @@ class Settings:
     buckets: int | None = None
     # Tables worked on at a time; each submits its own Spark jobs.
     parallel_tables: int = 16
+    # Files of replaced versions stay for the readers of this many commits.
+    keep_commits: int = 10
     # Keep files of replaced versions until `vacuum` is called.
     keep_old_files: bool = False
-    # Progress rows to keep.
+    # Newest progress rows that are kept singly; older ones are put together.
     keep_progress: int = 1000
-    # From this many buckets on, rounds that touch few of them skip the
-    # bucketed scan, whose tasks would mostly be empty.
-    sparse_from: int = 1024
 
 
 @dataclass
@@ -130,17 +130,18 @@ def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -
     def load(fqn: str) -> pg.TableProgress:
         meta = metas[fqn]
         kept = select_meta(meta, settings.selectors)
-        stem = f"{settings.source}/snapshot/{escape_text(meta.db)}.{escape_text(meta.table)}"
+        stem = storage.literal(f"{settings.source}/snapshot/{escape_text(meta.db)}.{escape_text(meta.table)}")
         found = [x for p in (f"{stem}.csv", f"{stem}.csv.gz", f"{stem}.*.csv", f"{stem}.*.csv.gz") for x in storage.glob(spark, p)]
         size = sum(n * (tg.GZIP_RATIO if p.endswith(".gz") else 1) for p, n in found)
         buckets = settings.buckets or tg.bucket_count(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
         if found:
-            rows = csvio.read_snapshot(spark, [p for p, _ in found], meta, **settings.csv)
+            rows = csvio.read_snapshot(spark, [storage.literal(p) for p, _ in found], meta, **settings.csv)
         else:
             rows = no_rows(spark, meta.ddl())
         rows = rows.select(*[F.col(quote(n)) for n in kept.names])
-        tg.write_version(spark, rows, tg.location(settings.target, meta.db, meta.table), batch, list(meta.pk), buckets)
-        return pg.TableProgress(meta=kept, buckets=buckets, live=[batch] * buckets)
+        version = tg.new_version(batch)
+        tg.write_version(spark, rows, tg.location(settings.target, meta.db, meta.table), version, list(meta.pk), buckets)
+        return pg.TableProgress(meta=kept, buckets=buckets, live=[version] * buckets)
 
     loaded = _each_table(settings, load)
     nxt = pg.Progress(batch, commit_ts, True, dict(zip(settings.tables, loaded)))
@@ -163,7 +164,7 @@ class _Epoch:
 
 def _epochs(spark: SparkSession, settings: Settings, state: pg.Progress) -> dict[str, list[_Epoch]]:
     """Schema epochs each table needs this round, in version order."""
-    texts = catalog.read_schema_texts(spark, settings.source, settings.tables)
+    texts = catalog.read_schema_texts(spark, settings.source, settings.tables, {t: p.watermark for t, p in state.tables.items()})
     marks = local_rows(
         spark, [dict(zip(("db", "table"), split_fqn(t)), watermark=p.watermark) for t, p in state.tables.items()],
         "db string, table string, watermark decimal(20,0)")
@@ -273,7 +274,7 @@ def _apply_table(
         if table.dropped:
             raise ValueError(f"{fqn}: change files after the table was dropped")
         _check_columns(fqn, e, table.meta)
-        paths = [p for r in mine for p in discover.range_paths(settings.source, r)]
+        paths = [storage.literal(p) for r in mine for p in discover.range_paths(settings.source, r)]
         files += len(paths)
         rows = csvio.read_changes(
             spark, paths, list(e.meta.columns), version=e.version, after=state.checkpoint_ts, **settings.csv)
@@ -298,18 +299,18 @@ def _apply_table(
         return table, files, {}
 
     counts: dict[str, int] = {}
+    version = tg.new_version(batch)
     latest, touched = None, list(range(table.buckets))
     if changes:
         rows = changes[0]
         for c in changes[1:]:
             rows = rows.unionByName(c, allowMissingColumns=True)
-        latest, touched = _stage(spark, rows, base, batch, table, pk)
+        latest, touched = _stage(spark, rows, base, version, table, pk)
     if rewrite:
         touched = list(range(table.buckets))
     if not touched:
         return table, files, counts
     only = touched if len(touched) < table.buckets else None
-    sparse = table.buckets >= settings.sparse_from and len(touched) * 4 <= table.buckets
 
     # Stored rows are read in the schema they were written in, then evolved.
     if rewrite and stored is not None:
@@ -320,7 +321,7 @@ def _apply_table(
             # Another key type hashes to other buckets.
             current = current.repartition(table.buckets, *[F.col(quote(k)) for k in pk])
     else:
-        current = tg.read_live(spark, base, table.meta, table.buckets, table.live, only, bucketed=not sparse, purpose="round")
+        current = tg.read_live(spark, base, table.meta, table.buckets, table.live, only, purpose="round")
     if latest is not None:
         if ev.ERROR_COLUMN in current.columns and ev.ERROR_COLUMN not in latest.columns:
             latest = latest.withColumn(ev.ERROR_COLUMN, F.lit(None).cast("string"))
@@ -329,29 +330,26 @@ def _apply_table(
         seen = Observation()
         current = merge_changes(current, latest, pk, observation=seen)
     current = ev.assert_evolved(current)
-    if sparse:
-        # Only the few touched buckets pass this shuffle.
-        current = current.repartition(len(touched), tg.bucket_of(pk, table.buckets))
-    tg.write_version(spark, current, base, batch, pk, table.buckets, distributed=True)
+    tg.write_version(spark, current, base, version, pk, table.buckets, distributed=True)
     tg.release(spark, base, "round")
     if latest is not None:
         counts = {k: int(v) for k, v in seen.get.items()}
     for b in touched:
-        table.live[b] = batch
+        table.live[b] = version
     if rewrite:
         table.hidden = []
     return table, files, counts
 
 
 def _stage(
-    spark: SparkSession, changes: DataFrame, base: str, batch: int, table: pg.TableProgress, pk: list[str],
+    spark: SparkSession, changes: DataFrame, base: str, version: int, table: pg.TableProgress, pk: list[str],
 ) -> tuple[DataFrame, list[int]]:
     """Write the newest change per key, bucketed like the target.
 
     The files are read once and shuffled once. What the merge needs to know in
     advance, the touched buckets, is in the names of the staged files.
     """
-    path = f"{base}/_staging/batch={batch}"
+    path = f"{base}/_staging/{version}"
     keep = ["cdc_flag", *table.meta.names] + ([ev.ERROR_COLUMN] if ev.ERROR_COLUMN in changes.columns else [])
     newest = latest_change(changes, pk)
     newest = newest.select(*[F.col(quote(c)) for c in keep])
@@ -378,12 +376,10 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
         results = _each_table(settings, lambda fqn: _apply_table(spark, settings, fqn, epochs[fqn], state, batch))
     nxt = pg.Progress(batch, published, state.snapshot_finished, {t: r[0] for t, r in zip(settings.tables, results)})
     pg.commit(spark, settings.target, state, nxt)
-    pg.prune(spark, settings.target, settings.keep_progress)
-    for fqn in settings.tables:
-        base = tg.location(settings.target, *split_fqn(fqn))
-        storage.delete(spark, f"{base}/_staging/batch={batch}")
-        if not settings.keep_old_files:
-            tg.vacuum(spark, base, nxt.tables[fqn].live)
+    pg.archive(spark, settings.target, max(settings.keep_progress, settings.keep_commits))
+    _drop_staged(spark, settings, batch)
+    if not settings.keep_old_files:
+        vacuum(spark, settings)
     active = [t for t, r in zip(settings.tables, results) if r[1] or r[0].watermark != state.tables[t].watermark]
     return RoundResult(
         "run", batch, published, active_tables=len(active), loaded_files=sum(r[1] for r in results),
@@ -391,19 +387,37 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
     ), nxt
 
 
-def vacuum(spark: SparkSession, settings: Settings) -> None:
-    """Delete files that the newest commit does not need."""
-    for fqn, t in pg.load(spark, settings.target, settings.tables).tables.items():
-        tg.vacuum(spark, tg.location(settings.target, *split_fqn(fqn)), t.live)
+def _drop_staged(spark: SparkSession, settings: Settings, batch: int) -> None:
+    """Delete what was staged for this batch or an earlier one."""
+    gone = []
+    for fqn in settings.tables:
+        home = f"{tg.location(settings.target, *split_fqn(fqn))}/_staging"
+        gone += [f"{home}/{n}" for n in storage.list_names(spark, home) if n.isdigit() and int(n) >> tg.ATTEMPT_BITS <= batch]
+    storage.delete_all(spark, gone)
+
+
+def vacuum(spark: SparkSession, settings: Settings, keep_commits: int | None = None) -> None:
+    """Delete files that none of the newest ``keep_commits`` commits needs."""
+    keep = settings.keep_commits if keep_commits is None else keep_commits
+    newest = pg.newest_batch(spark, settings.target)
+    oldest, live = pg.recent_live(spark, settings.target, keep)
+    for fqn in settings.tables:
+        if fqn in live:
+            # Older attempts that failed go, too; the newest batch may still have another writer.
+            tg.vacuum(spark, tg.location(settings.target, *split_fqn(fqn)), live[fqn], min(oldest, newest))
 
 
 def read_target(spark: SparkSession, settings: Settings, fqn: str, state: pg.Progress | None = None) -> DataFrame:
-    """Current rows of a target table as of the newest commit."""
+    """Rows of a target table as of the newest commit, or of ``state``.
+
+    The reader keeps the version that it was planned with: later rounds neither change it nor
+    take its files away for ``keep_commits`` commits; after that it fails.
+    """
     state = state or pg.load(spark, settings.target, settings.tables)
     t = state.tables[fqn]
     if t.dropped or t.meta is None:
         raise ValueError(f"table {fqn} does not exist in the target")
-    return tg.read_live(spark, tg.location(settings.target, *split_fqn(fqn)), t.meta, t.buckets, t.live)
+    return tg.read_live(spark, tg.location(settings.target, *split_fqn(fqn)), t.meta, t.buckets, t.live, bucketed=False)
 
 
 def replicate(spark: SparkSession, settings: Settings, mode: str = "all", rounds: int = 1) -> list[RoundResult]:

@@ -1,7 +1,9 @@
 """Target tables: Parquet, hash-bucketed by primary key, one folder per version.
 
 ``<root>/<db>/<table>/cdclake_version=<n>/`` holds the bucket files written by
-commit ``n``; the progress row says which version is current for each bucket.
+one attempt to commit; the progress row says which version is current for each
+bucket. A version's number is of its attempt alone, so writers never meet in a
+folder, and one that loses the race for a commit has spoiled nothing.
 Because the layout is Spark's own bucketing, a merge never shuffles the target:
 the changes are shuffled once, to the same buckets, and joined in place. Only
 buckets that hold changed keys are read and written again.
@@ -12,6 +14,7 @@ from __future__ import annotations
 import contextlib
 import hashlib
 import re
+import secrets
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +29,7 @@ _SCAN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 _FILE_BUCKET = re.compile(r"_([0-9]+)([.]c[0-9]+)?[.][^/]*$")
 # Source bytes per bucket: a bucket is one sort-merge task, which may spill.
 BYTES_PER_BUCKET = 256 << 20
-MIN_BUCKETS, MAX_BUCKETS = 8, 65536
+MIN_BUCKETS = 8
 # Text of gzip files is several times larger.
 GZIP_RATIO = 4
 
@@ -37,7 +40,7 @@ def bucket_count(source_bytes: int, shuffle_partitions: int = 1) -> int:
     Large tables get a multiple of the shuffle partitions, so that rows that
     were shuffled by key need no second shuffle into buckets.
     """
-    n = min(max(MIN_BUCKETS, -(-source_bytes // BYTES_PER_BUCKET)), MAX_BUCKETS)
+    n = max(MIN_BUCKETS, -(-source_bytes // BYTES_PER_BUCKET))
     return -(-n // shuffle_partitions) * shuffle_partitions if n > shuffle_partitions else n
 
 
@@ -62,7 +65,9 @@ def bucket_of(pk: list[str], buckets: int):
 
 
 def location(root: str, db: str, table: str) -> str:
-    return f"{root}/{escape_text(db)}/{escape_text(table)}"
+    # Catalog tables can't lie in folders whose names look like patterns.
+    safe = lambda name: re.sub(r"[\[\]{}*?]", lambda m: f"%{ord(m[0]):02X}", escape_text(name))
+    return f"{root}/{safe(db)}/{safe(table)}"
 
 
 def _handle(path: str) -> str:
@@ -70,11 +75,19 @@ def _handle(path: str) -> str:
     return "cdclake_" + hashlib.sha256(path.encode()).hexdigest()[:24]
 
 
+#: Low bits of a version tell attempts at one batch apart.
+ATTEMPT_BITS = 31
+
+
+def new_version(batch: int) -> int:
+    """A number for what one attempt at a batch writes."""
+    return batch << ATTEMPT_BITS | secrets.randbits(ATTEMPT_BITS)
+
+
 def write_bucketed(spark: SparkSession, df: DataFrame, path: str, pk: list[str], buckets: int) -> None:
-    """Write rows, already distributed by key, as bucket files under ``path``."""
+    """Write rows, already distributed by key, as bucket files under ``path``, a new folder."""
     name = _handle(path + "#write")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    storage.delete(spark, path)
     df.write.format("parquet").mode("errorifexists").bucketBy(buckets, *pk).sortBy(*pk).option("path", path).saveAsTable(name)
     # The table is external: its files stay.
     spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -152,7 +165,12 @@ def read_live(
     versions = sorted({live[b] for b in wanted if live[b] >= 0})
     if not versions:
         return no_rows(spark, meta.ddl())
-    df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets if bucketed else 0, purpose))
+    if bucketed:
+        df = spark.table(_open(spark, base, meta.ddl(), versions, pk, buckets, purpose))
+    else:
+        # The files are listed now: a file that goes later fails the reader.
+        reader = spark.read.schema(f"{meta.ddl()}, {VERSION} bigint").option("basePath", base).option("ignoreMissingFiles", False)
+        df = reader.parquet(*[storage.literal(f"{base}/{VERSION}={v}") for v in versions])
     if only is not None:
         # Evaluated on file names while files are listed.
         file_bucket = f"cast(regexp_extract(_metadata.file_name, '{_FILE_BUCKET.pattern}', 1) as int)"
@@ -164,17 +182,24 @@ def read_live(
     return df.select(*[F.col(quote(n)) for n in meta.names])
 
 
-def vacuum(spark: SparkSession, base: str, live: list[int]) -> None:
-    """Delete files no bucket needs any more: whole versions, then stale buckets."""
-    keep = set(live)
+def vacuum(spark: SparkSession, base: str, kept: list[list[int]], before: int) -> None:
+    """Delete what none of the kept commits (their live versions per bucket) needs: whole versions, then stale buckets.
+
+    Versions of batch ``before`` or later stay: an attempt may be at work there.
+    """
+    needed = {(b, v) for live in kept for b, v in enumerate(live)}
+    versions, gone = {v for _, v in needed}, []
     for name in storage.list_names(spark, base):
         if not name.startswith(VERSION + "="):
             continue
         version = int(name.split("=", 1)[1])
-        if version not in keep:
-            storage.delete(spark, f"{base}/{name}")
+        if version >> ATTEMPT_BITS >= before:
+            continue
+        if version not in versions:
+            gone.append(f"{base}/{name}")
             continue
         for file in storage.list_names(spark, f"{base}/{name}"):
             m = _FILE_BUCKET.search(file)
-            if file.startswith("part-") and m and live[int(m.group(1))] != version:
-                storage.delete(spark, f"{base}/{name}/{file}")
+            if file.startswith("part-") and m and (int(m.group(1)), version) not in needed:
+                gone.append(f"{base}/{name}/{file}")
+    storage.delete_all(spark, gone)

@@ -6,6 +6,8 @@ expressions over that text, so thousands of tables are one narrow Spark job.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -235,15 +237,31 @@ _SCHEMA_FILE = T.StructType([
 ])
 
 
-def read_schema_texts(spark: SparkSession, root: str, tables: list[str] | None = None) -> DataFrame:
-    """``(path, text)`` of the schema files of the given tables, or of all."""
-    base = f"{root}/increment"
-    globs = [f"{base}/{t.split('.', 1)[0]}/{t.split('.', 1)[1]}/meta/schema_*.json" for t in tables] if tables else [f"{base}/*/*/meta/schema_*.json"]
-    globs = [g for g in globs if storage.glob(spark, g)]
-    if not globs:
+_FILE_VERSION = re.compile(r"/schema_([0-9]+)_[^/]*$")
+
+
+def read_schema_texts(
+    spark: SparkSession, root: str, tables: list[str] | None = None, applied: dict[str, int] | None = None,
+) -> DataFrame:
+    """``(path, text)`` of the schema files of the given tables, or of all.
+
+    Files older than a table's ``applied`` version are told by their names and not read.
+    """
+    base = storage.literal(f"{root}/increment")
+    found = []
+    if tables:
+        for t in tables:
+            db, table = t.split(".", 1)
+            oldest = (applied or {}).get(t, 0)
+            for path, _ in storage.glob(spark, f"{base}/{storage.literal(db)}/{storage.literal(table)}/meta/schema_*.json"):
+                version = _FILE_VERSION.search(path)
+                if version is None or int(version[1]) >= oldest:
+                    found.append(path)
+    else:
+        found = [path for path, _ in storage.glob(spark, f"{base}/*/*/meta/schema_*.json")]
+    if not found:
         return no_rows(spark, "path string, text string")
-    # A list of paths may hold globs; each names the files of one table.
-    return spark.read.text(globs, wholetext=True).select(
+    return spark.read.text([storage.literal(p) for p in found], wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 

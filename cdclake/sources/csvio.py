@@ -25,11 +25,17 @@ ENVELOPE = ["cdc_flag", "cdc_table", "cdc_schema", "cdc_commit_ts"]
 POSITION = ["cdc_version", "cdc_partition", "cdc_date", "cdc_file_idx", "cdc_block", "cdc_row"]
 
 
+#: Row ends that a source can declare.
+LINE_ENDS = ("\n", "\r\n")
+
+
 def _null_rule(c: Column) -> Column:
     return F.when(c.isNull(), "").when(c == NULL_TEXT, None).otherwise(c)
 
 
-def _reader(spark: SparkSession, names: list[str], escape: str, multiline: bool, line_sep: str | None):
+def _reader(spark: SparkSession, names: list[str], escape: str, multiline: bool, line_sep: str):
+    if line_sep not in LINE_ENDS:
+        raise ValueError(f"a source's row end is one of {LINE_ENDS}, not {line_sep!r}")
     reader = (
         spark.read.schema(", ".join(f"{quote(n)} string" for n in names))
         .option("sep", ",").option("quote", '"').option("escape", escape)
@@ -38,20 +44,36 @@ def _reader(spark: SparkSession, names: list[str], escape: str, multiline: bool,
         # A row of the wrong width must fail even if few columns are selected.
         .option("columnPruning", False)
     )
-    return reader.option("lineSep", line_sep) if line_sep else reader
+    # Without this the parser guesses the row end of each file, and rewrites line ends in values.
+    return reader.option("lineSep", line_sep)
+
+
+def _row_end(last: Column, line_sep: str) -> Column:
+    """The last field of a row; rows that end otherwise than declared fail.
+
+    With rows that end in ``\\n``, a last field with ``\\r`` at its end is what a row ending in
+    ``\\r\\n`` looks like. A source whose last column holds such values declares ``\\r\\n`` rows.
+    """
+    if line_sep != "\n":
+        return last
+    wrong = F.raise_error(F.lit("rows end in CR LF, but LF is declared: set line_sep to '\\r\\n'")).cast("string")
+    return F.when(last.endswith("\r"), wrong).otherwise(last)
 
 
 def read_csv_text(
     spark: SparkSession, paths: str | list[str], names: list[str],
-    escape: str = '"', multiline: bool = True, line_sep: str | None = None,
+    escape: str = '"', multiline: bool = True, line_sep: str = "\n",
 ) -> DataFrame:
     """All fields as text with the dialect's rule for null and empty.
 
+    ``line_sep`` declares how rows end; values keep their line ends as they are.
     ``escape="\\\\"`` reads backslash escapes instead of doubled quotes.
     ``multiline=False`` lets Spark split files that hold no embedded newline.
     """
     raw = _reader(spark, names, escape, multiline, line_sep).csv(paths)
-    return raw.select(*[_null_rule(F.col(quote(n))).alias(n) for n in names])
+    fields = [F.col(quote(n)) for n in names]
+    fields[-1] = _row_end(fields[-1], line_sep)
+    return raw.select(*[_null_rule(c).alias(n) for c, n in zip(fields, names)])
 
 
 def read_snapshot(
@@ -87,7 +109,7 @@ def _position(path: Column, version: int | None) -> list[Column]:
 
 def read_changes(
     spark: SparkSession, paths: str | list[str], columns: list[ColumnMeta], on_error: str = "raise",
-    escape: str = '"', multiline: bool = True, line_sep: str | None = None, version: int | None = None,
+    escape: str = '"', multiline: bool = True, line_sep: str = "\n", version: int | None = None,
     after: int | None = None,
 ) -> DataFrame:
     """Typed change rows with their envelope and position.
@@ -104,7 +126,7 @@ def read_changes(
         raw = raw.where(F.col("c_ts").cast("decimal(20,0)") > F.lit(after).cast("decimal(20,0)"))
     place = _position(F.col("_metadata.file_path"), version)
     placed = raw.select(
-        *[_null_rule(F.col(t)).alias(n) for t, n in zip(text_names, names)],
+        *[_null_rule(_row_end(F.col(t), line_sep) if t == text_names[-1] else F.col(t)).alias(n) for t, n in zip(text_names, names)],
         *place,
         F.col("_metadata.file_block_start").alias("cdc_block"),
         F.monotonically_increasing_id().alias("cdc_row"),

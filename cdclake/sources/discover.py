@@ -25,7 +25,7 @@ def read_index_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``(path, text)`` of index files."""
     if not paths:
         return no_rows(spark, "path string, text string")
-    return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return spark.read.text([storage.literal(p) for p in paths], wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def index_paths(spark: SparkSession, root: str, db: str, table: str, version: int, active: dict[int, str]) -> list[str]:

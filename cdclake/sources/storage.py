@@ -5,11 +5,11 @@ Only metadata of bounded size passes here; rows are read and written by Spark.
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -43,6 +43,27 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create one small file unless there is one; says whether it did. Of several writers one succeeds."""
+    fs, p = _fs(spark, path)
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception) or fs.exists(p):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    return True
+
+
+def literal(path: str) -> str:
+    """A path for readers that take patterns, in which every character stands for itself."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Sorted names directly under ``path``; empty when it does not exist."""
     fs, p = _fs(spark, path)
@@ -72,21 +93,20 @@ def move_all(spark: SparkSession, pairs: list[tuple[str, str]], parallel: int =
         list(pool.map(lambda p: move(spark, *p), pairs))
 
 
+def delete_all(spark: SparkSession, paths: list[str], parallel: int = 32) -> None:
+    """Delete many files or folders side by side."""
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(lambda p: delete(spark, p), paths))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared checkpoint folder.
-
-    A machine-local folder is used only when the session names none, which is
-    the case in tests on one machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    """A new folder under the cluster's shared checkpoint folder, which the session must name."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/cdclake-{uuid.uuid4().hex}"
