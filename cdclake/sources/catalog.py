@@ -49,6 +49,7 @@ CATALOG_COLUMNS = [
 _NAME = r"^(?:`((?:[^`]|``)+)`|([A-Za-z0-9_$]+))\s+"
 _ARGS = r"^[A-Za-z]+\s*\(((?:'(?:[^']|'')*'|[^')])*)\)"
 _QUOTED = r"'(?:[^'\\]|''|\\.)*'"
+_KEY_CLAUSE = r"(?i)^(?:constraint\s+\S+\s+)?primary\s+key"
 _NOT_COLUMNS = (
     r"(?i)^(?:(?:primary|unique|foreign|fulltext|spatial|check|constraint|partition|create|set|insert|drop|use)\b"
     r"|(?:key|index)\s+[`(\w]|[)(/;-]|$)"
@@ -145,19 +146,35 @@ def _unquote_ident(text: Column) -> Column:
     return F.replace(F.regexp_replace(text, "^`|`$", ""), F.lit("``"), F.lit("`"))
 
 
+def _nested(depth: int) -> str:
+    """Parentheses with quoted texts in them, nested so deep at most."""
+    inner = "" if depth == 1 else "|" + _nested(depth - 1)
+    return rf"\((?:[^()'`\"]++|{_ANY_QUOTED}{inner})*+\)"
+
+
+_ANY_QUOTED = r"'(?:[^'\\]|''|\\.)*+'|`(?:[^`]|``)*+`|\"(?:[^\"\\]|\"\"|\\.)*+\""
+_BODY = rf"(?is)create\s+(?:temporary\s+)?table\s+(?:if\s+not\s+exists\s+)?(?:`(?:[^`]|``)*+`|[^\s`(.]+)(?:\.(?:`(?:[^`]|``)*+`|[^\s`(]+))?\s*\(((?:[^()'`\"]++|{_ANY_QUOTED}|{_nested(5)})*+)\)"
+_PIECE = rf"(?s)(?:[^,()'`\"]++|{_ANY_QUOTED}|{_nested(5)})++"
+
+
 def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
-    """Column catalog of ``(db, table, text)`` rows, one column per line.
+    """Column catalog of ``(db, table, text)`` rows with ``CREATE TABLE`` texts in any layout.
 
-    Generated columns are absent from snapshots and are dropped here too.
+    The body is cut at its own commas, not at those within quotes and parentheses. What is
+    neither a column nor a known clause fails. Generated columns are absent from snapshots
+    and are dropped here too.
     """
+    body = F.regexp_extract("text", _BODY, 1)
+    no_table = F.raise_error(F.concat(F.lit("no CREATE TABLE text of "), "db", F.lit("."), "table")).cast("string")
+    pieces = F.transform(F.regexp_extract_all(F.when(F.trim(body) == "", no_table).otherwise(body), F.lit(_PIECE), 0), lambda x: F.trim(F.regexp_replace(x, r"\s", " ")))
     # Key columns of the table-level clause, in order; prefix lengths removed.
-    bare = F.regexp_replace("text", _QUOTED, "''")
+    bare = F.regexp_replace(F.array_join(F.filter(pieces, lambda x: x.rlike(_KEY_CLAUSE)), ","), _QUOTED, "''")
     clause = F.regexp_extract(bare, r"(?i)primary\s+key\s*(?:`[^`]*`\s*)?(?:using\s+\w+\s*)?\(((?:`(?:[^`]|``)*`|\([0-9]+\)|[^()])*)\)", 1)
     idents = F.regexp_extract_all(clause, F.lit(r"(`(?:[^`]|``)+`|[A-Za-z_$][A-Za-z0-9_$]*)(?:\s*\([0-9]+\))?(?:\s+(?i:asc|desc))?"), 1)
     table_pk = F.transform(idents, lambda x: F.lower(_unquote_ident(x)))
-    lines = texts.select("db", "table", table_pk.alias("table_pk"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("line", F.regexp_replace(F.trim(F.regexp_replace("line", "[\r\t]", " ")), r"\s*,$", ""))
-    lines = lines.where(~F.col("line").rlike(_NOT_COLUMNS) & F.col("line").rlike(_NAME))
+    lines = texts.select("db", "table", table_pk.alias("table_pk"), F.posexplode(pieces).alias("line_no", "line"))
+    odd = F.raise_error(F.concat(F.lit("not understood in CREATE TABLE of "), "db", F.lit("."), "table", F.lit(": "), "line")).cast("boolean")
+    lines = lines.where(F.when(F.col("line").rlike(_NOT_COLUMNS), False).when(F.col("line").rlike(_NAME), True).otherwise(odd))
 
     rest = F.regexp_replace("line", _NAME, "")
     word = F.lower(F.regexp_extract(rest, "^([A-Za-z]+)", 1))

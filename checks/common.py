@@ -30,9 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
-    """Deletes, updates and inserts of orders; a third of them changed twice."""
+    """Deletes, updates and inserts of all orders; a third of them changed twice."""
     k = F.col("o_orderkey")
-    base = orders.where(k % 7 < 3)
+    base = orders
     key = F.when(k % 7 == 2, k + KEY_SHIFT).otherwise(k)
 
     def generation(df: DataFrame, flag, g: int) -> DataFrame:
@@ -47,23 +47,23 @@ def order_changes(orders: DataFrame) -> DataFrame:
             "o_orderdate", "o_orderpriority",
         )
 
-    first = F.when(k % 7 == 0, "D").when(k % 7 == 1, "U").otherwise("I")
-    second = F.when(k % 14 == 0, "I").when(k % 7 == 1, "U").otherwise("D")
+    first = F.when(k % 7 == 0, "D").when(k % 7 == 2, "I").otherwise("U")
+    second = F.when(k % 14 == 0, "I").when((k % 7 == 1) | (k % 7 > 3), "U").otherwise("D")
     return generation(base, first, 0).unionByName(generation(base.where(k % 3 == 0), second, 1))
 
 
 ORDER_CHANGES_SQL = f"""
-  SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'D' WHEN o_orderkey % 7 = 1 THEN 'U' ELSE 'I' END AS flag,
+  SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'D' WHEN o_orderkey % 7 = 2 THEN 'I' ELSE 'U' END AS flag,
          1000 + o_orderkey AS ts,
          CASE WHEN o_orderkey % 7 = 2 THEN o_orderkey + {KEY_SHIFT} ELSE o_orderkey END AS o_orderkey,
          o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderkey % 7 < 3
+  FROM orders
   UNION ALL
-  SELECT CASE WHEN o_orderkey % 14 = 0 THEN 'I' WHEN o_orderkey % 7 = 1 THEN 'U' ELSE 'D' END,
+  SELECT CASE WHEN o_orderkey % 14 = 0 THEN 'I' WHEN o_orderkey % 7 = 1 OR o_orderkey % 7 > 3 THEN 'U' ELSE 'D' END,
          1001 + o_orderkey,
          CASE WHEN o_orderkey % 7 = 2 THEN o_orderkey + {KEY_SHIFT} ELSE o_orderkey END,
          o_custkey, o_orderstatus, o_totalprice + 2, o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderkey % 7 < 3 AND o_orderkey % 3 = 0
+  FROM orders WHERE o_orderkey % 3 = 0
 """
 
 LATEST_SQL = f"""

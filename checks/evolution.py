@@ -18,16 +18,16 @@ def _next(*columns: ColumnMeta) -> TableMeta:
 
 KEY, CUST, STATUS, PRICE, DATE, PRIORITY = ORDERS_META.columns
 ADD_DROP = _next(KEY, CUST, STATUS, PRICE, DATE,
-                 ColumnMeta("gender", "varchar", "10", nullable=False, default="7", default_kind="literal"),
+                 ColumnMeta("channel", "varchar", "12", nullable=False, default="web", default_kind="literal"),
                  ColumnMeta("note", "text"))
-RENAMED = _next(KEY, dataclasses.replace(CUST, name="customer", tp="decimal", precision="20", scale="0"), STATUS, PRICE, DATE,
-                dataclasses.replace(PRIORITY, name="color", precision="32"))
-MULTI = _next(KEY, CUST, dataclasses.replace(STATUS, name="color", tp="varchar", precision="32"), DATE, PRIORITY,
-              ColumnMeta("created_at", "date", default="2020-01-01", default_kind="literal"))
+RENAMED = _next(KEY, dataclasses.replace(CUST, name="buyer", tp="decimal", precision="20", scale="0"), STATUS, PRICE, DATE,
+                dataclasses.replace(PRIORITY, name="urgency", precision="24"))
+MULTI = _next(KEY, CUST, dataclasses.replace(STATUS, name="state", tp="varchar", precision="6"), DATE, PRIORITY,
+              ColumnMeta("booked_on", "date", default="2019-05-17", default_kind="literal"))
 
-ADD_DROP_QUERY = "ALTER TABLE shop.orders ADD COLUMN gender VARCHAR(10) NOT NULL DEFAULT 7, ADD COLUMN note TEXT, DROP COLUMN o_orderpriority"
-RENAME_QUERY = "ALTER TABLE `orders` MODIFY COLUMN o_custkey DECIMAL(20,0), RENAME COLUMN o_custkey TO customer, CHANGE COLUMN `o_orderpriority` `color` VARCHAR(32)"
-MULTI_QUERY = "ALTER TABLE shop.orders DROP COLUMN o_totalprice, CHANGE COLUMN o_orderstatus color VARCHAR(32), ADD COLUMN created_at DATE DEFAULT '2020-01-01'"
+ADD_DROP_QUERY = "ALTER TABLE shop.orders ADD COLUMN channel VARCHAR(12) NOT NULL DEFAULT 'web', ADD COLUMN note TEXT, DROP COLUMN o_orderpriority"
+RENAME_QUERY = "ALTER TABLE `orders` MODIFY COLUMN o_custkey DECIMAL(20,0), RENAME COLUMN o_custkey TO buyer, CHANGE `o_orderpriority` `urgency` VARCHAR(24)"
+MULTI_QUERY = "ALTER TABLE shop.orders DROP COLUMN o_totalprice, CHANGE o_orderstatus state VARCHAR(6), ADD COLUMN booked_on DATE DEFAULT '2019-05-17'"
 
 
 def _evolved(df: DataFrame, nxt: TableMeta, query: str, action: int = 0, prev: TableMeta = ORDERS_META) -> DataFrame:
@@ -40,12 +40,12 @@ def q_evolve_add_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_evolve_rename_modify(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _evolved(table(spark, sf_dir, "orders"), RENAMED, RENAME_QUERY)
-    return out.withColumn("customer", F.col("customer").cast("string"))
+    return out.withColumn("buyer", F.col("buyer").cast("string"))
 
 
 def q_evolve_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _evolved(table(spark, sf_dir, "orders"), MULTI, MULTI_QUERY)
-    return out.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd"))
+    return out.withColumn("booked_on", F.date_format("booked_on", "yyyy-MM-dd"))
 
 
 def q_evolve_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def q_evolve_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cdclake.operators.changes import merge_changes
 
     empty = _evolved(orders, ORDERS_META, "TRUNCATE TABLE orders", ev.TRUNCATE_TABLE)
-    after = orders.where("o_orderkey % 10 = 0").withColumn("cdc_flag", F.when(F.col("o_orderkey") % 20 == 0, "I").otherwise("D"))
+    after = orders.withColumn("cdc_flag", F.when(F.col("o_orderkey") % 20 < 13, "I").otherwise("D"))
     return merge_changes(empty, after, ["o_orderkey"])
 
 
@@ -62,7 +62,7 @@ def q_evolve_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 DDL_TEXTS = [
     ("ALTER TABLE t ADD COLUMN c INT", 5, "alter"),
     ("ALTER TABLE t DROP COLUMN c", 6, "alter"),
-    ("ALTER TABLE t ADD INDEX idx_name(name)", 7, "none"),
+    ("ALTER TABLE t ADD KEY by_clerk (clerk)", 7, "none"),
     ("TRUNCATE TABLE t", 11, "truncate"),
     ("DROP TABLE t", 4, "drop"),
     ("RENAME TABLE a TO b", 14, "error"),
@@ -124,12 +124,12 @@ _case = lambda i: (
 
 ORACLES = {
     "evolve_add_drop": """
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, '7' AS gender, CAST(NULL AS VARCHAR) AS note FROM orders""",
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, 'web' AS channel, CAST(NULL AS VARCHAR) AS note FROM orders""",
     "evolve_rename_modify": """
-        SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority AS color FROM orders""",
+        SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS buyer, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority AS urgency FROM orders""",
     "evolve_multi": """
-        SELECT o_orderkey, o_custkey, o_orderstatus AS color, o_orderdate, o_orderpriority, '2020-01-01' AS created_at FROM orders""",
-    "evolve_truncate": "SELECT * FROM orders WHERE o_orderkey % 20 = 0",
+        SELECT o_orderkey, o_custkey, o_orderstatus AS state, o_orderdate, o_orderpriority, '2019-05-17' AS booked_on FROM orders""",
+    "evolve_truncate": "SELECT * FROM orders WHERE o_orderkey % 20 < 13",
     "ddl_classify": f"SELECT o_orderkey, {_case(0)} AS query, {_case(2)} AS kind FROM orders",
     "schema_diff": """
         SELECT 'shop' AS db, 't' || o_orderkey AS "table", name, change FROM orders, (VALUES

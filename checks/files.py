@@ -103,14 +103,37 @@ def q_typed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Line ends within values, and how the last field of a row is written, with its value.
+_INNER = ["\r", "\n", "\r\n", "", "\n\r"]
+_LAST = [('"{v}"', "v"), ("{v}", "v"), ("\\N", None), ('"\\N"', None), ('""', ""), ("", "")]
+
+
+def q_csv_line_ends(spark, sf_dir):
+    """A row per customer in files of either row end, with every kind of line end in values and of last field."""
+    k, name = F.col("c_custkey"), F.col("c_name")
+    pick = lambda of, by: F.element_at(F.array(*[F.lit(x) for x in of]), (by % len(of) + 1).cast("int"))
+    line = F.concat(k.cast("string"), F.lit(',"a'), pick(_INNER, k), name, F.lit('",'), F.replace(pick([x for x, _ in _LAST], F.floor(k / 5)), F.lit("{v}"), name))
+    parts = []
+    for label, end in (("lf", "\n"), ("crlf", "\r\n")):
+        root = f"{storage.scratch_dir(spark)}/{label}"
+        table(spark, sf_dir, "customer").select(line.alias("value")).write.option("lineSep", end).text(root)
+        parts.append(csvio.read_csv_text(spark, root, ["k", "v", "last"], line_sep=end).withColumn("rows_end", F.lit(label)))
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES = {
     "snapshot_csv_scan": q_snapshot_csv_scan,
     "export_roundtrip": q_export_roundtrip,
     "cdc_csv_scan": q_cdc_csv_scan,
     "typed_decode": q_typed_decode,
+    "csv_line_ends": q_csv_line_ends,
 }
 
 ORACLES = {
+    "csv_line_ends": """
+        SELECT CAST(c_custkey AS VARCHAR) AS k, 'a' || CASE c_custkey % 5 WHEN 0 THEN chr(13) WHEN 1 THEN chr(10) WHEN 2 THEN chr(13) || chr(10) WHEN 3 THEN '' ELSE chr(10) || chr(13) END || c_name AS v,
+               CASE WHEN (c_custkey // 5) % 6 IN (0, 1) THEN c_name WHEN (c_custkey // 5) % 6 IN (4, 5) THEN '' END AS last, rows_end
+        FROM customer, (VALUES ('lf'), ('crlf')) e(rows_end)""",
     "snapshot_csv_scan": "SELECT * FROM customer",
     "export_roundtrip": "SELECT * FROM documents",
     "cdc_csv_scan": f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from cdclake.functions.types import ColumnMeta
 from cdclake.operators.changes import after_checkpoint, latest_change, merge_changes
 from cdclake.operators import evolve as ev
+from cdclake.plans import progress as pg
 from cdclake.plans import replicate as rp
 from cdclake.sources import csvio, storage
 from cdclake.streaming.rounds import start_rounds
@@ -53,6 +55,34 @@ def q_full_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp.read_target(spark, s, FQN)
 
 
+def q_second_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds from one state, the second with more changes: the first one's commit is the result."""
+    orders = table(spark, sf_dir, "orders")
+    s = _lake(spark)
+    _publish(spark, s, orders)
+    rp.replicate(spark, s, "snapshot-only")
+    state = pg.load(spark, s.target, s.tables)
+    rp.apply_round(spark, s, copy.deepcopy(state))
+    late = order_changes(orders).withColumn("cdc_commit_ts", F.col("cdc_commit_ts") + PUBLISHED).withColumn("cdc_flag", F.lit("D"))
+    csvio.write_change_files(spark, _by_key(late), s.source, ORDERS_META, 1000, "2026-07-03")
+    csvio.write_checkpoint(spark, s.source, 3 * PUBLISHED)
+    try:
+        rp.apply_round(spark, s, copy.deepcopy(state))
+    except pg.ProgressError:
+        return rp.read_target(spark, s, FQN)
+    raise AssertionError("both writers committed")
+
+
+def q_read_while_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that is held while a round runs keeps the rows of its version."""
+    s = _lake(spark)
+    _publish(spark, s, table(spark, sf_dir, "orders"))
+    rp.replicate(spark, s, "snapshot-only")
+    held = rp.read_target(spark, s, FQN)
+    rp.replicate(spark, s, "incremental-only")
+    return held
+
+
 def q_cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _lake(spark)
     _publish(spark, s, table(spark, sf_dir, "orders"))
@@ -87,9 +117,13 @@ QUERIES = {
     "full_replication": q_full_replication,
     "cdc_stream": q_cdc_stream,
     "multi_epoch_apply": q_multi_epoch_apply,
+    "second_writer": q_second_writer,
+    "read_while_round": q_read_while_round,
 }
 
 ORACLES = {
+    "second_writer": MERGED_ORDERS_SQL,
+    "read_while_round": "SELECT * FROM orders",
     "snapshot_load": "SELECT * FROM orders",
     "full_replication": MERGED_ORDERS_SQL,
     "cdc_stream": MERGED_ORDERS_SQL,
@@ -98,6 +132,6 @@ ORACLES = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                CASE WHEN o_orderkey % 7 = 3 THEN lower(o_orderpriority) ELSE o_orderpriority END AS priority,
                CASE WHEN o_orderkey % 7 = 3 THEN 'app' ELSE 'web' END AS channel
-        FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM latest) AND (o_orderkey % 7 <> 3 OR o_orderkey % 2 = 0)
-        UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'web' FROM latest WHERE flag <> 'D'""",
+        FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM latest WHERE o_orderkey % 7 <> 3) AND (o_orderkey % 7 <> 3 OR o_orderkey % 2 = 0)
+        UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'web' FROM latest WHERE flag <> 'D' AND o_orderkey % 7 <> 3""",
 }

@@ -53,12 +53,14 @@ def _ddl_texts(spark, sf_dir):
     """One CREATE TABLE text per part."""
     k = F.col("p_partkey")
     text = F.concat(
-        F.lit("/*!40101 SET NAMES binary*/;\nCREATE TABLE `t"), k.cast("string"), F.lit("` (\n  `id` bigint"),
+        F.lit("-- exported\nCREATE TABLE `t"), k.cast("string"), F.lit("` (\n  `id` bigint"),
         F.when(k % 2 == 0, " unsigned").otherwise(""), F.lit(" NOT NULL,\n  `n` varchar("), F.col("p_size").cast("string"),
         F.lit(") DEFAULT '"), F.col("p_type"), F.lit("' COMMENT 'x, PRIMARY KEY (`n`)',\n  `price` decimal(12,2) DEFAULT NULL,\n  `at` datetime(3) DEFAULT CURRENT_TIMESTAMP(3),\n"),
-        F.when(k % 3 == 0, "  `v` bigint GENERATED ALWAYS AS (`id` + 1) VIRTUAL,\n").otherwise(""),
-        F.when(k % 7 == 0, "  `s` bigint GENERATED ALWAYS AS (`id` + 2) STORED NOT NULL,\n").otherwise(""),
+        F.when(k % 3 == 0, "  `dear` double GENERATED ALWAYS AS (`price` * 1.19) VIRTUAL,\n").otherwise(""),
+        F.when(k % 7 == 0, "  `tag` char(3) GENERATED ALWAYS AS (left(`n`, 3)) STORED NOT NULL,\n").otherwise(""),
         F.when(k % 5 == 0, "  KEY `k` (`n`)\n").otherwise("  PRIMARY KEY (`n`,`id`)\n"), F.lit(") ENGINE=InnoDB;\n"))
+    # In three layouts: a column per line, all in one line, several per line.
+    text = F.when(k % 11 == 0, F.replace(F.replace(text, F.lit("-- exported\n"), F.lit("")), F.lit("\n"), F.lit(" "))).when(k % 11 == 1, F.replace(text, F.lit(",\n  `price`"), F.lit(", `price`"))).otherwise(text)
     return table(spark, sf_dir, "part").select(F.lit("shop").alias("db"), F.concat(F.lit("t"), k.cast("string")).alias("table"), text.alias("text"))
 
 
@@ -110,8 +112,8 @@ _DDL_SQL = """
     ('n', 'varchar', CAST(p_size AS VARCHAR), '', p_partkey % 5 = 0, p_partkey % 5 <> 0, p_type, 'literal', ''),
     ('price', 'decimal', '12', '2', true, false, '-', 'none', ''),
     ('at', 'datetime', '3', '', true, false, 'CURRENT_TIMESTAMP(3)', 'expression', ''),
-    ('v', 'bigint', '', '', true, false, '-', 'none', CASE WHEN p_partkey % 3 = 0 THEN 'virtual' END),
-    ('s', 'bigint', '', '', false, false, '-', 'none', CASE WHEN p_partkey % 7 = 0 THEN 'stored' END)
+    ('dear', 'double', '', '', true, false, '-', 'none', CASE WHEN p_partkey % 3 = 0 THEN 'virtual' END),
+    ('tag', 'char', '3', '', false, false, '-', 'none', CASE WHEN p_partkey % 7 = 0 THEN 'stored' END)
   ) c(name, tp, precision, scale, nullable, is_pk, default_value, default_kind, generated), (SELECT 1 AS keep)
   WHERE generated IS NOT NULL"""
 

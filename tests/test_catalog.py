@@ -1,44 +1,25 @@
+import pytest
 from pyspark.sql import functions as F
 
 from cdclake.functions import types as ty
 from cdclake.sources import catalog, csvio, storage
 
-LEDGER = """
-/* written by the exporter */;
-CREATE TABLE `ledger` (
-  `entry_no` bigint(20) NOT NULL AUTO_INCREMENT,
-  `sum` decimal DEFAULT NULL,
-  `label` varchar(40) COLLATE utf8mb4_bin DEFAULT 'none, yet',
-  `booked` datetime DEFAULT CURRENT_TIMESTAMP,
-  `touched` timestamp(3) NOT NULL DEFAULT CURRENT_TIMESTAMP(3) ON UPDATE CURRENT_TIMESTAMP(3),
-  `scan` blob,
-  `twice` bigint GENERATED ALWAYS AS (`sum` * 2) VIRTUAL,
-  `thrice` bigint GENERATED ALWAYS AS (`sum` * 3) STORED,
-  PRIMARY KEY (`entry_no`) USING BTREE
-) ENGINE=InnoDB DEFAULT CHARSET=utf8mb4;"""
-
-TYPES = """CREATE TABLE types (
-  id bigint primary key,
-  c_mediumblob mediumblob,
-  c_longblob longblob,
-  c_bit bit(12),
-  c_json json,
-  c_set set('a,)','b''c'),
-  c_float_25 FLOAT(25) NULL,
-  c_bool BOOLEAN NULL DEFAULT TRUE,
-  c_u int(10) unsigned NOT NULL DEFAULT '7' COMMENT 'not null default primary key, as (x) stored',
-  c_decimal_unsigned decimal(65,30) unsigned
-);"""
-
-COMPOSITE = """CREATE TABLE `t``q` (
-  `a b` varchar(10) NOT NULL,
-  `B` int NOT NULL,
-  `c` int,
-  UNIQUE KEY `u` (`c`),
-  KEY `k` (`c`),
-  CONSTRAINT `x` FOREIGN KEY (`c`) REFERENCES `o` (`c`),
-  PRIMARY KEY (`B`,`a b`(5))
-);"""
+#: One statement in three layouts: each column on a line, all in one line, several per line.
+READINGS = """CREATE TABLE `readings` (
+  `station` char(4) NOT NULL,
+  `seen_on` date NOT NULL,
+  `depth` decimal(7,3) unsigned DEFAULT '0.5',
+  `remark` varchar(80) DEFAULT 'dry, (mostly); primary key (x)',
+  `stamp` datetime(6) DEFAULT CURRENT_TIMESTAMP(6),
+  `litres` double GENERATED ALWAYS AS (round(`depth` * 4, greatest(1, 2))) STORED,
+  KEY `by_remark` (`remark`(10)),
+  CONSTRAINT `main` PRIMARY KEY (`seen_on`,`station`(2) DESC)
+) ENGINE=InnoDB COMMENT='a, b (c)';"""
+LAYOUTS = [
+    READINGS,
+    " ".join(READINGS.split("\n")),
+    "-- first\r\nSET time_zone='+00:00';\r\n" + READINGS.replace(",\n  `depth`", ", `depth`").replace(",\n  `stamp`", ",`stamp`").replace("\n", "\r\n").replace("CREATE TABLE", "create table if not exists"),
+]
 
 
 def columns(spark, text, keep=False):
@@ -46,54 +27,55 @@ def columns(spark, text, keep=False):
     return {r["name"]: r for r in catalog.ddl_columns(df, keep).orderBy("ordinal").collect()}
 
 
-def test_one_table(spark):
-    cols = columns(spark, LEDGER)
-    assert list(cols) == ["entry_no", "sum", "label", "booked", "touched", "scan"]
-    assert cols["entry_no"]["is_pk"] and not cols["entry_no"]["nullable"]
-    assert (cols["sum"]["tp"], cols["sum"]["precision"], cols["sum"]["scale"]) == ("decimal", "10", "0")
-    assert (cols["label"]["default_value"], cols["label"]["default_kind"]) == ("none, yet", "literal")
-    assert cols["sum"]["default_kind"] == "none"
-    assert (cols["booked"]["default_value"], cols["booked"]["default_kind"]) == ("CURRENT_TIMESTAMP", "expression")
-    assert cols["touched"]["precision"] == "3" and cols["touched"]["default_value"] == "CURRENT_TIMESTAMP(3)"
-    assert not cols["touched"]["nullable"] and cols["scan"]["precision"] == "65535"
-    assert {n: r["generated"] for n, r in columns(spark, LEDGER, True).items() if r["generated"]} == {
-        "twice": "virtual", "thrice": "stored"}
-
-
-def test_extended_types(spark):
-    cols = columns(spark, TYPES)
-    assert cols["id"]["is_pk"] and not cols["id"]["nullable"]
-    assert cols["c_mediumblob"]["precision"] == "16777215"
-    assert cols["c_longblob"]["precision"] == "67108864"
-    assert (cols["c_bit"]["tp"], cols["c_bit"]["precision"]) == ("bit", "12")
-    assert cols["c_json"]["tp"] == "json"
-    assert cols["c_set"]["tp"] == "set" and cols["c_set"]["elems"] == ["a,)", "b'c"]
-    assert cols["c_float_25"]["tp"] == "double"
-    assert cols["c_bool"]["tp"] == "bool" and cols["c_bool"]["default_kind"] == "literal"
-    u = cols["c_u"]
-    assert (u["tp"], u["default_value"], u["nullable"], u["is_pk"], u["generated"]) == ("int unsigned", "7", False, False, "")
-    d = cols["c_decimal_unsigned"]
-    assert (d["tp"], d["precision"], d["scale"]) == ("decimal unsigned", "65", "30")
-    assert ty.spark_type(d["tp"], d["precision"], d["scale"]) == "string"
-
-
-def test_composite_key_order(spark):
-    cols = columns(spark, COMPOSITE)
-    assert list(cols) == ["a b", "B", "c"]
-    df = spark.createDataFrame([("d", "t`q", COMPOSITE)], "db string, table string, text string")
+@pytest.mark.parametrize("text", LAYOUTS)
+def test_any_layout(spark, text):
+    cols = columns(spark, text, keep=True)
+    assert [(r["name"], r["tp"], r["precision"], r["scale"], r["nullable"], r["is_pk"], r["default_value"], r["default_kind"], r["generated"]) for r in cols.values()] == [
+        ("station", "char", "4", "", False, True, None, "none", ""),
+        ("seen_on", "date", "", "", False, True, None, "none", ""),
+        ("depth", "decimal unsigned", "7", "3", True, False, "0.5", "literal", ""),
+        ("remark", "varchar", "80", "", True, False, "dry, (mostly); primary key (x)", "literal", ""),
+        ("stamp", "datetime", "6", "", True, False, "CURRENT_TIMESTAMP(6)", "expression", ""),
+        ("litres", "double", "", "", True, False, None, "none", "stored"),
+    ]
+    assert "litres" not in columns(spark, text)
+    df = spark.createDataFrame([("d", "readings", text)], "db string, table string, text string")
     (meta,) = catalog.table_metas(catalog.ddl_columns(df))
-    assert meta.pk == ("B", "a b")
+    assert meta.pk == ("seen_on", "station")
+
+
+def test_keys_in_one_line(spark):
+    key = lambda text: [n for n, r in columns(spark, text).items() if r["is_pk"]]
+    assert key("CREATE TABLE k (n bigint primary key, w int);") == ["n"]
+    assert key("CREATE TABLE k (w int, n bigint, primary key (n))") == ["n"]
+    assert list(columns(spark, "CREATE TABLE k (n bigint, w varchar(5), x enum('a,)','b''c'), y int)")) == ["n", "w", "x", "y"]
+
+
+def test_types(spark):
+    """Lengths that are implied, and types written in another way."""
+    one = lambda t: columns(spark, f"CREATE TABLE k (n int primary key, c {t})")["c"]
+    assert [(one(t)["tp"], one(t)["precision"]) for t in ("mediumblob", "tinyblob", "bit", "bit(3)")] == [("mediumblob", "16777215"), ("tinyblob", "255"), ("bit", "1"), ("bit", "3")]
+    assert one("set('p','q r','s''t')")["elems"] == ["p", "q r", "s't"]
+    assert (one("float(30)")["tp"], one("float(20)")["tp"]) == ("double", "float")
+    wide = one("numeric(50,4) zerofill")
+    assert (wide["tp"], wide["scale"], ty.spark_type(wide["tp"], wide["precision"], wide["scale"])) == ("decimal unsigned", "4", "string")
+    odd = one("smallint unsigned not null default '12' comment 'default 3 primary key as (z) stored'")
+    assert (odd["tp"], odd["default_value"], odd["nullable"], odd["is_pk"], odd["generated"]) == ("smallint unsigned", "12", False, False, "")
+
+
+@pytest.mark.parametrize("text", ["", "CREATE VIEW v AS SELECT 1", "CREATE TABLE k (n int, ???)", "CREATE TABLE k (n int"])
+def test_texts_that_are_not_understood_fail(spark, text):
+    with pytest.raises(Exception, match="no CREATE TABLE|not understood"):
+        columns(spark, text)
 
 
 def test_stored_generated(spark):
     texts = [
-        ("CREATE TABLE t(id INT PRIMARY KEY, v INT AS (id+1) VIRTUAL)", False),
-        ("CREATE TABLE t(id INT PRIMARY KEY, s INT AS (id+1) STORED)", True),
-        ("ALTER TABLE t ADD COLUMN s INT AS (id+1) STORED", True),
-        ("ALTER TABLE t ADD COLUMN s INT GENERATED ALWAYS AS (f(id, g(1))) STORED NOT NULL", True),
-        ("ALTER TABLE t ADD COLUMN ordinary INT", False),
-        ("ALTER TABLE t ADD COLUMN v INT AS (id+1) VIRTUAL, ADD COLUMN stored INT", False),
-        ("ALTER TABLE t ADD COLUMN c INT COMMENT 'as (x) stored'", False),
+        ("CREATE TABLE p (k BIGINT PRIMARY KEY, w DOUBLE AS (sqrt(k)) VIRTUAL)", False),
+        ("CREATE TABLE p (w DOUBLE AS (sqrt(k)) STORED, k BIGINT PRIMARY KEY)", True),
+        ("ALTER TABLE p ADD w CHAR(3) GENERATED ALWAYS AS (left(upper(n), 3)) STORED AFTER k", True),
+        ("ALTER TABLE p ADD stored INT, ADD w INT AS (k) VIRTUAL", False),
+        ("ALTER TABLE p MODIFY n TEXT COMMENT 'kept as (k) stored'", False),
     ]
     df = spark.createDataFrame(texts, "q string, want boolean")
     assert df.where(catalog.stored_generated(F.col("q")) != F.col("want")).collect() == []
@@ -135,8 +117,6 @@ def test_written_catalog_reads_back(spark):
 
 
 def test_bad_metadata_fails(spark):
-    import pytest
-
     for text in ["", "Pos: 0", "Pos: x", "Position: 5"]:
         df = spark.createDataFrame([("m", text)], "path string, text string")
         with pytest.raises(Exception, match="no usable Pos"):

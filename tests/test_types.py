@@ -107,9 +107,13 @@ def test_type_names(spark):
 def test_csv_contract(spark):
     root = storage.scratch_dir(spark)
     storage.write_text(spark, f"{root}/a.csv", 'x,,"",\\N,"say ""hi"""\r\n"multi\nline",b,c,"\\N",\\t\r\n')
-    rows = csvio.read_csv_text(spark, f"{root}/a.csv", list("abcde")).collect()
+    rows = csvio.read_csv_text(spark, f"{root}/a.csv", list("abcde"), line_sep="\r\n").collect()
     assert tuple(rows[0]) == ("x", "", "", None, 'say "hi"')
     assert tuple(rows[1]) == ("multi\nline", "b", "c", None, "\\t")
+    with pytest.raises(Exception, match="CR LF|(?i:malformed)"):
+        csvio.read_csv_text(spark, f"{root}/a.csv", list("abcde")).collect()
+    with pytest.raises(ValueError, match="row end"):
+        csvio.read_csv_text(spark, f"{root}/a.csv", list("abcde"), line_sep=None)
     storage.write_text(spark, f"{root}/b.csv", '"a\\"b","c"\n')
     assert tuple(csvio.read_csv_text(spark, f"{root}/b.csv", ["a", "b"], escape="\\").first()) == ('a"b', "c")
     for text in ("1,2\n", "1,2,3,4\n"):
