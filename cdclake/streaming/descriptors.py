@@ -30,6 +30,11 @@ class _Files:
 
         self.file = pafs.FileType.File
         self.selector = pafs.FileSelector
+        # Planning runs in a process of its own, without the JVM; Hadoop's names of S3 are those of one store.
+        for scheme in ("s3a://", "s3n://"):
+            root = root.replace(scheme, "s3://", 1) if root.startswith(scheme) else root
+        if root.startswith("file:"):
+            root = "/" + root.removeprefix("file:").lstrip("/")
         self.fs, self.base = (pafs.LocalFileSystem(), root) if root.startswith("/") else pafs.FileSystem.from_uri(root)
 
     def names(self, path: str) -> list[str]:

@@ -47,9 +47,17 @@ def q_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvio.read_snapshot(spark, f"{root}/snapshot/web.documents.*.csv", DOCUMENTS_META, line_sep="\n")
 
 
-def q_cdc_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_source(spark: SparkSession, sf_dir: str) -> str:
     root = storage.scratch_dir(spark)
     csvio.write_change_files(spark, order_changes(table(spark, sf_dir, "orders")), root, ORDERS_META, 100, "2026-07-01")
+    return root
+
+
+def q_cdc_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned_changes(spark, change_source(spark, sf_dir))
+
+
+def scanned_changes(spark: SparkSession, root: str) -> DataFrame:
     rows = csvio.read_changes(spark, f"{root}/increment/shop/orders/100/2026-07-01/CDC*.csv", list(ORDERS_META.columns), line_sep="\n", after=CHECKPOINT)
     return rows.select(
         F.col("cdc_flag").alias("flag"), F.col("cdc_commit_ts").cast("bigint").alias("ts"),

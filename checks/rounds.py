@@ -41,20 +41,31 @@ def _publish(spark: SparkSession, s: rp.Settings, orders: DataFrame) -> None:
     csvio.write_checkpoint(spark, s.source, PUBLISHED)
 
 
-def q_snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot_source(spark: SparkSession, sf_dir: str) -> rp.Settings:
     s = _lake(spark)
     csvio.write_snapshot(spark, table(spark, sf_dir, "orders"), s.source, ORDERS_META, CHECKPOINT, "gzip")
-    rp.replicate(spark, s, "snapshot-only")
-    return rp.read_target(spark, s, FQN)
+    return s
 
 
-def q_full_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
+def whole_source(spark: SparkSession, sf_dir: str) -> rp.Settings:
     s = _lake(spark)
     _publish(spark, s, table(spark, sf_dir, "orders"))
-    rp.replicate(spark, s, "all")
+    return s
+
+
+def replicated(spark: SparkSession, s: rp.Settings, mode: str) -> DataFrame:
+    rp.replicate(spark, s, mode)
     return rp.read_target(spark, s, FQN)
 
 
+def q_snapshot_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replicated(spark, snapshot_source(spark, sf_dir), "snapshot-only")
+
+
+def q_full_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replicated(spark, whole_source(spark, sf_dir), "all")
+
+
 def q_second_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rounds from one state, the second with more changes: the first one's commit is the result."""
     orders = table(spark, sf_dir, "orders")
