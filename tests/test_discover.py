@@ -41,64 +41,64 @@ def schema(spark, root, *versions):
 
 
 def test_cursor_and_new_epoch(spark, root):
-    schema(spark, root, 100, 120)
-    index(spark, root, 100, "2026-07-01", 3)
-    index(spark, root, 120, "2026-07-01", 2)
-    pending, ranges, _ = plan(spark, root, 110, 100, {"100/0/CDC": ("2026-07-01", 1)})
-    assert pending == [120] and ranges == [(100, 0, "2026-07-01", 2, 3), (120, 0, "2026-07-01", 1, 2)]
+    schema(spark, root, 4300, 4420)
+    index(spark, root, 4300, "2025-03-04", 3)
+    index(spark, root, 4420, "2025-03-04", 2)
+    pending, ranges, _ = plan(spark, root, 4360, 4300, {"4300/0/CDC": ("2025-03-04", 1)})
+    assert pending == [4420] and ranges == [(4300, 0, "2025-03-04", 2, 3), (4420, 0, "2025-03-04", 1, 2)]
 
 
 def test_baseline_has_no_schema_entry(spark, root):
-    schema(spark, root, 90, 100)
-    index(spark, root, 100, "2026-07-01", 1)
-    index(spark, root, 90, "2026-07-01", 1)
-    assert plan(spark, root, 100)[1:] == ([(100, 0, "2026-07-01", 1, 1)], [(100, "baseline")])
+    schema(spark, root, 4210, 4300)
+    index(spark, root, 4300, "2025-03-04", 1)
+    index(spark, root, 4210, "2025-03-04", 1)
+    assert plan(spark, root, 4300)[1:] == ([(4300, 0, "2025-03-04", 1, 1)], [(4300, "baseline")])
 
 
 def test_versions_below_the_watermark_are_stale(spark, root):
-    schema(spark, root, 80, 90, 100)
-    assert plan(spark, root, 100, 100)[2] == [(100, "current")]
+    schema(spark, root, 4180, 4210, 4300)
+    assert plan(spark, root, 4300, 4300)[2] == [(4300, "current")]
 
 
 def test_no_upper_bound(spark, root):
-    schema(spark, root, 100, 150)
-    index(spark, root, 150, "2026-07-01", 2)
-    assert plan(spark, root, 110, 100)[:2] == ([150], [(150, 0, "2026-07-01", 1, 2)])
+    schema(spark, root, 4300, 4510)
+    index(spark, root, 4510, "2025-03-04", 2)
+    assert plan(spark, root, 4360, 4300)[:2] == ([4510], [(4510, 0, "2025-03-04", 1, 2)])
 
 
 def test_watermark_beyond_checkpoint(spark, root):
-    schema(spark, root, 120)
-    index(spark, root, 120, "2026-07-01", 1)
-    assert plan(spark, root, 100, 120)[:2] == ([], [(120, 0, "2026-07-01", 1, 1)])
+    schema(spark, root, 4420)
+    index(spark, root, 4420, "2025-03-04", 1)
+    assert plan(spark, root, 4300, 4420)[:2] == ([], [(4420, 0, "2025-03-04", 1, 1)])
 
 
-@pytest.mark.parametrize("partition", [None, 55])
+@pytest.mark.parametrize("partition", [None, 12])
 def test_dates_before_the_active_one(spark, root, partition):
-    schema(spark, root, 100)
-    index(spark, root, 100, "2026-06-29", 5, partition)
-    index(spark, root, 100, "2026-06-30", 2, partition)
-    cursors = {f"100/{partition or 0}/CDC": ("2026-06-30", 1)}
-    assert plan(spark, root, 110, 100, cursors)[1] == [(100, partition or 0, "2026-06-30", 2, 2)]
+    schema(spark, root, 4300)
+    index(spark, root, 4300, "2025-02-27", 5, partition)
+    index(spark, root, 4300, "2025-02-28", 2, partition)
+    cursors = {f"4300/{partition or 0}/CDC": ("2025-02-28", 1)}
+    assert plan(spark, root, 4360, 4300, cursors)[1] == [(4300, partition or 0, "2025-02-28", 2, 2)]
 
 
 def test_missing_current_schema(spark, root):
-    schema(spark, root, 100)
+    schema(spark, root, 4300)
     with pytest.raises(Exception, match="applied version"):
-        plan(spark, root, 110, 105)
+        plan(spark, root, 4360, 105)
 
 
 def test_index_of_another_kind_fails(spark, root):
-    schema(spark, root, 100)
-    index(spark, root, 100, "2026-07-01", 1, text="CDC_3f2504e0_000001.csv")
+    schema(spark, root, 4300)
+    index(spark, root, 4300, "2025-03-04", 1, text="CDC_3f2504e0_000001.csv")
     with pytest.raises(Exception, match="unsupported index file"):
-        plan(spark, root, 110, 100)
+        plan(spark, root, 4360, 4300)
 
 
 def test_numeric_table_name(spark):
-    df = spark.createDataFrame([("s3://b/increment/db/5/100/2026-07-01/meta/CDC.index", "CDC000010.csv"),
-                                ("s3://b/increment/db/5/100/7/2026-07-01/meta/CDC.index", " CDC3.csv\n")], "path string, text string")
+    df = spark.createDataFrame([("s3://b/increment/db/5/4300/2025-03-04/meta/CDC.index", "CDC000010.csv"),
+                                ("s3://b/increment/db/5/4300/7/2025-03-04/meta/CDC.index", " CDC3.csv\n")], "path string, text string")
     got = {(r["table"], int(r["version"]), r["partition"], r["idx"], r["width"]) for r in discover.index_rows(df).collect()}
-    assert got == {("5", 100, 0, 10, 6), ("5", 100, 7, 3, 1)}
+    assert got == {("5", 4300, 0, 10, 6), ("5", 4300, 7, 3, 1)}
 
 
 def test_file_count_and_expansion(spark):
