@@ -9,12 +9,14 @@ link between different sets is lost: components are exact.
    that counts tokens by bucket, then by hash. The sketch only decides how much work
    there is. Sets that link have a token in common among the first (1 - percent/100) of
    each, so only these are shuffled, and tokens that no two classes share go at once.
-3. **Groups.** Along each token the other documents are compared with the one of the
-   smallest id; the links that hold partition the documents into groups of similar ones.
+3. **Groups.** Along each token the other documents are compared with one leader; the
+   links that hold partition the documents into groups of similar ones. Where opening
+   what is left would take over ``WORK`` pairs per row, other leaders follow.
 4. **Matrix.** The union of a group's tokens is stored per set size: (token, group, size,
    best position). For a query group and another, a shared token bounds the overlap of
    any two members by what follows its position in both; only group pairs that can still
-   qualify are opened, and only members within the bound are compared.
+   qualify are opened, and only members within the bound are compared: first by the
+   common ones of their first tokens, then by their texts.
 5. The links of both steps give the components.
 
 Ids: rows that share an id are one document. A null id counts as one larger than all others, and
@@ -37,6 +39,8 @@ from cdclake.llm.components import components
 GRAM, PERCENT = 3, 90
 #: Buckets of the frequency sketch, and the share of documents from which a token is called frequent.
 SKETCH_BITS, FREQUENT = 20, 1 / 4000
+#: Member pairs that may be opened per row of shared tokens before more leaders are tried.
+WORK = 4
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +66,7 @@ def _bucket(tokens: np.ndarray) -> np.ndarray:
 
 def _counted(batches: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.RecordBatch]:
     """Sketch of one task: counts of the buckets in which the task has frequent tokens."""
+    common.working("jaccard")
     counts, docs = np.zeros(1 << SKETCH_BITS, np.int64), 0
     for batch in batches:
         for part in common.slices(batch):
@@ -144,10 +149,36 @@ def _can_link(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> C
     return (most * (100 + percent) >= percent * (n1 + n2)) & (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
 
 
-def _links(pairs: DataFrame, texts: DataFrame, gram: int, percent: int, folder: str) -> DataFrame:
+def _pairs(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
+    pairs = pairs.distinct()
+    return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+
+
+def _matrix(placed: DataFrame, percent: int, folder: str) -> tuple[DataFrame, int]:
+    """Group pairs (token, g1, n1, g2, n2) that can still have a link, and how many member pairs opening them takes."""
+    c = F.col
+    matrix = placed.groupBy("token", "g", "n").agg(F.min("pos").alias("pos"), F.count("*").alias("m"))
+    several = matrix.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
+    matrix = common.written(matrix.join(several, "token"), f"{folder}/rows")
+    one, two = matrix.alias("x"), matrix.alias("y")
+    open_ = one.join(two, (c("x.token") == c("y.token")) & (c("x.g") < c("y.g")) & _can_link(c("x.n"), c("x.pos"), c("y.n"), c("y.pos"), percent))
+    open_ = open_.select(c("x.token").alias("token"), c("x.g").alias("g1"), c("x.n").alias("n1"), c("y.g").alias("g2"), c("y.n").alias("n2"), (c("x.m") * c("y.m")).alias("m"))
+    open_ = common.written(open_, f"{folder}/open")
+    return open_.drop("m"), open_.agg(F.sum("m")).first()[0] or 0
+
+
+def _links(pairs: DataFrame, heads: DataFrame, texts: DataFrame, gram: int, percent: int, folder: str) -> DataFrame:
+    """The pairs (a, b) that link. Their first tokens bound the overlap: of two sets, the one whose
+    last first-token comes earlier has all of its common tokens among those, or behind them."""
+    for side in ("a", "b"):
+        pairs = pairs.join(heads.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"t_{side}")), side)
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    most = F.size(F.array_intersect("t_a", "t_b")) + F.greatest(n_a - F.size("t_a"), n_b - F.size("t_b"))
+    fit = (most * (100 + percent) >= percent * (n_a + n_b)) & (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
+    pairs = common.written(pairs.where(fit).select("a", "b").distinct(), f"{folder}/bounded")
     with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-    return common.written(with_b.mapInArrow(lambda x: _verified(x, gram, percent), "a long, b long"), folder)
+    return common.written(with_b.mapInArrow(lambda x: _verified(x, gram, percent), "a long, b long"), f"{folder}/verified")
 
 
 def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,39 +192,48 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str
 
     # Classes of equal sets; their members need no comparison.
     classes = common.written(sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), f"{folder}/classes")
-    copies = sets.where("n > 0").join(classes, ["h1", "h2", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
+    copies = sets.where("n > 0").join(classes, ["h1", "h2", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"), "h1").distinct()
     copies = common.written(copies, f"{folder}/copies")
-    reps = sets.where("n > 0").join(copies.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
+    reps = sets.where("n > 0").join(copies.select(F.col("a").alias("id"), "h1"), ["id", "h1"], "left_anti")
 
     # First tokens that two or more classes share.
     rows = reps.select("id", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = rows.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "id long, n long, pos int, token long")
     shared = common.written(shared, f"{folder}/shared")
-    texts = common.written(own.join(shared.select("id").distinct(), "id", "left_semi"), f"{folder}/texts")
-
-    # Groups: along each token, all against the smallest id.
-    leaders = shared.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("l"))
-    stars = shared.join(leaders, "token").where((F.col("id") != F.col("l.id")) & _can_link(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), percent))
-    stars = common.written(stars.select(F.col("l.id").alias("a"), F.col("id").alias("b")).distinct(), f"{folder}/stars")
-    links = _links(stars, texts, gram, percent, f"{folder}/star_links")
-    groups = components(links, f"{folder}/groups")
-
-    # The matrix, and the group pairs that it leaves to be opened.
-    placed = common.written(shared.join(groups, "id", "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("g")), f"{folder}/placed")
-    matrix = placed.groupBy("token", "g", "n").agg(F.min("pos").alias("pos"))
-    split_ = matrix.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
-    matrix = common.written(matrix.join(split_, "token"), f"{folder}/matrix")
-    one, two = matrix.alias("x"), matrix.alias("y")
+    ids = shared.select("id").distinct()
+    texts = common.written(own.join(ids, "id", "left_semi"), f"{folder}/texts")
+    heads = common.written(sets.join(ids, "id", "left_semi").select("id", "n", "tokens"), f"{folder}/heads")
+
+    # Groups: along each token, all against one leader; other leaders where too much would be left to open.
+    links, tried, step, before = None, None, 0, float("inf")
+    placed = shared.withColumn("g", F.col("id"))
+    while True:
+        at = f"{folder}/{step}"
+        leaders = placed.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(step)).alias("by") if step else F.col("id").alias("by"), "id", "n", "pos", "g")).alias("l"))
+        stars = placed.join(leaders, "token").where((F.col("g") != F.col("l.g")) & _can_link(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), percent))
+        stars = _pairs(stars.select(F.least("l.id", "id").alias("a"), F.greatest("l.id", "id").alias("b")), tried)
+        stars = common.written(stars, f"{at}/stars")
+        found = _links(stars, heads, texts, gram, percent, at)
+        some = found.limit(1).count()
+        links = found if links is None else common.written(links.unionByName(found), f"{at}/links")
+        tried = stars if tried is None else common.written(tried.unionByName(stars), f"{at}/tried")
+        placed = shared.join(components(links, f"{at}/groups"), "id", "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("g"))
+        placed = common.written(placed, f"{at}/placed")
+        open_, work = _matrix(placed, percent, f"{at}/matrix")
+        step += 1
+        if not some or work <= WORK * placed.count() or work > before * 3 / 4:
+            break
+        before = work
+
+    # Only the members of group pairs that the matrix leaves are compared.
     c = F.col
-    open_ = one.join(two, (c("x.token") == c("y.token")) & (c("x.g") < c("y.g")) & _can_link(c("x.n"), c("x.pos"), c("y.n"), c("y.pos"), percent))
-    open_ = open_.select(c("x.token").alias("token"), c("x.g").alias("g1"), c("x.n").alias("n1"), c("y.g").alias("g2"), c("y.n").alias("n2"))
     left = placed.select("token", c("g").alias("g1"), c("n").alias("n1"), c("id").alias("a"), c("pos").alias("p1"))
     right = placed.select("token", c("g").alias("g2"), c("n").alias("n2"), c("id").alias("b"), c("pos").alias("p2"))
     pairs = open_.join(left, ["token", "g1", "n1"]).join(right, ["token", "g2", "n2"]).where(_can_link(c("n1"), c("p1"), c("n2"), c("p2"), percent))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = _links(common.written(pairs, f"{folder}/pairs"), texts, gram, percent, f"{folder}/more_links")
+    pairs = _pairs(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), tried)
+    more = _links(common.written(pairs, f"{folder}/pairs"), heads, texts, gram, percent, f"{folder}/more")
 
-    every = links.unionByName(more).unionByName(copies)
+    every = links.unionByName(more).unionByName(copies.drop("h1"))
     found = components(every, f"{folder}/components")
     return sets.join(found, "id", "left").select(
         common.id_value("id").alias("doc_id"), F.col("n").alias("n_shingles"), common.id_value("component").alias("c"), "id", "component").select(
