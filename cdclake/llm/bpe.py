@@ -23,7 +23,7 @@ from cdclake.llm.pretokens import Vocabulary, pieces, vocabulary
 
 NONE = np.int64(2**62)
 #: Pre-tokens that a worker remembers at most; then it starts anew.
-KNOWN = 600_000
+KNOWN = 300_000
 #: Symbols in all trees that are worked on side by side.
 TOGETHER = 1 << 16
 
@@ -261,6 +261,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     common.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.working("bpe", byte_pairs.cache_clear)
         coder = byte_pairs(path)
         for batch in batches:
             for part in common.slices(batch):

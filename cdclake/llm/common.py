@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 NO_ID = 2**63 - 1
 
 #: Texts of a batch are worked on in slices of about this many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def scratch(spark: SparkSession) -> str:
@@ -48,7 +48,21 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+#: What a worker keeps between tasks, by operator, and how to let go of it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def working(operator: str, release: Callable[[], None] | None = None) -> None:
+    """Called at a task's begin: a worker is reused by other operators' tasks, and what those keep goes first."""
+    for other, let_go in list(_kept.items()):
+        if other != operator:
+            let_go()
+            del _kept[other]
+    if release is not None:
+        _kept[operator] = release
+
+
+def small_batches(spark: SparkSession, rows: int = 400) -> None:
     """Long texts need small Arrow batches; a smaller setting of the user stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))

@@ -30,8 +30,8 @@ from cdclake.llm.pretokens import word_vocabulary
 
 SIZE = 2048
 OPEN_BINS = 512
-#: Words whose ids a worker remembers at most; then it starts anew.
-KNOWN_WORDS = 600_000
+#: Words, and parts of words, whose ids a worker remembers at most; then it starts anew.
+KNOWN_WORDS, KNOWN_PARTS = 250_000, 120_000
 #: The words' pattern in that file, for characters on which both pattern languages agree.
 MATCHES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u024f]+")
@@ -108,7 +108,7 @@ class WordIds:
             else:
                 odd.append((w, text))
         pairs = self.pairs
-        if len(pairs.known) > KNOWN_WORDS:
+        if len(pairs.known) > KNOWN_PARTS:
             pairs.known.clear()
         pairs.learn(list(set().union(*plain.values()).difference(pairs.known)))
         self.known.update((w, b"".join([pairs.known[x] for x in own])) for w, own in plain.items())
@@ -149,6 +149,7 @@ def pack(docs: DataFrame, path: str, size: int = SIZE, open_bins: int = OPEN_BIN
     common.small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.working("pack", _release)
         task, made = TaskContext.get().partitionId(), 0
         ids, bins = _words(path, end_id), BestFit(size, open_bins)
         ready: list[tuple[int, list, bool]] = []
@@ -206,6 +207,11 @@ def _repack(batches: Iterator[pa.RecordBatch], size: int, open_bins: int) -> Ite
     yield rows(bins.rest())
 
 
+def _release() -> None:
+    for cached in (_words, _library, word_vocabulary):
+        cached.cache_clear()
+
+
 @functools.cache
 def _words(path: str, end_id: int) -> WordIds:
     return WordIds(path, end_id)

@@ -90,6 +90,7 @@ def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     common.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.working("quality")
         for batch in batches:
             for part in common.slices(batch):
                 m = measure(*common.utf8(part.column("text")))

@@ -98,6 +98,7 @@ def _later(key: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _parse(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """All factors of all texts, keyed by their anchor; those with an earlier copy in the slice are settled."""
+    common.working("substring")
     for batch in batches:
         for part in common.slices(batch):
             text, first, n, anchor, factor = factors(words.split(*common.utf8(part.column("text"))), window, gram)

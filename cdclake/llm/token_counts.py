@@ -200,6 +200,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     common.small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.working("token_counts", transducer.cache_clear)
         machine = transducer(path)
         for batch in batches:
             for part in common.slices(batch):

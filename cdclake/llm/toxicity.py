@@ -11,7 +11,7 @@ bounds them at any size of corpus. It learns from at most ``SAMPLE`` labelled ro
 
 Null and empty texts score by the bias alone. Rows without a label, null labels and
 rows kept out of the fit never reach it; a document that occurs twice is learnt once.
-Without any label the score is 0.5 for all, and nothing is predicted toxic.
+Without any label the score is 0 for all.
 """
 
 from __future__ import annotations
@@ -76,6 +76,7 @@ def sigmoid(x: float) -> float:
 
 def _fit(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Weights that aren't zero, from rows (doc_id, label, places) in order."""
+    common.working("toxicity")
     seen, rows = set(), []
     for batch in batches:
         for doc, label, raw in zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), batch.column("places").to_pylist()):
@@ -117,6 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BI
 
 
 def _scores(part: pa.RecordBatch, table: np.ndarray, bits: int) -> np.ndarray:
+    if not table.any():
+        return np.zeros(part.num_rows)
     where, at = features(*common.utf8(part.column("text")), bits)
     some = np.flatnonzero((table[at] != 0) & (at > 0))
     both = np.unique(where[some] << bits | at[some])
@@ -137,11 +140,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = BIT
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.working("toxicity")
         table = _table(sent.value, bits)
         for batch in batches:
             for part in common.slices(batch):
                 s = _scores(part, table, bits)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s), pa.array((s >= CUT) & table.any()).cast(pa.int32())], ["doc_id", "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s), pa.array(s >= CUT).cast(pa.int32())], ["doc_id", "score", "predicted"])
 
     return common.texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, predicted int")
 
@@ -153,10 +157,11 @@ def clean(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = BIT
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.working("toxicity")
         table = _table(sent.value, bits)
         for batch in batches:
             for part in common.slices(batch):
-                keep = (_scores(part, table, bits) < CUT) | (not table.any())
+                keep = _scores(part, table, bits) < CUT
                 yield part.select(["row"]).filter(pa.array(keep))
 
     own = common.with_row(docs, text=F.coalesce(F.col(text_col).cast("string"), F.lit("")))

@@ -99,7 +99,7 @@ def test_toxicity_learns_only_from_the_fit_rows(spark):
     a, b = (toxicity.learnt(docs, spark.createDataFrame(x, "doc_id long, toxic int")) for x in (labels, turned))
     assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
     none = toxicity.scored(docs, docs, spark.createDataFrame([], "doc_id long, toxic int"))
-    assert {(r.score, r.predicted) for r in none.collect()} == {(0.5, 0)}
+    assert {(r.score, r.predicted) for r in none.collect()} == {(0.0, 0)}
 
 
 def test_html_layout():
