@@ -23,7 +23,7 @@ from cdclake.llm.pretokens import Vocabulary, pieces, vocabulary
 
 NONE = np.int64(2**62)
 #: Pre-tokens that a worker remembers at most; then it starts anew.
-KNOWN = 300_000
+KNOWN = 600_000
 #: Symbols in all trees that are worked on side by side.
 TOGETHER = 1 << 16
 

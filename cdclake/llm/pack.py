@@ -31,7 +31,7 @@ from cdclake.llm.pretokens import word_vocabulary
 SIZE = 2048
 OPEN_BINS = 512
 #: Words, and parts of words, whose ids a worker remembers at most; then it starts anew.
-KNOWN_WORDS, KNOWN_PARTS = 250_000, 120_000
+KNOWN_WORDS, KNOWN_PARTS = 600_000, 600_000
 #: The words' pattern in that file, for characters on which both pattern languages agree.
 MATCHES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u024f]+")
