@@ -4,7 +4,8 @@ A document's set is its distinct ``gram``-word shingles, as 64-bit hashes. Two l
 100 * common >= percent * union. The result has no pairs of a group of copies, but no
 link between different sets is lost: components are exact.
 
-1. **Classes.** Documents with equal sets are one class, of which the smallest id goes on.
+1. **Classes.** Documents with equal sets are one class, of which one text goes on. The
+   graph's nodes are the classes; ids are attached to its components afterwards.
 2. **Order.** All tokens have one order: rare before frequent, by a sketch of fixed size
    that counts tokens by bucket, then by hash. The sketch only decides how much work
    there is. Sets that link have a token in common among the first (1 - percent/100) of
@@ -19,9 +20,11 @@ link between different sets is lost: components are exact.
    common ones of their first tokens, then by their texts.
 5. The links of both steps give the components.
 
-Ids: rows that share an id are one document. A null id counts as one larger than all others, and
-such rows as one document, whose component is the smallest id or null. Texts without words
-have an empty set and no link. Repeated rows are in one class.
+Ids: a null id counts as larger than all others; a component is named by its smallest id, or
+null. With ``merge_ids=False`` (the registered query and the pipeline) rows are linked by their
+texts alone, whatever their ids. With ``merge_ids=True`` rows that share an id are one document
+besides, as are all rows with a null id, and so bridge what their texts link to. Texts without
+words have an empty set and no link. Repeated rows are in one class.
 """
 
 from __future__ import annotations
@@ -103,7 +106,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch], gram: int, percent: int, level:
             place = np.arange(len(text)) - np.repeat(first[:-1], n)
             chosen = tokens[order][place < np.repeat(take, n)].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(take)).astype(np.int32)), pa.array(chosen))
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists], ["id", "n", "h1", "h2", "tokens"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists], ["id", "t", "n", "h1", "h2", "tokens"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,28 +184,32 @@ def _links(pairs: DataFrame, heads: DataFrame, texts: DataFrame, gram: int, perc
     return common.written(with_b.mapInArrow(lambda x: _verified(x, gram, percent), "a long, b long"), f"{folder}/verified")
 
 
-def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row."""
+def _text(text_col: str) -> Column:
+    return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+
+def _linked(docs: DataFrame, gram: int, percent: int, id_col: str, text_col: str, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The set of each row (id, t, n, h1, h2; ``t`` is the text's hash), the classes (node, h1, h2, n,
+    and id and t of their first row), and the links (a, b) between nodes."""
     spark = docs.sparkSession
     common.small_batches(spark)
-    folder = common.scratch(spark)
-    own = docs.select(common.id_key(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    own = docs.select(common.id_key(id_col).alias("id"), _text(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
     level = spark.sparkContext.broadcast(frequent(own, gram))
-    sets = common.written(own.mapInArrow(lambda b: _set_rows(b, gram, percent, level.value), "id long, n long, h1 long, h2 long, tokens array<long>"), f"{folder}/sets")
+    sets = common.written(own.mapInArrow(lambda b: _set_rows(b, gram, percent, level.value), "id long, t long, n long, h1 long, h2 long, tokens array<long>"), f"{folder}/sets")
 
-    # Classes of equal sets; their members need no comparison.
-    classes = common.written(sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), f"{folder}/classes")
-    copies = sets.where("n > 0").join(classes, ["h1", "h2", "n"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"), "h1").distinct()
-    copies = common.written(copies, f"{folder}/copies")
-    reps = sets.where("n > 0").join(copies.select(F.col("a").alias("id"), "h1"), ["id", "h1"], "left_anti")
+    # Classes of equal sets; their members need no comparison. Nodes are numbered once, as the table is written.
+    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "t", "tokens")).alias("first"))
+    classes = common.written(classes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "n", "first.*"), f"{folder}/classes")
 
     # First tokens that two or more classes share.
-    rows = reps.select("id", "n", F.posexplode("tokens").alias("pos", "token"))
+    nodes = classes.select(F.col("node").alias("id"), "n", "tokens")
+    rows = nodes.select("id", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = rows.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "id long, n long, pos int, token long")
     shared = common.written(shared, f"{folder}/shared")
     ids = shared.select("id").distinct()
-    texts = common.written(own.join(ids, "id", "left_semi"), f"{folder}/texts")
-    heads = common.written(sets.join(ids, "id", "left_semi").select("id", "n", "tokens"), f"{folder}/heads")
+    firsts = classes.join(ids.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "id", "t")
+    texts = common.written(own.join(firsts, ["id", "t"]).select(F.col("node").alias("id"), "text"), f"{folder}/texts")
+    heads = common.written(nodes.join(ids, "id", "left_semi"), f"{folder}/heads")
 
     # Groups: along each token, all against one leader; other leaders where too much would be left to open.
     links, tried, step, before = None, None, 0, float("inf")
@@ -233,15 +240,46 @@ def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str
     pairs = _pairs(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), tried)
     more = _links(common.written(pairs, f"{folder}/pairs"), heads, texts, gram, percent, f"{folder}/more")
 
-    every = links.unionByName(more).unionByName(copies.drop("h1"))
-    found = components(every, f"{folder}/components")
-    return sets.join(found, "id", "left").select(
-        common.id_value("id").alias("doc_id"), F.col("n").alias("n_shingles"), common.id_value("component").alias("c"), "id", "component").select(
-        "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("c")).alias("component_id"))
+    return sets, classes.drop("tokens"), links.unionByName(more)
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings: int) -> DataFrame:
-    """The rows of each component's smallest id, once each, with all columns. Rows without an id go only if they link to one that has."""
-    found = join(docs, id_col=id_col, text_col=text_col, **settings)
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(ids, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates([id_col, text_col])
+def _firsts(found: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes that have links, with their component; and the first row (id, t) of each such component."""
+    own = found.join(classes.select(F.col("node").alias("at"), F.struct("id", "t").alias("first")), F.col("id") == F.col("at"))
+    return own.select(F.col("at").alias("node"), "component"), own.groupBy("component").agg(F.min("first").alias("first"))
+
+
+def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", merge_ids: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row."""
+    folder = common.scratch(docs.sparkSession)
+    sets, classes, links = _linked(docs, gram, percent, id_col, text_col, folder)
+    key = ["h1", "h2", "n"]
+    full = sets.where("n > 0")
+    if merge_ids:  # the classes of an id's rows are linked to the least one
+        of_id = full.join(classes.select(*key, "node"), key).select("id", "node").distinct()
+        least = of_id.groupBy("id").agg(F.min("node").alias("a"))
+        links = links.unionByName(of_id.join(least, "id").where("node <> a").select("a", F.col("node").alias("b")))
+    nodes, firsts = _firsts(components(links, f"{folder}/components"), classes)
+    named = nodes.join(firsts, "component").select("node", F.col("first.id").alias("least"))
+    named = classes.join(named, "node", "left").select(*key, F.coalesce("least", "id").alias("component"))
+    if merge_ids:
+        found = full.join(named, key).select("id", "component").distinct()
+        out = sets.join(found, "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+    else:
+        out = full.join(named, key).select("id", "n", "component").unionByName(sets.where("n = 0").select("id", "n", F.col("id").alias("component")))
+    return out.select(common.id_value("id").alias("doc_id"), F.col("n").alias("n_shingles"), common.id_value("component").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", merge_ids: bool = True, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """One row per component with ``merge_ids=False``: that of the smallest id, with all columns. Else the
+    rows of the smallest id, once each; rows without an id go only if they link to one that has."""
+    if merge_ids:
+        found = join(docs, gram, percent, id_col, text_col)
+        ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+        return docs.join(ids, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates([id_col, text_col])
+    folder = common.scratch(docs.sparkSession)
+    sets, classes, links = _linked(docs, gram, percent, id_col, text_col, folder)
+    nodes, firsts = _firsts(components(links, f"{folder}/components"), classes)
+    kept = firsts.select("first.*").unionByName(classes.join(nodes, "node", "left_anti").select("id", "t")).unionByName(sets.where("n = 0").select("id", "t"))
+    kept = kept.select(F.col("id").alias("kept_id"), F.col("t").alias("kept_text"))
+    return docs.join(kept, (common.id_key(id_col) == F.col("kept_id")) & (F.xxhash64(_text(text_col)) == F.col("kept_text")), "left_semi").dropDuplicates([id_col, text_col])

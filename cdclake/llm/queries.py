@@ -56,7 +56,7 @@ def op9_substring_dedup(spark, sf_dir):
 
 
 def op10_ngram_jaccard(spark, sf_dir):
-    return jaccard.join(_table(spark, sf_dir, "documents"))
+    return jaccard.join(_table(spark, sf_dir, "documents"), merge_ids=False)
 
 
 QUERIES = {f.__name__: f for f in (

@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of similar ones."""
-    return jaccard.one_per_group(docs, gram=NEAR_WORDS, percent=NEAR_PERCENT)
+    return jaccard.one_per_group(docs, gram=NEAR_WORDS, percent=NEAR_PERCENT, merge_ids=False)
 
 
 def shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

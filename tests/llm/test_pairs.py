@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from cdclake.llm import common, components, jaccard, substring
 from tests.llm.cases import documents, frame, rows_of
 
@@ -113,6 +114,20 @@ def test_one_per_group(spark):
     assert jaccard.join(frame(spark, [])).count() == 0 and jaccard.one_per_group(frame(spark, [])).count() == 0
 
 
+def test_ids_do_not_link_texts(spark):
+    """Rows without an id, and rows that repeat an id, link by their texts only."""
+    text = lambda x: " ".join(f"{x}{i}" for i in range(30))
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (None, None), (3, text("a")), (4, text("b")),
+            (5, text("d")), (5, text("e")), (6, text("d")), (7, text("e").upper()), (7, text("e").upper()), (8, text("f"))]
+    df = frame(spark, rows)
+    got = rows_of(jaccard.join(df, merge_ids=False))
+    assert got == sorted([(None, 28, 3), (None, 28, 4), (None, 28, None), (None, 0, None), (3, 28, 3), (4, 28, 4), (5, 28, 5), (5, 28, 5), (6, 28, 5), (7, 28, 5), (7, 28, 5), (8, 28, 8)], key=repr)
+    kept = rows_of(corpus_pipeline.near_copies(spark, df, "").select("doc_id", "text"))
+    assert kept == sorted([rows[k] for k in (2, 3, 4, 5, 6, 7, 11)], key=repr)
+    rows = [(1000 * k + 1, t) for k, (_, t) in enumerate(near(12, 20))]  # every id once: as with merged ids
+    assert rows_of(jaccard.join(frame(spark, rows), merge_ids=False)) == sorted(brute_jaccard(rows), key=repr)
+
+
 def test_components(spark):
     r = random.Random(13)
     edges = [(i, i + 1) for i in range(0, 60) if i % 20] + [(500, 500 + i) for i in range(40)] + [(r.randrange(1000, 1400), r.randrange(1000, 1400)) for _ in range(150)] + [(7, 7)]
