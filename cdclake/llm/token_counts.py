@@ -12,11 +12,13 @@ longest entry, so there are finitely many states. The transition by a byte carri
 how many the token count changes (a merge can take counts back). Transitions are
 compiled when first met, and flushed when the table is full.
 
-**Chunks.** The bytes of many texts are cut into chunks. A chunk maps its entry state to
-its exit state and count; a pre-token's begin resets the state, so most chunks map all
-entries to one exit. Chunks are followed side by side, one byte each per step, from
-the exit assumed of the chunk before; the maps are composed by a prefix scan, and the
-few whose entry was assumed wrongly are followed once more from the right one.
+**Chunks.** The bytes of many texts are cut into chunks, which are followed side by side,
+one byte each per step, from one assumed entry state: that after up to ``CHUNK`` bytes
+before the chunk. Chunks whose entry was not their predecessor's exit are followed again
+from the right one, until none is left. No maps from all entry states are built and no
+scan composes them: a pre-token's begin resets the state, so an entry is almost always
+known or right. The price is that a wrong entry travels one chunk per round, so one
+pre-token of k chunks can take k rounds.
 
 Null texts count as empty; repeated rows stay; every text is counted whole.
 """
