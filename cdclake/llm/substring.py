@@ -1,4 +1,4 @@
-"""Exact substring deduplication by relative Lempel-Ziv parsing against indexed reference blocks.
+"""Exact substring deduplication by content-defined chunks looked up in indexed blocks, in place of relative Lempel-Ziv parsing.
 
 A word goes if a window of ``window`` words that covers it also starts earlier: in a
 document with a smaller id, or before in the same one.
@@ -9,8 +9,8 @@ earlier copy lie in one block of the reference, the one that holds its anchor's
 A block is a sorted index of all documents' factors with its anchors, and every
 document meets every block in which any part of it could be found.
 
-**Factors.** A document is parsed greedily: a factor takes in windows as long as they have
-the same anchor. A factor that occurs earlier in its block as a whole is a duplicate
+**Factors.** A document is cut without looking at a block: a factor takes in windows as long
+as they have the same anchor; it is no longest match. A factor that occurs earlier in its block as a whole is a duplicate
 span. So shared passages become spans factor by factor, and copies are never paired.
 
 **Boundaries.** Where an anchor has several different factors, as at both ends of a shared
