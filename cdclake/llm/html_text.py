@@ -2,10 +2,13 @@
 
 **Tree.** Tags that HTML lets authors leave out are implied: a new item, row, cell, option
 or paragraph ends the open one; a table's or list's end ends what is open in it; void
-elements have no end; content of script-like elements is no markup.
+elements have no end; content of script-like elements is no markup. Within svg and math
+a tag may close itself, and HTML's own elements end the drawing or formula.
 
 **Visibility.** Head, scripts, styles, templates and embedded media are hidden, as are
-elements with ``hidden``, ``display:none``, ``visibility:hidden`` and hidden inputs.
+elements with ``hidden``, ``display:none``, ``visibility:hidden`` and hidden inputs. What is
+``visibility:visible`` within the latter is shown. Formulas are shown without their
+annotations; of drawings, the text elements and foreign objects.
 
 **Layout.** White space collapses but in ``pre``. Blocks begin on lines of their own,
 paragraphs and headings with an empty line between, list items with a marker and
@@ -30,8 +33,12 @@ from cdclake.llm import common
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes title object audio video canvas datalist svg math".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes title object audio video canvas datalist annotation annotation-xml".split())
 IN_HEAD = frozenset("base link meta title style script noscript template head html".split())
+#: Elements of svg that are not drawn where they stand, those of svg and math with HTML in them, and those of HTML that end both.
+UNDRAWN = frozenset("defs symbol clippath mask pattern marker desc metadata".split())
+HTML_INSIDE = {"svg": frozenset("foreignobject desc title".split()), "math": frozenset("mi mo mn ms mtext".split())}
+ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 BLOCKS = frozenset("address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table ul body caption tr".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl table figure".split())
 LISTS, CELLS, ROW_GROUPS = frozenset(["ul", "ol", "menu"]), frozenset(["td", "th"]), frozenset(["thead", "tbody", "tfoot"])
@@ -53,15 +60,18 @@ _PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)\s*/?>")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)|(?=>)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GONE = re.compile(r"display\s*:\s*none|content-visibility\s*:\s*hidden", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    """``inner`` is svg or math if that is what tags inside belong to; ``shows``, whether something inside is visibility:visible."""
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    __slots__ = ("tag", "attributes", "children", "inner", "shows")
+
+    def __init__(self, tag: str, attributes: dict[str, str], inner: str = ""):
+        self.tag, self.attributes, self.children, self.inner, self.shows = tag, attributes, [], inner, False
 
 
 def _attributes(page: str, at: int) -> tuple[dict[str, str], int]:
@@ -102,18 +112,32 @@ def build(page: str) -> Node:
         if cut is not None:
             pop_to(cut)
 
-    def start(tag: str, attributes: dict[str, str]) -> None:
+    def start(tag: str, attributes: dict[str, str], closed: bool = False) -> None:
+        if stack[-1].inner and tag in ENDS_FOREIGN:
+            depth = len(stack)
+            while stack[depth - 1].inner:
+                depth -= 1
+            pop_to(depth)
         if opened["head"] and tag not in IN_HEAD:
             end_implied(frozenset(["head"]), frozenset())
         if tag in ("html", "body"):
             return
-        if tag in IMPLIED:
+        outer = stack[-1].inner
+        if tag in IMPLIED and not outer:
             end_implied(*IMPLIED[tag])
-        if tag in BLOCKS and opened["p"]:
+        if tag in BLOCKS and opened["p"] and not outer:
             end_implied(frozenset(["p"]), SCOPE)
-        node = Node(tag, attributes)
+        inner = tag if tag in HTML_INSIDE else "" if outer and tag in HTML_INSIDE[outer] else outer
+        if tag == "annotation-xml" and attributes.get("encoding", "").lower() in ("text/html", "application/xhtml+xml"):
+            inner = ""
+        node = Node(tag, attributes, inner)
         stack[-1].children.append(node)
-        if tag not in VOID:
+        if visibility(node) == "visible":
+            for above in reversed(stack):
+                if above.shows:
+                    break
+                above.shows = True
+        if tag not in VOID and not (closed and (outer or inner)):
             stack.append(node)
             opened[tag] += 1
 
@@ -142,6 +166,11 @@ def build(page: str) -> Node:
             text(page[at:])
             break
         text(page[at:mark])
+        if stack[-1].inner and page.startswith("<![CDATA[", mark):
+            stop = page.find("]]>", mark)
+            stack[-1].children.append(page[mark + 9:len(page) if stop < 0 else stop])
+            at = len(page) if stop < 0 else stop + 3
+            continue
         if page.startswith("<!--", mark):
             stop = page.find("-->", mark + 4)
             at = len(page) if stop < 0 else stop + 3
@@ -164,10 +193,11 @@ def build(page: str) -> Node:
         if m[1]:
             end(tag)
             continue
-        start(tag, attributes)
+        foreign = bool(stack[-1].inner)
+        start(tag, attributes, page.endswith("/>", mark, at))
         if tag == "pre" and page.startswith("\n", at):
             at += 1
-        if tag in RAW:
+        if tag in RAW and not foreign:
             stop = _RAW_END[tag].search(page, at)
             inner = page[at:stop.start() if stop else len(page)]
             stack[-1].children.append(html.unescape(inner) if tag in ("textarea", "title") else inner)
@@ -300,25 +330,45 @@ def _span(node: Node, name: str) -> int:
     return min(1000, max(1, int(value))) if value.isascii() and value.isdigit() and len(value) < 6 else 1
 
 
-def visible(node: Node) -> bool:
+def visibility(node: Node) -> str:
+    """Its own visibility, or an empty text if it is inherited."""
+    style = node.attributes.get("style")
+    found = _VISIBILITY.findall(style) if style else None
+    return found[-1].lower() if found else ""
+
+
+def gone(node: Node) -> bool:
     a = node.attributes
-    return not (node.tag in HIDDEN or "hidden" in a or _INVISIBLE.search(a.get("style", "")))
+    return node.tag in HIDDEN or "hidden" in a or bool(_GONE.search(a.get("style", "")))
 
 
 def render(root: Node) -> str:
     """The laid-out text of a tree."""
     flows, grids, counts, pre = [Flow()], [], [], 0
-    todo: list[tuple[Node | str, bool]] = [(root, False)]
+    # With each node: whether it inherits visibility:hidden, and whether it is in svg outside of (0) or in (1) a text element.
+    todo: list[tuple[Node | str, bool, bool, int | None]] = [(root, False, False, None)]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, hidden, drawn = todo.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            (flow.literal if pre else flow.text)(node)
+            if not hidden and drawn != 0:
+                (flow.literal if pre else flow.text)(node)
             continue
         tag = node.tag
         if not leaving:
-            if not visible(node):
+            if gone(node) or drawn is not None and tag in UNDRAWN:
+                continue
+            own = visibility(node)
+            hidden = own != "visible" if own else hidden
+            if hidden and not node.shows:
                 continue
+            if tag == "svg":
+                drawn = 0
+            elif tag == "foreignobject":
+                drawn = None
+            elif tag == "text" and drawn == 0:
+                drawn = 1
+                flow.text(" ")
             if tag == "br":
                 flow.break_line()
                 continue
@@ -341,8 +391,8 @@ def render(root: Node) -> str:
                 grids[-1].row()
             elif tag == "pre":
                 pre += 1
-            todo.append((node, True))
-            todo += [(child, False) for child in reversed(node.children)]
+            todo.append((node, True, hidden, drawn))
+            todo += [(child, False, hidden, drawn) for child in reversed(node.children)]
             continue
         if tag in LISTS:
             counts.pop()
@@ -353,6 +403,7 @@ def render(root: Node) -> str:
                 mark = "- " if not counts or counts[-1] is None else f"{counts[-1]}. "
                 if counts and counts[-1] is not None:
                     counts[-1] += 1
+                mark = " " * len(mark) if hidden else mark
                 lines = lines or [""]
             flows[-1].block([((mark if i == 0 and tag == "li" else " " * len(mark)) + x).rstrip() for i, x in enumerate(lines)])
         elif tag in CELLS:
@@ -366,6 +417,8 @@ def render(root: Node) -> str:
             flows[-1].block(loose + grids.pop().lines())
         elif tag == "pre":
             pre -= 1
+        elif tag == "text" and drawn:
+            flow.text(" ")
         if tag in BLOCKS:
             flows[-1].before(1 if tag in SPACED or (tag in LISTS and not counts) else 0)
     return "\n".join(flows[0].done())

@@ -121,3 +121,24 @@ def test_html_odd_pages(spark):
     assert [got[i] for i in range(len(cases))] == list(cases.values())
     assert got[99] == "" and got[None] == "n" and html_text.extract(df).count() == len(cases) + 3
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+def test_html_drawings_formulas_and_visibility(spark):
+    cases = {
+        '<body><p>a</p><svg class="i"/><p>b</p><math/>c': "a\n\nb\n\nc",
+        "a <svg viewBox='0 0 1 1'><path d='M0'/><g><circle r=1 /></g></svg> b": "a b",
+        "a<svg><title>no</title><style/><script/><defs><text>no</text></defs>no<text>x<tspan>y</tspan></text><text>z</text></svg>b": "a xy z b",
+        "<svg><g/><foreignObject><p>in<b/>side</p></foreignObject>no</svg>out": "inside\n\nout",
+        "<svg><text><![CDATA[1 < 2]]></text></svg>": "1 < 2",
+        "<svg><path><p>unclosed": "unclosed",
+        "so <math><semantics><mrow><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation></semantics></math> holds": "so x=2 holds",
+        "<p/>a<div/>b": "a\n\nb",
+        "a <span style='visibility:hidden'>no <b style='visibility: visible'>yes <i style='visibility:hidden'>no</i></b> no</span> b": "a yes b",
+        "<ul style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ul>": "- yes",
+        "<div style='display:none'><b style='visibility:visible'>no</b></div>a": "a",
+        "<i style='backface-visibility:hidden'>a</i>": "a",
+        "<svg>" + "<g>" * 5000 + "<text>deep": "deep",
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "page_id long, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
