@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.llm import bpe, html_text, jaccard, media, pack, quality, substring, token_counts, toxicity, warc
+from cdclake.llm import bpe, cluster, embed, html_text, jaccard, media, pack, quality, substring, token_counts, toxicity, trie, warc
 
 
 def vocabulary_file(name: str) -> str:
@@ -59,7 +59,21 @@ def op10_ngram_jaccard(spark, sf_dir):
     return jaccard.join(_table(spark, sf_dir, "documents"), merge_ids=False)
 
 
+def op11_embedding_near_dedup(spark, sf_dir):
+    return embed.link(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return cluster.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_token_counts, op3_html_extraction, op4_toxicity, op5_byte_pairs,
-    op6_quality_rules, op7_media_columns, op8_warc, op9_substring_dedup, op10_ngram_jaccard)}
-ORACLES: dict[str, str] = {"op6_quality_rules": quality.ORACLE}
+    op6_quality_rules, op7_media_columns, op8_warc, op9_substring_dedup, op10_ngram_jaccard, op11_embedding_near_dedup,
+    op12_prefix_trie, op13_centroid_clustering)}
+ORACLES: dict[str, str] = {
+    "op6_quality_rules": quality.ORACLE, "op11_embedding_near_dedup": embed.ORACLE, "op12_prefix_trie": trie.ORACLE, "op13_centroid_clustering": cluster.oracle()}
