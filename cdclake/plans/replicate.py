@@ -1,15 +1,20 @@
 """Snapshot load and incremental rounds.
 
-A round reads the checkpoint, finds new files, turns them into at most one
-merge per table, and then appends a single progress row for all tables. That
-row makes the round visible; before it nothing is. What a writer leaves that did
-not commit is never read, and goes with a later vacuum.
+A round reads the checkpoint, finds new files, and turns them into at most one
+merge per table. Each table commits when its merge is done, and is visible from
+then on; when all have, the checkpoint moves on. If a table fails, jobs of the
+others are cancelled, what was committed stands, and the next round finishes the
+rest. What a writer leaves that did not commit is never read, and goes with a
+later vacuum.
 """
 
 from __future__ import annotations
 
 import copy
-from concurrent.futures import ThreadPoolExecutor
+import threading
+import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 
 from pyspark import InheritableThread
@@ -49,6 +54,14 @@ class Settings:
     keep_old_files: bool = False
     # Newest progress rows that are kept singly; older ones are put together.
     keep_progress: int = 1000
+    # Write changes as runs that reads merge, instead of writing touched buckets anew.
+    deltas: bool = False
+    # Runs of a level that are put together into one of the next.
+    runs: int = 4
+    # Share of a table's bytes that runs may take before they are folded into its buckets.
+    fold: float = 0.25
+    # Split buckets that have grown; a number of buckets given above stays.
+    split_buckets: bool = True
 
 
 @dataclass
@@ -74,29 +87,50 @@ def split_fqn(fqn: str) -> tuple[str, str]:
     return db, table
 
 
-def _each_table(settings: Settings, work) -> list:
-    """Run ``work(fqn)`` for all tables side by side; the first error is raised."""
+class Cancelled(RuntimeError):
+    """Another table failed."""
+
+
+def _each_table(spark: SparkSession, settings: Settings, work: Callable[[str, Callable[[], None]], object]) -> list:
+    """Run ``work(fqn, alive)`` for all tables side by side.
+
+    When one fails, Spark jobs of the others are cancelled by their tag, ``alive`` raises where
+    they are between jobs, and tables that have not begun don't. The first error is raised once all have ended.
+    """
+    tag, stop, errors = f"cdclake-{uuid.uuid4().hex}", threading.Event(), []
+
+    def alive() -> None:
+        if stop.is_set():
+            raise Cancelled("another table failed")
+
+    def one(fqn: str):
+        try:
+            spark.sparkContext.addJobTag(tag)
+            alive()
+            return work(fqn, alive)
+        except BaseException as e:  # noqa: BLE001 - raised below
+            if not stop.is_set():
+                errors.append(e)
+                stop.set()
+
     with ThreadPoolExecutor(max(1, min(settings.parallel_tables, len(settings.tables)))) as pool:
-        return list(pool.map(_inherit(work), settings.tables))
+        futures = [pool.submit(_inherit(one), t) for t in settings.tables]
+        while wait(futures, timeout=0.2).not_done:
+            if stop.is_set():  # again and again: a table may be about to submit a job
+                spark.sparkContext.cancelJobsWithTag(tag)
+    if errors:
+        raise errors[0]
+    return [f.result() for f in futures]
 
 
 def _inherit(work):
     """Carry the caller's job group and scheduler pool into worker threads."""
     def run(arg):
-        box = {}
-
-        def body():
-            try:
-                box["value"] = work(arg)
-            except BaseException as e:  # noqa: BLE001 - handed to the caller
-                box["error"] = e
-
-        t = InheritableThread(target=body)
+        box = []
+        t = InheritableThread(target=lambda: box.append(work(arg)))
         t.start()
         t.join()
-        if "error" in box:
-            raise box["error"]
-        return box["value"]
+        return box[0]
 
     return run
 
@@ -119,15 +153,20 @@ def snapshot_metas(spark: SparkSession, settings: Settings) -> dict[str, TableMe
 
 
 def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -> pg.Progress:
-    """Replace all target tables by the snapshot and commit its timestamp."""
+    """Replace all target tables by the snapshot, each in a commit of its own, and commit its timestamp.
+
+    Tables that an earlier, unfinished attempt loaded from the same snapshot are not loaded again.
+    """
     if not storage.exists(spark, f"{settings.source}/snapshot/metadata"):
         half = catalog.has_files(spark, f"{settings.source}/snapshot")
         raise ValueError("snapshot is not complete: no metadata file" if half else "no snapshot")
     commit_ts = catalog.read_snapshot_commit_ts(spark, settings.source)
     metas = snapshot_metas(spark, settings)
-    batch = state.batch + 1
 
-    def load(fqn: str) -> pg.TableProgress:
+    def load(fqn: str, alive: Callable[[], None]) -> pg.TableProgress:
+        before = state.tables.get(fqn, pg.TableProgress())
+        if before.snapshot_ts == commit_ts:
+            return before  # an earlier attempt has loaded this table
         meta = metas[fqn]
         kept = select_meta(meta, settings.selectors)
         stem = storage.literal(f"{settings.source}/snapshot/{escape_text(meta.db)}.{escape_text(meta.table)}")
@@ -139,13 +178,16 @@ def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -
         else:
             rows = no_rows(spark, meta.ddl())
         rows = rows.select(*[F.col(quote(n)) for n in kept.names])
-        version = tg.new_version(batch)
+        version = tg.new_version(before.batch + 1)
         tg.write_version(spark, rows, tg.location(settings.target, meta.db, meta.table), version, list(meta.pk), buckets)
-        return pg.TableProgress(meta=kept, buckets=buckets, live=[version] * buckets)
-
-    loaded = _each_table(settings, load)
-    nxt = pg.Progress(batch, commit_ts, True, dict(zip(settings.tables, loaded)))
-    pg.commit(spark, settings.target, state, nxt)
+        alive()
+        nxt = pg.TableProgress(meta=kept, buckets=buckets, live=[version] * buckets, checkpoint_ts=commit_ts, snapshot_ts=commit_ts)
+        pg.commit(spark, settings.target, fqn, before, nxt)
+        return nxt
+
+    loaded = _each_table(spark, settings, load)
+    nxt = pg.Progress(state.batch + 1, commit_ts, True, dict(zip(settings.tables, loaded)))
+    pg.advance(spark, settings.target, state, nxt)
     return nxt
 
 
@@ -229,10 +271,11 @@ def _check_columns(fqn: str, epoch: _Epoch, meta: TableMeta) -> None:
 
 
 def _apply_table(
-    spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epoch], state: pg.Progress, batch: int,
+    spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epoch], state: pg.Progress, alive: Callable[[], None],
 ) -> tuple[pg.TableProgress, int, dict[str, int]]:
     """Bring one table forward; returns its progress, file count and row counts."""
     table = copy.deepcopy(state.tables[fqn])
+    batch = table.batch + 1
     ranges = _ranges(spark, settings, fqn, epochs, table)
     if not ranges and not any(e.status == "pending" for e in epochs):
         return table, 0, {}
@@ -286,42 +329,56 @@ def _apply_table(
             table.cursors[key] = max(table.cursors.get(key, ("", 0)), (r["date"], r["end_idx"]))
 
     if table.dropped:
-        table.live, table.buckets = [], 0
+        table.live, table.buckets, table.deltas = [], 0, []
         return table, files, {}
     pk = list(table.meta.pk)
     if not table.buckets:
         table.buckets = settings.buckets or tg.MIN_BUCKETS
         table.live = [-1] * table.buckets
     if truncated:
-        table.live, table.hidden, rewrite = [-1] * table.buckets, [], False
+        table.live, table.hidden, table.deltas, rewrite = [-1] * table.buckets, [], [], False
 
     if not changes and not rewrite:
         return table, files, {}
 
     counts: dict[str, int] = {}
     version = tg.new_version(batch)
+    purpose = f"round {version}"
     latest, touched = None, list(range(table.buckets))
+    alive()
     if changes:
         rows = changes[0]
         for c in changes[1:]:
             rows = rows.unionByName(c, allowMissingColumns=True)
-        latest, touched = _stage(spark, rows, base, version, table, pk)
+        as_run = settings.deltas and not plans and not rewrite
+        path = f"{base}/{tg.DELTA}={version}" if as_run else f"{base}/_staging/{version}"
+        latest, touched = _stage(spark, rows, base, path, table, pk, purpose)
+        if as_run:
+            if touched:
+                table.deltas.append(pg.Delta(version, 0, tg.folder_bytes(spark, path)))
+                alive()
+                _settle(spark, settings, base, table, batch, purpose)
+            tg.release(spark, base, purpose)
+            return table, files, counts
     if rewrite:
         touched = list(range(table.buckets))
+    if touched and table.deltas:
+        touched = _with_runs(spark, base, table, touched)
     if not touched:
         return table, files, counts
     only = touched if len(touched) < table.buckets else None
+    alive()
 
     # Stored rows are read in the schema they were written in, then evolved.
     if rewrite and stored is not None:
-        current = tg.read_live(spark, base, stored, table.buckets, table.live, only, purpose="round")
+        current = _current(spark, base, stored, table, only, purpose)
         for plan in plans:
             current = ev.evolve(current, plan)
         if _key_types(stored) != _key_types(table.meta):
             # Another key type hashes to other buckets.
             current = current.repartition(table.buckets, *[F.col(quote(k)) for k in pk])
     else:
-        current = tg.read_live(spark, base, table.meta, table.buckets, table.live, only, purpose="round")
+        current = _current(spark, base, table.meta, table, only, purpose)
     if latest is not None:
         if ev.ERROR_COLUMN in current.columns and ev.ERROR_COLUMN not in latest.columns:
             latest = latest.withColumn(ev.ERROR_COLUMN, F.lit(None).cast("string"))
@@ -331,25 +388,127 @@ def _apply_table(
         current = merge_changes(current, latest, pk, observation=seen)
     current = ev.assert_evolved(current)
     tg.write_version(spark, current, base, version, pk, table.buckets, distributed=True)
-    tg.release(spark, base, "round")
+    tg.release(spark, base, purpose)
     if latest is not None:
         counts = {k: int(v) for k, v in seen.get.items()}
     for b in touched:
         table.live[b] = version
+    table.deltas = []
     if rewrite:
         table.hidden = []
     return table, files, counts
 
 
+# --------------------------------------------------------------------------
+# Runs of changes, and buckets that grow
+# --------------------------------------------------------------------------
+
+def _with_runs(spark: SparkSession, base: str, table: pg.TableProgress, touched: list[int]) -> list[int]:
+    """These buckets and all that runs have changes of: a run is folded into all of its buckets or none."""
+    found = {b for d in table.deltas for b in tg.buckets_in(spark, f"{base}/{tg.DELTA}={d.version}")}
+    return sorted(found | set(touched))
+
+
+def _current(spark: SparkSession, base: str, meta: TableMeta, table: pg.TableProgress, only: list[int] | None, purpose: str) -> DataFrame:
+    """Current rows of all or some buckets: the buckets' files, merged with the runs on top of them."""
+    rows = tg.read_live(spark, base, meta, table.buckets, table.live, only, purpose=purpose)
+    if not table.deltas:
+        return rows
+    newest = tg.read_deltas(spark, base, meta, table.buckets, [d.version for d in table.deltas], only, purpose)
+    return merge_changes(rows, newest, list(meta.pk))
+
+
+def _fold(spark: SparkSession, base: str, table: pg.TableProgress, batch: int, purpose: str) -> None:
+    """Write the buckets that runs have changes of anew, without the runs."""
+    touched = _with_runs(spark, base, table, [])
+    version = tg.new_version(batch)
+    only = touched if len(touched) < table.buckets else None
+    tg.write_version(spark, _current(spark, base, table.meta, table, only, purpose), base, version, list(table.meta.pk), table.buckets, distributed=True)
+    for b in touched:
+        table.live[b] = version
+    table.deltas = []
+
+
+def _settle(spark: SparkSession, settings: Settings, base: str, table: pg.TableProgress, batch: int, purpose: str) -> None:
+    """Put the newest runs of a level together once there are enough; fold all once they outweigh their share.
+
+    A change is so written once a level, and the levels grow with the logarithm of the changes.
+    """
+    if sum(d.bytes for d in table.deltas) > settings.fold * tg.stored_bytes(spark, base, table.live):
+        _fold(spark, base, table, batch, purpose)
+        return
+    while len(table.deltas) >= settings.runs:
+        level = table.deltas[-1].level
+        same = [d for d in table.deltas if d.level == level]
+        if len(same) < settings.runs:
+            return
+        version = tg.new_version(batch)
+        path = f"{base}/{tg.DELTA}={version}"
+        pk = list(table.meta.pk)
+        tg.write_bucketed(spark, tg.read_deltas(spark, base, table.meta, table.buckets, [d.version for d in same], purpose=purpose), path, pk, table.buckets)
+        table.deltas = [d for d in table.deltas if d.level != level] + [pg.Delta(version, level + 1, tg.folder_bytes(spark, path))]
+
+
+def _maintain(spark: SparkSession, settings: Settings, fqn: str, work: Callable[[str, pg.TableProgress, int, str], bool]) -> bool:
+    """Rearrange a table's files in a commit of its own; its rows stay what they are."""
+    before = pg.load_table(spark, settings.target, fqn)
+    if before.dropped or before.meta is None or not before.buckets:
+        return False
+    table, base = copy.deepcopy(before), tg.location(settings.target, *split_fqn(fqn))
+    purpose = f"round {uuid.uuid4().hex}"
+    with tg.sorted_buckets(spark):
+        done = work(base, table, before.batch + 1, purpose)
+    tg.release(spark, base, purpose)
+    if done:
+        pg.commit(spark, settings.target, fqn, before, table)
+    return done
+
+
+def compact(spark: SparkSession, settings: Settings, fqn: str) -> bool:
+    """Fold all runs of a table into its buckets; says whether there were any."""
+    def work(base: str, table: pg.TableProgress, batch: int, purpose: str) -> bool:
+        if table.deltas:
+            _fold(spark, base, table, batch, purpose)
+            return True
+        return False
+
+    return _maintain(spark, settings, fqn, work)
+
+
+def rebucket(spark: SparkSession, settings: Settings, fqn: str, factor: int = 2) -> bool:
+    """Split every bucket b of n into b, b + n, ...: the stored hash tells which, so nothing is shuffled.
+
+    A task reads one bucket with its runs and writes ``factor`` of them.
+    """
+    def work(base: str, table: pg.TableProgress, batch: int, purpose: str) -> bool:
+        version, pk, n = tg.new_version(batch), list(table.meta.pk), table.buckets * factor
+        tg.write_version(spark, _current(spark, base, table.meta, table, None, purpose), base, version, pk, n, distributed=True)
+        table.buckets, table.live, table.deltas = n, [version] * n, []
+        return True
+
+    if factor < 2:
+        raise ValueError("buckets are split into two or more")
+    return _maintain(spark, settings, fqn, work)
+
+
+def _grown(spark: SparkSession, settings: Settings, fqn: str, table: pg.TableProgress) -> int:
+    """By how much a table's buckets should be split: a power of two, 1 for not at all."""
+    if settings.buckets or not settings.split_buckets or not table.buckets:
+        return 1
+    size, factor = tg.stored_bytes(spark, tg.location(settings.target, *split_fqn(fqn)), table.live), 1
+    while size > tg.SPLIT_BYTES * table.buckets * factor:
+        factor *= 2
+    return factor
+
+
 def _stage(
-    spark: SparkSession, changes: DataFrame, base: str, version: int, table: pg.TableProgress, pk: list[str],
+    spark: SparkSession, changes: DataFrame, base: str, path: str, table: pg.TableProgress, pk: list[str], purpose: str,
 ) -> tuple[DataFrame, list[int]]:
-    """Write the newest change per key, bucketed like the target.
+    """Write the newest change per key under ``path``, bucketed like the target.
 
     The files are read once and shuffled once. What the merge needs to know in
     advance, the touched buckets, is in the names of the staged files.
     """
-    path = f"{base}/_staging/{version}"
     keep = ["cdc_flag", *table.meta.names] + ([ev.ERROR_COLUMN] if ev.ERROR_COLUMN in changes.columns else [])
     newest = latest_change(changes, pk)
     newest = newest.select(*[F.col(quote(c)) for c in keep])
@@ -358,7 +517,7 @@ def _stage(
     # Otherwise every bucket lies within one shuffle partition of the ranking.
     tg.write_bucketed(spark, newest, path, pk, table.buckets)
     ddl = f"cdc_flag string, {table.meta.ddl()}" + (f", {ev.ERROR_COLUMN} string" if len(keep) > len(table.meta.names) + 1 else "")
-    staged = tg.read_bucketed(spark, path, ddl, pk, table.buckets, purpose="round")
+    staged = tg.read_bucketed(spark, path, ddl, pk, table.buckets, purpose=purpose)
     return staged, tg.buckets_in(spark, path)
 
 
@@ -370,54 +529,71 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
     action = "absent" if published is None else "behind" if published < state.checkpoint_ts else "stuck" if published == state.checkpoint_ts else "run"
     if action != "run":
         return RoundResult(action, state.batch, state.checkpoint_ts), state
-    batch = state.batch + 1
     epochs = _epochs(spark, settings, state)
+
+    def work(fqn: str, alive: Callable[[], None]):
+        before = state.tables[fqn]
+        table, files, rows = _apply_table(spark, settings, fqn, epochs[fqn], state, alive)
+        table.checkpoint_ts = published
+        if vars(table) | {"checkpoint_ts": 0} != vars(before) | {"checkpoint_ts": 0}:
+            alive()
+            pg.commit(spark, settings.target, fqn, before, table)
+        return table, files, rows
+
     with tg.sorted_buckets(spark):
-        results = _each_table(settings, lambda fqn: _apply_table(spark, settings, fqn, epochs[fqn], state, batch))
-    nxt = pg.Progress(batch, published, state.snapshot_finished, {t: r[0] for t, r in zip(settings.tables, results)})
-    pg.commit(spark, settings.target, state, nxt)
-    pg.archive(spark, settings.target, max(settings.keep_progress, settings.keep_commits))
-    _drop_staged(spark, settings, batch)
-    if not settings.keep_old_files:
-        vacuum(spark, settings)
+        results = _each_table(spark, settings, work)
+    tables = {t: r[0] for t, r in zip(settings.tables, results)}
+    nxt = pg.Progress(state.batch + 1, min([t.checkpoint_ts for t in tables.values()], default=published), state.snapshot_finished, tables)
+    pg.advance(spark, settings.target, state, nxt)
     active = [t for t, r in zip(settings.tables, results) if r[1] or r[0].watermark != state.tables[t].watermark]
+    for fqn in active:
+        factor = _grown(spark, settings, fqn, tables[fqn])
+        if factor > 1 and rebucket(spark, settings, fqn, factor):
+            tables[fqn] = pg.load_table(spark, settings.target, fqn)
+    pg.archive(spark, settings.target, settings.tables, max(settings.keep_progress, settings.keep_commits))
+    _drop_staged(spark, settings, tables)
+    if not settings.keep_old_files:
+        vacuum(spark, settings, tables=active)
     return RoundResult(
-        "run", batch, published, active_tables=len(active), loaded_files=sum(r[1] for r in results),
+        "run", nxt.batch, published, active_tables=len(active), loaded_files=sum(r[1] for r in results),
         rows={t: r[2] for t, r in zip(settings.tables, results) if r[2]},
     ), nxt
 
 
-def _drop_staged(spark: SparkSession, settings: Settings, batch: int) -> None:
-    """Delete what was staged for this batch or an earlier one."""
+def _drop_staged(spark: SparkSession, settings: Settings, tables: dict[str, pg.TableProgress]) -> None:
+    """Delete what was staged for commits that are made, or earlier ones."""
     gone = []
-    for fqn in settings.tables:
+    for fqn, table in tables.items():
         home = f"{tg.location(settings.target, *split_fqn(fqn))}/_staging"
-        gone += [f"{home}/{n}" for n in storage.list_names(spark, home) if n.isdigit() and int(n) >> tg.ATTEMPT_BITS <= batch]
+        gone += [f"{home}/{n}" for n in storage.list_names(spark, home) if n.isdigit() and int(n) >> tg.ATTEMPT_BITS <= table.batch]
     storage.delete_all(spark, gone)
 
 
-def vacuum(spark: SparkSession, settings: Settings, keep_commits: int | None = None) -> None:
-    """Delete files that none of the newest ``keep_commits`` commits needs."""
+def vacuum(spark: SparkSession, settings: Settings, keep_commits: int | None = None, tables: list[str] | None = None) -> None:
+    """Delete files of tables (of all, if none are named) that none of their newest ``keep_commits`` commits needs."""
     keep = settings.keep_commits if keep_commits is None else keep_commits
-    newest = pg.newest_batch(spark, settings.target)
-    oldest, live = pg.recent_live(spark, settings.target, keep)
-    for fqn in settings.tables:
-        if fqn in live:
+    for fqn in settings.tables if tables is None else tables:
+        kept = pg.recent_tables(spark, settings.target, fqn, keep)
+        if kept:
             # Older attempts that failed go, too; the newest batch may still have another writer.
-            tg.vacuum(spark, tg.location(settings.target, *split_fqn(fqn)), live[fqn], min(oldest, newest))
+            runs = {d.version for t in kept for d in t.deltas}
+            tg.vacuum(spark, tg.location(settings.target, *split_fqn(fqn)), [t.live for t in kept], kept[0].batch, runs)
 
 
 def read_target(spark: SparkSession, settings: Settings, fqn: str, state: pg.Progress | None = None) -> DataFrame:
     """Rows of a target table as of the newest commit, or of ``state``.
 
     The reader keeps the version that it was planned with: later rounds neither change it nor
-    take its files away for ``keep_commits`` commits; after that it fails.
+    take its files away for ``keep_commits`` commits; after that it fails. Where runs of changes
+    lie on top of the buckets, both are merged without a shuffle; only that makes catalog entries.
     """
-    state = state or pg.load(spark, settings.target, settings.tables)
-    t = state.tables[fqn]
+    t = pg.load_table(spark, settings.target, fqn) if state is None else state.tables[fqn]
     if t.dropped or t.meta is None:
         raise ValueError(f"table {fqn} does not exist in the target")
-    return tg.read_live(spark, tg.location(settings.target, *split_fqn(fqn)), t.meta, t.buckets, t.live, bucketed=False)
+    base = tg.location(settings.target, *split_fqn(fqn))
+    if t.deltas:
+        return _current(spark, base, t.meta, t, None, "read")
+    return tg.read_live(spark, base, t.meta, t.buckets, t.live, bucketed=False)
 
 
 def replicate(spark: SparkSession, settings: Settings, mode: str = "all", rounds: int = 1) -> list[RoundResult]:

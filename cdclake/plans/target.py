@@ -7,6 +7,9 @@ folder, and one that loses the race for a commit has spoiled nothing.
 Because the layout is Spark's own bucketing, a merge never shuffles the target:
 the changes are shuffled once, to the same buckets, and joined in place. Only
 buckets that hold changed keys are read and written again.
+
+``cdclake_delta=<n>/`` holds a run of changes, the newest one per key with its flag, in the
+same buckets and order. Reads merge the runs and the buckets, again without a shuffle.
 """
 
 from __future__ import annotations
@@ -15,8 +18,9 @@ import contextlib
 import hashlib
 import re
 import secrets
+import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdclake.functions.names import escape_text
@@ -24,14 +28,16 @@ from cdclake.functions.types import TableMeta, quote
 from cdclake.sources import storage
 from cdclake.sources.local import no_rows
 
-VERSION = "cdclake_version"
+VERSION, DELTA = "cdclake_version", "cdclake_delta"
 _SCAN_ORDER = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 _FILE_BUCKET = re.compile(r"_([0-9]+)([.]c[0-9]+)?[.][^/]*$")
 # Source bytes per bucket: a bucket is one sort-merge task, which may spill.
 BYTES_PER_BUCKET = 256 << 20
 MIN_BUCKETS = 8
-# Text of gzip files is several times larger.
+# Text of gzip files is several times larger. What a table really takes is measured later, and splits its buckets.
 GZIP_RATIO = 4
+# Stored bytes per bucket from which buckets are split.
+SPLIT_BYTES = 128 << 20
 
 
 def bucket_count(source_bytes: int, shuffle_partitions: int = 1) -> int:
@@ -51,12 +57,22 @@ def sorted_buckets(spark: SparkSession):
     Bucket files are sorted by key, so the merge join then needs no sort of the
     target. Spark checks itself that each bucket is one file.
     """
-    before = spark.conf.get(_SCAN_ORDER)
-    spark.conf.set(_SCAN_ORDER, "true")
+    with _ordered["lock"]:
+        if not _ordered["depth"]:
+            _ordered["before"] = spark.conf.get(_SCAN_ORDER)
+            spark.conf.set(_SCAN_ORDER, "true")
+        _ordered["depth"] += 1
     try:
         yield
     finally:
-        spark.conf.set(_SCAN_ORDER, before)
+        with _ordered["lock"]:
+            _ordered["depth"] -= 1
+            if not _ordered["depth"]:
+                spark.conf.set(_SCAN_ORDER, _ordered["before"])
+
+
+# Rounds of several threads share the session's setting.
+_ordered: dict = {"lock": threading.Lock(), "depth": 0, "before": None}
 
 
 def bucket_of(pk: list[str], buckets: int):
@@ -113,24 +129,24 @@ def release(spark: SparkSession, path: str, purpose: str) -> None:
 
 
 def _open(
-    spark: SparkSession, path: str, columns: str, partitions: list[int], pk: list[str], buckets: int, purpose: str,
+    spark: SparkSession, path: str, columns: str, partitions: list[int], pk: list[str], buckets: int, purpose: str, by: str = VERSION,
 ) -> str:
     """Catalog entry for a bucketed folder, partitioned by version if asked to.
 
     With ``buckets=0`` the files are taken as they are.
     """
-    name = _handle(f"{path}#{columns}#{pk}#{buckets}#{partitions}#{purpose}")
+    name = _handle(f"{path}#{columns}#{pk}#{buckets}#{by}{partitions}#{purpose}")
     _handles.setdefault((path, purpose), set()).add(name)
     if spark.catalog.tableExists(name):
         spark.catalog.refreshTable(name)  # files may have been replaced
         return name
     keys = ", ".join(quote(k) for k in pk)
-    extra, part = (f", {VERSION} bigint", f"PARTITIONED BY ({VERSION})") if partitions else ("", "")
+    extra, part = (f", {by} bigint", f"PARTITIONED BY ({by})") if partitions else ("", "")
     where = path.replace("'", "\\'")
     clustered = f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS" if buckets else ""
     spark.sql(f"CREATE TABLE {name} ({columns}{extra}) USING parquet {part} {clustered} LOCATION '{where}'")
     if partitions:
-        adds = " ".join(f"PARTITION ({VERSION}={v}) LOCATION '{where}/{VERSION}={v}'" for v in partitions)
+        adds = " ".join(f"PARTITION ({by}={v}) LOCATION '{where}/{by}={v}'" for v in partitions)
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {adds}")
     return name
 
@@ -171,10 +187,7 @@ def read_live(
         # The files are listed now: a file that goes later fails the reader.
         reader = spark.read.schema(f"{meta.ddl()}, {VERSION} bigint").option("basePath", base).option("ignoreMissingFiles", False)
         df = reader.parquet(*[storage.literal(f"{base}/{VERSION}={v}") for v in versions])
-    if only is not None:
-        # Evaluated on file names while files are listed.
-        file_bucket = f"cast(regexp_extract(_metadata.file_name, '{_FILE_BUCKET.pattern}', 1) as int)"
-        df = df.where(f"{file_bucket} IN ({', '.join(map(str, only))})")
+    df = _only(df, only)
     if len(versions) > 1 or only is not None:
         # One constant, however many buckets there are.
         table = F.split(F.lit(",".join(map(str, live))), ",").cast("array<bigint>")
@@ -182,24 +195,61 @@ def read_live(
     return df.select(*[F.col(quote(n)) for n in meta.names])
 
 
-def vacuum(spark: SparkSession, base: str, kept: list[list[int]], before: int) -> None:
-    """Delete what none of the kept commits (their live versions per bucket) needs: whole versions, then stale buckets.
+def _only(df: DataFrame, buckets: list[int] | None) -> DataFrame:
+    """Rows of some buckets; evaluated on file names while files are listed."""
+    if buckets is None:
+        return df
+    return df.where(f"cast(regexp_extract(_metadata.file_name, '{_FILE_BUCKET.pattern}', 1) as int) IN ({', '.join(map(str, buckets))})")
+
+
+def read_deltas(
+    spark: SparkSession, base: str, meta: TableMeta, buckets: int, runs: list[int], only: list[int] | None = None, purpose: str = "read",
+) -> DataFrame:
+    """The newest change per key of several runs, oldest run first: (cdc_flag, columns).
+
+    All runs are partitions of one bucketed table, so a bucket's runs meet in one task
+    and are ranked there: an exchange is needed as little as for a single run.
+    """
+    pk = list(meta.pk)
+    df = _only(spark.table(_open(spark, base, f"cdc_flag string, {meta.ddl()}", runs, pk, buckets, purpose, DELTA)), only)
+    if len(runs) > 1:
+        age = F.array_position(F.lit(runs).cast("array<bigint>"), F.col(DELTA))
+        w = Window.partitionBy(*[F.col(quote(k)) for k in pk]).orderBy(age.desc())
+        df = df.withColumn("cdc_rank", F.row_number().over(w)).where("cdc_rank = 1")
+    return df.select("cdc_flag", *[F.col(quote(n)) for n in meta.names])
+
+
+def stored_bytes(spark: SparkSession, base: str, live: list[int]) -> int:
+    """Bytes of the live bucket files of a table."""
+    size = 0
+    for version in {v for v in live if v >= 0}:
+        for path, n in storage.glob(spark, f"{storage.literal(base)}/{VERSION}={version}/part-*"):
+            m = _FILE_BUCKET.search(path)
+            size += n if m and live[int(m.group(1))] == version else 0
+    return size
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    return sum(n for _, n in storage.glob(spark, f"{storage.literal(path)}/part-*"))
+
+
+def vacuum(spark: SparkSession, base: str, kept: list[list[int]], before: int, runs: set[int] = frozenset()) -> None:
+    """Delete what none of the kept commits (their live versions per bucket, and their runs) needs: whole versions, then stale buckets.
 
     Versions of batch ``before`` or later stay: an attempt may be at work there.
     """
     needed = {(b, v) for live in kept for b, v in enumerate(live)}
     versions, gone = {v for _, v in needed}, []
     for name in storage.list_names(spark, base):
-        if not name.startswith(VERSION + "="):
+        kind, _, number = name.partition("=")
+        if kind not in (VERSION, DELTA) or int(number) >> ATTEMPT_BITS >= before:
             continue
-        version = int(name.split("=", 1)[1])
-        if version >> ATTEMPT_BITS >= before:
-            continue
-        if version not in versions:
+        version = int(number)
+        if version not in (versions if kind == VERSION else runs):
             gone.append(f"{base}/{name}")
-            continue
-        for file in storage.list_names(spark, f"{base}/{name}"):
-            m = _FILE_BUCKET.search(file)
-            if file.startswith("part-") and m and (int(m.group(1)), version) not in needed:
-                gone.append(f"{base}/{name}/{file}")
+        elif kind == VERSION:
+            for file in storage.list_names(spark, f"{base}/{name}"):
+                m = _FILE_BUCKET.search(file)
+                if file.startswith("part-") and m and (int(m.group(1)), version) not in needed:
+                    gone.append(f"{base}/{name}/{file}")
     storage.delete_all(spark, gone)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdclake.functions import ddl
 from cdclake.functions.names import DATABASE_FILE_SUFFIX, SCHEMA_FILE_SUFFIX, schema_version, unescape_name
 from cdclake.functions.types import ColumnMeta, TableMeta
 from cdclake.sources import storage
@@ -146,33 +147,31 @@ def _unquote_ident(text: Column) -> Column:
     return F.replace(F.regexp_replace(text, "^`|`$", ""), F.lit("``"), F.lit("`"))
 
 
-def _nested(depth: int) -> str:
-    """Parentheses with quoted texts in them, nested so deep at most."""
-    inner = "" if depth == 1 else "|" + _nested(depth - 1)
-    return rf"\((?:[^()'`\"]++|{_ANY_QUOTED}{inner})*+\)"
-
-
-_ANY_QUOTED = r"'(?:[^'\\]|''|\\.)*+'|`(?:[^`]|``)*+`|\"(?:[^\"\\]|\"\"|\\.)*+\""
-_BODY = rf"(?is)create\s+(?:temporary\s+)?table\s+(?:if\s+not\s+exists\s+)?(?:`(?:[^`]|``)*+`|[^\s`(.]+)(?:\.(?:`(?:[^`]|``)*+`|[^\s`(]+))?\s*\(((?:[^()'`\"]++|{_ANY_QUOTED}|{_nested(5)})*+)\)"
-_PIECE = rf"(?s)(?:[^,()'`\"]++|{_ANY_QUOTED}|{_nested(5)})++"
+_HEAD = rf"(?is)create\s+(?:temporary\s+)?table\s+(?:if\s+not\s+exists\s+)?(?:`(?:[^`]|``)*+`|[^\s`(.]+)(?:\.(?:`(?:[^`]|``)*+`|[^\s`(]+))?\s*\(([0-9]+)\)"
 
 
 def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     """Column catalog of ``(db, table, text)`` rows with ``CREATE TABLE`` texts in any layout.
 
-    The body is cut at its own commas, not at those within quotes and parentheses. What is
-    neither a column nor a known clause fails. Generated columns are absent from snapshots
-    and are dropped here too.
+    The body is cut at its own commas, not at those within quotes and brackets, which may nest
+    to any depth. What is neither a column nor a known clause fails. Generated columns are
+    absent from snapshots and are dropped here too.
     """
-    body = F.regexp_extract("text", _BODY, 1)
+    whole = texts.select("db", "table", ddl.outline(F.col("text")).alias("whole"))
+    number = F.regexp_extract("whole.flat", _HEAD, 1)
+    body = F.when(number != "", F.get("whole.groups", number.cast("int")))
     no_table = F.raise_error(F.concat(F.lit("no CREATE TABLE text of "), "db", F.lit("."), "table")).cast("string")
-    pieces = F.transform(F.regexp_extract_all(F.when(F.trim(body) == "", no_table).otherwise(body), F.lit(_PIECE), 0), lambda x: F.trim(F.regexp_replace(x, r"\s", " ")))
+    texts = whole.select("db", "table", ddl.outline(F.when(F.trim(F.coalesce(body, F.lit(""))) == "", no_table).otherwise(body)).alias("body"))
+    pieces = F.transform(ddl.at_commas(F.col("body.flat")), lambda x: F.struct(
+        F.trim(F.regexp_replace(ddl.restored(x, F.col("body.groups")), r"\s", " ")).alias("line"), F.trim(F.regexp_replace(x, r"\s", " ")).alias("flat")))
+    texts = texts.select("db", "table", "body.groups", pieces.alias("pieces"))
+    pieces = F.transform("pieces", lambda p: p["line"])
     # Key columns of the table-level clause, in order; prefix lengths removed.
     bare = F.regexp_replace(F.array_join(F.filter(pieces, lambda x: x.rlike(_KEY_CLAUSE)), ","), _QUOTED, "''")
     clause = F.regexp_extract(bare, r"(?i)primary\s+key\s*(?:`[^`]*`\s*)?(?:using\s+\w+\s*)?\(((?:`(?:[^`]|``)*`|\([0-9]+\)|[^()])*)\)", 1)
     idents = F.regexp_extract_all(clause, F.lit(r"(`(?:[^`]|``)+`|[A-Za-z_$][A-Za-z0-9_$]*)(?:\s*\([0-9]+\))?(?:\s+(?i:asc|desc))?"), 1)
     table_pk = F.transform(idents, lambda x: F.lower(_unquote_ident(x)))
-    lines = texts.select("db", "table", table_pk.alias("table_pk"), F.posexplode(pieces).alias("line_no", "line"))
+    lines = texts.select("db", "table", "groups", table_pk.alias("table_pk"), F.posexplode("pieces").alias("line_no", "p")).select("*", "p.line", "p.flat")
     odd = F.raise_error(F.concat(F.lit("not understood in CREATE TABLE of "), "db", F.lit("."), "table", F.lit(": "), "line")).cast("boolean")
     lines = lines.where(F.when(F.col("line").rlike(_NOT_COLUMNS), False).when(F.col("line").rlike(_NAME), True).otherwise(odd))
 
@@ -180,14 +179,15 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     word = F.lower(F.regexp_extract(rest, "^([A-Za-z]+)", 1))
     alias = F.create_map(*[F.lit(x) for kv in TYPE_ALIASES.items() for x in kv])
     args = F.trim(F.regexp_extract(rest, _ARGS, 1))
-    tail = F.regexp_replace(F.regexp_replace(rest, _ARGS, ""), "^[A-Za-z]+ *", "")
+    # Brackets in what follows the type are numbers here: words in expressions are no clauses.
+    tail = F.regexp_replace(F.regexp_replace("flat", _NAME, ""), r"^[A-Za-z]+ *(?:\([0-9]+\))? *", "")
     flags = F.regexp_replace(tail, _QUOTED, "''")
     parsed = lines.select(
         "db", "table", "table_pk", "line_no",
         F.when(F.regexp_extract("line", _NAME, 1) != "", F.replace(F.regexp_extract("line", _NAME, 1), F.lit("``"), F.lit("`")))
         .otherwise(F.regexp_extract("line", _NAME, 2)).alias("name"),
         F.coalesce(F.try_element_at(alias, word), word).alias("base"),
-        args.alias("args"), tail.alias("tail"), flags.alias("flags"),
+        args.alias("args"), tail.alias("tail"), flags.alias("flags"), "groups",
     )
 
     base, args, flags = F.col("base"), F.col("args"), F.col("flags")
@@ -204,8 +204,9 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     in_table_pk = F.array_position("table_pk", F.lower("name"))
     is_pk = inline_pk | (in_table_pk > 0)
 
-    default = F.regexp_extract("tail", r"(?i)\bdefault\s+(" + _QUOTED + r"|\((?:[^()]|\([^()]*\))*\)|[A-Za-z_]\w*\s*\([^)]*\)|[^\s,]+)", 1)
+    default = F.regexp_extract("tail", r"(?i)\bdefault\s+(" + _QUOTED + r"|\([0-9]+\)|[A-Za-z_]\w*\s*\([0-9]+\)|[^\s,]+)", 1)
     default = F.when(flags.rlike(r"(?i)\bdefault\b") & ~F.lower(default).isin("null", ""), default)
+    default = ddl.restored(default, F.col("groups"))
     quoted = default.startswith("'")
     literal = F.when(quoted, F.replace(F.regexp_replace(default, "^'|'$", ""), F.lit("''"), F.lit("'"))).otherwise(default)
     kind = (
@@ -319,9 +320,8 @@ def pk_admission(columns: DataFrame, keys: list[str] = ("db", "table")) -> DataF
 
 
 def stored_generated(query: Column) -> Column:
-    """True when a DDL text defines a STORED generated column."""
-    bare = F.regexp_replace(query, _QUOTED, "''")
-    return bare.rlike(r"(?is)\bas\s*\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\)[^,()]*\bstored\b")
+    """True when a DDL text defines a STORED generated column, however deep its expression nests."""
+    return F.exists(ddl.levels(query), lambda x: x.rlike(r"(?is)\bas\s*\(\)[^,()]*\bstored\b"))
 
 
 def generated_report(texts: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -43,22 +42,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Create one small file unless there is one; says whether it did. Of several writers one succeeds."""
-    fs, p = _fs(spark, path)
-    try:
-        stream = fs.create(p, False)
-    except Py4JJavaError as e:
-        if "FileAlreadyExists" in str(e.java_exception) or fs.exists(p):
-            return False
-        raise
-    try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    return True
-
-
 def literal(path: str) -> str:
     """A path for readers that take patterns, in which every character stands for itself."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)

@@ -123,3 +123,20 @@ def test_bad_metadata_fails(spark):
             catalog.snapshot_commit_ts(df).collect()
     ok = spark.createDataFrame([("m", "Started\n  Pos: 466924115091783691 \nFinished")], "path string, text string")
     assert int(catalog.snapshot_commit_ts(ok).first()[1]) == 466924115091783691
+
+
+def _nested(depth, inner="k + 1"):
+    return "(" * depth + inner + ")" * depth
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5, 6, 12, 60])
+def test_brackets_of_any_depth(spark, depth):
+    text = (f"CREATE TABLE deep (k INT NOT NULL, d DATE DEFAULT {_nested(depth, 'curdate(), 1')} COMMENT 'a) (b', /* not (closed */ w INT GENERATED ALWAYS AS {_nested(depth)} STORED,"
+            f" v TEXT AS {_nested(depth, 'concat(k, 1)')} VIRTUAL, CHECK {_nested(depth, 'k > 0')}, PRIMARY KEY (k)) COMMENT='(x'")
+    cols = columns(spark, text, keep=True)
+    assert [(n, r["generated"], r["default_kind"], r["is_pk"]) for n, r in cols.items()] == [("k", "", "none", True), ("d", "", "expression", False), ("w", "stored", "none", False), ("v", "virtual", "none", False)]
+    assert cols["d"]["default_value"] == _nested(depth, "curdate(), 1")
+    texts = [(f"ALTER TABLE p ADD COLUMN g INT GENERATED ALWAYS AS {_nested(depth)} STORED", True), (f"ALTER TABLE p ADD COLUMN (a INT, g INT AS {_nested(depth, chr(39) + ')' + chr(39))} stored not null)", True),
+             (f"ALTER TABLE p ADD COLUMN g INT AS {_nested(depth)} VIRTUAL, ADD stored INT", False), (f"ALTER TABLE p ADD c INT DEFAULT {_nested(depth)} /* as (k) stored */", False), (None, None)]
+    df = spark.createDataFrame(texts, "q string, want boolean")
+    assert df.where(~catalog.stored_generated(F.col("q")).eqNullSafe(F.col("want"))).collect() == []
