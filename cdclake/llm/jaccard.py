@@ -16,15 +16,18 @@ link between different sets is lost: components are exact.
 4. **Matrix.** The union of a group's tokens is stored per set size: (token, group, size,
    best position). For a query group and another, a shared token bounds the overlap of
    any two members by what follows its position in both; only group pairs that can still
-   qualify are opened, and only members within the bound are compared: first by the
-   common ones of their first tokens, then by their texts.
-5. The links of both steps give the components.
-
-Ids: a null id counts as larger than all others; a component is named by its smallest id, or
-null. With ``merge_ids=False`` (the registered query and the pipeline) rows are linked by their
-texts alone, whatever their ids. With ``merge_ids=True`` rows that share an id are one document
-besides, as are all rows with a null id, and so bridge what their texts link to. Texts without
-words have an empty set and no link. Repeated rows are in one class.
+   qualify are opened, and only members within the bound become pairs.
+5. **Parities.** Every set has ``8 * 64`` bits, each the parity of the tokens that fall on
+   it. A token in one of two sets alone flips one bit, so the bits in which they differ are
+   no more than the tokens in which they do. The joins themselves take no pair that differs
+   in too many: near copies that just don't link, and texts that share a passage only, are
+   never rows, however many there are. What is left is compared by first tokens, then by texts.
+6. The links of all steps give the components.
+
+Ids: rows are linked by their texts alone, so rows that repeat an id, or have none, link as
+their texts do. A null id counts as larger than all others; a component is named by its
+smallest id, or null. Texts without words have an empty set and no link. Repeated rows are in
+one class.
 """
 
 from __future__ import annotations
@@ -44,6 +47,8 @@ GRAM, PERCENT = 3, 90
 SKETCH_BITS, FREQUENT = 20, 1 / 4000
 #: Member pairs that may be opened per row of shared tokens before more leaders are tried.
 WORK = 4
+#: Words of a set's parities.
+PARITIES = 8
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,12 +106,15 @@ def _set_rows(batches: Iterator[pa.RecordBatch], gram: int, percent: int, level:
             if len(full):
                 one[full] = np.add.reduceat(words.mix(tokens), first[full])
                 two[full] = np.add.reduceat(words.mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)), first[full])
+            bit = text * (64 * PARITIES) + (words.mix(tokens ^ np.uint64(0x5BD1E995)) & np.uint64(64 * PARITIES - 1)).astype(np.int64)
+            odd = (np.bincount(bit, minlength=m * 64 * PARITIES) & 1).astype(np.uint8)
+            bits = pa.FixedSizeListArray.from_arrays(pa.array(np.packbits(odd, bitorder="little").view(np.int64)), PARITIES).cast(pa.list_(pa.int64()))
             order = np.lexsort((tokens, level[_bucket(tokens)], text))
             take = n - (percent * n + 99) // 100 + (n > 0)
             place = np.arange(len(text)) - np.repeat(first[:-1], n)
             chosen = tokens[order][place < np.repeat(take, n)].view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(take)).astype(np.int32)), pa.array(chosen))
-            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists], ["id", "t", "n", "h1", "h2", "tokens"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), lists, bits], ["id", "t", "n", "h1", "h2", "tokens", "bits"])
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,32 +160,52 @@ def _can_link(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> C
     return (most * (100 + percent) >= percent * (n1 + n2)) & (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
 
 
+def _near(bits1: Column, n1: Column, bits2: Column, n2: Column, percent: int) -> Column:
+    """Whether sets can link by their parities: of sets that link, no more tokens are in one alone."""
+    differ = sum((F.bit_count(F.get(bits1, F.lit(k)).bitwiseXOR(F.get(bits2, F.lit(k)))) for k in range(PARITIES)), F.lit(0))
+    return differ * (100 + percent) <= (100 - percent) * (n1 + n2)
+
+
 def _pairs(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
     pairs = pairs.distinct()
     return pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
 
 
-def _matrix(placed: DataFrame, percent: int, folder: str) -> tuple[DataFrame, int]:
-    """Group pairs (token, g1, n1, g2, n2) that can still have a link, and how many member pairs opening them takes."""
+def _work(placed: DataFrame) -> int:
+    """Pairs of rows that share a token but no group, counted without making them."""
+    per = placed.groupBy("token", "g").agg(F.count("*").alias("m")).groupBy("token").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
+    return per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
+
+
+def _opened(placed: DataFrame, heads: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Member pairs (a, b) of the group pairs that the matrix leaves."""
     c = F.col
-    matrix = placed.groupBy("token", "g", "n").agg(F.min("pos").alias("pos"), F.count("*").alias("m"))
-    several = matrix.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
-    matrix = common.written(matrix.join(several, "token"), f"{folder}/rows")
+    several = placed.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
+    members = placed.join(several, "token").join(heads.select("id", "bits"), "id")
+    members = common.written(members.select("token", "g", "n", "id", "pos", "bits"), f"{folder}/members")
+    # Parities of a group of one are those of its member; a larger group has none of its own.
+    matrix = members.groupBy("token", "g", "n").agg(F.min("pos").alias("pos"), F.count("*").alias("m"), F.first("bits").alias("bits"))
+    matrix = common.written(matrix.withColumn("bits", F.when(c("m") == 1, c("bits"))).drop("m"), f"{folder}/matrix")
     one, two = matrix.alias("x"), matrix.alias("y")
-    open_ = one.join(two, (c("x.token") == c("y.token")) & (c("x.g") < c("y.g")) & _can_link(c("x.n"), c("x.pos"), c("y.n"), c("y.pos"), percent))
-    open_ = open_.select(c("x.token").alias("token"), c("x.g").alias("g1"), c("x.n").alias("n1"), c("y.g").alias("g2"), c("y.n").alias("n2"), (c("x.m") * c("y.m")).alias("m"))
-    open_ = common.written(open_, f"{folder}/open")
-    return open_.drop("m"), open_.agg(F.sum("m")).first()[0] or 0
+    open_ = one.join(two, (c("x.token") == c("y.token")) & (c("x.g") < c("y.g")) & _can_link(c("x.n"), c("x.pos"), c("y.n"), c("y.pos"), percent)
+                     & F.coalesce(_near(c("x.bits"), c("x.n"), c("y.bits"), c("y.n"), percent), F.lit(True)))
+    open_ = open_.select(c("x.token").alias("token"), c("x.g").alias("g1"), c("x.n").alias("n1"), c("y.g").alias("g2"), c("y.n").alias("n2"))
+    left = members.select("token", c("g").alias("g1"), c("n").alias("n1"), c("id").alias("a"), c("pos").alias("p1"), c("bits").alias("bits1"))
+    right = members.select("token", c("g").alias("g2"), c("n").alias("n2"), c("id").alias("b"), c("pos").alias("p2"), c("bits").alias("bits2"))
+    half = open_.join(left, ["token", "g1", "n1"]).alias("l")
+    on = [c(f"l.{k}") == c(f"r.{k}") for k in ("token", "g2", "n2")]
+    fit = _can_link(c("l.n1"), c("p1"), c("r.n2"), c("p2"), percent) & _near(c("bits1"), c("l.n1"), c("bits2"), c("r.n2"), percent)
+    return half.join(right.alias("r"), [*on, fit]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _links(pairs: DataFrame, heads: DataFrame, texts: DataFrame, gram: int, percent: int, folder: str) -> DataFrame:
     """The pairs (a, b) that link. Their first tokens bound the overlap: of two sets, the one whose
     last first-token comes earlier has all of its common tokens among those, or behind them."""
     for side in ("a", "b"):
-        pairs = pairs.join(heads.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"t_{side}")), side)
+        pairs = pairs.join(heads.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"t_{side}"), F.col("bits").alias(f"bits_{side}")), side)
     n_a, n_b = F.col("n_a"), F.col("n_b")
     most = F.size(F.array_intersect("t_a", "t_b")) + F.greatest(n_a - F.size("t_a"), n_b - F.size("t_b"))
-    fit = (most * (100 + percent) >= percent * (n_a + n_b)) & (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
+    fit = _near(F.col("bits_a"), n_a, F.col("bits_b"), n_b, percent) & (most * (100 + percent) >= percent * (n_a + n_b)) & (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
     pairs = common.written(pairs.where(fit).select("a", "b").distinct(), f"{folder}/bounded")
     with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
@@ -195,14 +223,14 @@ def _linked(docs: DataFrame, gram: int, percent: int, id_col: str, text_col: str
     common.small_batches(spark)
     own = docs.select(common.id_key(id_col).alias("id"), _text(text_col).alias("text")).withColumn("t", F.xxhash64("text"))
     level = spark.sparkContext.broadcast(frequent(own, gram))
-    sets = common.written(own.mapInArrow(lambda b: _set_rows(b, gram, percent, level.value), "id long, t long, n long, h1 long, h2 long, tokens array<long>"), f"{folder}/sets")
+    sets = common.written(own.mapInArrow(lambda b: _set_rows(b, gram, percent, level.value), "id long, t long, n long, h1 long, h2 long, tokens array<long>, bits array<long>"), f"{folder}/sets")
 
     # Classes of equal sets; their members need no comparison. Nodes are numbered once, as the table is written.
-    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "t", "tokens")).alias("first"))
+    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "t", "tokens", "bits")).alias("first"))
     classes = common.written(classes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "n", "first.*"), f"{folder}/classes")
 
     # First tokens that two or more classes share.
-    nodes = classes.select(F.col("node").alias("id"), "n", "tokens")
+    nodes = classes.select(F.col("node").alias("id"), "n", "tokens", "bits")
     rows = nodes.select("id", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = rows.repartition("token").sortWithinPartitions("token").mapInArrow(_shared, "id long, n long, pos int, token long")
     shared = common.written(shared, f"{folder}/shared")
@@ -226,21 +254,16 @@ def _linked(docs: DataFrame, gram: int, percent: int, id_col: str, text_col: str
         tried = stars if tried is None else common.written(tried.unionByName(stars), f"{at}/tried")
         placed = shared.join(components(links, f"{at}/groups"), "id", "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("g"))
         placed = common.written(placed, f"{at}/placed")
-        open_, work = _matrix(placed, percent, f"{at}/matrix")
+        work = _work(placed)
         step += 1
         if not some or work <= WORK * placed.count() or work > before * 3 / 4:
             break
         before = work
 
-    # Only the members of group pairs that the matrix leaves are compared.
-    c = F.col
-    left = placed.select("token", c("g").alias("g1"), c("n").alias("n1"), c("id").alias("a"), c("pos").alias("p1"))
-    right = placed.select("token", c("g").alias("g2"), c("n").alias("n2"), c("id").alias("b"), c("pos").alias("p2"))
-    pairs = open_.join(left, ["token", "g1", "n1"]).join(right, ["token", "g2", "n2"]).where(_can_link(c("n1"), c("p1"), c("n2"), c("p2"), percent))
-    pairs = _pairs(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), tried)
+    pairs = _pairs(_opened(placed, heads, percent, folder), tried)
     more = _links(common.written(pairs, f"{folder}/pairs"), heads, texts, gram, percent, f"{folder}/more")
 
-    return sets, classes.drop("tokens"), links.unionByName(more)
+    return sets, classes.drop("tokens", "bits"), links.unionByName(more)
 
 
 def _firsts(found: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -249,37 +272,25 @@ def _firsts(found: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]
     return own.select(F.col("at").alias("node"), "component"), own.groupBy("component").agg(F.min("first").alias("first"))
 
 
-def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", merge_ids: bool = True) -> DataFrame:
+def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
     folder = common.scratch(docs.sparkSession)
     sets, classes, links = _linked(docs, gram, percent, id_col, text_col, folder)
     key = ["h1", "h2", "n"]
-    full = sets.where("n > 0")
-    if merge_ids:  # the classes of an id's rows are linked to the least one
-        of_id = full.join(classes.select(*key, "node"), key).select("id", "node").distinct()
-        least = of_id.groupBy("id").agg(F.min("node").alias("a"))
-        links = links.unionByName(of_id.join(least, "id").where("node <> a").select("a", F.col("node").alias("b")))
     nodes, firsts = _firsts(components(links, f"{folder}/components"), classes)
     named = nodes.join(firsts, "component").select("node", F.col("first.id").alias("least"))
     named = classes.join(named, "node", "left").select(*key, F.coalesce("least", "id").alias("component"))
-    if merge_ids:
-        found = full.join(named, key).select("id", "component").distinct()
-        out = sets.join(found, "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
-    else:
-        out = full.join(named, key).select("id", "n", "component").unionByName(sets.where("n = 0").select("id", "n", F.col("id").alias("component")))
+    out = sets.where("n > 0").join(named, key).select("id", "n", "component")
+    out = out.unionByName(sets.where("n = 0").select("id", "n", F.col("id").alias("component")))
     return out.select(common.id_value("id").alias("doc_id"), F.col("n").alias("n_shingles"), common.id_value("component").alias("component_id"))
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", merge_ids: bool = True, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """One row per component with ``merge_ids=False``: that of the smallest id, with all columns. Else the
-    rows of the smallest id, once each; rows without an id go only if they link to one that has."""
-    if merge_ids:
-        found = join(docs, gram, percent, id_col, text_col)
-        ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-        return docs.join(ids, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates([id_col, text_col])
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """One row per component: that of the smallest id (of equal ids, of the lesser hash of its text), with all columns."""
     folder = common.scratch(docs.sparkSession)
     sets, classes, links = _linked(docs, gram, percent, id_col, text_col, folder)
     nodes, firsts = _firsts(components(links, f"{folder}/components"), classes)
     kept = firsts.select("first.*").unionByName(classes.join(nodes, "node", "left_anti").select("id", "t")).unionByName(sets.where("n = 0").select("id", "t"))
-    kept = kept.select(F.col("id").alias("kept_id"), F.col("t").alias("kept_text"))
-    return docs.join(kept, (common.id_key(id_col) == F.col("kept_id")) & (F.xxhash64(_text(text_col)) == F.col("kept_text")), "left_semi").dropDuplicates([id_col, text_col])
+    # All columns of a row travel in one, so that none clashes; rows that repeat an id and a text are one.
+    keyed = common.with_row(docs, id=common.id_key(id_col), t=F.xxhash64(_text(text_col)))
+    return keyed.join(kept, ["id", "t"], "left_semi").dropDuplicates(["id", "t"]).select("row.*")

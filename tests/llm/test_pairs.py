@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cdclake.llm import common, components, jaccard, substring
@@ -46,20 +47,21 @@ def test_substring_periodic_and_rewritten(spark):
     assert substring.digest(frame(spark, [])).count() == 0
 
 
-def brute_jaccard(rows, gram=3, percent=90):
+def brute_components(rows, gram=3, percent=90):
+    """(id, set size, least id, component) of each row; rows link by their sets alone, whatever their ids."""
     low = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-    sets, parent, index = [], {}, {}
+    sets, parent, index = [], [], {}
 
     def root(x):
-        parent.setdefault(x, x)
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for i, t in rows:
+    for k, (i, t) in enumerate(rows):
         w = (t or "").encode().translate(low).split()
-        sets.append((LAST if i is None else i, frozenset(tuple(w[k:k + gram]) for k in range(len(w) - gram + 1)) or frozenset([tuple(w)] * bool(w))))
-    for k, (i, s) in enumerate(sets):
+        s = frozenset(tuple(w[k:k + gram]) for k in range(len(w) - gram + 1)) or frozenset([tuple(w)] * bool(w))
+        sets.append((LAST if i is None else i, s))
+        parent.append(k)
         common_ = {}
         for x in s:
             for j in index.get(x, ()):
@@ -67,10 +69,30 @@ def brute_jaccard(rows, gram=3, percent=90):
             index.setdefault(x, []).append(k)
         for j, c in common_.items():
             if 100 * c >= percent * (len(s) + len(sets[j][1]) - c):
-                a, b = sorted((root(i), root(sets[j][0])))
-                parent[b] = a
+                parent[root(k)] = root(j)
+    least = {}
+    for k, (i, _) in enumerate(sets):
+        least[root(k)] = min(least.get(root(k), LAST), i)
     value = lambda x: None if x == LAST else x
-    return [(value(i), len(s), value(root(i))) for i, s in sets]
+    return [(value(i), len(s), value(least[root(k)]), root(k)) for k, (i, s) in enumerate(sets)]
+
+
+def brute_jaccard(rows, gram=3, percent=90):
+    return [x[:3] for x in brute_components(rows, gram, percent)]
+
+
+def assert_one_per_group(rows, kept, gram=3, percent=90):
+    """Of each component one row stays, and that is one of those with its smallest id."""
+    groups = {}
+    for r, (i, _, least, root) in zip(rows, brute_components(rows, gram, percent)):
+        if i == least:
+            groups.setdefault(root, set()).add(tuple(r))
+    left = [tuple(r) for r in kept]
+    for some in sorted(groups.values(), key=len):
+        mine = [r for r in left if r in some]
+        assert mine, some
+        left.remove(mine[0])
+    assert left == []
 
 
 def near(seed, groups=40):
@@ -105,27 +127,41 @@ def test_jaccard_small_batches(spark):
 
 
 def test_one_per_group(spark):
-    rows = near(12, 20)
-    df = frame(spark, rows)
-    keep = {d for d, _, c in brute_jaccard(rows) if d == c}
-    want = sorted({(d, t) for d, t in rows if d in keep}, key=repr)
-    assert rows_of(jaccard.one_per_group(df).select("doc_id", "text")) == want
+    rows = [(None if k == 5 else 1000 * k + 1, t) for k, (_, t) in enumerate(near(12, 20))]
+    rows += [rows[7], (rows[7][0], rows[7][1])]
+    df = frame(spark, rows).withColumns({c: F.lit(1) for c in ("kept_id", "kept_text", "t", "a", "b", "row")})
+    assert_one_per_group(rows, rows_of(jaccard.one_per_group(df).select("doc_id", "text")))
     assert jaccard.one_per_group(df).columns == df.columns
     assert jaccard.join(frame(spark, [])).count() == 0 and jaccard.one_per_group(frame(spark, [])).count() == 0
 
 
+def test_parities_never_reject_links(spark):
+    """Pairs around the limit: what the parities tell is never more than what differs."""
+    r = random.Random(14)
+    rows = []
+    for d in range(120):
+        base = [f"w{r.randrange(400)}" for _ in range(r.choice([12, 60, 200, 900]))]
+        for _ in range(3):
+            x = list(base)
+            for _ in range(len(x) * r.choice([4, 9, 13, 17]) // 1000):
+                x[r.randrange(len(x))] = f"v{r.randrange(9000)}"
+            rows.append((len(rows), " ".join(x)))
+    want = brute_jaccard(rows)
+    assert rows_of(jaccard.join(frame(spark, rows))) == sorted(want, key=repr) and 20 < sum(d != c for d, _, c in want) < 235
+
+
 def test_ids_do_not_link_texts(spark):
     """Rows without an id, and rows that repeat an id, link by their texts only."""
     text = lambda x: " ".join(f"{x}{i}" for i in range(30))
     rows = [(None, text("a")), (None, text("b")), (None, text("c")), (None, None), (3, text("a")), (4, text("b")),
             (5, text("d")), (5, text("e")), (6, text("d")), (7, text("e").upper()), (7, text("e").upper()), (8, text("f"))]
     df = frame(spark, rows)
-    got = rows_of(jaccard.join(df, merge_ids=False))
+    got = rows_of(jaccard.join(df))
     assert got == sorted([(None, 28, 3), (None, 28, 4), (None, 28, None), (None, 0, None), (3, 28, 3), (4, 28, 4), (5, 28, 5), (5, 28, 5), (6, 28, 5), (7, 28, 5), (7, 28, 5), (8, 28, 8)], key=repr)
     kept = rows_of(corpus_pipeline.near_copies(spark, df, "").select("doc_id", "text"))
     assert kept == sorted([rows[k] for k in (2, 3, 4, 5, 6, 7, 11)], key=repr)
     rows = [(1000 * k + 1, t) for k, (_, t) in enumerate(near(12, 20))]  # every id once: as with merged ids
-    assert rows_of(jaccard.join(frame(spark, rows), merge_ids=False)) == sorted(brute_jaccard(rows), key=repr)
+    assert rows_of(jaccard.join(frame(spark, rows))) == sorted(brute_jaccard(rows), key=repr)
 
 
 def test_components(spark):
