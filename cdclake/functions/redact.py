@@ -70,6 +70,7 @@ _QUOTE_STOP = re.compile(r"""["'\r\n]""")
 _BAD_ESCAPE = re.compile(r"%(?![0-9A-Fa-f]{2})")
 
 
+@functools.lru_cache(1 << 16)
 def is_secret_key(key: str) -> bool:
     """True when a key, reduced to letters and digits, contains a secret part."""
     reduced = re.sub("[^a-z0-9]", "", key.lower())
@@ -159,6 +160,9 @@ def clean_text(text: str) -> str:
         return REDACTED
 
 
+_word = json.encoder.encode_basestring
+
+
 class _Literal(str):
     """A number, true, false or null, kept as it is written."""
 
@@ -217,13 +221,23 @@ def parse_json(text: str):
     return holder[0]
 
 
-def clean_json(text: str) -> str:
-    """JSON without the values of secret keys at any depth, compact and with sorted keys; other texts as texts."""
-    try:
-        root = parse_json(text)
-    except ValueError:
-        return clean_text(text)
-    word = lambda s: json.dumps(s, ensure_ascii=False)
+def _no_constant(word: str):
+    raise ValueError(f"not JSON: {word}")
+
+
+def _written(v) -> str:
+    """A value as compact text, by recursion."""
+    if isinstance(v, dict):
+        return "{" + ",".join(f'{_word(k)}:{_word(REDACTED) if is_secret_key(k) else _written(v[k])}' for k in sorted(v)) + "}"
+    if isinstance(v, list):
+        return "[" + ",".join(map(_written, v)) + "]"
+    if isinstance(v, str):
+        return v if isinstance(v, _Literal) else _word(clean_text(v))
+    return "null" if v is None else "true" if v else "false"
+
+
+def _written_deep(root) -> str:
+    """The same without recursion."""
     out: list[str] = []
     todo: list = [("value", root)]
     while todo:
@@ -233,7 +247,7 @@ def clean_json(text: str) -> str:
         elif isinstance(v, dict):
             parts = [("text", "{")]
             for i, k in enumerate(sorted(v)):
-                parts += [("text", "," * (i > 0) + word(k) + ":"), ("text", word(REDACTED)) if is_secret_key(k) else ("value", v[k])]
+                parts += [("text", "," * (i > 0) + _word(k) + ":"), ("text", _word(REDACTED)) if is_secret_key(k) else ("value", v[k])]
             todo += reversed([*parts, ("text", "}")])
         elif isinstance(v, list):
             parts = [("text", "[")]
@@ -241,10 +255,28 @@ def clean_json(text: str) -> str:
                 parts += [("text", "," * (i > 0)), ("value", x)]
             todo += reversed([*parts, ("text", "]")])
         else:
-            out.append(v if isinstance(v, _Literal) else word(clean_text(v)))
+            out.append(_written(v))
     return "".join(out)
 
 
+def clean_json(text: str) -> str:
+    """JSON without the values of secret keys at any depth, compact and with sorted keys; other texts as texts.
+
+    Numbers stay as they are written, and of equal keys the last counts. What the standard reader
+    can't nest is read and written without recursion.
+    """
+    try:
+        return _written(json.loads(text, object_pairs_hook=dict, parse_int=_Literal, parse_float=_Literal, parse_constant=_no_constant))
+    except RecursionError:
+        pass
+    except ValueError:
+        return clean_text(text)
+    try:
+        return _written_deep(parse_json(text))
+    except ValueError:
+        return clean_text(text)
+
+
 def _per_batch(clean):
     @F.arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:
@@ -264,8 +296,7 @@ def redact_text(text: Column) -> Column:
 def redact_json(text: Column) -> Column:
     """JSON text with the values of secret keys replaced at every level, however deep.
 
-    String values are redacted as text; what is no JSON is redacted as a whole text.
+    String values are redacted as text; what is no JSON is redacted as a whole text. All values
+    take one way, so a value's form doesn't depend on what else it holds.
     """
-    # Without a secret part, a URL or an escape that could hide one, the value only takes its compact form.
-    may_hide = text.contains("\\") | text.contains("://") | F.regexp_replace(F.lower(text), "[^a-z0-9]", "").rlike("|".join(SECRET_KEY_PARTS))
-    return F.coalesce(_per_batch(clean_json)(F.when(may_hide, text)), F.to_json(F.try_parse_json(text)), text)
+    return _per_batch(clean_json)(text)

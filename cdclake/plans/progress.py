@@ -31,7 +31,7 @@ _SCHEMA = """
   format int, table string, batch bigint, checkpoint_ts decimal(20,0), snapshot_ts decimal(20,0),
   watermark decimal(20,0), cursors map<string, struct<date: string, file_index: bigint>>,
   meta string, buckets int, live array<struct<version: bigint, n: int>>, hidden array<string>, dropped boolean,
-  deltas array<struct<version: bigint, level: int, bytes: bigint>>, digests string
+  deltas array<struct<version: bigint, level: int, bytes: bigint>>
 """
 
 
@@ -57,8 +57,7 @@ class TableProgress:
     data version that is current; ``deltas`` the runs on top of them, oldest
     first; ``hidden`` the dropped columns that stored files may still contain.
     ``batch`` counts the table's commits, ``checkpoint_ts`` is what it has been
-    brought to, ``snapshot_ts`` the snapshot it was loaded from. ``digests``
-    names the version whose rows the stored digests are of.
+    brought to, ``snapshot_ts`` the snapshot it was loaded from.
     """
 
     watermark: int = 0
@@ -72,7 +71,6 @@ class TableProgress:
     checkpoint_ts: int = 0
     snapshot_ts: int = 0
     deltas: list[Delta] = field(default_factory=list)
-    digests: str | None = None
 
 
 @dataclass
@@ -197,7 +195,7 @@ def _parse(fqn: str, row: dict) -> TableProgress:
     return TableProgress(
         row["watermark"], {k: (c["date"], c["file_index"]) for k, c in row["cursors"].items()},
         TableMeta.from_json(row["meta"]) if row["meta"] else None, row["buckets"], _unpacked(row["live"]), row["hidden"], row["dropped"],
-        row["batch"], row["checkpoint_ts"], row["snapshot_ts"] or 0, [Delta(**d) for d in row["deltas"]], row["digests"])
+        row["batch"], row["checkpoint_ts"], row["snapshot_ts"] or 0, [Delta(**d) for d in row["deltas"]])
 
 
 def check_table(name: str, prev: TableProgress, nxt: TableProgress) -> None:
@@ -235,7 +233,7 @@ def commit(spark: SparkSession, root: str, fqn: str, prev: TableProgress, nxt: T
         format=FORMAT, table=fqn, batch=nxt.batch, checkpoint_ts=nxt.checkpoint_ts, snapshot_ts=nxt.snapshot_ts or None,
         watermark=nxt.watermark, cursors={k: dict(date=d, file_index=i) for k, (d, i) in nxt.cursors.items()},
         meta=nxt.meta.to_json() if nxt.meta else None, buckets=nxt.buckets, live=_packed(nxt.live), hidden=nxt.hidden, dropped=nxt.dropped,
-        deltas=[vars(d) for d in nxt.deltas], digests=nxt.digests), fqn)
+        deltas=[vars(d) for d in nxt.deltas]), fqn)
 
 
 def advance(spark: SparkSession, root: str, prev: Progress, nxt: Progress) -> None:

@@ -11,6 +11,8 @@ later vacuum.
 from __future__ import annotations
 
 import copy
+import hashlib
+import json
 import threading
 import uuid
 from collections.abc import Callable
@@ -21,9 +23,9 @@ from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cdclake.functions.names import escape_text
 from cdclake.functions.types import TableMeta, quote
 from cdclake.operators import evolve as ev
+from cdclake.operators import reconcile
 from cdclake.operators.changes import latest_change, merge_changes
 from cdclake.operators.select import ColumnSelector, select_meta
 from cdclake.plans import progress as pg
@@ -169,8 +171,7 @@ def snapshot_load(spark: SparkSession, settings: Settings, state: pg.Progress) -
             return before  # an earlier attempt has loaded this table
         meta = metas[fqn]
         kept = select_meta(meta, settings.selectors)
-        stem = storage.literal(f"{settings.source}/snapshot/{escape_text(meta.db)}.{escape_text(meta.table)}")
-        found = [x for p in (f"{stem}.csv", f"{stem}.csv.gz", f"{stem}.*.csv", f"{stem}.*.csv.gz") for x in storage.glob(spark, p)]
+        found = csvio.snapshot_paths(spark, settings.source, meta)
         size = sum(n * (tg.GZIP_RATIO if p.endswith(".gz") else 1) for p, n in found)
         buckets = settings.buckets or tg.bucket_count(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
         if found:
@@ -239,10 +240,7 @@ def _ranges(spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epo
         version, partition, _ = key.split("/")
         active.setdefault(int(version), {})[int(partition)] = date
         cursor_rows.append(dict(db=db, table=name, version=int(version), partition=int(partition), date=date, file_index=idx))
-    paths = [
-        p for e in epochs
-        for p in discover.index_paths(spark, settings.source, db, name, e.version, active.get(e.version, {}))
-    ]
+    paths = discover.index_listing(spark, settings.source, {fqn: {e.version: active.get(e.version, {}) for e in epochs}})
     if not paths:
         return []
     cursors = local_rows(
@@ -317,8 +315,10 @@ def _apply_table(
         if table.dropped:
             raise ValueError(f"{fqn}: change files after the table was dropped")
         _check_columns(fqn, e, table.meta)
-        paths = [storage.literal(p) for r in mine for p in discover.range_paths(settings.source, r)]
-        files += len(paths)
+        paths = [p for r in mine for p in discover.range_globs(settings.source, r)]
+        here = sum(r["end_idx"] - r["start_idx"] + 1 for r in mine)
+        discover.check_files(spark, paths, here)
+        files += here
         rows = csvio.read_changes(
             spark, paths, list(e.meta.columns), version=e.version, after=state.checkpoint_ts, **settings.csv)
         own = {c.lower(): c for c in rows.columns}
@@ -491,6 +491,53 @@ def rebucket(spark: SparkSession, settings: Settings, fqn: str, factor: int = 2)
     return _maintain(spark, settings, fqn, work)
 
 
+_DIGESTS = "version bigint, columns string, bucket int, n_rows bigint, total decimal(38,0), mixed bigint"
+
+
+def table_digests(spark: SparkSession, settings: Settings, fqn: str) -> tuple[DataFrame, int]:
+    """(bucket, n_rows, total, mixed) of a target table, and its number of buckets.
+
+    A bucket's file never changes, so its digest is kept beside it, by version and columns, and
+    only buckets without one are read. Runs of changes are folded in first.
+    """
+    compact(spark, settings, fqn)
+    t, base = pg.load_table(spark, settings.target, fqn), tg.location(settings.target, *split_fqn(fqn))
+    columns = hashlib.sha256(t.meta.ddl().encode()).hexdigest()[:16]
+    folder = f"{base}/_digests"
+    live = F.element_at(F.split(F.lit(",".join(map(str, t.live))), ",").cast("array<bigint>"), F.col("bucket") + 1)
+
+    def kept() -> DataFrame:
+        if not storage.list_names(spark, folder):
+            return no_rows(spark, _DIGESTS)
+        rows = spark.read.schema(_DIGESTS).parquet(storage.literal(folder))
+        return rows.where((F.col("columns") == columns) & (F.col("bucket") < t.buckets)).where(live == F.col("version")).dropDuplicates(["bucket"])
+
+    known = {r[0] for r in kept().select("bucket").collect()}  # one row per bucket
+    missing = [b for b in range(t.buckets) if b not in known and t.live[b] >= 0]
+    if missing:
+        rows = tg.read_live(spark, base, t.meta, t.buckets, t.live, missing, bucketed=False)
+        found = reconcile.bucket_digests(rows, list(t.meta.pk), t.buckets)
+        found = found.select(live.alias("version"), F.lit(columns).alias("columns"), "bucket", "n_rows", "total", "mixed")
+        # Buckets without rows are known, too.
+        none = [dict(version=t.live[b], columns=columns, bucket=b, n_rows=0, total=0, mixed=0) for b in missing]
+        both = found.unionByName(local_rows(spark, none, _DIGESTS)).groupBy("version", "columns", "bucket").agg(*[F.sum(c).cast(ty).alias(c) for c, ty in (("n_rows", "bigint"), ("total", "decimal(38,0)"), ("mixed", "bigint"))])
+        both.coalesce(1).write.mode("append").parquet(folder)
+    return kept().where("n_rows > 0").select("bucket", "n_rows", "total", "mixed"), t.buckets
+
+
+def compare_target(spark: SparkSession, settings: Settings, fqn: str, source: DataFrame) -> DataFrame:
+    """Keys in which a target table differs from ``source``; of the target only buckets that differ are read."""
+    digests, buckets = table_digests(spark, settings, fqn)
+    t, base = pg.load_table(spark, settings.target, fqn), tg.location(settings.target, *split_fqn(fqn))
+    pk = list(t.meta.pk)
+    some = reconcile.differing_buckets(reconcile.bucket_digests(source.select(*[F.col(quote(n)) for n in t.meta.names]), pk, buckets), digests)
+    if not some:
+        return reconcile.keyed_diff(source.limit(0), no_rows(spark, t.meta.ddl()), pk, [n for n in t.meta.names if n not in pk])
+    target = tg.read_live(spark, base, t.meta, buckets, t.live, some, bucketed=False)
+    mine = source.where(tg.bucket_of(pk, buckets).isin(some))
+    return reconcile.keyed_diff(mine, target, pk, [n for n in t.meta.names if n not in pk])
+
+
 def _grown(spark: SparkSession, settings: Settings, fqn: str, table: pg.TableProgress) -> int:
     """By how much a table's buckets should be split: a power of two, 1 for not at all."""
     if settings.buckets or not settings.split_buckets or not table.buckets:
@@ -554,12 +601,33 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
     _drop_staged(spark, settings, tables)
     if not settings.keep_old_files:
         vacuum(spark, settings, tables=active)
+    _note_round(spark, settings, nxt, {t: r for t, r in zip(settings.tables, results) if t in active})
     return RoundResult(
         "run", nxt.batch, published, active_tables=len(active), loaded_files=sum(r[1] for r in results),
         rows={t: r[2] for t, r in zip(settings.tables, results) if r[2]},
     ), nxt
 
 
+ACTIONS = ("insert", "update", "delete", "ignore")
+_ROUNDS = "batch bigint, checkpoint_ts decimal(20,0), table string, loaded_files bigint, " + ", ".join(f"n_{a} bigint" for a in ACTIONS)
+
+
+def _note_round(spark: SparkSession, settings: Settings, state: pg.Progress, active: dict) -> None:
+    """One file per round, with a line per table that had something to do."""
+    lines = [dict(batch=state.batch, checkpoint_ts=state.checkpoint_ts, table=t, loaded_files=files, **{f"n_{a}": rows.get(a) for a in ACTIONS})
+             for t, (_, files, rows) in active.items()]
+    if lines:
+        storage.write_text(spark, f"{settings.target}/_rounds/round={state.batch:012d}.json", "".join(json.dumps(x) + "\n" for x in lines))
+
+
+def round_log(spark: SparkSession, settings: Settings) -> DataFrame:
+    """What every round did, one row per table that had something to do; rounds that write runs count no rows by action."""
+    folder = f"{settings.target}/_rounds"
+    if not storage.list_names(spark, folder):
+        return no_rows(spark, _ROUNDS)
+    return spark.read.schema(_ROUNDS).json(storage.literal(folder) + "/round=*.json")
+
+
 def _drop_staged(spark: SparkSession, settings: Settings, tables: dict[str, pg.TableProgress]) -> None:
     """Delete what was staged for commits that are made, or earlier ones."""
     gone = []

@@ -72,7 +72,8 @@ def snapshot_files(files: DataFrame, tables: DataFrame | None = None) -> DataFra
     Names that are not ``<db>.<table>[.<n>].csv[.gz]`` are no data files. With
     ``tables(db, table)``, only files of configured tables are kept.
     """
-    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    # Files of an export lie in a folder that is named like a data file.
+    name = F.regexp_extract("path", r"([^/]*)(?:/part-[^/]*)?$", 1)
     parts = F.regexp_extract(name, r"^([^.]+)\.([^.]+)(?:\..*)?\.csv(?:\.gz)?$", 1), F.regexp_extract(
         name, r"^([^.]+)\.([^.]+)(?:\..*)?\.csv(?:\.gz)?$", 2)
     found = files.select(

@@ -7,6 +7,7 @@ empty string, binaries are hexadecimal.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,21 +162,46 @@ def write_snapshot(
     spark: SparkSession, df: DataFrame, root: str, meta: TableMeta, commit_ts: int,
     compression: str = "none", ddl: str | None = None,
 ) -> None:
-    """Export a table as numbered header-less files, plus schema and metadata.
+    """Export a table as header-less files, plus schema and metadata; again and again, if wanted.
+
+    Spark writes into a folder of its own, named like a data file of the table, and nothing is
+    renamed. The metadata file names the folders that count, and is written last.
 
     ``\\N`` as a text value cannot be told from null in this dialect.
     """
     snap = f"{root}/snapshot"
     db, table = escape_text(meta.db), escape_text(meta.table)
-    tmp = f"{snap}/_tmp_{db}.{table}"
-    text = to_csv_text(df.select(*[quote(n) for n in meta.names]))
     suffix = ".csv.gz" if compression == "gzip" else ".csv"
-    parts = _write_parts(spark, text, tmp, compression)
-    storage.move_all(spark, [(f"{tmp}/{name}", f"{snap}/{db}.{table}.{i + 1:09d}{suffix}") for i, name in enumerate(parts)])
-    storage.delete(spark, tmp)
+    folder = f"{db}.{table}.{uuid.uuid4().hex}{suffix}"
+    text = to_csv_text(df.select(*[quote(n) for n in meta.names]))
+    _write_parts(spark, text, f"{snap}/{folder}", compression)
     storage.write_text(spark, f"{snap}/{db}-schema-create.sql", f"CREATE DATABASE `{meta.db}`;\n")
     storage.write_text(spark, f"{snap}/{db}.{table}-schema.sql", ddl or create_table_text(meta))
-    storage.write_text(spark, f"{snap}/metadata", f"Started dump\nPos: {commit_ts}\nFinished dump\n")
+    others = [n for n in _published(spark, root) if not n.startswith(f"{db}.{table}.")]
+    data = "".join(f"Data: {n}\n" for n in sorted([*others, folder]))
+    # From here on readers take the new folder.
+    storage.write_text(spark, f"{snap}/metadata", f"Started dump\nPos: {commit_ts}\n{data}Finished dump\n")
+    stem = storage.literal(f"{snap}/{db}.{table}")
+    old = [path for p in (f"{stem}.csv*", f"{stem}.*.csv*") for path, _ in storage.glob(spark, p)]
+    storage.delete_all(spark, [path for path in old if path.rsplit("/", 1)[-1] != folder])
+
+
+def _published(spark: SparkSession, root: str) -> list[str]:
+    """Folders that the metadata of a snapshot names; none in a snapshot of plain files."""
+    path = f"{root}/snapshot/metadata"
+    if not storage.exists(spark, path):
+        return []
+    return [line[6:] for line in storage.read_text(spark, path).splitlines() if line.startswith("Data: ")]
+
+
+def snapshot_paths(spark: SparkSession, root: str, meta: TableMeta) -> list[tuple[str, int]]:
+    """``(path, length)`` of a table's data files: those in the folder that the metadata names, else those named after the table."""
+    db, table = escape_text(meta.db), escape_text(meta.table)
+    mine = [n for n in _published(spark, root) if n.startswith(f"{db}.{table}.")]
+    if mine:
+        return storage.glob(spark, storage.literal(f"{root}/snapshot/{mine[-1]}") + "/part-*")
+    stem = storage.literal(f"{root}/snapshot/{db}.{table}")
+    return [x for p in (f"{stem}.csv", f"{stem}.csv.gz", f"{stem}.*.csv", f"{stem}.*.csv.gz") for x in storage.glob(spark, p)]
 
 
 def create_table_text(meta: TableMeta) -> str:
@@ -241,7 +267,7 @@ def write_change_files(
     index. Rows of one key must sit in one partition, in commit order.
     """
     stream = f"{root}/increment/{meta.db}/{meta.table}/{version}/" + (f"{partition}/" if partition is not None else "") + date
-    tmp = f"{stream}/_tmp"
+    tmp = f"{stream}/_tmp_{uuid.uuid4().hex}"
     text = to_csv_text(changes.select(*[quote(n) for n in ENVELOPE + meta.names]))
     parts = _write_parts(spark, text, tmp, "none")
     last = first_index - 1 + len(parts)

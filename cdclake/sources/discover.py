@@ -7,6 +7,7 @@ listed; they follow from the index and the cursor of their stream.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,24 +29,34 @@ def read_index_texts(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.text([storage.literal(p) for p in paths], wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def index_paths(spark: SparkSession, root: str, db: str, table: str, version: int, active: dict[int, str]) -> list[str]:
-    """Index files of a table version, without dates before the active one.
+def index_listing(spark: SparkSession, root: str, tables: dict[str, dict[int, dict[int, str]]]) -> list[str]:
+    """Index files of table versions, without dates before the active one.
 
-    ``active`` maps a partition to the date its cursor stands at. Only folders
-    of dates and partitions are listed, never the data files in them. A stream
-    without an index file has produced nothing yet and simply is not found.
+    ``tables`` maps a table to its versions, and each of those to the date at which the cursor
+    of each partition stands. Two patterns per table tell all its index files, however many
+    dates there are; only folders of dates and partitions are listed, never the data files in
+    them, and all tables side by side. Dates that are done are told by their paths and not
+    read. A stream without an index file has produced nothing yet and simply is not found.
     """
-    base = f"{root}/increment/{db}/{table}/{version}"
-    dates = []
-    for name in storage.list_names(spark, base):
-        if _DATE.match(name):
-            dates.append((0, name, f"{base}/{name}"))
-        elif name.isdigit():
-            dates += [(int(name), d, f"{base}/{name}/{d}") for d in storage.list_names(spark, f"{base}/{name}") if _DATE.match(d)]
-        else:
-            raise ValueError(f"neither a date nor a partition: {base}/{name}")
-    paths = [f"{path}/meta/CDC.index" for partition, date, path in dates if date >= active.get(partition, "")]
-    return [p for p in paths if storage.exists(spark, p)]
+    def listed(item: tuple[str, dict[int, dict[int, str]]]) -> list[str]:
+        fqn, versions = item
+        if not versions:
+            return []
+        base = f"{root}/increment/" + "/".join(fqn.split(".", 1))
+        home = storage.literal(base)
+        these = "{" + ",".join(str(v) for v in sorted(versions)) + "}"
+        found = []
+        for depth in (1, 2):  # dates, or partitions and dates
+            for path, _ in storage.glob(spark, f"{home}/{these}{'/*' * depth}/meta/CDC.index"):
+                version, *part, date = path.split("/")[-3 - depth:-2]
+                if not _DATE.match(date) or (part and not part[0].isdigit()):
+                    raise ValueError(f"neither a date nor a partition: {path}")
+                if date >= versions[int(version)].get(int(part[0]) if part else 0, ""):
+                    found.append(path)
+        return found
+
+    with ThreadPoolExecutor(32) as pool:
+        return [p for paths in pool.map(listed, tables.items()) for p in paths]
 
 
 def index_rows(texts: DataFrame) -> DataFrame:
@@ -168,8 +179,42 @@ def expand_ranges(ranges: DataFrame) -> DataFrame:
     return files.withColumn("file", file_name(F.col("idx"), F.col("width").cast("int")))
 
 
-def range_paths(root: str, rng) -> list[str]:
-    """Data file paths of one pending range (a descriptor on the driver)."""
+def number_globs(start: int, end: int, width: int) -> list[str]:
+    """Few patterns that together match the numbers start..end, zero-padded to a width, and nothing else.
+
+    Walks the decimal trie of the numbers: the patterns are its largest subtrees within the
+    range, so there are at most 18 for each digit in which the ends differ.
+    """
+    out = []
+    while start <= end:
+        # The largest block 10**k that begins here and ends within the range.
+        k = 0
+        while start % 10 ** (k + 1) == 0 and start + 10 ** (k + 1) - 1 <= end:
+            k += 1
+        last = min(start // 10**k + 9 - start // 10**k % 10, (end + 1) // 10**k - 1)
+        head, low, high = start // 10 ** (k + 1), start // 10**k % 10, last % 10
+        digits = max(0, width - k - 1)
+        prefix = f"{head:0{digits}d}" if head or digits else ""
+        out.append(prefix + (str(low) if low == high else f"[{low}-{high}]") + "[0-9]" * k)
+        start = (last + 1) * 10**k
+    return out
+
+
+def range_globs(root: str, rng) -> list[str]:
+    """Patterns of the data files of one pending range (a descriptor on the driver)."""
     part = f"{rng['partition']}/" if rng["partition"] else ""
-    base = f"{root}/increment/{rng['db']}/{rng['table']}/{int(rng['version'])}/{part}{rng['date']}"
-    return [f"{base}/CDC{i:0{rng['width']}d}.csv" for i in range(rng["start_idx"], rng["end_idx"] + 1)]
+    base = storage.literal(f"{root}/increment/{rng['db']}/{rng['table']}/{int(rng['version'])}/{part}{rng['date']}")
+    out, start = [], rng["start_idx"]
+    while start <= rng["end_idx"]:  # numbers that outgrow the width have as many digits as they need
+        digits = max(rng["width"], len(str(start)))
+        end = min(rng["end_idx"], 10**digits - 1)
+        out += [f"{base}/CDC{x}.csv" for x in number_globs(start, end, digits)]
+        start = end + 1
+    return out
+
+
+def check_files(spark: SparkSession, globs: list[str], expected: int) -> None:
+    """Fail unless the patterns match as many files as their ranges have; files are counted by Spark and not read."""
+    there = spark.read.format("binaryFile").load(globs).select("path").count()
+    if there != expected:
+        raise FileNotFoundError(f"{expected - there} of {expected} change files are missing: {globs[:3]} ...")

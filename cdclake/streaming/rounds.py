@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from cdclake.plans import replicate as rp
+from cdclake.sources import storage
+from cdclake.sources.local import no_rows
 from cdclake.streaming.descriptors import read_descriptors
 
 
 class RoundLog(StreamingQueryListener):
-    """Keeps the newest progress reports of the queries it listens to."""
+    """Progress reports and errors of streams.
+
+    With a folder, every event is appended there as a file, and nothing is dropped. The newest
+    ``keep`` are also at hand in ``reports`` and ``errors``.
+    """
+
+    def __init__(self, keep: int = 100, spark: SparkSession | None = None, folder: str | None = None):
+        self.keep, self.reports, self.errors, self.spark, self.folder = keep, [], [], spark, folder
 
-    def __init__(self, keep: int = 100):
-        self.keep, self.reports, self.errors = keep, [], []
+    def _append(self, kind: str, row: dict) -> None:
+        if self.folder:
+            storage.write_text(self.spark, f"{self.folder}/{kind}-{uuid.uuid4().hex}.json", json.dumps(row) + "\n")
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
         p = event.progress
-        self.reports = [*self.reports, {"batch": p.batchId, "descriptors": p.numInputRows, "ms": p.batchDuration}][-self.keep:]
+        row = {"batch": p.batchId, "descriptors": p.numInputRows, "ms": p.batchDuration}
+        self.reports = [*self.reports, row][-self.keep:]
+        self._append("report", {"at": p.timestamp, **row})
 
     def onQueryIdle(self, event):
         pass
@@ -29,6 +44,17 @@ class RoundLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         if event.exception:
             self.errors = [*self.errors, event.exception][-self.keep:]
+            self._append("error", {"error": event.exception})
+
+
+_attached: dict[tuple[int, str], RoundLog] = {}
+
+
+def stream_log(spark: SparkSession, settings: rp.Settings) -> DataFrame:
+    """All reports and errors of the streams that ran into a target: (at, batch, descriptors, ms, error)."""
+    schema = "at string, batch bigint, descriptors bigint, ms bigint, error string"
+    folder = f"{settings.target}/_rounds/stream"
+    return spark.read.schema(schema).json(storage.literal(folder) + "/*.json") if storage.list_names(spark, folder) else no_rows(spark, schema)
 
 
 def start_rounds(
@@ -49,6 +75,10 @@ def start_rounds(
         if on_round is not None:
             on_round(result)
 
+    place = (id(spark), f"{settings.target}/_rounds/stream")
+    if place not in _attached:
+        _attached[place] = RoundLog(spark=spark, folder=place[1])
+        spark.streams.addListener(_attached[place])
     writer = (
         read_descriptors(spark, settings.source, settings.tables)
         .writeStream.foreachBatch(one_round)

@@ -98,9 +98,9 @@ def _orders_catalog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         return df.select("db", "table", *[F.col(f"c.col{i + 1}").alias(n) for i, n in enumerate(shape)])
 
     null = F.lit(None).cast("string")
-    prev = catalog(("id", "int", "11", "", F.lit(False), null), ("Name", "varchar", "16", "", F.lit(True), null), ("age", "int", "11", "", F.lit(True), F.lit("v1")))
-    size = F.when(k % 3 == 0, "32").otherwise("16")
-    nxt = catalog(("id", "int", "11", "", k % 5 == 0, null), ("NAME", "varchar", size, "", F.lit(True), null), ("born", "date", "", "", F.lit(True), null))
+    prev = catalog(("station", "char", "4", "", F.lit(False), null), ("Depth", "decimal", "7", "3", F.lit(True), null), ("remark", "text", "", "", F.lit(True), F.lit("dry")))
+    scale = F.when(k % 3 == 0, "4").otherwise("3")
+    nxt = catalog(("station", "char", "4", "", k % 5 == 0, null), ("DEPTH", "decimal", "7", scale, F.lit(True), null), ("litres", "double", "", "", F.lit(True), null))
     return prev, nxt
 
 
@@ -133,6 +133,6 @@ ORACLES = {
     "ddl_classify": f"SELECT o_orderkey, {_case(0)} AS query, {_case(2)} AS kind FROM orders",
     "schema_diff": """
         SELECT 'shop' AS db, 't' || o_orderkey AS "table", name, change FROM orders, (VALUES
-          ('age', 'dropped', 0), ('born', 'added', 0), ('NAME', 'type', 3), ('id', 'nullability', 5)) v(name, change, every)
+          ('remark', 'dropped', 0), ('litres', 'added', 0), ('DEPTH', 'type', 3), ('station', 'nullability', 5)) v(name, change, every)
         WHERE every = 0 OR o_orderkey % CASE WHEN every = 0 THEN 1 ELSE every END = 0""",
 }

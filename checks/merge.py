@@ -42,13 +42,9 @@ def q_merge_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_merge_composite_pk(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     e = F.col("event_id")
-    changes = events.where(e % 5 < 2).select(
-        F.when(e % 5 == 0, "D").otherwise("U").alias("cdc_flag"),
-        e.cast("decimal(20,0)").alias("cdc_commit_ts"),
-        "user_id", "ts", "event_id", "event_type", (F.col("value") * 2).alias("value"),
-    )
-    target = events.select("user_id", "ts", "event_id", "event_type", "value")
-    return merge_changes(target, latest_change(changes, ["user_id", "ts"]), ["user_id", "ts"])
+    changes = events.withColumn("value", F.when(e % 5 == 1, F.col("value") * 2).otherwise(F.col("value"))).withColumns({
+        "cdc_flag": F.when(e % 5 == 0, "D").when(e % 5 == 2, F.lit(None)).otherwise("U"), "cdc_commit_ts": e.cast("decimal(20,0)")})
+    return merge_changes(events, latest_change(changes, ["user_id", "ts"]), ["user_id", "ts"])
 
 
 def q_checkpoint_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,12 +85,10 @@ ORACLES = {
         FROM latest l LEFT JOIN orders o USING (o_orderkey) GROUP BY 1""",
     "merge_composite_pk": """
         WITH latest AS (
-          SELECT CASE WHEN event_id % 5 = 0 THEN 'D' ELSE 'U' END AS flag, user_id, ts, event_id, event_type, value * 2 AS value
-          FROM events WHERE event_id % 5 < 2
-          QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
-        SELECT e.user_id, e.ts, e.event_id, e.event_type, e.value FROM events e
-        ANTI JOIN latest l ON e.user_id = l.user_id AND e.ts = l.ts
-        UNION ALL SELECT user_id, ts, event_id, event_type, value FROM latest WHERE flag <> 'D'""",
+          SELECT CASE event_id % 5 WHEN 0 THEN 'D' WHEN 2 THEN NULL ELSE 'U' END AS flag, * REPLACE (CASE WHEN event_id % 5 = 1 THEN value * 2 ELSE value END AS value)
+          FROM events QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) = 1)
+        SELECT e.* FROM events e JOIN latest l ON e.user_id = l.user_id AND e.ts = l.ts WHERE l.flag IS NULL
+        UNION ALL SELECT * EXCLUDE (flag) FROM latest WHERE flag <> 'D'""",
     "checkpoint_filter": f"WITH ch AS ({ORDER_CHANGES_SQL}) SELECT flag, ts, o_orderkey FROM ch WHERE ts > {CHECKPOINT}",
     "replay_idempotent": MERGED_ORDERS_SQL,
 }
