@@ -19,9 +19,11 @@ link between different sets is lost: components are exact.
    qualify are opened, and only members within the bound become pairs.
 5. **Parities.** Every set has ``8 * 64`` bits, each the parity of the tokens that fall on
    it. A token in one of two sets alone flips one bit, so the bits in which they differ are
-   no more than the tokens in which they do. The joins themselves take no pair that differs
-   in too many: near copies that just don't link, and texts that share a passage only, are
-   never rows, however many there are. What is left is compared by first tokens, then by texts.
+   no more than the tokens in which they do. A group has the bits that any and that all of
+   its members have, which bound all its pairs with another group at once. The joins take no
+   pair that differs in too many: near copies that just don't link, and texts that share a
+   passage only, are never rows, however many there are. Of two groups that are opened the
+   smaller one's members come first. What is left is compared by first tokens, then by texts.
 6. The links of all steps give the components.
 
 Ids: rows are linked by their texts alone, so rows that repeat an id, or have none, link as
@@ -160,10 +162,11 @@ def _can_link(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> C
     return (most * (100 + percent) >= percent * (n1 + n2)) & (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2))
 
 
-def _near(bits1: Column, n1: Column, bits2: Column, n2: Column, percent: int) -> Column:
-    """Whether sets can link by their parities: of sets that link, no more tokens are in one alone."""
-    differ = sum((F.bit_count(F.get(bits1, F.lit(k)).bitwiseXOR(F.get(bits2, F.lit(k)))) for k in range(PARITIES)), F.lit(0))
-    return differ * (100 + percent) <= (100 - percent) * (n1 + n2)
+def _near(any1: Column, all1: Column, n1: Column, any2: Column, all2: Column, n2: Column, percent: int) -> Column:
+    """Whether sets of two groups can link by their parities: of sets that link, no more tokens are in one alone."""
+    word = lambda c, k: F.get(c, F.lit(k))
+    sure = [word(all1, k).bitwiseAND(F.bitwise_not(word(any2, k))).bitwiseOR(word(all2, k).bitwiseAND(F.bitwise_not(word(any1, k)))) for k in range(PARITIES)]
+    return sum((F.bit_count(x) for x in sure), F.lit(0)) * (100 + percent) <= (100 - percent) * (n1 + n2)
 
 
 def _pairs(pairs: DataFrame, tried: DataFrame | None) -> DataFrame:
@@ -183,18 +186,21 @@ def _opened(placed: DataFrame, heads: DataFrame, percent: int, folder: str) -> D
     several = placed.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
     members = placed.join(several, "token").join(heads.select("id", "bits"), "id")
     members = common.written(members.select("token", "g", "n", "id", "pos", "bits"), f"{folder}/members")
-    # Parities of a group of one are those of its member; a larger group has none of its own.
-    matrix = members.groupBy("token", "g", "n").agg(F.min("pos").alias("pos"), F.count("*").alias("m"), F.first("bits").alias("bits"))
-    matrix = common.written(matrix.withColumn("bits", F.when(c("m") == 1, c("bits"))).drop("m"), f"{folder}/matrix")
-    one, two = matrix.alias("x"), matrix.alias("y")
+    bits = [F.get("bits", F.lit(k)) for k in range(PARITIES)]
+    matrix = members.groupBy("token", "g", "n").agg(
+        F.min("pos").alias("pos"), F.count("*").alias("m"), F.array(*[F.bit_or(b) for b in bits]).alias("any"), F.array(*[F.bit_and(b) for b in bits]).alias("all"))
+    # In a group of one any is all.
+    matrix = common.written(matrix.withColumn("all", F.when(c("m") > 1, c("all"))), f"{folder}/matrix")
+    one, two = (matrix.withColumn("all", F.coalesce("all", "any")).alias(x) for x in "xy")
     open_ = one.join(two, (c("x.token") == c("y.token")) & (c("x.g") < c("y.g")) & _can_link(c("x.n"), c("x.pos"), c("y.n"), c("y.pos"), percent)
-                     & F.coalesce(_near(c("x.bits"), c("x.n"), c("y.bits"), c("y.n"), percent), F.lit(True)))
-    open_ = open_.select(c("x.token").alias("token"), c("x.g").alias("g1"), c("x.n").alias("n1"), c("y.g").alias("g2"), c("y.n").alias("n2"))
+                     & _near(c("x.any"), c("x.all"), c("x.n"), c("y.any"), c("y.all"), c("y.n"), percent))
+    small = c("x.m") <= c("y.m")
+    open_ = open_.select(c("x.token").alias("token"), *[F.when(when, c(f"x.{k}")).otherwise(c(f"y.{k}")).alias(f"{k}{i}") for i, when in ((1, small), (2, ~small)) for k in "gn"])
     left = members.select("token", c("g").alias("g1"), c("n").alias("n1"), c("id").alias("a"), c("pos").alias("p1"), c("bits").alias("bits1"))
     right = members.select("token", c("g").alias("g2"), c("n").alias("n2"), c("id").alias("b"), c("pos").alias("p2"), c("bits").alias("bits2"))
     half = open_.join(left, ["token", "g1", "n1"]).alias("l")
     on = [c(f"l.{k}") == c(f"r.{k}") for k in ("token", "g2", "n2")]
-    fit = _can_link(c("l.n1"), c("p1"), c("r.n2"), c("p2"), percent) & _near(c("bits1"), c("l.n1"), c("bits2"), c("r.n2"), percent)
+    fit = _can_link(c("l.n1"), c("p1"), c("r.n2"), c("p2"), percent) & _near(c("bits1"), c("bits1"), c("l.n1"), c("bits2"), c("bits2"), c("r.n2"), percent)
     return half.join(right.alias("r"), [*on, fit]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
@@ -205,7 +211,7 @@ def _links(pairs: DataFrame, heads: DataFrame, texts: DataFrame, gram: int, perc
         pairs = pairs.join(heads.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"t_{side}"), F.col("bits").alias(f"bits_{side}")), side)
     n_a, n_b = F.col("n_a"), F.col("n_b")
     most = F.size(F.array_intersect("t_a", "t_b")) + F.greatest(n_a - F.size("t_a"), n_b - F.size("t_b"))
-    fit = _near(F.col("bits_a"), n_a, F.col("bits_b"), n_b, percent) & (most * (100 + percent) >= percent * (n_a + n_b)) & (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
+    fit = _near(F.col("bits_a"), F.col("bits_a"), n_a, F.col("bits_b"), F.col("bits_b"), n_b, percent) & (most * (100 + percent) >= percent * (n_a + n_b)) & (100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b))
     pairs = common.written(pairs.where(fit).select("a", "b").distinct(), f"{folder}/bounded")
     with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
