@@ -246,8 +246,8 @@ def _ranges(spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epo
     cursors = local_rows(
         spark, cursor_rows, "db string, table string, version decimal(20,0), partition bigint, date string, file_index bigint")
     index = discover.index_rows(discover.read_index_texts(spark, paths))
-    rows = discover.pending_ranges(index, cursors).collect()
-    return sorted(rows, key=lambda r: (r["version"], r["partition"], r["date"]))
+    pending = discover.pending_ranges(index, cursors).withColumn("kind", F.lit(1))
+    return sorted(discover.replay_order(pending).collect(), key=lambda r: r["first_position"])
 
 
 def _keep_key_order(prev: TableMeta, plan: ev.Evolution) -> TableMeta:
@@ -269,7 +269,7 @@ def _check_columns(fqn: str, epoch: _Epoch, meta: TableMeta) -> None:
 
 
 def _apply_table(
-    spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epoch], state: pg.Progress, alive: Callable[[], None],
+    spark: SparkSession, settings: Settings, fqn: str, epochs: list[_Epoch], state: pg.Progress, alive: Callable[[], None], purpose: str,
 ) -> tuple[pg.TableProgress, int, dict[str, int]]:
     """Bring one table forward; returns its progress, file count and row counts."""
     table = copy.deepcopy(state.tables[fqn])
@@ -343,7 +343,6 @@ def _apply_table(
 
     counts: dict[str, int] = {}
     version = tg.new_version(batch)
-    purpose = f"round {version}"
     latest, touched = None, list(range(table.buckets))
     alive()
     if changes:
@@ -358,7 +357,6 @@ def _apply_table(
                 table.deltas.append(pg.Delta(version, 0, tg.folder_bytes(spark, path)))
                 alive()
                 _settle(spark, settings, base, table, batch, purpose)
-            tg.release(spark, base, purpose)
             return table, files, counts
     if rewrite:
         touched = list(range(table.buckets))
@@ -388,7 +386,6 @@ def _apply_table(
         current = merge_changes(current, latest, pk, observation=seen)
     current = ev.assert_evolved(current)
     tg.write_version(spark, current, base, version, pk, table.buckets, distributed=True)
-    tg.release(spark, base, purpose)
     if latest is not None:
         counts = {k: int(v) for k, v in seen.get.items()}
     for b in touched:
@@ -456,9 +453,11 @@ def _maintain(spark: SparkSession, settings: Settings, fqn: str, work: Callable[
         return False
     table, base = copy.deepcopy(before), tg.location(settings.target, *split_fqn(fqn))
     purpose = f"round {uuid.uuid4().hex}"
-    with tg.sorted_buckets(spark):
-        done = work(base, table, before.batch + 1, purpose)
-    tg.release(spark, base, purpose)
+    try:
+        with tg.sorted_buckets(spark):
+            done = work(base, table, before.batch + 1, purpose)
+    finally:
+        tg.release(spark, base, purpose)
     if done:
         pg.commit(spark, settings.target, fqn, before, table)
     return done
@@ -573,14 +572,19 @@ def apply_round(spark: SparkSession, settings: Settings, state: pg.Progress | No
     state = state or pg.load(spark, settings.target, settings.tables)
     # The checkpoint is read before the files it covers are looked for.
     published = catalog.read_checkpoint(spark, settings.source)
-    action = "absent" if published is None else "behind" if published < state.checkpoint_ts else "stuck" if published == state.checkpoint_ts else "run"
+    stamp = lambda v: F.lit(v).cast("decimal(20,0)")
+    action = spark.range(1).select(discover.round_gate(stamp(state.checkpoint_ts), stamp(published))).first()[0]
     if action != "run":
         return RoundResult(action, state.batch, state.checkpoint_ts), state
     epochs = _epochs(spark, settings, state)
 
     def work(fqn: str, alive: Callable[[], None]):
         before = state.tables[fqn]
-        table, files, rows = _apply_table(spark, settings, fqn, epochs[fqn], state, alive)
+        purpose = f"round {uuid.uuid4().hex}"
+        try:
+            table, files, rows = _apply_table(spark, settings, fqn, epochs[fqn], state, alive, purpose)
+        finally:
+            tg.release(spark, tg.location(settings.target, *split_fqn(fqn)), purpose)
         table.checkpoint_ts = published
         if vars(table) | {"checkpoint_ts": 0} != vars(before) | {"checkpoint_ts": 0}:
             alive()

@@ -62,6 +62,13 @@ def glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return [] if found is None else [(s.getPath().toString(), s.getLen()) for s in found]
 
 
+def count(spark: SparkSession, pattern: str) -> int:
+    """How many files and folders a glob pattern matches; none of them comes here."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return 0 if found is None else len(found)
+
+
 def move(spark: SparkSession, src: str, dst: str) -> None:
     fs, s = _fs(spark, src)
     d = spark._jvm.org.apache.hadoop.fs.Path(dst)

@@ -57,6 +57,18 @@ def stream_log(spark: SparkSession, settings: rp.Settings) -> DataFrame:
     return spark.read.schema(schema).json(storage.literal(folder) + "/*.json") if storage.list_names(spark, folder) else no_rows(spark, schema)
 
 
+#: Stores that the planning of descriptors can list: paths without a scheme, and these.
+LISTED = ("file", "s3", "s3a", "s3n", "hdfs")
+
+
+def _pending(spark: SparkSession, settings: rp.Settings) -> DataFrame:
+    """What starts rounds: descriptors of new files where they can be listed, else one row per trigger."""
+    scheme, colon, _ = settings.source.partition(":")
+    if not colon or scheme in LISTED:
+        return read_descriptors(spark, settings.source, settings.tables)
+    return spark.readStream.format("rate-micro-batch").options(rowsPerBatch=1, numPartitions=1).load()
+
+
 def start_rounds(
     spark, settings: rp.Settings, checkpoint_location: str, every: str | None = "1 minute", on_round=None,
 ) -> StreamingQuery:
@@ -66,10 +78,14 @@ def start_rounds(
     round against the committed cursors: files of a batch that is replayed
     after a crash, but was committed, are behind the cursors and do nothing, so
     a result may load fewer files than its batch announced.
+
+    Descriptors are planned outside the JVM, where only some stores are known. On all others
+    that Hadoop knows a clock starts the batches, and the round alone looks for what is new,
+    through the session's file systems.
     """
 
     def one_round(batch: DataFrame, batch_id: int) -> None:
-        announced = batch.where("db is not null").agg(F.sum(F.expr("end_idx - start_idx + 1"))).first()[0] or 0
+        announced = 0 if "db" not in batch.columns else batch.where("db is not null").agg(F.sum(F.expr("end_idx - start_idx + 1"))).first()[0] or 0
         result, _ = rp.apply_round(batch.sparkSession, settings)
         result.announced_files = announced
         if on_round is not None:
@@ -79,10 +95,6 @@ def start_rounds(
     if place not in _attached:
         _attached[place] = RoundLog(spark=spark, folder=place[1])
         spark.streams.addListener(_attached[place])
-    writer = (
-        read_descriptors(spark, settings.source, settings.tables)
-        .writeStream.foreachBatch(one_round)
-        .option("checkpointLocation", checkpoint_location)
-    )
+    writer = _pending(spark, settings).writeStream.foreachBatch(one_round).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
     return writer.start()
