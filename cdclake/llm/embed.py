@@ -106,7 +106,8 @@ def _places(batches: Iterator[pa.RecordBatch], depth: int, tables: int) -> Itera
             for rows, x in _by_length(part.column("vector")):
                 dims = x.shape[1]
                 if dims not in known:
-                    known[dims] = _directions(dims, tables * depth * BUNDLE, 0)
+                    a = _directions(dims, tables * depth * BUNDLE, 0)
+                    known[dims] = a / np.sqrt((a * a).sum(axis=0))  # a longer one would win more vectors
                 p = (unit(x) @ known[dims]).reshape(len(rows), tables, depth, BUNDLE)
                 end = np.abs(p).argmax(axis=3)
                 code = 2 * end + (np.take_along_axis(p, end[..., None], 3)[..., 0] > 0)

@@ -87,8 +87,8 @@ def test_stages(spark, sf_dir):
 
 def test_queries_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
-    assert "op6_quality_rules" in entry.oracle_sql() and pipeline.ORACLE_SQL is None
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
+    assert {"op6_quality_rules", "op11_embedding_near_dedup", "op12_prefix_trie", "op13_centroid_clustering"} <= set(entry.oracle_sql()) and pipeline.ORACLE_SQL is None
 
 
 def test_rest_does_without_the_text_operators(tmp_path):
