@@ -106,8 +106,8 @@ SECOND_META = dataclasses.replace(ORDERS_META, columns=(
 SECOND_QUERY = "ALTER TABLE orders CHANGE COLUMN o_orderpriority priority VARCHAR(32), ADD COLUMN channel VARCHAR(8) NOT NULL DEFAULT 'web'"
 
 
-def q_multi_epoch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes before and after a schema change, folded into one merge by one round."""
+def epochs_source(spark: SparkSession, sf_dir: str) -> rp.Settings:
+    """Files of changes before and after a schema change."""
     orders = table(spark, sf_dir, "orders")
     s = _lake(spark)
     _publish(spark, s, orders)
@@ -118,6 +118,12 @@ def q_multi_epoch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower("o_orderpriority").alias("priority"), F.lit("app").alias("channel"))
     csvio.write_schema_epoch(spark, s.source, SECOND_META, 4000, SECOND_QUERY, 70)
     csvio.write_change_files(spark, _by_key(second), s.source, SECOND_META, 4000, "2026-07-02")
+    return s
+
+
+def q_multi_epoch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes before and after a schema change, folded into one merge by one round."""
+    s = epochs_source(spark, sf_dir)
     (result,) = rp.replicate(spark, s)
     if result.active_tables != 1:
         raise AssertionError("one round should have done it")
