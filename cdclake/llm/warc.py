@@ -9,7 +9,9 @@ are revisit records that name the one they refer to.
 **Reading.** A reader goes from member to member (or from version line to version line in
 files that aren't compressed). A record must decompress, parse, have its stated length,
 and match its block digest. If it doesn't, the reader looks for the next place at which
-a record passes these checks, goes on there, and logs the bytes between as a gap.
+a record passes these checks, goes on there, and logs the bytes between as a gap. Places
+of marks, and compressed data that failed, are remembered, so that the time grows with
+the length of a file, however many records or false marks it has.
 
 Null payloads are empty ones. A null id is kept as null. Rows that repeat the largest id
 of a payload are responses all.
@@ -20,6 +22,8 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,6 +40,9 @@ MAGIC = b"\x1f\x8b\x08"
 #: Records per archive file; a reader holds one file at a time.
 RECORDS_PER_FILE = 2000
 LEVEL = 6
+#: A header line may have this many bytes; what has more is no record.
+MAX_LINE = 1 << 20
+_VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
 #: Names records by their page; from the payload's page, not from chance, so that a repeated task writes the same bytes.
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 DATE = b"2025-01-01T00:00:00Z"
@@ -81,68 +88,140 @@ class Found(NamedTuple):
     block: bytes
 
 
+class _File:
+    """A file's bytes, with what is already known of them, so that no stretch is searched or inflated twice."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = data
+        self._known: dict[tuple[bytes, int], tuple[int, int]] = {}
+        self.failed: set[int] = set()  # where compressed data begin that are no sound member's
+
+    def next(self, mark: bytes, at: int, asker: int = 0) -> int:
+        """The next place of a mark at or after ``at``; the file's length if there is none. Each asker goes forward on the whole."""
+        since, place = self._known.get((mark, asker), (0, -1))
+        if at > place:
+            found = self.data.find(mark, at)
+        elif at >= since:
+            return place
+        else:
+            found = self.data.find(mark, at, since + len(mark) - 1)
+            found = place if found < 0 else found
+        place = len(self.data) if found < 0 else found
+        self._known[mark, asker] = (at, place)
+        return place
+
+    def body(self, at: int) -> int | None:
+        """Where the compressed data of the member at a place begin, or None if its header is not sound."""
+        data, begin = self.data, at + 10
+        if len(data) < begin or data[at + 3] & 0xE0:
+            return None
+        flags = data[at + 3]
+        if flags & 4:
+            begin += 2 + int.from_bytes(data[begin:begin + 2], "little")
+        for named in (8, 16):
+            if flags & named:
+                begin = self.next(b"\0", begin, named) + 1
+        begin += flags & 2
+        return begin if begin < len(data) else None
+
+
+def _headers(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
+    """Headers of the record at a place and where its block begins; read line by line, up to the first that is no header."""
+    version = _VERSION_LINE.match(data, at)
+    if version is None:
+        return None
+    headers, name, begin = {}, None, version.end()
+    while (end := data.find(b"\r\n", begin, begin + MAX_LINE)) > begin:
+        try:
+            line = data[begin:end].decode("utf-8")
+        except UnicodeDecodeError:
+            return None
+        if line[0] in " \t" and name is not None:
+            headers[name] += " " + line.strip()
+        else:
+            name, colon, value = line.partition(":")
+            if not colon:
+                return None
+            name = name.strip().lower()
+            headers[name] = value.strip()
+        begin = end + 2
+    return (headers, begin + 2) if end == begin else None
+
+
 def _parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int] | None:
     """Headers, block and end of the record at a place, or None if a check fails."""
-    if not data.startswith(b"WARC/", at):
+    found = _headers(data, at)
+    if found is None:
         return None
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
+    headers, begin = found
+    size = headers.get("content-length", "")
+    if not (size.isascii() and size.isdigit()):
         return None
-    try:
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size = int(headers["content-length"])
-    except (UnicodeDecodeError, KeyError, ValueError):
+    stop = begin + int(size)
+    if data[stop:stop + 4] != b"\r\n\r\n":
         return None
-    begin, stop = end + 4, end + 4 + size
     block = data[begin:stop]
-    if size < 0 or len(block) != size or data[stop:stop + 4] != b"\r\n\r\n":
-        return None
     want = headers.get("warc-block-digest", "")
     if want.startswith("sha1:") and want[5:] != digest32(block):
         return None
     return headers, block, stop + 4
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """Content and end of the gzip member at a place, or None if its own checks fail."""
-    inflate = zlib.decompressobj(31)
+def _inflate(file: _File, body: int) -> tuple[bytes, int] | None:
+    """Content and end of the gzip member whose compressed data begin at a place, or None if its own checks fail.
+
+    Windows of the file are inflated, each twice the last, so that a member costs its own length only.
+    """
+    data, inflate, out, end, window = file.data, zlib.decompressobj(-zlib.MAX_WBITS), [], body, 4096
     try:
-        out = inflate.decompress(memoryview(data)[at:])
+        while not inflate.eof and end < len(data):
+            out.append(inflate.decompress(data[end:end + window]))
+            end, window = min(len(data), end + window), 2 * window
     except zlib.error:
         return None
-    return (out, len(data) - len(inflate.unused_data)) if inflate.eof else None
+    end -= len(inflate.unused_data)
+    content = b"".join(out)
+    sums = struct.pack("<II", zlib.crc32(content), len(content) & 0xFFFFFFFF)
+    return (content, end + 8) if inflate.eof and data[end:end + 8] == sums else None
 
 
-def _record_at(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int] | None:
-    """All records of the member at a place (none in an empty one), or the plain record there, and its end."""
-    if data.startswith(MAGIC, at):
-        member = _inflate(data, at)
-        if member is None:
-            return None
-        content, end = member
-        records, inner = [], 0
-        while inner < len(content):
-            one = _parse(content, inner)
-            if one is None:
-                return None
+def _member_at(file: _File, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int] | None:
+    """All records of the gzip member at a place (none in an empty one) and its end, or None if a check fails."""
+    body = file.body(at)
+    if body is None or body in file.failed:
+        return None
+    member = _inflate(file, body)
+    records, inner = [], 0
+    while member is not None and inner < len(member[0]):
+        one = _parse(member[0], inner)
+        if one is None:
+            member = None
+        else:
             records.append(one[:2])
             inner = one[2]
-        return records, end
-    one = _parse(data, at)
+    if member is None:
+        file.failed.add(body)
+        return None
+    return records, member[1]
+
+
+def _record_at(file: _File, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int] | None:
+    """The records of the member, or the plain record, at a place, and its end."""
+    if file.data.startswith(MAGIC, at):
+        return _member_at(file, at)
+    one = _parse(file.data, at)
     return one and ([one[:2]], one[2])
 
 
 def salvage(data: bytes) -> Iterator[Found]:
     """All records of a file in order, and the gaps between them."""
-    at, gap = 0, None
+    file, at, gap = _File(data), 0, None
     while at < len(data):
-        found = _record_at(data, at)
+        found = _record_at(file, at)
         if found is None:
             if gap is None:
                 gap = at
-            next_places = [p for p in (data.find(MAGIC, at + 1), data.find(b"WARC/", at + 1)) if p >= 0]
-            at = min(next_places, default=len(data))
+            at = min(file.next(MAGIC, at + 1), file.next(b"WARC/", at + 1))
             continue
         if gap is not None and found[0]:
             yield Found(gap, at - gap, None, b"")

@@ -1,7 +1,10 @@
 import base64
 import glob
+import gzip
 import hashlib
 import io
+import random
+import time
 import wave
 import zlib
 
@@ -70,8 +73,6 @@ def test_warc_files_are_plain_gzip_series(spark):
     folder = common.scratch(spark)
     warc.write(spark.createDataFrame(_pages(), "page_id long, url string, html string").repartition(1), folder)
     (path,) = glob.glob(f"{folder.removeprefix('file:')}/part-*")
-    import gzip
-
     text = gzip.open(path).read()
     assert text.count(b"WARC/1.1\r\n") == len(_pages()) and text.endswith(b"\r\n\r\n")
     found = warc.read(spark, folder)
@@ -97,3 +98,39 @@ def test_salvage(packed):
     cut = list(warc.salvage(whole[:starts[5] + 10]))
     assert [r.headers is None for r in cut] == [False] * 5 + [True]
     assert list(warc.salvage(b"")) == [] and [r.length for r in warc.salvage(b"\x1f\x8b\x08\x00")] == [4]
+
+
+def _seconds(data):
+    begin = time.perf_counter()
+    found = list(warc.salvage(data))
+    return time.perf_counter() - begin, found
+
+
+def test_salvage_takes_linear_time():
+    member = [warc._member(warc.record(i, "u", random.Random(i).randbytes(3000).hex().encode())) for i in range(16)]
+    few, found = _seconds(b"".join(member * 125))
+    many, more = _seconds(b"".join(member * 1000))
+    assert len(found) == 2000 and len(more) == 16000 and not any(r.headers is None for r in more)
+    assert many < 30 * few + 1  # eight times the records
+
+
+@pytest.mark.parametrize("junk", [warc.MAGIC, b"WARC/", b"WARC/1.1\r\n", warc.MAGIC + b"\x08" + b"n" * 7, b"\x1f\x8b\x08\x1c"])
+def test_salvage_passes_junk_in_linear_time(junk):
+    good = warc._member(warc.record(1, "u", b"after"))
+    few, _ = _seconds(junk * (100_000 // len(junk)) + good)
+    noise = junk * (1_600_000 // len(junk))
+    many, found = _seconds(noise + b"\0" + good)
+    assert [(r.offset, r.headers is None) for r in found] == [(0, True), (len(noise) + 1, False)]
+    assert many < 60 * few + 1  # sixteen times the bytes
+
+
+def test_headers_may_be_folded_and_named_members_are_read():
+    folded = warc.record(1, "u", b"x").replace(b"Content-Type: text/html", b"Content-Type: text/html;\r\n charset=utf-8")
+    (one,) = warc.salvage(folded)
+    assert one.headers["content-type"] == "text/html; charset=utf-8"
+    out = io.BytesIO()
+    with gzip.GzipFile("name.warc", "wb", fileobj=out) as g:
+        g.write(folded)
+    assert [r.block for r in warc.salvage(out.getvalue() * 3)] == [b"x"] * 3
+    assert [r.headers for r in warc.salvage(b"WARC/1.1\r\nno header\r\nContent-Length: 0\r\n\r\n\r\n\r\n")] == [None]
+    assert [r.headers for r in warc.salvage(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc")] == [None]
