@@ -19,7 +19,9 @@ occurrence is looked at window by window; the others are whole duplicates of it.
 
 Factors and windows are compared by 64-bit hashes of the words' hashes. Equal ones
 within a slice of texts are settled there, so a passage that a third of all documents
-share is sent once per slice; a sorted block is read as a stream, in constant memory.
+share is sent once per slice. What is settled goes on as runs of windows, one per stretch
+of a document, spread by document and place, so no copy of a passage meets another. A
+sorted block is read as a stream, in constant memory.
 
 A null text has no words. A null id counts as larger than all others. Rows that share
 an id are one document as to which comes first, each with its own words: of windows
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from cdclake.llm import common, words
 
 WINDOW, GRAM = 20, 5
+_ODD = np.uint64(0x9E3779B97F4A7C15)  # a multiplier that mixes
 
 _KEYED = pa.schema([("block", pa.int64()), ("factor", pa.int64()), ("id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("settled", pa.bool_())])
 _SPANS = pa.schema([("id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("settled", pa.bool_())])
@@ -96,6 +99,18 @@ def _later(key: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _keyed(block: np.ndarray, factor: np.ndarray, ids: np.ndarray, own: np.ndarray, start: np.ndarray, n: np.ndarray, settled: np.ndarray) -> pa.RecordBatch:
+    """Rows for the blocks; settled ones that follow on each other in a document become one, in a block of its own."""
+    begins = np.ones(len(start), bool)
+    begins[1:] = ~settled[1:] | ~settled[:-1] | (ids[1:] != ids[:-1]) | (own[1:] != own[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    at = np.flatnonzero(begins)
+    n = np.add.reduceat(n, at) if len(at) else n
+    block, factor, ids, own, start, settled = (c[at] for c in (block, factor, ids, own, start, settled))
+    apart = (own ^ ids).view(np.uint64) * _ODD ^ start.astype(np.uint64) * _ODD
+    block, factor = np.where(settled, apart, block), np.where(settled, np.uint64(0), factor)
+    return pa.RecordBatch.from_arrays([_signed(block), _signed(factor), pa.array(ids), pa.array(own), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(settled)], schema=_KEYED)
+
+
 def _parse(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator[pa.RecordBatch]:
     """All factors of all texts, keyed by their anchor; those with an earlier copy in the slice are settled."""
     common.working("substring")
@@ -105,10 +120,7 @@ def _parse(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterato
             if not len(text):
                 continue
             ids, own = part.column("id").to_numpy()[text], part.column("text_hash").to_numpy()[text]
-            settled = _later(factor, ids, first)
-            # Settled factors pass through; they are spread over all blocks.
-            block = np.where(settled, factor, anchor)
-            yield pa.RecordBatch.from_arrays([_signed(block), _signed(factor), pa.array(ids), pa.array(own), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(settled)], schema=_KEYED)
+            yield _keyed(anchor, factor, ids, own, first, n, _later(factor, ids, first))
 
 
 def _look_up(batches: Iterator[pa.RecordBatch], extra: int) -> Iterator[pa.RecordBatch]:
@@ -177,8 +189,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             at = w.first[text] + start
             h = words.range_hashes(w.hashes, at, at + window)
             ids, own = part.column("id").to_numpy()[text], part.column("text_hash").to_numpy()[text]
-            settled = _later(h, ids, start)
-            yield pa.RecordBatch.from_arrays([_signed(h), _signed(h), pa.array(ids), pa.array(own), pa.array(start.astype(np.int32)), pa.array(np.ones(len(h), np.int32)), pa.array(settled)], schema=_KEYED)
+            yield _keyed(h, h, ids, own, start, np.ones(len(h), np.int64), _later(h, ids, start))
 
 
 _ORDER = ["block", "settled", "factor", "id", "start"]
