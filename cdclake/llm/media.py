@@ -3,8 +3,9 @@
 A payload is stored losslessly as 8-bit mono samples of a WAV file and read back by the
 ``wave`` module. Of the power spectrum of overlapping frames, the bins that are the
 largest of their neighbourhood in time and frequency are peaks. Each peak is paired
-with the next few peaks; a pair is coded by its two frequencies and its distance, and
-kept with the frame at which it begins: arrays ``times`` and ``codes`` of equal length.
+with every peak of its target zone: the next ``REACH`` frames, after its own, within
+``BAND`` bins above and below. A pair is coded by its two frequencies and its distance,
+and kept with the frame at which it begins: arrays ``times`` and ``codes`` of equal length.
 
 Null texts count as empty, and an empty payload is padded like any other; texts of any
 length are transformed whole, in blocks of frames; equal payloads have equal features.
@@ -29,8 +30,8 @@ PAD, RATE = 64, 8000
 FRAME, HOP = 256, 128
 #: Neighbourhood of a peak in frames and in frequency bins, each way; frames transformed at once.
 AROUND_T, AROUND_F, BLOCK = 2, 4, 4096
-#: Peaks that one peak is paired with, and their distance in frames at most (under 256).
-PARTNERS, REACH = 4, 32
+#: Target zone of a peak: frames ahead (under 256), and bins each way.
+REACH, BAND = 16, 8
 
 _TAPER = np.hanning(FRAME + 1)[:-1]
 
@@ -80,12 +81,16 @@ def fingerprint(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     """``times`` (frames) and ``codes`` of all peak pairs; code = f1 * 2**16 + f2 * 2**8 + distance."""
     x = np.frombuffer(samples, np.uint8).astype(float) - 128
     t, f = _peaks(x)
+    place = t << 8 | f  # ascending; a frame has under 256 bins
     times, codes = [], []
-    for k in range(1, PARTNERS + 1):
-        gap = t[k:] - t[:-k]
-        near = np.flatnonzero(gap <= REACH)
-        times.append(t[near])
-        codes.append(f[near] << 16 | f[near + k] << 8 | gap[near])
+    for ahead in range(1, REACH + 1):
+        row = (t + ahead) << 8
+        begin, end = np.searchsorted(place, row | np.maximum(f - BAND, 0)), np.searchsorted(place, row | (f + BAND), "right")
+        n = end - begin
+        one = np.repeat(np.arange(len(t)), n)
+        two = np.arange(n.sum()) + np.repeat(begin - np.cumsum(n) + n, n)
+        times.append(t[one])
+        codes.append(f[one] << 16 | f[two] << 8 | ahead)
     times, codes = np.concatenate(times), np.concatenate(codes)
     order = np.lexsort((codes, times))
     return times[order].astype(np.int32), codes[order].astype(np.int32)
@@ -125,7 +130,7 @@ def features(media: DataFrame) -> DataFrame:
 
 
 def digest(docs: DataFrame, **columns: str) -> DataFrame:
-    """The features with the fingerprint as a short text: number of pairs, and a digest of all times and codes."""
+    """The features with the fingerprint as a short text (number of pairs, and a digest of all times and codes) and as arrays."""
     found = features(stored(docs, **columns))
     whole = F.concat_ws(" ", F.array_join("times", ","), F.array_join("codes", ","))
-    return found.select(*found.columns[:7], F.concat(F.size("codes").cast("string"), F.lit(":"), F.md5(whole.cast("binary"))).alias("feature"))
+    return found.select(*found.columns[:7], F.concat(F.size("codes").cast("string"), F.lit(":"), F.md5(whole.cast("binary"))).alias("feature"), "times", "codes")
