@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,9 +22,11 @@ SLICE_BYTES = 1 << 20
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under the shared folder of the session; one is set only where the session names none."""
+    """A new folder under the shared folder of the session. Where the session names none, one is set if all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
