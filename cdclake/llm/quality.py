@@ -9,10 +9,12 @@ is the number of texts per rounded value: at most 2**DIGITS values per power of
 whatever the number of texts, an error under 1 / 2**(DIGITS - 1) of the value, and
 merging is adding, in any order. Each (language, source) has one per measure.
 
-**Limits.** A text is rejected if a measure lies above the upper quartile by over
-``SPREADS`` times the distance of the quartiles, and by over a least distance. A group
-with fewer than ``FEW`` texts uses the merged sketch of its language, and that of all
-texts where the language has few too. A group in which something is usual keeps it.
+**Limits.** All come from the sketches. A sketch's limit lies above its upper quantile
+(each measure's own) by the distance of that to the median, and by one rounding step at
+least. A group's limit is drawn towards that of its language's merged sketch, and this
+towards that of all texts, as if ``PULL`` texts had been seen there: with n texts of its
+own the group counts n / (n + ``PULL``), at every size. A group in which something is
+usual keeps it.
 
 Null texts have no words. A null language or source counts as an empty name. Repeated
 rows count as often as they occur and get equal verdicts.
@@ -32,13 +34,14 @@ from cdclake.llm import common, words
 MIN_WORDS, WINDOW, REPEAT_PERCENT = 10, 5, 20
 #: Fixed value: what counts as a symbol.
 SYMBOLS = "#*$%&|<>"
-DIGITS, SPREADS, FEW = 6, 3, 100
-#: Measures with the least distance above the upper quartile: per mille, or hundredths of a character.
+DIGITS, PULL = 6, 100
+#: Measures (per mille, or hundredths of a character) with the per mille of texts below their upper quantile.
+#: A thousand characters more make a few symbols in a short text no high rate.
 MEASURES = {
-    "symbols": ("1000 * n_symbols div greatest(1, word_chars)", 60),
-    "lines": ("1000 * n_dup_lines div greatest(1, n_lines)", 500),
-    "repeats": ("1000 * n_repeat_words div greatest(1, n_words)", 200),
-    "length": ("100 * word_chars div greatest(1, n_words)", 500),
+    "symbols": ("1000 * n_symbols div (1000 + word_chars)", 900),
+    "lines": ("1000 * n_dup_lines div greatest(1, n_lines)", 990),
+    "repeats": ("1000 * n_repeat_words div greatest(1, n_words)", 990),
+    "length": ("100 * word_chars div greatest(1, n_words)", 950),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
@@ -119,15 +122,16 @@ def limits(rows: DataFrame) -> DataFrame:
         merged = sketch.groupBy(*keys, "measure", "value").agg(F.sum("n").alias("n"))
         part = "PARTITION BY " + ", ".join([*keys, "measure"])
         ranked = merged.selectExpr("*", f"sum(n) OVER ({part} ORDER BY value) AS upto", f"sum(n) OVER ({part}) AS all")
-        quarts = ranked.groupBy(*keys, "measure").agg(
-            F.max("all").alias(f"{name}_n"), F.min(F.when(4 * F.col("upto") >= F.col("all"), F.col("value"))).alias("q1"),
-            F.min(F.when(4 * F.col("upto") >= 3 * F.col("all"), F.col("value"))).alias("q3"))
-        least = F.create_map(*(F.lit(x) for m, (_, d) in MEASURES.items() for x in (m, d)))
-        return quarts.select(*keys, "measure", f"{name}_n", (F.col("q3") + F.greatest(SPREADS * (F.col("q3") - F.col("q1")), least[F.col("measure")])).alias(name))
+        tail = F.create_map(*(F.lit(x) for m, (_, u) in MEASURES.items() for x in (m, u)))[F.col("measure")]
+        at = lambda mille: F.min(F.when(1000 * F.col("upto") >= mille * F.col("all"), F.col("value")))
+        levels = ranked.groupBy(*keys, "measure").agg(F.max("all").alias(f"{name}_n"), at(F.lit(500)).alias("middle"), at(tail).alias("upper"))
+        step = F.greatest(F.lit(1), F.call_function("shiftright", F.col("upper"), F.lit(DIGITS - 1)))
+        return levels.select(*keys, "measure", f"{name}_n", (F.col("upper") + F.greatest(F.col("upper") - F.col("middle"), step)).alias(name))
 
     found = level(["lang", "source"], "own").join(level(["lang"], "wide"), ["lang", "measure"]).join(level([], "whole"), "measure")
-    chosen = F.when(F.col("own_n") >= FEW, F.col("own")).when(F.col("wide_n") >= FEW, F.col("wide")).otherwise(F.col("whole"))
-    return found.groupBy("lang", "source").agg(*(F.max(F.when(F.col("measure") == m, chosen)).alias(f"max_{m}") for m in MEASURES))
+    found = found.withColumn("base", F.expr(f"(wide_n * wide + {PULL} * whole) div (wide_n + {PULL})"))
+    drawn = F.expr(f"(own_n * own + {PULL} * base) div (own_n + {PULL})")
+    return found.groupBy("lang", "source").agg(*(F.max(F.when(F.col("measure") == m, drawn)).alias(f"max_{m}") for m in MEASURES))
 
 
 def _verdict(rows: DataFrame, caps: DataFrame) -> DataFrame:
@@ -157,12 +161,12 @@ _VALUES = {m: e.replace(" div ", " // ") for m, (e, _) in MEASURES.items()}
 
 def _level_sql(keys: str, name: str) -> str:
     by = f"{keys}, measure" if keys else "measure"
-    least = " ".join(f"WHEN '{m}' THEN {d}" for m, (_, d) in MEASURES.items())
+    tail = " ".join(f"WHEN '{m}' THEN {u}" for m, (_, u) in MEASURES.items())
     return f"""{name}_q AS (
-      SELECT {by}, max(total) AS n, min(value) FILTER (4 * upto >= total) AS q1, min(value) FILTER (4 * upto >= 3 * total) AS q3
+      SELECT {by}, max(total) AS n, min(value) FILTER (2 * upto >= total) AS middle, min(value) FILTER (1000 * upto >= CASE measure {tail} END * total) AS upper
       FROM (SELECT {by}, value, sum(n) OVER (PARTITION BY {by} ORDER BY value) AS upto, sum(n) OVER (PARTITION BY {by}) AS total
             FROM (SELECT {by}, value, count(*) AS n FROM vals GROUP BY {by}, value)) GROUP BY {by}),
-    {name} AS (SELECT {by}, n, q3 + greatest({SPREADS} * (q3 - q1), CASE measure {least} END) AS cap FROM {name}_q)"""
+    {name} AS (SELECT {by}, n, upper + greatest(upper - middle, 1, upper >> {DIGITS - 1}) AS cap FROM {name}_q)"""
 
 
 #: The same in SQL; windows are compared as texts.
@@ -182,7 +186,8 @@ vals AS (SELECT lang, source, measure, (v >> greatest(length(bin(v)) - {DIGITS},
 {_level_sql("lang, source", "own")},
 {_level_sql("lang", "wide")},
 {_level_sql("", "whole")},
-caps AS (SELECT own.lang, own.source, own.measure, CASE WHEN own.n >= {FEW} THEN own.cap WHEN wide.n >= {FEW} THEN wide.cap ELSE whole.cap END AS cap
+caps AS (SELECT own.lang, own.source, own.measure,
+                (own.n * own.cap + {PULL} * ((wide.n * wide.cap + {PULL} * whole.cap) // (wide.n + {PULL}))) // (own.n + {PULL}) AS cap
          FROM own JOIN wide ON own.lang = wide.lang AND own.measure = wide.measure JOIN whole ON own.measure = whole.measure),
 lim AS (SELECT lang, source, {", ".join(f"max(cap) FILTER (measure = '{m}') AS max_{m}" for m in MEASURES)} FROM caps GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -42,6 +42,35 @@ def test_quality_counts(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_every_quality_measure_rejects(spark):
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    lines = lambda k: [" ".join(word(5) for _ in range(20)) for _ in range(k)]
+    rows = [(i, "\n".join(lines(10))) for i in range(700)]
+    shared = [(10_000 + i, "\n".join([*x, x[0]])) for i in range(8) for x in [lines(40)]]
+    odd = {1000: "\n".join(x + " " + "#" * 40 for x in lines(10)), 1001: "\n".join(lines(8) + ["a b"] * 6),
+           1002: " ".join(lines(10) + [x := " ".join(word(5) for _ in range(12)), x]), 1003: " ".join(word(12) for _ in range(200))}
+    df = spark.createDataFrame([*rows, *shared, *odd.items()], "doc_id long, text string").selectExpr("*", "'en' AS lang", "'web' AS source")
+    got = {x.doc_id: x for x in quality.judge(df).collect()}
+    assert not any(got[i].base_failed or got[i].kept for i in odd)
+    assert all(got[i].kept for i, _ in rows)
+    assert sum(x.kept for x in got.values()) >= len(rows)
+
+
+def test_quality_limits_have_no_step(spark):
+    """A group's limit moves from its language's to its own, little by little, as it grows."""
+    r = random.Random(4)
+    text = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(n)) for _ in range(60))
+    common_ = [("big", text(5)) for _ in range(3000)]
+    own = [text(9) for _ in range(130)]
+    seen = []
+    for n in (1, 50, 99, 100, 101, 130):
+        df = spark.createDataFrame([(i, t, "en", s) for i, (s, t) in enumerate(common_ + [("small", t) for t in own[:n]])], "doc_id long, text string, lang string, source string")
+        rows = quality.measured(df).drop("row")
+        seen.append({x.source: x.max_length for x in quality.limits(rows).collect()}["small"])
+    assert seen[0] < seen[1] < seen[-1] and max(abs(a - b) for a, b in zip(seen[2:5], seen[3:5])) < 10
+
+
 def test_quality_limits_follow_the_group(spark):
     """What is rare in a source is rejected there, and kept where it is usual; few texts borrow their language's limits."""
     r = random.Random(5)
