@@ -38,7 +38,7 @@ DIGITS, PULL = 6, 100
 #: Measures (per mille, or hundredths of a character) with the per mille of texts below their upper quantile.
 #: A thousand characters more make a few symbols in a short text no high rate.
 MEASURES = {
-    "symbols": ("1000 * n_symbols div (1000 + word_chars)", 900),
+    "symbols": ("1000 * n_symbols div (1000 + word_chars)", 850),
     "lines": ("1000 * n_dup_lines div greatest(1, n_lines)", 990),
     "repeats": ("1000 * n_repeat_words div greatest(1, n_words)", 990),
     "length": ("100 * word_chars div greatest(1, n_words)", 950),
