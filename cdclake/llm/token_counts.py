@@ -13,12 +13,14 @@ how many the token count changes (a merge can take counts back). Transitions are
 compiled when first met, and flushed when the table is full.
 
 **Chunks.** The bytes of many texts are cut into chunks, which are followed side by side,
-one byte each per step, from one assumed entry state: that after up to ``CHUNK`` bytes
-before the chunk. Chunks whose entry was not their predecessor's exit are followed again
-from the right one, until none is left. No maps from all entry states are built and no
-scan composes them: a pre-token's begin resets the state, so an entry is almost always
-known or right. The price is that a wrong entry travels one chunk per round, so one
-pre-token of k chunks can take k rounds.
+one byte each per step. A chunk that begins a pre-token has a known entry state; of each
+other one a map {entry state: exit state} is built over the states that can reach it: first
+that after up to ``CHUNK`` bytes before it, then every exit of its predecessor's map. A
+log-step scan composes the maps from the known entries on and gives all true entries; while
+one of them isn't in its chunk's map, the maps of that pre-token take in one more exit each,
+and that entry itself goes to more and more chunks ahead. So the number of rounds depends on
+how many states alternate and the logarithm of a pre-token's length.
+Counts are written along the composed path.
 
 Null texts count as empty; repeated rows stay; every text is counted whole.
 """
@@ -169,12 +171,49 @@ class Transducer:
         warm = np.maximum(reach, begin - chunk)
         entry = self.follow(data, resets, warm, begin, np.zeros(len(begin), np.int64), np.zeros(len(data), np.int32))
         exits = self.follow(data, resets, begin, end, entry, counts)
+        known = resets[begin]
+        if ((entry[1:] == exits[:-1]) | known[1:]).all():
+            return counts
+        true = self.compose(data, resets, begin, end, known, entry, exits)
+        wrong = np.flatnonzero(true != entry)
+        self.follow(data, resets, begin[wrong], end[wrong], true[wrong], counts)
+        return counts
+
+    def compose(self, data: np.ndarray, resets: np.ndarray, begin: np.ndarray, end: np.ndarray, known: np.ndarray, entry: np.ndarray, exits: np.ndarray) -> np.ndarray:
+        """The true entry of each chunk. Maps are kept as sorted keys (chunk, entry) with their exits."""
+        bits, m = 40, len(begin)
+        key, out, unused = np.arange(m) << bits | entry, exits, np.zeros(len(data), np.int32)
+        run, inner, reach = np.cumsum(known), np.append(~known[1:], False), 1
+        run_end = np.searchsorted(run, run, side="right")
         while True:
-            wrong = np.flatnonzero((entry[1:] != exits[:-1]) & ~resets[begin[1:]]) + 1
-            if not len(wrong):
-                return counts
-            entry[wrong] = exits[wrong - 1]
-            exits[wrong] = self.follow(data, resets, begin[wrong], end[wrong], entry[wrong], counts)
+            order = np.argsort(key, kind="stable")
+            key, out = key[order], out[order]
+            chunk = key >> bits
+            goes_on, to = inner[chunk], (chunk + 1) << bits | out
+            at = np.minimum(np.searchsorted(key, to), len(key) - 1)
+            there = goes_on & (key[at] == to)
+            # The scan: step t composes maps over 2**t chunks.
+            jump = np.append(np.where(there, at, len(key)), len(key))
+            reached = np.append(known[chunk], False)
+            while jump.min() < len(key):
+                reached[jump[reached]] = True
+                jump = jump[jump]
+            reached = reached[:-1]
+            lost = reached & goes_on & ~there
+            if not lost.any():
+                true = np.empty(m, np.int64)
+                true[chunk[reached]] = key[reached] & ((1 << bits) - 1)
+                return true
+            open_ = np.isin(run[chunk], run[chunk[lost]])
+            # What is lost also goes to chunks further on: a state that many chunks keep is then there at once.
+            reach = min(reach * 4, m)
+            first = chunk[lost] + 1
+            n = np.minimum(run_end[first] - first, reach)
+            ahead = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            fresh = np.setdiff1d(np.append(to[open_ & goes_on & ~there], ahead << bits | np.repeat(out[lost], n)), key)
+            c = fresh >> bits
+            more = self.follow(data, resets, begin[c], end[c], fresh & ((1 << bits) - 1), unused)
+            key, out = np.append(key, fresh), np.append(out, more)
 
     def count(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text in ``data``."""

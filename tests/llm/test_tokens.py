@@ -52,6 +52,24 @@ def test_transducer_chunks_and_flushes(library):
     assert len(machine.states) > 10
 
 
+def test_chunk_maps_compose(library):
+    """Pre-tokens of many chunks, also where every assumed entry is wrong: rounds don't grow in proportion."""
+    rounds = {}
+    for n in (2000, 20000):
+        texts = ["a" * n, "ab" * (n // 2) + " x", "x" + "-" * n, "abcdefghijk" * (n // 11), "é" * n, "=" * 191 + "a" * n + " " * n, "theinternational" * (n // 16)]
+        want = [len(x) for x in _ids(library, BYTES, texts)]
+        for chunk in (5, 37, 192):
+            machine = token_counts.Transducer(vocabulary(BYTES))
+            follow, calls = machine.follow, []
+            machine.follow = lambda *args: calls.append(len(args[2])) or follow(*args)
+            data, offsets = common.utf8(pa.array(texts))
+            counts = machine.changes(data, token_counts.pieces(data, offsets, {}).starts, chunk)
+            assert np.add.reduceat(counts, offsets[:-1]).tolist() == want
+            rounds[n, chunk] = len(calls)
+    assert any(x > 3 for x in rounds.values())  # some entries were wrong
+    assert all(rounds[20000, c] <= rounds[2000, c] + 8 for c in (5, 37, 192)), rounds
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(MIXED, min_size=1, max_size=5))
 def test_any_text(texts):
