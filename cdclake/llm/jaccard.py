@@ -10,7 +10,7 @@ link between different sets is lost: components are exact.
    that counts tokens by bucket, then by hash. The sketch only decides how much work
    there is. Sets that link have a token in common among the first (1 - percent/100) of
    each, so only these are shuffled, and tokens that no two classes share go at once.
-3. **Groups.** Along each token the other documents are compared with one leader; the
+3. **Groups.** Along each token the other documents are compared with ``LEADERS`` leaders; the
    links that hold partition the documents into groups of similar ones. Where opening
    what is left would take over ``WORK`` pairs per row, other leaders follow.
 4. **Matrix.** The union of a group's tokens is stored per set size: (token, group, size,
@@ -49,6 +49,8 @@ GRAM, PERCENT = 3, 90
 SKETCH_BITS, FREQUENT = 20, 1 / 4000
 #: Member pairs that may be opened per row of shared tokens before more leaders are tried.
 WORK = 4
+#: Leaders of a token in one round.
+LEADERS = 8
 #: Words of a set's parities.
 PARITIES = 8
 
@@ -245,12 +247,14 @@ def _linked(docs: DataFrame, gram: int, percent: int, id_col: str, text_col: str
     texts = common.written(own.join(firsts, ["id", "t"]).select(F.col("node").alias("id"), "text"), f"{folder}/texts")
     heads = common.written(nodes.join(ids, "id", "left_semi"), f"{folder}/heads")
 
-    # Groups: along each token, all against one leader; other leaders where too much would be left to open.
+    # Groups: along each token, all against a few leaders; other leaders where too much would be left to open.
     links, tried, step, before = None, None, 0, float("inf")
     placed = shared.withColumn("g", F.col("id"))
     while True:
         at = f"{folder}/{step}"
-        leaders = placed.groupBy("token").agg(F.min(F.struct(F.xxhash64("id", F.lit(step)).alias("by") if step else F.col("id").alias("by"), "id", "n", "pos", "g")).alias("l"))
+        by = [F.col("id") if not (step or k) else F.xxhash64("id", F.lit(step * LEADERS + k)) for k in range(LEADERS)]
+        leaders = placed.groupBy("token").agg(*[F.min(F.struct(x.alias("by"), "id", "n", "pos", "g")).alias(f"l{k}") for k, x in enumerate(by)])
+        leaders = leaders.select("token", F.explode(F.array_distinct(F.array(*[F.col(f"l{k}").dropFields("by") for k in range(LEADERS)]))).alias("l"))
         stars = placed.join(leaders, "token").where((F.col("g") != F.col("l.g")) & _can_link(F.col("n"), F.col("pos"), F.col("l.n"), F.col("l.pos"), percent))
         stars = _pairs(stars.select(F.least("l.id", "id").alias("a"), F.greatest("l.id", "id").alias("b")), tried)
         stars = common.written(stars, f"{at}/stars")
