@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdclake.llm import common
+from cdclake.sources import storage
 
 
 def components(edges: DataFrame, folder: str) -> DataFrame:
@@ -13,7 +14,8 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
 
     Each round joins a node's neighbours to the least one (larger neighbours first, then
     smaller ones), and halves what is left in depth; edges only ever get fewer. A node
-    with very many neighbours is combined before the shuffle, and its join is split.
+    with very many neighbours is combined before the shuffle, and its join is split. Only the
+    last round's table stays.
     """
     now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     now, before, step = common.written(now, f"{folder}/0"), None, 0
@@ -29,3 +31,4 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         now = common.written(small, f"{folder}/{step}")
+        storage.delete(edges.sparkSession, f"{folder}/{step - 1}")

@@ -24,7 +24,8 @@ link between different sets is lost: components are exact.
    pair that differs in too many: near copies that just don't link, and texts that share a
    passage only, are never rows, however many there are. Of two groups that are opened the
    smaller one's members come first. What is left is compared by first tokens, then by texts.
-6. The links of all steps give the components.
+6. The links of all steps give the components. Once their ids are written, the tables of all
+   steps are deleted.
 
 Ids: rows are linked by their texts alone, so rows that repeat an id, or have none, link as
 their texts do. A null id counts as larger than all others; a component is named by its
@@ -43,6 +44,7 @@ from pyspark.sql import functions as F
 
 from cdclake.llm import common, words
 from cdclake.llm.components import components
+from cdclake.sources import storage
 
 GRAM, PERCENT = 3, 90
 #: Buckets of the frequency sketch, and the share of documents from which a token is called frequent.
@@ -284,23 +286,31 @@ def _firsts(found: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def join(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
-    folder = common.scratch(docs.sparkSession)
-    sets, classes, links = _linked(docs, gram, percent, id_col, text_col, folder)
+    spark = docs.sparkSession
+    folder = common.scratch(spark)
+    work = f"{folder}/work"
+    sets, classes, links = _linked(docs, gram, percent, id_col, text_col, work)
     key = ["h1", "h2", "n"]
-    nodes, firsts = _firsts(components(links, f"{folder}/components"), classes)
+    nodes, firsts = _firsts(components(links, f"{work}/components"), classes)
     named = nodes.join(firsts, "component").select("node", F.col("first.id").alias("least"))
     named = classes.join(named, "node", "left").select(*key, F.coalesce("least", "id").alias("component"))
     out = sets.where("n > 0").join(named, key).select("id", "n", "component")
     out = out.unionByName(sets.where("n = 0").select("id", "n", F.col("id").alias("component")))
-    return out.select(common.id_value("id").alias("doc_id"), F.col("n").alias("n_shingles"), common.id_value("component").alias("component_id"))
+    out = common.written(out.select(common.id_value("id").alias("doc_id"), F.col("n").alias("n_shingles"), common.id_value("component").alias("component_id")), f"{folder}/result")
+    storage.delete(spark, work)
+    return out
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
     """One row per component: that of the smallest id (of equal ids, of the lesser hash of its text), with all columns."""
-    folder = common.scratch(docs.sparkSession)
-    sets, classes, links = _linked(docs, gram, percent, id_col, text_col, folder)
-    nodes, firsts = _firsts(components(links, f"{folder}/components"), classes)
+    spark = docs.sparkSession
+    folder = common.scratch(spark)
+    work = f"{folder}/work"
+    sets, classes, links = _linked(docs, gram, percent, id_col, text_col, work)
+    nodes, firsts = _firsts(components(links, f"{work}/components"), classes)
     kept = firsts.select("first.*").unionByName(classes.join(nodes, "node", "left_anti").select("id", "t")).unionByName(sets.where("n = 0").select("id", "t"))
+    kept = common.written(kept, f"{folder}/kept")
+    storage.delete(spark, work)
     # All columns of a row travel in one, so that none clashes; rows that repeat an id and a text are one.
     keyed = common.with_row(docs, id=common.id_key(id_col), t=F.xxhash64(_text(text_col)))
     return keyed.join(kept, ["id", "t"], "left_semi").dropDuplicates(["id", "t"]).select("row.*")
