@@ -233,7 +233,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     own = common.with_row(docs, id=common.id_key(id_col), text_hash=F.xxhash64(text), text=text)
     found = spans(own.drop("row"), window, gram, common.scratch(spark))
     by_doc = found.groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    out = own.join(by_doc, ["id", "text_hash"], "left").select("row", "text", "spans")
+    # The text goes through this join within its row only.
+    out = own.drop("text").join(by_doc, ["id", "text_hash"], "left")
+    out = out.select("row", F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit("")).alias("text"), "spans")
     return out.mapInArrow(_kept, common.row_schema(docs, "n_words long, n_removed long, kept string"))
 
 
