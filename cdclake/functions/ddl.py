@@ -11,13 +11,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Quoted texts, each one token whatever is in them.
-QUOTED = r"'(?:[^'\\]|''|\\.)*+'|`(?:[^`]|``)*+`|\"(?:[^\"\\]|\"\"|\\.)*+\""
+QUOTED = r"'(?:[^'\\]++|''|\\.)*+'|`(?:[^`]++|``)*+`|\"(?:[^\"\\]++|\"\"|\\.)*+\""
 _COMMENT = r"/\*(?!!)(?s:.*?)\*/|(?:--(?=\s|$)|#)[^\n]*"
-TOKEN = rf"{QUOTED}|{_COMMENT}|[(),]|[^(),'`\"/#-]++|[\s\S]"
+TOKEN = rf"{QUOTED}|{_COMMENT}|[()]|[^()'`\"/#-]++|[\s\S]"
 
 
 def tokens(text: Column) -> Column:
-    """Brackets, commas, quoted texts, and what is between them; comments are blanks."""
+    """Brackets, quoted texts, and what is between them; comments are blanks."""
     found = F.regexp_extract_all(text, F.lit(TOKEN), 0)
     return F.transform(found, lambda t: F.when(t.rlike(rf"^(?:{_COMMENT})$"), " ").otherwise(t))
 

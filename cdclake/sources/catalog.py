@@ -49,7 +49,7 @@ CATALOG_COLUMNS = [
 
 _NAME = r"^(?:`((?:[^`]|``)+)`|([A-Za-z0-9_$]+))\s+"
 _ARGS = r"^[A-Za-z]+\s*\(((?:'(?:[^']|'')*'|[^')])*)\)"
-_QUOTED = r"'(?:[^'\\]|''|\\.)*'"
+_QUOTED = r"'(?:[^'\\]++|''|\\.)*'"
 _KEY_CLAUSE = r"(?i)^(?:constraint\s+\S+\s+)?primary\s+key"
 _NOT_COLUMNS = (
     r"(?i)^(?:(?:primary|unique|foreign|fulltext|spatial|check|constraint|partition|create|set|insert|drop|use)\b"
@@ -157,7 +157,11 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     The body is cut at its own commas, not at those within quotes and brackets, which may nest
     to any depth. What is neither a column nor a known clause fails. Generated columns are
     absent from snapshots and are dropped here too.
+
+    A text is small and its parsing is long, so texts are dealt out by table first: otherwise
+    a file that is read as one split, with all its texts, would be parsed by a single task.
     """
+    texts = texts.select("db", "table", "text").repartition("db", "table")
     whole = texts.select("db", "table", ddl.outline(F.col("text")).alias("whole"))
     number = F.regexp_extract("whole.flat", _HEAD, 1)
     body = F.when(number != "", F.get("whole.groups", number.cast("int")))
@@ -172,25 +176,34 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     clause = F.regexp_extract(bare, r"(?i)primary\s+key\s*(?:`[^`]*`\s*)?(?:using\s+\w+\s*)?\(((?:`(?:[^`]|``)*`|\([0-9]+\)|[^()])*)\)", 1)
     idents = F.regexp_extract_all(clause, F.lit(r"(`(?:[^`]|``)+`|[A-Za-z_$][A-Za-z0-9_$]*)(?:\s*\([0-9]+\))?(?:\s+(?i:asc|desc))?"), 1)
     table_pk = F.transform(idents, lambda x: F.lower(_unquote_ident(x)))
+    # Per text, before its lines are rows: beside them it would be taken from all pieces again for each line.
+    texts = texts.select("db", "table", "groups", "pieces", table_pk.alias("table_pk"))
     # No text is without pieces. A plain explode would have Spark test that below, where it takes the outline apart again and again.
-    lines = texts.select("db", "table", "groups", table_pk.alias("table_pk"), F.posexplode_outer("pieces").alias("line_no", "p")).select("*", "p.line", "p.flat")
+    lines = texts.select("db", "table", "groups", "table_pk", F.posexplode_outer("pieces").alias("line_no", "p")).select("*", "p.line", "p.flat")
     odd = F.raise_error(F.concat(F.lit("not understood in CREATE TABLE of "), "db", F.lit("."), "table", F.lit(": "), "line")).cast("boolean")
     lines = lines.where(F.when(F.col("line").rlike(_NOT_COLUMNS), False).when(F.col("line").rlike(_NAME), True).otherwise(odd))
 
-    rest = F.regexp_replace("line", _NAME, "")
+    # The outline of a line begins with the same name, as that has no brackets of its own.
+    lead = F.regexp_extract("line", _NAME, 0)
+    after = lambda x: F.substring(x, F.length(lead) + 1, F.length(x))
+    rest = after(F.col("line"))
     word = F.lower(F.regexp_extract(rest, "^([A-Za-z]+)", 1))
     alias = F.create_map(*[F.lit(x) for kv in TYPE_ALIASES.items() for x in kv])
     args = F.trim(F.regexp_extract(rest, _ARGS, 1))
     # Brackets in what follows the type are numbers here: words in expressions are no clauses.
-    tail = F.regexp_replace(F.regexp_replace("flat", _NAME, ""), r"^[A-Za-z]+ *(?:\([0-9]+\))? *", "")
+    tail = F.regexp_replace(after(F.col("flat")), r"^[A-Za-z]+ *(?:\([0-9]+\))? *", "")
     flags = F.regexp_replace(tail, _QUOTED, "''")
     parsed = lines.select(
         "db", "table", "table_pk", "line_no",
-        F.when(F.regexp_extract("line", _NAME, 1) != "", F.replace(F.regexp_extract("line", _NAME, 1), F.lit("``"), F.lit("`")))
-        .otherwise(F.regexp_extract("line", _NAME, 2)).alias("name"),
+        F.when(lead.startswith("`"), _unquote_ident(F.rtrim(lead))).otherwise(F.rtrim(lead)).alias("name"),
         F.coalesce(F.try_element_at(alias, word), word).alias("base"),
         args.alias("args"), tail.alias("tail"), flags.alias("flags"), "groups",
+        F.col("flat").rlike(r"(?i)\bas\b").alias("has_as"),
     )
+    default = F.regexp_extract("tail", r"(?i)\bdefault\s+(" + _QUOTED + r"|\([0-9]+\)|[A-Za-z_]\w*\s*\([0-9]+\)|[^\s,]+)", 1)
+    default = F.when(F.col("flags").rlike(r"(?i)\bdefault\b") & ~F.lower(default).isin("null", ""), default)
+    # A column of its own, as it is used many times below.
+    parsed = parsed.withColumn("written", F.when(default.contains("("), ddl.restored(default, F.col("groups"))).otherwise(default))
 
     base, args, flags = F.col("base"), F.col("args"), F.col("flags")
     # FLOAT(p) with more than 24 bits is a double.
@@ -201,14 +214,12 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     size = F.split(args, r"\s*,\s*")
     precision = F.when(sized & (args != ""), size[0]).otherwise(F.coalesce(F.try_element_at(implied, base), F.lit("")))
     scale = F.when(sized & (F.size(size) > 1), F.try_element_at(size, F.lit(2))).when(base == "decimal", "0").otherwise("")
-    generated_at = flags.rlike(r"(?i)(?:\bgenerated\s+always\s+as\b|(?:^|\s)as\s*\()")
+    generated_at = F.col("has_as") & flags.rlike(r"(?i)(?:\bgenerated\s+always\s+as\b|(?:^|\s)as\s*\()")
     inline_pk = flags.rlike(r"(?i)\bprimary\s+key\b") & ~generated_at
     in_table_pk = F.array_position("table_pk", F.lower("name"))
     is_pk = inline_pk | (in_table_pk > 0)
 
-    default = F.regexp_extract("tail", r"(?i)\bdefault\s+(" + _QUOTED + r"|\([0-9]+\)|[A-Za-z_]\w*\s*\([0-9]+\)|[^\s,]+)", 1)
-    default = F.when(flags.rlike(r"(?i)\bdefault\b") & ~F.lower(default).isin("null", ""), default)
-    default = ddl.restored(default, F.col("groups"))
+    default = F.col("written")
     quoted = default.startswith("'")
     literal = F.when(quoted, F.replace(F.regexp_replace(default, "^'|'$", ""), F.lit("''"), F.lit("'"))).otherwise(default)
     kind = (

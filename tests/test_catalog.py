@@ -140,3 +140,30 @@ def test_brackets_of_any_depth(spark, depth):
              (f"ALTER TABLE p ADD COLUMN g INT AS {_nested(depth)} VIRTUAL, ADD stored INT", False), (f"ALTER TABLE p ADD c INT DEFAULT {_nested(depth)} /* as (k) stored */", False), (None, None)]
     df = spark.createDataFrame(texts, "q string, want boolean")
     assert df.where(~catalog.stored_generated(F.col("q")).eqNullSafe(F.col("want"))).collect() == []
+
+
+@pytest.fixture
+def one_split(spark):
+    """Texts of many tables that Spark reads as one split."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark.range(0, 400, 1, 1).select(
+        F.lit("d").alias("db"), F.concat(F.lit("t"), "id").alias("table"),
+        F.concat(F.lit("CREATE TABLE `t"), "id", F.lit("` (\n `id` int PRIMARY KEY,\n `n` int AS (`id` + 1) STORED\n);")).alias("text"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _parsing_tasks(df):
+    """Tasks over which the rows are spread."""
+    return df.select(F.spark_partition_id().alias("task")).distinct().count()
+
+
+def test_ddl_columns_of_one_split_are_parsed_by_many_tasks(one_split):
+    columns = catalog.ddl_columns(one_split)
+    assert columns.count() == 400
+    assert _parsing_tasks(columns) > 1
+
+
+def test_key_columns_are_found_once_per_text(one_split):
+    plan = catalog.ddl_columns(one_split)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Generate ")]
+    assert "primary\\s+key\\s*" not in above
