@@ -167,3 +167,10 @@ def test_key_columns_are_found_once_per_text(one_split):
     plan = catalog.ddl_columns(one_split)._jdf.queryExecution().optimizedPlan().toString()
     above = plan[:plan.index("Generate ")]
     assert "primary\\s+key\\s*" not in above
+
+
+def test_pk_admission_of_one_split_is_counted_by_many_tasks(one_split):
+    admitted = catalog.pk_admission(catalog.ddl_columns(one_split))
+    assert admitted.where("n_pk = 1 and admitted").count() == 400
+    parsed = admitted._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < parsed.index("Generate ") < parsed.index("RepartitionByExpression")
