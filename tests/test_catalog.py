@@ -174,3 +174,10 @@ def test_pk_admission_of_one_split_is_counted_by_many_tasks(one_split):
     assert admitted.where("n_pk = 1 and admitted").count() == 400
     parsed = admitted._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < parsed.index("Generate ") < parsed.index("RepartitionByExpression")
+
+
+def test_generated_columns_of_one_split_are_counted_by_many_tasks(one_split):
+    report = catalog.generated_report(one_split)
+    assert report.where("n_stored = 1 and n_plain = 1 and not incremental_ok").count() == 400
+    parsed = report._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < parsed.index("Generate ") < parsed.index("RepartitionByExpression")
