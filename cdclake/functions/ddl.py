@@ -1,8 +1,10 @@
 """The outline of a DDL text: brackets of any depth, quotes and comments, as Column functions.
 
-A text is cut into tokens once. One pass over them keeps the depth as a running sum and
-puts every bracket group at depth 0 aside, leaving ``(k)`` for the k-th one; so commas and
-words that are left are the text's own, and nothing limits how deep groups nest.
+A text is cut at its outer brackets and every bracket group is put aside, leaving ``(k)`` for
+the one at place k; so commas and words that are left are the text's own. One expression finds
+groups that nest up to ``_NESTED`` deep. A text with deeper ones, or with an open bracket, is
+cut at every bracket, and one pass keeps the depth as a running sum, so nothing limits how deep
+groups nest.
 """
 
 from __future__ import annotations
@@ -10,10 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Quoted texts, each one token whatever is in them.
-QUOTED = r"'(?:[^'\\]++|''|\\.)*+'|`(?:[^`]++|``)*+`|\"(?:[^\"\\]++|\"\"|\\.)*+\""
+#: Quoted texts, each one token whatever is in them, escaped line ends too.
+QUOTED = r"'(?:[^'\\]++|''|\\[\s\S])*+'|`(?:[^`]++|``)*+`|\"(?:[^\"\\]++|\"\"|\\[\s\S])*+\""
 _COMMENT = r"/\*(?!!)(?s:.*?)\*/|(?:--(?=\s|$)|#)[^\n]*"
 TOKEN = rf"{QUOTED}|{_COMMENT}|[()]|[^()'`\"/#-]++|[\s\S]"
+_RUN = rf"(?:{QUOTED}|[^()'`\"]++|['`\"])++"
+#: Levels of brackets that one expression finds; each adds to its length.
+_NESTED = 6
+_GROUP = rf"\((?:{_RUN})?+\)"
+for _ in range(_NESTED - 1):
+    _GROUP = rf"\((?:{_RUN}|{_GROUP})*+\)"
+#: A comment, or (in group 1) all up to the next one.
+_UNCOMMENTED = rf"{_COMMENT}|((?:{QUOTED}|[^'`\"/#-]++|(?!{_COMMENT})[\s\S])++)"
 
 
 def tokens(text: Column) -> Column:
@@ -22,8 +32,19 @@ def tokens(text: Column) -> Column:
     return F.transform(found, lambda t: F.when(t.rlike(rf"^(?:{_COMMENT})$"), " ").otherwise(t))
 
 
-def outline(text: Column) -> Column:
-    """struct(flat, groups, depth): the text with its bracket groups numbered, the groups, and the depth at its end."""
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value taken once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def uncommented(text: Column) -> Column:
+    """The text with a blank for each comment."""
+    kept = F.transform(F.regexp_extract_all(text, F.lit(_UNCOMMENTED), 1), lambda t: F.when(t == "", " ").otherwise(t))
+    return F.when(text.rlike(r"/\*|--|#"), F.array_join(kept, "")).otherwise(text)
+
+
+def _running(parts: Column) -> Column:
+    """The outline of parts of which some are single brackets."""
     start = F.struct(F.lit("").alias("flat"), F.lit("").alias("inner"), F.array().cast("array<string>").alias("groups"), F.lit(0).alias("depth"))
 
     def step(s: Column, t: Column) -> Column:
@@ -37,15 +58,29 @@ def outline(text: Column) -> Column:
             F.when(ends, F.array_append(s["groups"], s["inner"])).otherwise(s["groups"]).alias("groups"),
             (s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)).alias("depth"))
 
-    return F.aggregate(tokens(text), start, step, lambda s: F.struct(s["flat"], s["groups"], s["depth"]))
+    return F.aggregate(parts, start, step, lambda s: F.struct(s["flat"], s["groups"]))
+
+
+def outline(text: Column) -> Column:
+    """struct(flat, groups): the text without comments, its bracket groups numbered, and the groups at their numbers."""
+
+    def of(clean: Column) -> Column:
+        is_group = lambda p: p.startswith("(")
+        flat = lambda parts: F.array_join(F.transform(parts, lambda p, i: F.when(is_group(p), F.concat(F.lit("("), i.cast("string"), F.lit(")"))).otherwise(p)), "")
+        groups = lambda parts: F.transform(parts, lambda p: F.when(is_group(p), F.substring(p, F.lit(2), F.length(p) - 2)))
+        by_bracket = F.regexp_extract_all(clean, F.lit(rf"{_RUN}|[()]"), 0)
+        return _let(F.regexp_extract_all(clean, F.lit(rf"{_GROUP}|{_RUN}|[()]"), 0), lambda parts: F.when(
+            F.array_contains(parts, "("), _running(by_bracket)).otherwise(F.struct(flat(parts).alias("flat"), groups(parts).alias("groups"))))
+
+    return _let(uncommented(text), of)
 
 
 def restored(flat: Column, groups: Column) -> Column:
     """A part of an outline with its groups put back."""
-    parts = F.regexp_extract_all(flat, F.lit(rf"{QUOTED}|\([0-9]+\)|[^('`\"]++|[\s\S]"), 0)
+    parts = F.regexp_extract_all(flat, F.lit(rf"\([0-9]+\)|(?:{QUOTED}|[^('`\"]++|(?!\([0-9]+\))[\s\S])++"), 0)
     back = F.transform(parts, lambda t: F.when(
         t.rlike(r"^\([0-9]+\)$"), F.concat(F.lit("("), F.get(groups, F.substring(t, F.lit(2), F.length(t) - 2).cast("int")), F.lit(")"))).otherwise(t))
-    return F.array_join(back, "")
+    return F.when(flat.contains("("), F.array_join(back, "")).otherwise(flat)
 
 
 def at_commas(flat: Column) -> Column:

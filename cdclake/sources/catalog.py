@@ -50,6 +50,7 @@ CATALOG_COLUMNS = [
 _NAME = r"^(?:`((?:[^`]|``)+)`|([A-Za-z0-9_$]+))\s+"
 _ARGS = r"^[A-Za-z]+\s*\(((?:'(?:[^']|'')*'|[^')])*)\)"
 _QUOTED = r"'(?:[^'\\]++|''|\\.)*'"
+_BREAKS = r"[\t\n\x0B\f\r]"
 _KEY_CLAUSE = r"(?i)^(?:constraint\s+\S+\s+)?primary\s+key"
 _NOT_COLUMNS = (
     r"(?i)^(?:(?:primary|unique|foreign|fulltext|spatial|check|constraint|partition|create|set|insert|drop|use)\b"
@@ -168,7 +169,7 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     no_table = F.raise_error(F.concat(F.lit("no CREATE TABLE text of "), "db", F.lit("."), "table")).cast("string")
     texts = whole.select("db", "table", ddl.outline(F.when(F.trim(F.coalesce(body, F.lit(""))) == "", no_table).otherwise(body)).alias("body"))
     pieces = F.transform(ddl.at_commas(F.col("body.flat")), lambda x: F.struct(
-        F.trim(F.regexp_replace(ddl.restored(x, F.col("body.groups")), r"\s", " ")).alias("line"), F.trim(F.regexp_replace(x, r"\s", " ")).alias("flat")))
+        F.trim(F.regexp_replace(ddl.restored(x, F.col("body.groups")), _BREAKS, " ")).alias("line"), F.trim(F.regexp_replace(x, _BREAKS, " ")).alias("flat")))
     texts = texts.select("db", "table", "body.groups", pieces.alias("pieces"))
     pieces = F.transform("pieces", lambda p: p["line"])
     # Key columns of the table-level clause, in order; prefix lengths removed.
@@ -203,7 +204,7 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     default = F.regexp_extract("tail", r"(?i)\bdefault\s+(" + _QUOTED + r"|\([0-9]+\)|[A-Za-z_]\w*\s*\([0-9]+\)|[^\s,]+)", 1)
     default = F.when(F.col("flags").rlike(r"(?i)\bdefault\b") & ~F.lower(default).isin("null", ""), default)
     # A column of its own, as it is used many times below.
-    parsed = parsed.withColumn("written", F.when(default.contains("("), ddl.restored(default, F.col("groups"))).otherwise(default))
+    parsed = parsed.withColumn("written", ddl.restored(default, F.col("groups")))
 
     base, args, flags = F.col("base"), F.col("args"), F.col("flags")
     # FLOAT(p) with more than 24 bits is a double.

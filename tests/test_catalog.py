@@ -1,6 +1,9 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from cdclake.functions import ddl
 from cdclake.functions import types as ty
 from cdclake.sources import catalog, csvio, storage
 
@@ -181,3 +184,37 @@ def test_generated_columns_of_one_split_are_counted_by_many_tasks(one_split):
     assert report.where("n_stored = 1 and n_plain = 1 and not incremental_ok").count() == 400
     parsed = report._jdf.queryExecution().optimizedPlan().toString()
     assert 0 < parsed.index("Generate ") < parsed.index("RepartitionByExpression")
+
+
+@pytest.fixture
+def outlined(spark):
+    """flat, groups and the text put together again, per text."""
+    def of(*texts):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", ddl.outline(F.col("t")).alias("o"))
+        rows = df.select("i", "o.flat", F.filter("o.groups", lambda g: g.isNotNull()), ddl.restored(F.col("o.flat"), F.col("o.groups"))).orderBy("i").collect()
+        return [(re.sub(r"\([0-9]+\)", "()", r[1]), r[2], r[3]) for r in rows]
+
+    return of
+
+
+@pytest.mark.parametrize("depth", [1, 6, 7, 40])
+def test_outline_is_the_same_on_both_ways(outlined, depth):
+    """Groups of few levels are found at once, deeper ones and open brackets by running depth."""
+    deep = _nested(depth, "k, ')', `(`")
+    (whole, shut, open_) = outlined(f"a{deep}b(c -- )\n)", f"a){deep}) '", f"a{deep}b (c {deep}")
+    assert whole == ("a()b()", [deep[1:-1], "c  \n"], f"a{deep}b(c  \n)")
+    assert shut == (f"a)()) '", [deep[1:-1]], f"a){deep}) '")
+    assert open_[0] == "a()b " and open_[1] == [deep[1:-1]]
+
+
+def test_escaped_line_end_within_quotes(spark):
+    cols = columns(spark, "CREATE TABLE q (a varchar(9) DEFAULT 'x\\\n, (y' COMMENT \"p\\\n, q\", /* it's */ b int)")
+    assert list(cols) == ["a", "b"] and cols["a"]["default_kind"] == "literal"
+
+
+def test_groups_of_few_levels_are_one_part(spark):
+    """So a text without deeper ones is read without the pass over single brackets."""
+    text = "CREATE TABLE t (a int DEFAULT (((((1))))), b int) -- c"
+    parts = spark.createDataFrame([(text,)], "t string").select(
+        F.regexp_extract_all(ddl.uncommented(F.col("t")), F.lit(rf"{ddl._GROUP}|{ddl._RUN}|[()]"), 0)).first()[0]
+    assert parts == ["CREATE TABLE t ", "(a int DEFAULT (((((1))))), b int)", "  "]
