@@ -218,3 +218,9 @@ def test_groups_of_few_levels_are_one_part(spark):
     parts = spark.createDataFrame([(text,)], "t string").select(
         F.regexp_extract_all(ddl.uncommented(F.col("t")), F.lit(rf"{ddl._GROUP}|{ddl._RUN}|[()]"), 0)).first()[0]
     assert parts == ["CREATE TABLE t ", "(a int DEFAULT (((((1))))), b int)", "  "]
+
+
+def test_generated_columns_after_an_escaped_line_end(spark):
+    text = "CREATE TABLE q (a varchar(9) DEFAULT 'x\\\n, y int as (2) stored, ', b int AS ((a + 1)) VIRTUAL, c int AS (b) STORED)"
+    df = spark.createDataFrame([("d", "q", text)], "db string, table string, text string")
+    assert [tuple(r) for r in catalog.generated_report(df).collect()] == [("d", "q", 1, 1, 1, False)]
