@@ -32,7 +32,7 @@ def tokens(text: Column) -> Column:
     return F.transform(found, lambda t: F.when(t.rlike(rf"^(?:{_COMMENT})$"), " ").otherwise(t))
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body(value)`` with the value taken once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), 0)
 
@@ -69,10 +69,10 @@ def outline(text: Column) -> Column:
         flat = lambda parts: F.array_join(F.transform(parts, lambda p, i: F.when(is_group(p), F.concat(F.lit("("), i.cast("string"), F.lit(")"))).otherwise(p)), "")
         groups = lambda parts: F.transform(parts, lambda p: F.when(is_group(p), F.substring(p, F.lit(2), F.length(p) - 2)))
         by_bracket = F.regexp_extract_all(clean, F.lit(rf"{_RUN}|[()]"), 0)
-        return _let(F.regexp_extract_all(clean, F.lit(rf"{_GROUP}|{_RUN}|[()]"), 0), lambda parts: F.when(
+        return let(F.regexp_extract_all(clean, F.lit(rf"{_GROUP}|{_RUN}|[()]"), 0), lambda parts: F.when(
             F.array_contains(parts, "("), _running(by_bracket)).otherwise(F.struct(flat(parts).alias("flat"), groups(parts).alias("groups"))))
 
-    return _let(uncommented(text), of)
+    return let(text, lambda t: let(uncommented(t), of))
 
 
 def restored(flat: Column, groups: Column) -> Column:

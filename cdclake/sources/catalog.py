@@ -164,35 +164,36 @@ def ddl_columns(texts: DataFrame, keep_generated: bool = False) -> DataFrame:
     """
     texts = texts.select("db", "table", "text").repartition("db", "table")
     whole = texts.select("db", "table", ddl.outline(F.col("text")).alias("whole"))
-    number = F.regexp_extract("whole.flat", _HEAD, 1)
-    body = F.when(number != "", F.get("whole.groups", number.cast("int")))
+    body = ddl.let(F.regexp_extract("whole.flat", _HEAD, 1), lambda number: F.when(number != "", F.get("whole.groups", number.cast("int"))))
     no_table = F.raise_error(F.concat(F.lit("no CREATE TABLE text of "), "db", F.lit("."), "table")).cast("string")
-    texts = whole.select("db", "table", ddl.outline(F.when(F.trim(F.coalesce(body, F.lit(""))) == "", no_table).otherwise(body)).alias("body"))
-    pieces = F.transform(ddl.at_commas(F.col("body.flat")), lambda x: F.struct(
-        F.trim(F.regexp_replace(ddl.restored(x, F.col("body.groups")), _BREAKS, " ")).alias("line"), F.trim(F.regexp_replace(x, _BREAKS, " ")).alias("flat")))
-    texts = texts.select("db", "table", "body.groups", pieces.alias("pieces"))
-    pieces = F.transform("pieces", lambda p: p["line"])
+    texts = whole.select("db", "table", ddl.outline(ddl.let(body, lambda b: F.when(F.trim(F.coalesce(b, F.lit(""))) == "", no_table).otherwise(b))).alias("body"))
+    on_a_line = lambda x: F.trim(F.regexp_replace(x, _BREAKS, " "))
+    texts = texts.select("db", "table", "body.groups", F.transform(ddl.at_commas(F.col("body.flat")), on_a_line).alias("pieces"))
+    # Groups are put back only where they are read: a piece and its outline begin alike.
+    whole_line = lambda x: on_a_line(ddl.restored(x, F.col("groups")))
     # Key columns of the table-level clause, in order; prefix lengths removed.
-    bare = F.regexp_replace(F.array_join(F.filter(pieces, lambda x: x.rlike(_KEY_CLAUSE)), ","), _QUOTED, "''")
+    keys = F.transform(F.filter("pieces", lambda x: x.rlike(_KEY_CLAUSE)), whole_line)
+    bare = F.regexp_replace(F.array_join(keys, ","), _QUOTED, "''")
     clause = F.regexp_extract(bare, r"(?i)primary\s+key\s*(?:`[^`]*`\s*)?(?:using\s+\w+\s*)?\(((?:`(?:[^`]|``)*`|\([0-9]+\)|[^()])*)\)", 1)
     idents = F.regexp_extract_all(clause, F.lit(r"(`(?:[^`]|``)+`|[A-Za-z_$][A-Za-z0-9_$]*)(?:\s*\([0-9]+\))?(?:\s+(?i:asc|desc))?"), 1)
     table_pk = F.transform(idents, lambda x: F.lower(_unquote_ident(x)))
     # Per text, before its lines are rows: beside them it would be taken from all pieces again for each line.
     texts = texts.select("db", "table", "groups", "pieces", table_pk.alias("table_pk"))
     # No text is without pieces. A plain explode would have Spark test that below, where it takes the outline apart again and again.
-    lines = texts.select("db", "table", "groups", "table_pk", F.posexplode_outer("pieces").alias("line_no", "p")).select("*", "p.line", "p.flat")
-    odd = F.raise_error(F.concat(F.lit("not understood in CREATE TABLE of "), "db", F.lit("."), "table", F.lit(": "), "line")).cast("boolean")
-    lines = lines.where(F.when(F.col("line").rlike(_NOT_COLUMNS), False).when(F.col("line").rlike(_NAME), True).otherwise(odd))
-
-    # The outline of a line begins with the same name, as that has no brackets of its own.
-    lead = F.regexp_extract("line", _NAME, 0)
-    after = lambda x: F.substring(x, F.length(lead) + 1, F.length(x))
-    rest = after(F.col("line"))
+    lines = texts.select("db", "table", "groups", "table_pk", F.posexplode_outer("pieces").alias("line_no", "flat"))
+    line = whole_line(F.col("flat"))
+    odd = F.raise_error(F.concat(F.lit("not understood in CREATE TABLE of "), "db", F.lit("."), "table", F.lit(": "), line)).cast("boolean")
+    lines = lines.where(F.when(F.col("flat").rlike(_NOT_COLUMNS), False).when(F.col("flat").rlike(_NAME), True).otherwise(odd))
+
+    # A line begins with the same name as its outline, as that has no brackets of its own.
+    lead = F.regexp_extract("flat", _NAME, 0)
+    after = lambda x: F.substr(x, F.length(lead) + 1)
+    rest = after(F.col("flat"))
     word = F.lower(F.regexp_extract(rest, "^([A-Za-z]+)", 1))
     alias = F.create_map(*[F.lit(x) for kv in TYPE_ALIASES.items() for x in kv])
-    args = F.trim(F.regexp_extract(rest, _ARGS, 1))
+    args = F.trim(F.regexp_extract(after(line), _ARGS, 1))
     # Brackets in what follows the type are numbers here: words in expressions are no clauses.
-    tail = F.regexp_replace(after(F.col("flat")), r"^[A-Za-z]+ *(?:\([0-9]+\))? *", "")
+    tail = F.regexp_replace(rest, r"^[A-Za-z]+ *(?:\([0-9]+\))? *", "")
     flags = F.regexp_replace(tail, _QUOTED, "''")
     parsed = lines.select(
         "db", "table", "table_pk", "line_no",

@@ -224,3 +224,19 @@ def test_generated_columns_after_an_escaped_line_end(spark):
     text = "CREATE TABLE q (a varchar(9) DEFAULT 'x\\\n, y int as (2) stored, ', b int AS ((a + 1)) VIRTUAL, c int AS (b) STORED)"
     df = spark.createDataFrame([("d", "q", text)], "db string, table string, text string")
     assert [tuple(r) for r in catalog.generated_report(df).collect()] == [("d", "q", 1, 1, 1, False)]
+
+
+def test_groups_are_put_back_only_where_they_are_read(spark):
+    """Counting generated columns reads outlines alone; an error names the whole line nevertheless."""
+    df = spark.createDataFrame([("d", "t", READINGS)], "db string, table string, text string")
+    put_back = r"\([0-9]+\)|(?:"
+    plan = lambda out: out._jdf.queryExecution().optimizedPlan().toString().partition("Generate ")[2]
+    assert put_back not in plan(catalog.generated_report(df)) and put_back in plan(catalog.pk_admission(catalog.ddl_columns(df)))
+    with pytest.raises(Exception, match=r"not understood in CREATE TABLE of d\.t: \?\(1, \(x\)\) int"):
+        columns(spark, "CREATE TABLE t (a int, ?(1,\n(x)) int)").clear()
+
+
+def test_type_arguments_and_keys_over_line_ends(spark):
+    text = "CREATE TABLE t (e enum('a,\n)', 'b') DEFAULT ('b'), `d (1)` decimal(12,\n3) AS (e * (2)) STORED, CONSTRAINT `k` PRIMARY KEY (e\n(3), `d (1)`))"
+    rows = [(r["name"], r["tp"], r["precision"], r["scale"], r["generated"], r["pk_ordinal"], r["default_value"]) for r in columns(spark, text, keep=True).values()]
+    assert rows == [("e", "enum", "", "", "", 1, "('b')"), ("d (1)", "decimal", "12", "3", "stored", 2, None)]
